@@ -31,4 +31,4 @@ def share(part, whole, digits: int) -> Column:
 
 def count_if(condition) -> Column:
     """Rows for which the condition is true (NULL counts as not true)."""
-    return F.count(F.when(condition, F.lit(1)))
+    return F.count(F.when(col(condition), F.lit(1)))

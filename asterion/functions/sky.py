@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import tables as T
 from .common import col
@@ -46,8 +46,8 @@ def _sun_from_longitude(lon_deg, obliquity_deg):
     return ra, dec
 
 
-def sun_ra_dec(t, model: str = "low"):
-    """(RA, Dec) of the Sun.
+def sun_longitude(t, model: str = "low"):
+    """(ecliptic longitude, obliquity) of the Sun in degrees.
 
     ``low``: two-term series on J2000 days, about 1 degree or better, used for
     twilight and elongation. ``meeus``: three-term series on the Julian day of the
@@ -58,7 +58,7 @@ def sun_ra_dec(t, model: str = "low"):
         l0 = mod360(F.lit(280.466) + F.lit(36000.77) * c)
         m = F.radians(mod360(F.lit(357.529) + F.lit(35999.05) * c))
         lon = l0 + F.lit(1.915) * F.sin(m) + F.lit(0.020) * F.sin(m * 2.0)
-        return _sun_from_longitude(lon, F.lit(23.439) - F.lit(0.013) * c)
+        return lon, F.lit(23.439) - F.lit(0.013) * c
     if model == "meeus":
         c = (julian_day(t) - F.lit(2451545.0)) / F.lit(36525.0)
         l0 = mod360(F.lit(280.46646) + F.lit(36000.76983) * c + F.lit(0.0003032) * c * c)
@@ -66,10 +66,15 @@ def sun_ra_dec(t, model: str = "low"):
         centre = ((F.lit(1.914602) - F.lit(0.004817) * c - F.lit(0.000014) * c * c) * F.sin(m)
                   + (F.lit(0.019993) - F.lit(0.000101) * c) * F.sin(m * 2.0)
                   + F.lit(0.000289) * F.sin(m * 3.0))
-        return _sun_from_longitude(l0 + centre, F.lit(23.43929111) - F.lit(0.0130041667) * c)
+        return l0 + centre, F.lit(23.43929111) - F.lit(0.0130041667) * c
     raise ValueError(model)
 
 
+def sun_ra_dec(t, model: str = "low"):
+    """(RA, Dec) of the Sun; see :func:`sun_longitude` for the models."""
+    return _sun_from_longitude(*sun_longitude(t, model))
+
+
 def sun_ra_dec_daily(day, model: str = "histogram"):
     """(RA, Dec) of the Sun for a calendar day, in the two daily forms published.
 
@@ -101,36 +106,89 @@ def signed_elongation(ra, dec, sun_ra, sun_dec) -> Column:
         angular_separation(ra, dec, sun_ra, sun_dec)
 
 
-def moon_ra_dec(t):
-    """(RA, Dec) of the Moon from the truncated lunar series, about 1 degree."""
-    c = days_since_j2000(t) / F.lit(36525.0)
+def moon_arguments(c) -> dict[str, Column]:
+    """Fundamental arguments at c Julian centuries: mean longitude in degrees, the
+    four angles D, M, M', F in radians, and the obliquity in radians."""
+    c = col(c)
     c2 = c * c
-    mean_lon = mod360(F.lit(218.3164477) + F.lit(481267.88123421) * c - F.lit(0.0015786) * c2)
-    d = F.radians(mod360(F.lit(297.8501921) + F.lit(445267.1114034) * c - F.lit(0.0018819) * c2))
-    m = F.radians(mod360(F.lit(357.5291092) + F.lit(35999.0502909) * c - F.lit(0.0001536) * c2))
-    mp = F.radians(mod360(F.lit(134.9633964) + F.lit(477198.8675055) * c + F.lit(0.0087414) * c2))
-    f = F.radians(mod360(F.lit(93.2720950) + F.lit(483202.0175233) * c - F.lit(0.0036539) * c2))
 
+    def angle(a0, a1, a2):
+        return mod360(F.lit(a0) + F.lit(a1) * c + F.lit(a2) * c2)
+
+    return {
+        "lp": angle(218.3164477, 481267.88123421, -0.0015786),
+        "d": F.radians(angle(297.8501921, 445267.1114034, -0.0018819)),
+        "m": F.radians(angle(357.5291092, 35999.0502909, -0.0001536)),
+        "mp": F.radians(angle(134.9633964, 477198.8675055, 0.0087414)),
+        "f": F.radians(angle(93.2720950, 483202.0175233, -0.0036539)),
+        "eps": F.radians(F.lit(23.439291) - F.lit(0.0130042) * c),
+    }
+
+
+def moon_ecliptic(a: dict[str, Column]):
+    """(longitude, latitude) in radians from the fundamental arguments."""
     def series(terms):
         total = F.lit(0.0)
         for kd, km, kmp, kf, amp in terms:
             angle = F.lit(0.0)
-            for k, x in ((kd, d), (km, m), (kmp, mp), (kf, f)):
+            for k, x in ((kd, a["d"]), (km, a["m"]), (kmp, a["mp"]), (kf, a["f"])):
                 if k:
                     angle = angle + x * float(k)
             total = total + F.lit(amp) * F.sin(angle)
         return total
 
-    lon = F.radians(mean_lon + series(T.MOON_LONGITUDE_TERMS))
-    lat = F.radians(series(T.MOON_LATITUDE_TERMS))
-    eps = F.radians(F.lit(23.439291) - F.lit(0.0130042) * c)
-    ra = mod360(F.degrees(F.atan2(
-        F.sin(lon) * F.cos(eps) - F.tan(lat) * F.sin(eps), F.cos(lon))))
-    dec = F.degrees(F.asin(
-        F.sin(lat) * F.cos(eps) + F.cos(lat) * F.sin(eps) * F.sin(lon)))
+    return F.radians(a["lp"] + series(T.MOON_LONGITUDE_TERMS)), F.radians(series(T.MOON_LATITUDE_TERMS))
+
+
+def ecliptic_to_equatorial(lon, lat, eps):
+    """(RA, Dec) in degrees from ecliptic radians."""
+    ra = mod360(F.degrees(F.atan2(F.sin(lon) * F.cos(eps) - F.tan(lat) * F.sin(eps), F.cos(lon))))
+    dec = F.degrees(F.asin(F.sin(lat) * F.cos(eps) + F.cos(lat) * F.sin(eps) * F.sin(lon)))
     return ra, dec
 
 
+def moon_ra_dec(t):
+    """(RA, Dec) of the Moon from the truncated lunar series, about 1 degree.
+
+    Many rows are better served by ``with_moon``, which computes each step once.
+    """
+    a = moon_arguments(days_since_j2000(t) / F.lit(36525.0))
+    lon, lat = moon_ecliptic(a)
+    return ecliptic_to_equatorial(lon, lat, a["eps"])
+
+
+def _with_place(d: DataFrame, keep: list[str], ra, dec, name: str) -> DataFrame:
+    """Add the two columns through a one-element generator.
+
+    A filter on a derived column is pushed down by writing its whole definition
+    into the filter. The steps below reuse their inputs many times, so that would
+    multiply into an expression too large to compile; a generator ends the push.
+    """
+    place = F.struct(ra.alias(f"{name}_ra"), dec.alias(f"{name}_dec"))
+    return d.select(*keep, F.inline(F.array(place)))
+
+
+def with_moon(df: DataFrame, time: str) -> DataFrame:
+    """Add moon_ra and moon_dec, each intermediate step as a column of its own so
+    that no step is evaluated more than once per row."""
+    d = df.withColumn("_c", days_since_j2000(time) / F.lit(36525.0))
+    d = d.withColumns({f"_m_{k}": v for k, v in moon_arguments("_c").items()})
+    names = [n for n in d.columns if n.startswith("_m_")]
+    lon, lat = moon_ecliptic({n[3:]: F.col(n) for n in names})
+    d = d.withColumns({"_lon": lon, "_lat": lat})
+    ra, dec = ecliptic_to_equatorial(F.col("_lon"), F.col("_lat"), F.col("_m_eps"))
+    return _with_place(d, df.columns, ra, dec, "moon")
+
+
+def with_sun(df: DataFrame, time: str, model: str = "low") -> DataFrame:
+    """Add sun_ra and sun_dec step by step."""
+    lon, eps = sun_longitude(time, model)
+    d = df.withColumns({"_sl": F.radians(lon), "_se": F.radians(eps)})
+    lon, eps = F.col("_sl"), F.col("_se")
+    ra = mod360(F.degrees(F.atan2(F.cos(eps) * F.sin(lon), F.cos(lon))))
+    return _with_place(d, df.columns, ra, F.degrees(F.asin(F.sin(eps) * F.sin(lon))), "sun")
+
+
 def lunar_elongation(t, ra, dec) -> Column:
     mra, mdec = moon_ra_dec(t)
     return angular_separation(ra, dec, mra, mdec)

@@ -8,46 +8,52 @@ from asterion.functions.common import count_if, share
 from asterion.functions.timeconv import day_of, days_between, seconds_between
 
 from .filters import select_neos
-from .identity import UNPACKED, earliest_discovery, neo_keys, observation_keys, with_numbering
+from .identity import earliest_discovery, observation_keys, with_numbering
 from .stations import project_of
 
 
-def discoveries(orbits: DataFrame, ni: DataFrame, obs: DataFrame, *, rule: str = "iau"):
-    """(neos, one discovery per object) of a rule."""
-    neos = with_numbering(select_neos(orbits, rule=rule), ni)
-    return neos, earliest_discovery(neos, obs)
+def discoveries(orbits: DataFrame, ni: DataFrame, obs: DataFrame, *, rule: str = "iau") -> DataFrame:
+    """One discovery per object of a rule, with the object's two identifiers."""
+    neos = with_numbering(select_neos(orbits, rule=rule), ni).withColumn(
+        "provid_key", F.coalesce("provisional_desig", "num_provid"))
+    return earliest_discovery(neos, obs, carry=["permid", "provid_key"])
 
 
-def _apparition_rows(neos, disc, obs, days, columns):
-    """Observations within the window, each once per object.
+def apparition_rows(disc: DataFrame, obs: DataFrame, *, days: int, columns: list[str]) -> DataFrame:
+    """Observations within the window around discovery, each once per object.
 
-    An observation may match by both of its identifiers. Its number branch is
-    kept; the designation branch drops rows whose number is the object's own.
+    An observation may match by both of its identifiers: the designation branch
+    drops rows whose number is the object's own.
     """
-    keys = neo_keys(neos).join(disc.select("unpacked_desig", F.col("obstime").alias("disc_obstime"),
-                                           F.col("stn").alias("disc_stn")), "unpacked_desig")
-    number = F.max(F.when(F.col("kind") == "permid", F.col("key"))).over(
-        Window.partitionBy("unpacked_desig"))  # at most two keys per object
-    keys = keys.withColumn("_number", number)
+    head = ["unpacked_desig", F.col("obstime").alias("disc_obstime"), F.col("stn").alias("disc_stn"),
+            F.col("permid").alias("_number")]
+    pairs = F.array(F.struct(F.lit("permid").alias("kind"), F.col("permid").alias("key")),
+                    F.struct(F.lit("provid").alias("kind"), F.col("provid_key").alias("key")))
+    keys = disc.select(*head, F.explode(pairs).alias("_k")).select(
+        "unpacked_desig", "disc_obstime", "disc_stn", "_number", "_k.kind", "_k.key").where(
+        F.col("key").isNotNull())
     rows = observation_keys(obs.withColumn("_own", F.col("permid")), "_own", *columns)
     again = (F.col("kind") == "provid") & F.coalesce(F.col("_own") == F.col("_number"), F.lit(False))
     gap = F.abs(seconds_between("disc_obstime", "obstime"))
     return keys.join(rows, ["kind", "key"]).where(~again & (gap <= days * 86400))
 
 
-def apparition_reach(neos: DataFrame, disc: DataFrame, obs: DataFrame, *, days: int = 200) -> DataFrame:
-    """Per (object, station): first observation, and first at or after discovery."""
-    rows = _apparition_rows(neos, disc, obs, days, ["stn", "obstime"])
+def apparition_reach(disc: DataFrame, obs: DataFrame, *, days: int = 200) -> DataFrame:
+    """Per (object, station): first observation, and first at or after discovery.
+
+    ``disc`` comes from :func:`discoveries`; its station passes through.
+    """
+    rows = apparition_rows(disc, obs, days=days, columns=["stn", "obstime"])
     return rows.groupBy(F.col("unpacked_desig").alias("designation"),
-                        F.col("stn").alias("station_code"), "disc_obstime").agg(
+                        F.col("stn").alias("station_code"), "disc_obstime", "disc_stn").agg(
         F.min("obstime").alias("first_obs"),
         F.min(F.when(F.col("obstime") >= F.col("disc_obstime"), F.col("obstime")))
         .alias("first_post_disc"))
 
 
-def apparition_tracklets(neos: DataFrame, disc: DataFrame, obs: DataFrame, *, days: int = 200) -> DataFrame:
+def apparition_tracklets(disc: DataFrame, obs: DataFrame, *, days: int = 200) -> DataFrame:
     """Tracklets of each object's discovery apparition, by trkid or station-night."""
-    rows = _apparition_rows(neos, disc, obs, days, ["stn", "obstime", "trkid"])
+    rows = apparition_rows(disc, obs, days=days, columns=["stn", "obstime", "trkid"])
     trk = F.nullif("trkid", F.lit(""))
     rows = rows.withColumns({
         "_trk": trk, "_night": F.when(trk.isNull(), F.concat_ws(
@@ -135,16 +141,13 @@ def multiplicity_summary(sets: DataFrame) -> DataFrame:
         F.percentile("_k", F.lit(0.5), F.col("_n")).alias("median_surveys"))
 
 
-def response_times(reach: DataFrame, disc: DataFrame, *, survey=None) -> DataFrame:
+def response_times(reach: DataFrame, *, survey=project_of) -> DataFrame:
     """Days from discovery to the first later observation by each other survey.
 
-    ``survey`` maps a station column to its survey (default: the project map).
+    ``survey`` maps a station column to its survey.
     """
-    survey = survey or project_of
-    d = reach.join(disc.select(F.col("unpacked_desig").alias("designation"),
-                               F.col("stn").alias("_ds")), "designation")
-    d = d.where(F.col("first_post_disc").isNotNull()).select(
-        "designation", "disc_obstime", survey("_ds").alias("disc_project"),
+    d = reach.where(F.col("first_post_disc").isNotNull()).select(
+        "designation", "disc_obstime", survey("disc_stn").alias("disc_project"),
         survey("station_code").alias("project"), "first_post_disc")
     return d.where(F.col("project") != F.col("disc_project")).groupBy(
         "designation", "disc_obstime", "disc_project", "project").agg(

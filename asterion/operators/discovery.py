@@ -5,12 +5,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from asterion.functions import orbit, photometry
-from asterion.functions.common import count_if
+from asterion.functions.common import blank_to_null, count_if
 from asterion.functions.sky import great_circle_deg, position_angle_deg
-from asterion.functions.timeconv import mjd, seconds_between
+from asterion.functions.timeconv import epoch_seconds, mjd, seconds_between
 
 from .filters import clean_site_name, select_neos
-from .identity import PACKED, UNPACKED, earliest_discovery, with_numbering
+from .identity import PACKED, earliest_discovery, with_numbering
 
 SITE_COLUMNS = ["name", "longitude", "rhocosphi", "rhosinphi", "observations_type"]
 
@@ -26,53 +26,55 @@ def earliest_per_key(df: DataFrame, *, key: str, order: str, tie: str) -> DataFr
         key, *[F.col(f"_r.{c}").alias(c) for c in df.columns if c != key])
 
 
-def tracklet_members(disc: DataFrame, obs: DataFrame, *, hours: float = 12.0) -> DataFrame:
+PAYLOAD = ["ra", "dec", "mag", "band"]
+HEAD = ["unpacked_desig", "packed_desig"]
+
+
+def tracklet_members(disc: DataFrame, obs: DataFrame, *, hours: float = 12.0,
+                     carry: list[str] = ()) -> DataFrame:
     """Observations of each discovery's tracklet.
 
-    The same trkid within +-hours; a discovery without a trkid stands alone. The
-    join key is (trkid, time slot of that width) with the discovery offered to
-    three slots, so a trkid reused over years neither meets itself nor piles up in
-    one partition.
+    The same trkid within +-hours; a discovery without a trkid stands alone, so
+    ``disc`` brings its own position and magnitude. The join key is (trkid, time
+    slot of that width) with the discovery offered to three slots, so a trkid
+    reused over years neither meets itself nor piles up in one partition.
     """
     width = int(hours * 3600)
 
     def slot(t):
-        from asterion.functions.timeconv import epoch_seconds
         return F.floor(epoch_seconds(t) / F.lit(width)).cast("bigint")
 
-    payload = ["ra", "dec", "mag", "band"]
-    head = ["unpacked_desig", "packed_desig"]
-    d = disc.select(*head, "obsid", "trkid", F.col("obstime").alias("_t0"))
-    near = d.where(F.col("trkid").isNotNull()).select(
-        *head, "trkid", "_t0", F.explode(F.sequence(slot("_t0") - 1, slot("_t0") + 1)).alias("_slot"))
-    o = obs.select("obsid", F.nullif("trkid", F.lit("")).alias("trkid"), "obstime", *payload)
-    grouped = near.join(o.where(F.col("trkid").isNotNull()).withColumn("_slot", slot("obstime")),
-                        ["trkid", "_slot"]).where(
+    cols = [*HEAD, *carry, "obsid", "obstime", *PAYLOAD]
+    grouped = disc.where(F.col("trkid").isNotNull()).select(
+        *HEAD, *carry, "trkid", F.col("obstime").alias("_t0"),
+        F.explode(F.sequence(slot("obstime") - 1, slot("obstime") + 1)).alias("_slot"))
+    o = obs.select("obsid", blank_to_null("trkid").alias("trkid"), "obstime", *PAYLOAD).where(
+        F.col("trkid").isNotNull()).withColumn("_slot", slot("obstime"))
+    grouped = grouped.join(o, ["trkid", "_slot"]).where(
         F.abs(seconds_between("_t0", "obstime")) <= F.lit(width))
-    alone = d.where(F.col("trkid").isNull()).select(*head, "obsid").join(
-        o.select("obsid", "obstime", *payload), "obsid")
-    cols = [*head, "obstime", *payload]
-    return grouped.select(*cols, "obsid").unionByName(alone.select(*cols, "obsid"))
+    alone = disc.where(F.col("trkid").isNull())
+    return grouped.select(*cols).unionByName(alone.select(*cols))
 
 
-def discovery_tracklet_stats(members: DataFrame) -> DataFrame:
+def discovery_tracklet_stats(members: DataFrame, *, carry: list[str] = ()) -> DataFrame:
     """Mean time and place, median V, count, span and end points of each tracklet.
 
     Two aggregation steps: first per (object, V magnitude), then per object. The
     median only ever sees distinct magnitudes with their counts, so an object with
-    very many rows does not gather in one task.
+    very many rows does not gather in one task. ``carry`` columns depend on the
+    object and pass through.
     """
-    head = ["unpacked_desig", "packed_desig"]
+    keys = [*HEAD, *carry]
     at = F.struct("obstime", "obsid")
     spot = F.struct("obstime", "obsid", "ra", "dec")
     v = F.when(F.col("mag").isNotNull(), photometry.to_v("mag", "band"))
-    part = members.withColumn("_v", v).groupBy(*head, "_v").agg(
+    part = members.withColumn("_v", v).groupBy(*keys, "_v").agg(
         F.count("*").alias("_n"), F.sum(mjd("obstime")).alias("_mjd"),
         F.sum("ra").alias("_ra"), F.count("ra").alias("_nra"),
         F.sum("dec").alias("_dec"), F.count("dec").alias("_ndec"),
         F.min_by(spot, at).alias("_first"), F.max_by(spot, at).alias("_last"))
     n = F.sum("_n")
-    d = part.groupBy(*head).agg(
+    d = part.groupBy(*keys).agg(
         (F.sum("_mjd") / n).alias("avg_mjd"),
         (F.sum("_ra") / F.sum("_nra")).alias("avg_ra_deg"),
         (F.sum("_dec") / F.sum("_ndec")).alias("avg_dec_deg"),
@@ -80,7 +82,7 @@ def discovery_tracklet_stats(members: DataFrame) -> DataFrame:
         n.alias("nobs"), F.min("_first").alias("_first"), F.max("_last").alias("_last"))
     span = seconds_between("_first.obstime", "_last.obstime").cast("double")
     return d.select(
-        *head, "avg_mjd", "avg_ra_deg", "avg_dec_deg", "median_v_mag", "nobs",
+        *keys, "avg_mjd", "avg_ra_deg", "avg_dec_deg", "median_v_mag", "nobs",
         (span / 3600.0).alias("span_hours"), (span / 86400.0).alias("span_days"),
         F.col("_first.ra").alias("first_ra"), F.col("_first.dec").alias("first_dec"),
         F.col("_last.ra").alias("last_ra"), F.col("_last.dec").alias("last_dec"))
@@ -106,28 +108,28 @@ def with_site(df: DataFrame, obscodes: DataFrame, *, station: str = "stn") -> Da
         "latitude", site_latitude("rhosinphi", "rhocosphi"))
 
 
-def discoveries_with_stats(orbits, ni, obs, *, rule, hours):
-    """Discovery of each near-Earth object joined to its tracklet's numbers."""
+def discoveries_with_stats(orbits: DataFrame, ni: DataFrame, obs: DataFrame, *, rule: str,
+                           hours: float, carry: list[str]) -> DataFrame:
+    """One row per discovered object: stn, disc_obstime, carried columns of the
+    object, tracklet numbers. One straight line of steps: nothing is joined back."""
     neos = with_numbering(select_neos(orbits, rule=rule), ni)
-    disc = earliest_discovery(neos, obs)
-    stats = discovery_tracklet_stats(tracklet_members(disc, obs, hours=hours))
-    return neos, disc, stats
+    disc = earliest_discovery(neos, obs, payload=PAYLOAD, carry=carry).withColumn(
+        "disc_obstime", F.col("obstime"))
+    keep = ["stn", "disc_obstime", *carry]
+    return discovery_tracklet_stats(
+        tracklet_members(disc, obs, hours=hours, carry=keep), carry=keep)
 
 
 def discovery_tracklets(orbits: DataFrame, ni: DataFrame, obs: DataFrame, obscodes: DataFrame, *,
-                        rule: str = "wide", hours: float = 12.0) -> DataFrame:
-    """The 12-column discovery product, one row per near-Earth object."""
-    neos, disc, stats = discoveries_with_stats(orbits, ni, obs, rule=rule, hours=hours)
-    ident = neos.select(F.col(UNPACKED).alias("unpacked_desig"), F.col(PACKED).alias("packed_desig"),
-                        "is_numbered", "permid")
-    d = disc.select("unpacked_desig", "packed_desig", "stn").join(
-        stats, ["unpacked_desig", "packed_desig"]).join(ident, ["unpacked_desig", "packed_desig"])
+                        rule: str = "wide", hours: float = 12.0, with_time: bool = False) -> DataFrame:
+    """The 12-column discovery product, one row per near-Earth object; ``with_time``
+    adds the instant of discovery."""
+    d = discoveries_with_stats(orbits, ni, obs, rule=rule, hours=hours, carry=["permid"])
     name = obscodes.select(F.col("obscode").alias("stn"),
                            clean_site_name("name").alias("discovery_site_name"))
     motion = motion_columns()
     return d.join(name, "stn", "left").select(
-        F.when(F.col("is_numbered"), F.col("permid")).otherwise(F.col("unpacked_desig"))
-        .alias("primary_designation"),
+        F.coalesce("permid", "unpacked_desig").alias("primary_designation"),
         F.col("packed_desig").alias(PACKED),
         F.round("avg_mjd", 6).alias("avg_mjd_discovery_tracklet"),
         F.round("avg_ra_deg", 5).alias("avg_ra_deg"),
@@ -136,22 +138,27 @@ def discovery_tracklets(orbits: DataFrame, ni: DataFrame, obs: DataFrame, obscod
         "nobs", F.round("span_hours", 4).alias("span_hours"),
         F.round(motion["rate_deg_per_day"], 4).alias("rate_deg_per_day"),
         F.round(motion["position_angle_deg"], 2).alias("position_angle_deg"),
-        F.col("stn").alias("discovery_site_code"), "discovery_site_name")
+        F.col("stn").alias("discovery_site_code"), "discovery_site_name",
+        *(["disc_obstime"] if with_time else []))
 
 
 def load_discoveries(orbits: DataFrame, ni: DataFrame, obs: DataFrame, obscodes: DataFrame | None = None,
                      *, rule: str = "iau", hours: float = 12.0) -> DataFrame:
-    """Discovery circumstances with elements and tracklet statistics."""
-    neos, disc, stats = discoveries_with_stats(orbits, ni, obs, rule=rule, hours=hours)
-    elements = neos.select(F.col(UNPACKED).alias("unpacked_desig"), "h", "orbit_type_int", "q", "e", "i")
-    out = disc.join(elements, "unpacked_desig").join(
-        stats.drop("packed_desig"), "unpacked_desig", "left")
-    return out.select(
+    """Discovery circumstances with elements and tracklet statistics; with
+    ``obscodes`` also the coordinates of the site."""
+    elements = ["h", "orbit_type_int", "q", "e", "i"]
+    d = discoveries_with_stats(orbits, ni, obs, rule=rule, hours=hours, carry=elements)
+    site = []
+    if obscodes is not None:
+        d = with_site(d, obscodes)
+        site = [F.col("longitude").alias("stn_longitude"), F.col("rhocosphi").alias("stn_rhocosphi"),
+                F.col("rhosinphi").alias("stn_rhosinphi"), F.col("observations_type").alias("stn_type")]
+    t = F.col("disc_obstime")
+    return d.select(
         F.col("unpacked_desig").alias("designation"),
-        F.year("obstime").alias("disc_year"), F.month("obstime").alias("disc_month"),
-        F.col("obstime").cast("date").alias("disc_date"), F.col("obstime").alias("disc_obstime"),
-        F.col("stn").alias("station_code"), "h", "orbit_type_int", "q", "e", "i",
-        "avg_ra_deg", "avg_dec_deg", "median_v_mag", F.col("nobs").alias("tracklet_nobs"))
+        F.year(t).alias("disc_year"), F.month(t).alias("disc_month"),
+        t.cast("date").alias("disc_date"), t, F.col("stn").alias("station_code"), *elements,
+        "avg_ra_deg", "avg_dec_deg", "median_v_mag", F.col("nobs").alias("tracklet_nobs"), *site)
 
 
 def designation_order(df: DataFrame, *, key: str = "primary_designation") -> DataFrame:
@@ -164,9 +171,7 @@ def designation_order(df: DataFrame, *, key: str = "primary_designation") -> Dat
 def yearly_breakdown(orbits: DataFrame, ni: DataFrame, obs: DataFrame) -> DataFrame:
     """Near-Earth discoveries per station and year, by size and class."""
     neos = with_numbering(select_neos(orbits, rule="iau"), ni)
-    disc = earliest_discovery(neos, obs).select("unpacked_desig", "stn", "obstime")
-    d = disc.join(neos.select(F.col(UNPACKED).alias("unpacked_desig"), "h", "q", "e"),
-                  "unpacked_desig")
+    d = earliest_discovery(neos, obs, carry=["h", "q", "e"])
     a, big_q = orbit.semi_major_axis("q", "e"), orbit.aphelion("q", "e")
     d = d.withColumns({"_a": a, "_bq": big_q})
     a, big_q, q, h = F.col("_a"), F.col("_bq"), F.col("q"), F.col("h")
@@ -180,24 +185,26 @@ def yearly_breakdown(orbits: DataFrame, ni: DataFrame, obs: DataFrame) -> DataFr
         count_if(a.isNull() | (F.col("e") >= 1)).alias("n_unclass"))
 
 
-def discovery_circumstances(tracklets: DataFrame, times: DataFrame, obscodes: DataFrame,
+def discovery_circumstances(tracklets: DataFrame, times: DataFrame | None, obscodes: DataFrame,
                             eclipses: DataFrame) -> DataFrame:
     """Add the Sun, Moon and eclipse situation at discovery to the product.
 
-    ``times`` holds (primary_designation, disc_obstime).
+    ``times`` holds (primary_designation, disc_obstime); it may be None when the
+    product carries disc_obstime itself.
     """
     from asterion.functions import sky
     from .skytime import eclipse_overlap
-    d = tracklets.join(times.select("primary_designation", "disc_obstime"),
-                       "primary_designation", "left")
+    d = tracklets if times is None else tracklets.join(
+        times.select("primary_designation", "disc_obstime"), "primary_designation", "left")
     d = with_site(d, obscodes, station="discovery_site_code")
-    sat = F.coalesce(F.col("observations_type") == "satellite", F.lit(False))
-    alt = sky.sun_altitude("disc_obstime", "longitude", "latitude")
+    d = sky.with_moon(sky.with_sun(d, "disc_obstime"), "disc_obstime")
+    site = ("disc_obstime", "longitude", "latitude")
     d = d.withColumns({
-        "_sat": sat, "_alt": alt,
-        "_moon": sky.moon_altitude("disc_obstime", "longitude", "latitude"),
-        "lunar_elong_deg": F.round(sky.lunar_elongation(
-            "disc_obstime", "avg_ra_deg", "avg_dec_deg"), 1)})
+        "_sat": F.coalesce(F.col("observations_type") == "satellite", F.lit(False)),
+        "_alt": sky.altitude(*site, "sun_ra", "sun_dec"),
+        "_moon": sky.altitude(*site, "moon_ra", "moon_dec"),
+        "lunar_elong_deg": F.round(sky.angular_separation(
+            "avg_ra_deg", "avg_dec_deg", "moon_ra", "moon_dec"), 1)})
     timed = F.col("disc_obstime").isNotNull()
     d = d.withColumns({
         "sun_alt_deg": F.round("_alt", 2),

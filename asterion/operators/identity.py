@@ -28,15 +28,15 @@ def with_numbering(orbits: DataFrame, ni: DataFrame) -> DataFrame:
     })
 
 
-def neo_keys(neos: DataFrame) -> DataFrame:
-    """(unpacked_desig, packed_desig, kind, key): up to two keys per object."""
+def neo_keys(neos: DataFrame, carry: list[str] = ()) -> DataFrame:
+    """(unpacked_desig, packed_desig, kind, key, carry): up to two keys per object."""
     pairs = F.array(
         F.struct(F.lit("permid").alias("kind"), F.col("permid").alias("key")),
         F.struct(F.lit("provid").alias("kind"),
                  F.coalesce("provisional_desig", "num_provid").alias("key")))
     return (neos.select(F.col(UNPACKED).alias("unpacked_desig"),
-                        F.col(PACKED).alias("packed_desig"), F.explode(pairs).alias("_k"))
-            .select("unpacked_desig", "packed_desig", "_k.kind", "_k.key")
+                        F.col(PACKED).alias("packed_desig"), *carry, F.explode(pairs).alias("_k"))
+            .select("unpacked_desig", "packed_desig", *carry, "_k.kind", "_k.key")
             .where(F.col("key").isNotNull()))
 
 
@@ -62,22 +62,26 @@ def match_by_designation(neos: DataFrame, obs: DataFrame, *, disc_only: bool = T
         "unpacked_desig", "packed_desig", "stn", "obsid", "trkid", "obstime")
 
 
-def earliest_discovery(neos: DataFrame, obs: DataFrame) -> DataFrame:
+def earliest_discovery(neos: DataFrame, obs: DataFrame, *, payload: list[str] = (),
+                       carry: list[str] = ()) -> DataFrame:
     """Earliest discovery observation of each object; ties go to the lower obsid.
 
     The observations are first reduced to the earliest one per identifier, so that
     neither the join nor the final step sees more than one row per key, however
-    many observations an identifier holds.
+    many observations an identifier holds. ``payload`` adds columns of the
+    observation and ``carry`` columns of the object, which saves joining back.
     """
-    disc = obs.where(F.col("disc") == "*")
-    row = F.struct("obstime", "obsid", "stn", blank_to_null("trkid").alias("trkid"))
-    first = observation_keys(disc, "obstime", "obsid", "stn", "trkid").groupBy(
-        "kind", "key").agg(F.min(row).alias("_r"))
-    return (neo_keys(neos).join(first, ["kind", "key"])
-            .groupBy("unpacked_desig", "packed_desig").agg(F.min("_r").alias("_r"))
-            .select("unpacked_desig", "packed_desig", F.col("_r.stn").alias("stn"),
-                    F.col("_r.obsid").alias("obsid"), F.col("_r.trkid").alias("trkid"),
-                    F.col("_r.obstime").alias("obstime")))
+    fields = ["obsid", "stn", "trkid", *payload]
+    disc = obs.where(F.col("disc") == "*").withColumn("trkid", blank_to_null("trkid"))
+    first = observation_keys(disc, "obstime", *fields).groupBy("kind", "key").agg(
+        F.min_by(F.struct("obstime", *fields), F.struct("obstime", "obsid")).alias("_r"))
+    whole = F.struct(F.col("_r"), *carry)
+    order = F.struct("_r.obstime", "_r.obsid")
+    return (neo_keys(neos, carry).join(first, ["kind", "key"])
+            .groupBy("unpacked_desig", "packed_desig").agg(F.min_by(whole, order).alias("_w"))
+            .select("unpacked_desig", "packed_desig", "_w._r.obstime",
+                    *[F.col(f"_w._r.{c}").alias(c) for c in fields],
+                    *[F.col(f"_w.{c}").alias(c) for c in carry]))
 
 
 def or_key_join(targets: DataFrame, obs: DataFrame, *, permid: str = "permid",

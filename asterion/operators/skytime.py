@@ -123,8 +123,7 @@ def eclipse_discoveries(circ: DataFrame) -> DataFrame:
 
 def elongation_range(circ: DataFrame) -> DataFrame:
     """Minimum, median and maximum lunar elongation (one decimal, so few values)."""
-    counts = circ.where(F.col("lunar_elong_deg").isNotNull()).groupBy("lunar_elong_deg").agg(
-        F.count("*").alias("_n"))
+    counts = circ.groupBy("lunar_elong_deg").agg(F.count("lunar_elong_deg").alias("_n"))
     return counts.agg(F.min("lunar_elong_deg").alias("min_elong"),
                       F.percentile("lunar_elong_deg", F.lit(0.5), F.col("_n")).alias("median_elong"),
                       F.max("lunar_elong_deg").alias("max_elong"))

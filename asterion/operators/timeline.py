@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window, functions as F
 
 from asterion.functions import photometry, sky
-from asterion.functions.timeconv import days_between, epoch_micros, epoch_seconds, from_epoch_micros
+from asterion.functions.timeconv import days_between, epoch_micros, from_epoch_micros
 
 from .ordered import month_bucket, with_carried, with_previous, with_running_sum
 
@@ -96,7 +96,8 @@ def observability_segments(obs: DataFrame, *, key: str, step_days: int = 3, limi
     pick = F.when(F.col("_b").isNull(), F.col("_n")).when(F.col("_n").isNull(), F.col("_b")).when(
         (F.col("_g") - F.col("_b._us")) < (F.col("_n._us") - F.col("_g")), F.col("_b")).otherwise(F.col("_n"))
     d = d.select(key, "_slot", from_epoch_micros("_g").alias("_t"), pick.alias("_p"))
-    elong = sky.solar_elongation("_t", F.col("_p.ra"), F.col("_p.dec"), "meeus")
+    d = sky.with_sun(d, "_t", "meeus")
+    elong = sky.angular_separation(F.col("_p.ra"), F.col("_p.dec"), "sun_ra", "sun_dec")
     d = d.select(key, "_slot", "_t", (elong > limit_deg).alias("is_above"))
     change = (F.col("is_above") != F.lag("is_above").over(w)).cast("int")
     run = F.sum(F.coalesce(change, F.lit(0))).over(w.rowsBetween(Window.unboundedPreceding, 0))
@@ -126,8 +127,9 @@ def observation_history(obs: DataFrame, *, permid: str | None = None, provid: st
 def history_columns(obs: DataFrame) -> DataFrame:
     """The same columns for every object in the input."""
     d = obs.where(F.col("obstime").isNotNull() & F.col("ra").isNotNull() & F.col("dec").isNotNull())
+    d = sky.with_sun(d, "obstime", "meeus")
     return d.select("obstime", "ra", "dec", "mag", "band", "stn",
-                    sky.solar_elongation("obstime", "ra", "dec", "meeus").alias("elong"),
+                    sky.angular_separation("ra", "dec", "sun_ra", "sun_dec").alias("elong"),
                     photometry.to_v("mag", "band", "as_blank").alias("v_mag"),
                     photometry.normal_band("band").alias("band_norm"))
 
@@ -137,7 +139,3 @@ def carry_forward(df: DataFrame, *, keys: list[str], position: str, value: str)
     from .ordered import position_bucket
     return with_carried(df, keys=keys, order=[position], bucket=position_bucket(position),
                         value=value, name=f"{value}_filled")
-
-
-def seconds(t):
-    return epoch_seconds(t)

@@ -2,5 +2,7 @@
 
 from . import (  # noqa: F401
     q_discovery,
+    q_stations,
+    q_consensus,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401

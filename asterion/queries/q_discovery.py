@@ -38,7 +38,8 @@ SELECT d.unpacked_desig AS designation, CAST(year(d.obstime) AS INTEGER) AS disc
 FROM disc_info d JOIN neo_list l USING (unpacked_desig) LEFT JOIN stats s USING (unpacked_desig)""")
 def _(t):
     d = discovery.load_discoveries(t.orbits, t.ni, t.obs, t.obscodes)
-    return rounded(d, h=6, q=6, e=6, i=6, avg_ra_deg=5, avg_dec_deg=5, median_v_mag=4)
+    return rounded(d.drop("stn_longitude", "stn_rhocosphi", "stn_rhosinphi", "stn_type"),
+                   h=6, q=6, e=6, i=6, avg_ra_deg=5, avg_dec_deg=5, median_v_mag=4)
 
 
 def rounded(df, **digits):
@@ -54,7 +55,7 @@ SELECT unpacked_desig, packed_desig, round(avg_mjd, 6) AS avg_mjd, round(avg_ra_
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="wide"), t.ni)
     obs = t.obs
-    d = discovery.tracklet_members(identity.earliest_discovery(neos, obs), obs)
+    d = discovery.tracklet_members(identity.earliest_discovery(neos, obs, payload=discovery.PAYLOAD), obs)
     return rounded(discovery.discovery_tracklet_stats(d), avg_mjd=6, avg_ra_deg=5, avg_dec_deg=5,
                    median_v_mag=4, span_hours=6, span_days=6, first_ra=6, first_dec=6, last_ra=6, last_dec=6)
 
@@ -64,7 +65,7 @@ SELECT unpacked_desig, packed_desig, obsid, obstime, round(ra, 6) AS ra, round(d
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="iau"), t.ni)
     obs = t.obs
-    d = discovery.tracklet_members(identity.earliest_discovery(neos, obs), obs)
+    d = discovery.tracklet_members(identity.earliest_discovery(neos, obs, payload=discovery.PAYLOAD), obs)
     return rounded(d, ra=6, dec=6, mag=6)
 
 
@@ -75,7 +76,7 @@ def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="iau"), t.ni)
     obs = t.obs
     d = discovery.discovery_tracklet_stats(
-        discovery.tracklet_members(identity.earliest_discovery(neos, obs), obs))
+        discovery.tracklet_members(identity.earliest_discovery(neos, obs, payload=discovery.PAYLOAD), obs))
     m = discovery.motion_columns()
     return d.select("unpacked_desig", F.round("first_ra", 6).alias("first_ra"), F.round("last_ra", 6).alias("last_ra"),
                     F.round(m["rate_deg_per_day"], 4).alias("rate_deg_per_day"),
@@ -111,8 +112,7 @@ FROM disc_info d JOIN neo_list l USING (unpacked_desig)
 ORDER BY l.is_numbered DESC, CASE WHEN l.is_numbered THEN lpad(l.asteroid_number, 10, '0') ELSE d.unpacked_desig END LIMIT 25""")
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="iau"), t.ni)
-    d = identity.earliest_discovery(neos, t.obs).join(
-        neos.select(F.col(U).alias("unpacked_desig"), "permid"), "unpacked_desig")
+    d = identity.earliest_discovery(neos, t.obs, carry=["permid"])
     d = d.select(F.coalesce("permid", "unpacked_desig").alias("primary_designation"), "stn")
     return discovery.designation_order(d).limit(25)
 
@@ -412,13 +412,9 @@ def _(t):
 # -- circumstances --------------------------------------------------------------------
 
 def circumstances(t):
-    orbits, ni, obs, codes = t.orbits, t.ni, t.obs, t.obscodes
-    product = discovery.discovery_tracklets(orbits, ni, obs, codes)
-    neos = identity.with_numbering(filters.select_neos(orbits, rule="wide"), ni)
-    times = identity.earliest_discovery(neos, obs).join(
-        neos.select(F.col(U).alias("unpacked_desig"), "permid"), "unpacked_desig").select(
-        F.coalesce("permid", "unpacked_desig").alias("primary_designation"), F.col("obstime").alias("disc_obstime"))
-    return discovery.discovery_circumstances(product, times, codes, skytime.lunar_eclipses(t.spark))
+    codes = t.obscodes
+    product = discovery.discovery_tracklets(t.orbits, t.ni, t.obs, codes, with_time=True)
+    return discovery.discovery_circumstances(product, None, codes, skytime.lunar_eclipses(t.spark))
 
 
 SUN_SQL = """sun AS (SELECT *, fmod(fmod(degrees(atan2(cos(eps) * sin(lon), cos(lon))), 360) + 360, 360) AS sun_ra,
