@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 ColumnOrName = "Column | str"
 
@@ -32,3 +32,15 @@ def share(part, whole, digits: int) -> Column:
 def count_if(condition) -> Column:
     """Rows for which the condition is true (NULL counts as not true)."""
     return F.count(F.when(col(condition), F.lit(1)))
+
+
+def with_isolated(df: DataFrame, columns: dict[str, Column], keep: list[str] | None = None) -> DataFrame:
+    """Add columns through a one-element generator.
+
+    A filter on a derived column is pushed down by writing the column's whole
+    definition into the filter, and every later use may repeat it. For a long
+    definition that multiplies into code too large to compile; a generator ends
+    the push, and the value is computed once per row.
+    """
+    row = F.struct(*[v.alias(k) for k, v in columns.items()])
+    return df.select(*(df.columns if keep is None else keep), F.inline(F.array(row)))

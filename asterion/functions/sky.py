@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from . import tables as T
-from .common import col
+from .common import col, with_isolated
 from .timeconv import days_since_j2000, julian_day
 
 
@@ -157,17 +157,6 @@ def moon_ra_dec(t):
     return ecliptic_to_equatorial(lon, lat, a["eps"])
 
 
-def _with_place(d: DataFrame, keep: list[str], ra, dec, name: str) -> DataFrame:
-    """Add the two columns through a one-element generator.
-
-    A filter on a derived column is pushed down by writing its whole definition
-    into the filter. The steps below reuse their inputs many times, so that would
-    multiply into an expression too large to compile; a generator ends the push.
-    """
-    place = F.struct(ra.alias(f"{name}_ra"), dec.alias(f"{name}_dec"))
-    return d.select(*keep, F.inline(F.array(place)))
-
-
 def with_moon(df: DataFrame, time: str) -> DataFrame:
     """Add moon_ra and moon_dec, each intermediate step as a column of its own so
     that no step is evaluated more than once per row."""
@@ -177,7 +166,7 @@ def with_moon(df: DataFrame, time: str) -> DataFrame:
     lon, lat = moon_ecliptic({n[3:]: F.col(n) for n in names})
     d = d.withColumns({"_lon": lon, "_lat": lat})
     ra, dec = ecliptic_to_equatorial(F.col("_lon"), F.col("_lat"), F.col("_m_eps"))
-    return _with_place(d, df.columns, ra, dec, "moon")
+    return with_isolated(d, {"moon_ra": ra, "moon_dec": dec}, df.columns)
 
 
 def with_sun(df: DataFrame, time: str, model: str = "low") -> DataFrame:
@@ -186,7 +175,8 @@ def with_sun(df: DataFrame, time: str, model: str = "low") -> DataFrame:
     d = df.withColumns({"_sl": F.radians(lon), "_se": F.radians(eps)})
     lon, eps = F.col("_sl"), F.col("_se")
     ra = mod360(F.degrees(F.atan2(F.cos(eps) * F.sin(lon), F.cos(lon))))
-    return _with_place(d, df.columns, ra, F.degrees(F.asin(F.sin(eps) * F.sin(lon))), "sun")
+    dec = F.degrees(F.asin(F.sin(eps) * F.sin(lon)))
+    return with_isolated(d, {"sun_ra": ra, "sun_dec": dec}, df.columns)
 
 
 def lunar_elongation(t, ra, dec) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from asterion.functions import obs80
-from asterion.functions.common import blank_to_null
+from asterion.functions.common import blank_to_null, with_isolated
 from asterion.functions.timeconv import seconds_between
 
 from .identity import UNPACKED
@@ -14,7 +14,7 @@ from .quantiles import exact_percentiles
 
 def ades_export_rows(neocp: DataFrame) -> DataFrame:
     """Candidate observations decoded to exchange columns."""
-    p = neocp.withColumn("_p", obs80.decode_obs80("obs80"))
+    p = with_isolated(neocp, {"_p": obs80.decode_obs80("obs80")})
     return p.select(
         F.col("desig").alias("trkSub"), "_p.mode", "_p.stn", F.col("_p.obs_time").alias("obsTime"),
         F.col("_p.ra_deg").alias("ra"), F.col("_p.dec_deg").alias("dec"),
@@ -90,8 +90,9 @@ def time_on_page(prev_des: DataFrame, events: DataFrame) -> DataFrame:
 
 def ingest_latency(archive: DataFrame) -> DataFrame:
     """Minutes from observation to ingestion: extremes and upper percentiles."""
-    d = archive.select((seconds_between(obs80.observed_at("obs80"), "created_at").cast("double")
-                        / 60.0).alias("m")).where(F.col("m").isNotNull())
+    d = with_isolated(archive.select("obs80", "created_at"), {"t": obs80.observed_at("obs80")})
+    d = d.select((seconds_between("t", "created_at").cast("double") / 60.0).alias("m")).where(
+        F.col("m").isNotNull())
     main = d.agg(F.count("*").alias("n"), F.min("m").alias("min_m"), F.max("m").alias("max_m"))
     p = exact_percentiles(d, keys=[], value="m", fractions=[0.5, 0.9, 0.95], names=["p50", "p90", "p95"])
     return main.crossJoin(F.broadcast(p)).select(  # one row each

@@ -4,5 +4,8 @@ from . import (  # noqa: F401
     q_discovery,
     q_stations,
     q_consensus,
+    q_time,
+    q_quality,
+    q_text,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401

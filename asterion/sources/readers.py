@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from asterion.functions import circular, designation as D
-from asterion.functions.common import blank_to_null
+from asterion.functions.common import blank_to_null, with_isolated
 
 from .schemas import SCHEMAS
 
@@ -203,7 +203,7 @@ def parse_circulars(pages: DataFrame, *, text: str = "pre_text", title: str = "t
 
     A discovery without observations is a recovery.
     """
-    d = pages.withColumn("_s", circular.sections(text))
+    d = with_isolated(pages, {"_s": circular.sections(text)})
     obs, elements = F.col("_s.observations"), F.col("_s.orbital_elements")
     kind = circular.circular_type(title, text, year)
     desig = F.coalesce(circular.circular_designation(text), blank_to_null(title))
@@ -309,6 +309,6 @@ def top_suppressed(log: DataFrame, *, n: int = 10) -> DataFrame:
 
 def decode_observations(df: DataFrame, *, col: str = "obs80") -> DataFrame:
     from asterion.functions.obs80 import decode_obs80
-    return df.withColumn("_o", decode_obs80(col)).select(*df.columns, "_o.*")
+    return with_isolated(df, {"_o": decode_obs80(col)}).select(*df.columns, "_o.*")
 
 
