@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from . import tables as T
 from .common import blank_to_null, col, lookup
 from .designation import unpack_designation
-from .sky import dec_dms_to_deg, ra_hms_to_deg
-from .timeconv import mpc_date_to_iso8601, mpc_date_to_timestamp
+from .sky import degrees_from_parts, hours_from_parts, sexagesimal_parts
+from .timeconv import date_parts, iso8601_from_parts, mpc_date_to_timestamp
 
 
 def cat_to_ades(code) -> Column:
@@ -34,30 +34,49 @@ def note_or_program(code):
             F.when(~is_note, F.nullif(code, F.lit(" "))))
 
 
+def _cut(line) -> dict[str, Column]:
+    """The line's raw fields by their columns."""
+    s = F.rpad(col(line), 80, " ")
+    at = {"disc": (13, 1), "col14": (14, 1), "col15": (15, 1), "dec": (45, 12), "mag": (66, 5),
+          "col71": (71, 1), "col72": (72, 1)}
+    raw = {k: F.substring(s, start, n) for k, (start, n) in at.items()}
+    raw["packed"] = F.trim(F.substring(s, 1, 12))
+    raw["date_parts"] = date_parts(F.substring(s, 16, 17))
+    raw["ra_parts"] = sexagesimal_parts(F.substring(s, 33, 12))
+    raw["dec_parts"] = sexagesimal_parts(F.substring(s, 45, 12))
+    raw["stn"] = F.trim(F.substring(s, 78, 3))
+    return raw
+
+
+def _fields(raw: dict[str, Column]) -> dict[str, Column]:
+    notes, prog = note_or_program(raw["col14"])
+    return {
+        "packed_desig": raw["packed"],
+        "unpacked_desig": unpack_designation(raw["packed"], tilde=False),
+        "disc": F.nullif(raw["disc"], F.lit(" ")),
+        "prog": prog,
+        "notes": notes,
+        "mode": mode_to_ades(raw["col15"]),
+        "obs_time": iso8601_from_parts(raw["date_parts"]),
+        "ra_deg": hours_from_parts(raw["ra_parts"]),
+        "dec_deg": degrees_from_parts(raw["dec_parts"], raw["dec"]),
+        "mag": F.trim(raw["mag"]).try_cast("double"),
+        "band": band_to_ades(raw["col71"]),
+        "ast_cat": cat_to_ades(raw["col72"]),
+        "stn": raw["stn"],
+    }
+
+
 def decode_obs80(line) -> Column:
     """All fields of a line as one struct."""
-    s = F.rpad(col(line), 80, " ")
+    return F.struct(*[v.alias(k) for k, v in _fields(_cut(line)).items()])
+
 
-    def cut(start, length):
-        return F.substring(s, start, length)
-
-    packed = F.trim(cut(1, 12))
-    notes, prog = note_or_program(cut(14, 1))
-    return F.struct(
-        packed.alias("packed_desig"),
-        unpack_designation(packed, tilde=False).alias("unpacked_desig"),
-        F.nullif(cut(13, 1), F.lit(" ")).alias("disc"),
-        prog.alias("prog"),
-        notes.alias("notes"),
-        mode_to_ades(cut(15, 1)).alias("mode"),
-        mpc_date_to_iso8601(cut(16, 17)).alias("obs_time"),
-        ra_hms_to_deg(cut(33, 12)).alias("ra_deg"),
-        dec_dms_to_deg(cut(45, 12)).alias("dec_deg"),
-        F.trim(cut(66, 5)).try_cast("double").alias("mag"),
-        band_to_ades(cut(71, 1)).alias("band"),
-        cat_to_ades(cut(72, 1)).alias("ast_cat"),
-        F.trim(cut(78, 3)).alias("stn"),
-    )
+def with_obs80(df: DataFrame, line: str) -> DataFrame:
+    """Add all fields of a line as columns, cutting and splitting it only once."""
+    raw = {f"_raw_{k}": v for k, v in _cut(line).items()}
+    fields = _fields({k[5:]: F.col(k) for k in raw})
+    return df.withColumns(raw).select(*df.columns, *[v.alias(k) for k, v in fields.items()])
 
 
 def observed_at(line) -> Column:

@@ -247,20 +247,32 @@ def ecliptic_latitude(ra, dec) -> Column:
     return F.degrees(F.asin(F.sin(d) * F.cos(eps) - F.cos(d) * F.sin(eps) * F.sin(r)))
 
 
+def sexagesimal_parts(text) -> Column:
+    """The three numbers of a sexagesimal angle without its sign; NULLs if malformed."""
+    p = F.split(F.trim(F.regexp_replace(F.trim(col(text)), "^[+-]", "")), " +")
+    return F.when(F.size(p) == 3, F.transform(p, lambda x: x.try_cast("double")))
+
+
+def hours_from_parts(parts) -> Column:
+    p = col(parts)
+    return (p[0] + p[1] / 60.0 + p[2] / 3600.0) * 15.0
+
+
+def degrees_from_parts(parts, text) -> Column:
+    """Degrees with the sign of the text, which also holds for -00."""
+    p = col(parts)
+    sign = F.when(F.ltrim(col(text)).startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
+    return sign * (p[0] + p[1] / 60.0 + p[2] / 3600.0)
+
+
 def ra_hms_to_deg(text) -> Column:
     """``HH MM SS.sss`` to degrees; NULL if malformed."""
-    p = F.split(F.trim(col(text)), " +")
-    h, m, s = (F.get(p, F.lit(k)).try_cast("double") for k in range(3))
-    return F.when(F.size(p) == 3, (h + m / 60.0 + s / 3600.0) * 15.0)
+    return hours_from_parts(sexagesimal_parts(text))
 
 
 def dec_dms_to_deg(text) -> Column:
     """``sDD MM SS.ss`` to degrees, keeping the sign of -00; NULL if malformed."""
-    t = F.trim(col(text))
-    sign = F.when(t.startswith("-"), F.lit(-1.0)).otherwise(F.lit(1.0))
-    p = F.split(F.trim(F.regexp_replace(t, "^[+-]", "")), " +")
-    d, m, s = (F.get(p, F.lit(k)).try_cast("double") for k in range(3))
-    return F.when(F.size(p) == 3, sign * (d + m / 60.0 + s / 3600.0))
+    return degrees_from_parts(sexagesimal_parts(text), text)
 
 
 def round_to_input(value, text) -> Column:

@@ -76,48 +76,52 @@ def lunation(t, synodic: float = 29.5306) -> Column:
     return F.floor(d / F.lit(86400.0) / F.lit(synodic)).cast("int")
 
 
-def _date_parts(text):
-    """(year, month, day, seconds of day or NULL, decimals of the seconds)."""
-    parts = F.split(F.trim(col(text)), " +")
-    ok = F.size(parts) == 3
-    day_text = F.when(ok, F.element_at(parts, 3))
-    dot = F.instr(day_text, ".")
-    day = F.when(dot > 0, F.substring_index(day_text, ".", 1)).otherwise(day_text)
-    decimals = F.when(dot > 0, F.length(day_text) - dot).otherwise(F.lit(0))
-    frac = F.when(dot > 0, F.concat(F.lit("0."), F.substring_index(day_text, ".", -1))) \
-        .otherwise(F.lit("0")).try_cast("decimal(28,18)")
-    sec_decimals = F.greatest(decimals - 5, F.lit(0))
-    return (F.when(ok, F.element_at(parts, 1)).try_cast("int"),
-            F.when(ok, F.element_at(parts, 2)).try_cast("int"),
-            day.try_cast("int"), frac, sec_decimals)
+def date_parts(text) -> Column:
+    """Blank-separated fields of an observation date."""
+    return F.split(F.trim(col(text)), " +")
+
+
+def _day_and_fraction(parts):
+    """(calendar day or NULL, fraction of the day as text, its number of decimals)."""
+    parts = col(parts)
+    day_text = F.get(parts, F.lit(2))
+    whole = F.substring_index(day_text, ".", 1)
+    base = F.when(F.size(parts) == 3, F.concat_ws(
+        "-", F.get(parts, F.lit(0)), F.get(parts, F.lit(1)), whole)).try_cast("date")
+    frac = F.substring(day_text, F.length(whole) + 1, 20)
+    return base, F.concat(F.lit("0"), frac), F.greatest(F.length(frac) - 1, F.lit(0))
+
+
+def timestamp_from_parts(parts) -> Column:
+    base, frac, _ = _day_and_fraction(parts)
+    seconds = F.round(frac.try_cast("decimal(28,18)") * F.lit(86400), 6).cast("decimal(18,6)")
+    return base.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), seconds)
+
+
+def iso8601_from_parts(parts) -> Column:
+    base, frac, decimals = _day_and_fraction(parts)
+    decimals = F.greatest(decimals - 5, F.lit(0))
+    unit = F.pow(F.lit(10.0), decimals)
+    ticks = F.round(frac.try_cast("double") * F.lit(86400.0) * unit)
+    whole = F.floor(ticks / unit)
+    instant = base.cast("timestamp_ntz") + F.make_dt_interval(
+        F.lit(0), F.lit(0), F.lit(0), whole.cast("decimal(18,6)"))
+    rest = (ticks - whole * unit).cast("bigint").cast("string")
+    tail = F.when(decimals > 0, F.concat(F.lit("."), F.lpad(rest, decimals, F.lit("0")))) \
+        .otherwise(F.lit(""))
+    return F.concat(F.replace(instant.cast("string"), F.lit(" "), F.lit("T")), tail, F.lit("Z"))
 
 
 def mpc_date_to_timestamp(text) -> Column:
     """``YYYY MM DD.dddddd`` to an instant rounded to microseconds; NULL if malformed."""
-    year, month, day, frac, _ = _date_parts(text)
-    base = F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day))
-    micros = F.round(frac * F.lit(86400), 6).cast("decimal(18,6)")
-    return base.cast("timestamp_ntz") + F.make_dt_interval(F.lit(0), F.lit(0), F.lit(0), micros)
+    return timestamp_from_parts(date_parts(text))
 
 
 def mpc_date_to_iso8601(text) -> Column:
     """ISO 8601 UTC with as many second decimals as the input's precision carries.
 
     A date of d decimals gives max(0, d - 5) decimals of a second. Rounding up to
-    a full minute carries through minutes, hours and days.
+    a full minute carries through minutes, hours and days. Without a fraction it
+    is midnight.
     """
-    year, month, day, frac, decimals = _date_parts(text)
-    base = F.try_to_date(F.format_string("%04d-%02d-%02d", year, month, day))
-    unit = F.pow(F.lit(10.0), decimals)
-    ticks = F.round(frac.cast("double") * F.lit(86400.0) * unit).cast("bigint")
-    whole = F.floor(ticks / unit).cast("bigint")
-    rest = ticks - whole * unit.cast("bigint")
-    date = F.date_add(base, F.floor(whole / F.lit(86400)).cast("int"))
-    second = F.pmod(whole, F.lit(86400))
-    clock = F.format_string(
-        "T%02d:%02d:%02d", F.floor(second / 3600).cast("int"),
-        F.pmod(F.floor(second / 60), F.lit(60)).cast("int"),
-        F.pmod(second, F.lit(60)).cast("int"))
-    tail = F.when(decimals > 0, F.concat(
-        F.lit("."), F.lpad(rest.cast("string"), decimals, F.lit("0")))).otherwise(F.lit(""))
-    return F.concat(date.cast("string"), clock, tail, F.lit("Z"))
+    return iso8601_from_parts(date_parts(text))

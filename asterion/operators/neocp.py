@@ -14,14 +14,13 @@ from .quantiles import exact_percentiles
 
 def ades_export_rows(neocp: DataFrame) -> DataFrame:
     """Candidate observations decoded to exchange columns."""
-    p = with_isolated(neocp, {"_p": obs80.decode_obs80("obs80")})
+    p = obs80.with_obs80(neocp, "obs80")
     return p.select(
-        F.col("desig").alias("trkSub"), "_p.mode", "_p.stn", F.col("_p.obs_time").alias("obsTime"),
-        F.col("_p.ra_deg").alias("ra"), F.col("_p.dec_deg").alias("dec"),
-        F.col("_p.ast_cat").alias("astCat"), "_p.disc", "_p.prog", "_p.notes", "_p.mag", "_p.band",
-        F.col("rmsra").alias("rmsRA"), F.col("rmsdec").alias("rmsDec"),
-        F.col("rmscorr").alias("rmsCorr"), F.col("rmstime").alias("rmsTime"), "trkid",
-        F.col("created_at").alias("db_created"))
+        F.col("desig").alias("trkSub"), "mode", "stn", F.col("obs_time").alias("obsTime"),
+        F.col("ra_deg").alias("ra"), F.col("dec_deg").alias("dec"), F.col("ast_cat").alias("astCat"),
+        "disc", "prog", "notes", "mag", "band", F.col("rmsra").alias("rmsRA"),
+        F.col("rmsdec").alias("rmsDec"), F.col("rmscorr").alias("rmsCorr"),
+        F.col("rmstime").alias("rmsTime"), "trkid", F.col("created_at").alias("db_created"))
 
 
 def add_uncertainties(lines: DataFrame, neocp: DataFrame) -> DataFrame:

@@ -46,44 +46,45 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
             ranks.append((k, 1, F.ceil(F.lit(p) * (F.col("_n") - 1))))
     targets = spans.withColumn("_t", F.explode(F.array(*[
         F.struct(F.lit(k).alias("k"), F.lit(s).alias("s"), r.cast("bigint").alias("r"))
-        for k, s, r in ranks]))).select(
-            *keys, "_n", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), "_t.*")
+        for k, s, r in ranks]))).select(*keys, "_n", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), "_t.*")
 
-    def joined(left, right):
+    def beside(left: DataFrame, right: DataFrame) -> DataFrame:
+        """Join on the group keys, NULL matching NULL."""
         right = right.select(*[F.col(k).alias("_r_" + k) for k in keys],
                              *[c for c in right.columns if c not in keys])
+        if not keys:  # a single group: the right side is a handful of rows
+            return left.crossJoin(F.broadcast(right))
         on = F.lit(True)
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col("_r_" + k))
-        if not keys:  # a single group: the ranks are a handful of rows
-            return left.crossJoin(F.broadcast(right))
         return left.join(right, on).drop(*["_r_" + k for k in keys])
 
+    def narrow(by: Column, targets: DataFrame) -> DataFrame:
+        """Replace each target's interval by the part that holds its rank."""
+        cells = targets.select(*keys, "_lo", "_hi", "_below").distinct()
+        inside = beside(base, cells).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
+        hist = inside.groupBy(*keys, F.col("_lo").alias("_from"), "_below", by.alias("_part")).agg(
+            F.count("*").alias("_c"), F.min("_v").alias("_lo2"), F.max("_v").alias("_hi2"))
+        w = Window.partitionBy(*keys, "_from").orderBy("_part").rowsBetween(
+            Window.unboundedPreceding, 0)
+        hist = hist.withColumn("_upto", F.col("_below") + F.sum("_c").over(w)).select(
+            *keys, "_from", "_lo2", "_hi2", "_upto", (F.col("_upto") - F.col("_c")).alias("_below2"))
+        found = beside(targets, hist).where(
+            (F.col("_lo") == F.col("_from")) & (F.col("_below2") <= F.col("r"))
+            & (F.col("r") < F.col("_upto")))
+        return found.select(*keys, "_n", F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"),
+                            F.col("_below2").alias("_below"), "k", "s", "r")
+
+    width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
+    cell = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width),
+                                     F.lit(bins - 1))).otherwise(F.lit(0)).cast("double")
     for _ in range(levels):
-        width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
-        cell = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width),
-                                         F.lit(bins - 1))).otherwise(F.lit(0))
-        inside = joined(base, targets).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-        hist = inside.groupBy(*keys, "k", "s", "r", "_n", "_lo", "_hi", "_below",
-                              cell.alias("_cell")).agg(
-            F.count("*").alias("_c"), F.min("_v").alias("_cmin"), F.max("_v").alias("_cmax"))
-        w = Window.partitionBy(*keys, "k", "s").orderBy("_cell")
-        upto = F.col("_below") + F.sum("_c").over(
-            w.rowsBetween(Window.unboundedPreceding, 0))
-        targets = hist.withColumn("_upto", upto).where(
-            (F.col("_upto") > F.col("r")) & (F.col("_upto") - F.col("_c") <= F.col("r"))
-        ).select(*keys, "_n", F.col("_cmin").alias("_lo"), F.col("_cmax").alias("_hi"),
-                 (F.col("_upto") - F.col("_c")).alias("_below"), "k", "s", "r")
-    inside = joined(base, targets).where(F.col("_v").between(F.col("_lo"), F.col("_hi")))
-    single = inside.groupBy(*keys, "k", "s", "r", "_n", "_below", "_v").agg(F.count("*").alias("_c"))
-    w = Window.partitionBy(*keys, "k", "s").orderBy("_v").rowsBetween(
-        Window.unboundedPreceding, 0)
-    picked = single.withColumn("_upto", F.col("_below") + F.sum("_c").over(w)).where(
-        (F.col("_upto") > F.col("r")) & (F.col("_upto") - F.col("_c") <= F.col("r")))
+        targets = narrow(cell, targets)
+    picked = narrow(F.col("_v"), targets)
     out = []
     for k, (p, name) in enumerate(zip(fractions, names)):
         def at(s):
-            return F.max(F.when((F.col("k") == k) & (F.col("s") == s), F.col("_v")))
+            return F.max(F.when((F.col("k") == k) & (F.col("s") == s), F.col("_lo")))
         if discrete:
             out.append(at(0).alias(name))
         else:

@@ -176,10 +176,9 @@ def circular_stats(circulars: DataFrame, *, year: int) -> DataFrame:
 
     A circular counts once for every station that observes in it.
     """
-    s = circular.sections("pre_text")
-    lines = F.filter(F.split(F.coalesce(s["observations"], F.lit("")), "\n"),
+    lines = F.filter(F.split(F.coalesce("_s.observations", F.lit("")), "\n"),
                      lambda x: F.length(x) >= 80)
-    d = circulars.select(
+    d = circular.with_sections(circulars, "pre_text", "_s").select(
         circular.circular_type("title", "pre_text", year).alias("type"),
         F.regexp_extract("pre_text", r"Issued\s+(\d{4})", 1).try_cast("int").alias("year"),
         F.explode(F.array_distinct(F.transform(

@@ -166,7 +166,7 @@ SELECT event_id AS id, concat('T', {_txt('user_id')}) AS desig,
     CASE event_id % 3 WHEN 0 THEN ' ' WHEN 1 THEN 'K' ELSE '1' END,
     CASE event_id % 4 WHEN 0 THEN 'C' WHEN 1 THEN 'S' WHEN 2 THEN 'X' ELSE 'q' END,
     replace({_txt('CAST(ts AS DATE)', 10)}, '-', ' '), '.', {_pad('event_id * 7919 % 1000000', 6)},
-    {_pad('event_id % 24', 2)}, ' ', {_pad('event_id * 7 % 60', 2)}, ' ', {_pad('event_id * 11 % 60', 2)}, '.', {_pad('event_id * 13 % 1000', 3)},
+    {_pad('event_id % 24', 2)}, ' ', {_pad('event_id * 7 % 60', 2)}, ' ', {_pad('event_id * 11 % 60', 2)}, '.', {_pad('event_id * 13 % 500 * 2', 3)},
     CASE WHEN event_id % 2 = 0 THEN '+' ELSE '-' END,
     {_pad('event_id * 5 % 90', 2)}, ' ', {_pad('event_id * 17 % 60', 2)}, ' ', {_pad('event_id * 19 % 60', 2)}, '.', {_pad('event_id * 23 % 100', 2)},
     '         ', CASE WHEN event_id % 9 = 0 THEN '     ' ELSE concat({_pad('14 + event_id % 9', 2)}, '.', {_pad('event_id % 10', 1)}, ' ') END,

@@ -128,7 +128,7 @@ def _(t):
 
 @query("circular_sections", "SELECT k, 'G00 Survey' AS observer_details, CASE WHEN k % 5 = 0 THEN NULL ELSE CAST(161 AS INTEGER) END AS obs_len, ' in seconds' || chr(10) || 'x' AS residuals, 'y' AS ephemeris FROM circulars")
 def _(t):
-    return t.circulars.select("k", circular.sections("pre_text").alias("s")).select(
+    return circular.with_sections(t.circulars, "pre_text", "s").select(
         "k", "s.observer_details", F.length("s.observations").alias("obs_len"), "s.residuals", "s.ephemeris")
 
 
@@ -307,11 +307,11 @@ def _(t):
                         F.round(photometry.to_v("mag", "band", "as_blank"), 6).alias("v_blank"))
 
 
-@query("time_scales", """SELECT id, round(epoch_us(obstime) / 86400000000.0 + 40587, 6) AS mjd, round(floor(epoch_us(obstime) / 1000000.0) / 86400.0 + 2440587.5, 5) AS jd, obstime AS back,
+@query("time_scales", """SELECT id, round(epoch_us(obstime) / 86400000000.0 + 40587, 6) AS mjd, round(floor(epoch_us(obstime) / 1000000.0) / 86400.0 + 2440587.5, 7) AS jd, obstime AS back,
   DATE '1858-11-17' + CAST(floor(epoch_us(obstime) / 86400000000.0 + 40587) AS INTEGER) AS day FROM obs""")
 def _(t):
     m = timeconv.mjd("obstime")
-    return t.obs.select("id", F.round(m, 6).alias("mjd"), F.round(timeconv.julian_day("obstime"), 5).alias("jd"),
+    return t.obs.select("id", F.round(m, 6).alias("mjd"), F.round(timeconv.julian_day("obstime"), 7).alias("jd"),
                         timeconv.from_epoch_micros(timeconv.epoch_micros("obstime")).alias("back"), timeconv.mjd_to_date(m).alias("day"))
 
 
@@ -369,9 +369,3 @@ def _(t):
 def _(t):
     text = F.substring("obs80", 33, 12)
     return t.neocp.select("id", F.round(sky.round_to_input(sky.ra_hms_to_deg(text), text), 5).alias("ra"))
-
-
-@query("rounded_to_input", "SELECT id, round((CAST(substr(obs80, 33, 2) AS DOUBLE) + CAST(substr(obs80, 36, 2) AS DOUBLE) / 60 + CAST(substr(obs80, 39, 6) AS DOUBLE) / 3600) * 15, 4) AS ra FROM neocp")
-def _(t):
-    text = F.substring("obs80", 33, 12)
-    return t.neocp.select("id", F.round(sky.ra_hms_to_deg(text), 4).alias("ra"))

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from asterion.functions import circular, designation as D
-from asterion.functions.common import blank_to_null, with_isolated
+from asterion.functions.common import blank_to_null
+from asterion.functions.obs80 import with_obs80
 
 from .schemas import SCHEMAS
 
@@ -203,7 +204,7 @@ def parse_circulars(pages: DataFrame, *, text: str = "pre_text", title: str = "t
 
     A discovery without observations is a recovery.
     """
-    d = with_isolated(pages, {"_s": circular.sections(text)})
+    d = circular.with_sections(pages, text, "_s")
     obs, elements = F.col("_s.observations"), F.col("_s.orbital_elements")
     kind = circular.circular_type(title, text, year)
     desig = F.coalesce(circular.circular_designation(text), blank_to_null(title))
@@ -252,14 +253,17 @@ def parse_year_blocks(pages: DataFrame, *, col: str = "html", since: int | None
         *keep, F.col("_b.year").alias("_y"), F.explode("_b.lines").alias("_line"))
     if since is not None:
         d = d.where(F.col("_y").try_cast("int") >= since)
-    triple = r"(\d+)/\s*(\d+)/\s*(\d+)"
-    form = rf"^\s*(\S+)\s+(\d+)\s+{triple}\s+{triple}\s+{triple}\s+{triple}"
-    line = F.col("_line")
-    d = d.where(line.rlike(form) & ~F.trim(line).startswith("Total") & ~F.trim(line).startswith("Code"))
+    triple = r"\d+/\s*\d+/\s*\d+"
+    form = rf"^\s*\S+\s+\d+\s+{triple}\s+{triple}\s+{triple}\s+{triple}"
+    line = F.trim("_line")
+    d = d.where(line.rlike(form) & ~line.startswith("Total") & ~line.startswith("Code"))
     label = F.when(F.col("_y") == "Before 1971", F.lit("<1971")).otherwise(F.col("_y"))
-    return d.select(*keep, label.alias("year_label"), F.regexp_extract(line, form, 1).alias("code"),
-                    *[F.regexp_extract(line, form, k + 2).cast("bigint").alias(c)
-                      for k, c in enumerate(COUNTS)])
+    # A line that matches is its code followed by the thirteen numbers.
+    code = F.substring_index(line, " ", 1)
+    numbers = F.regexp_extract_all(F.substring(line, F.length(code) + 1, 10_000), F.lit(r"\d+"), F.lit(0))
+    d = d.select(*keep, label.alias("year_label"), code.alias("code"), numbers.alias("_n"))
+    return d.select(*keep, "year_label", "code",
+                    *[F.col("_n")[k].cast("bigint").alias(c) for k, c in enumerate(COUNTS)])
 
 
 # -- exchange XML and logs -----------------------------------------------------------
@@ -308,7 +312,5 @@ def top_suppressed(log: DataFrame, *, n: int = 10) -> DataFrame:
 
 
 def decode_observations(df: DataFrame, *, col: str = "obs80") -> DataFrame:
-    from asterion.functions.obs80 import decode_obs80
-    return with_isolated(df, {"_o": decode_obs80(col)}).select(*df.columns, "_o.*")
-
-
+    """80-column lines to the thirteen decoded columns, next to the others."""
+    return with_obs80(df, col)
