@@ -7,5 +7,6 @@ from . import (  # noqa: F401
     q_time,
     q_quality,
     q_text,
+    q_jobs,
 )
 from .registry import ORACLES, QUERIES  # noqa: F401
