@@ -142,9 +142,8 @@ def project_rollup(yearly: DataFrame, *, counts: list[str] = COUNTS, window: int
     """
     totals = station_totals(yearly, counts=counts)
     numbered = yearly.where(F.col("nea_all") > 0).withColumn("_y", F.col("year_label").try_cast("int"))
-    latest = numbered.agg(F.max("_y").alias("_max"))
-    recent = numbered.crossJoin(F.broadcast(latest)).where(  # one row
-        (F.col("_y") > F.col("_max") - window) & (F.col("nea_all") > floor)).select(
+    latest = numbered.agg(F.max("_y")).scalar()
+    recent = numbered.where((F.col("_y") > latest - window) & (F.col("nea_all") > floor)).select(
         "code").distinct().withColumn("_indep", F.lit(True))
     d = totals.join(recent, "code", "left")
     old = F.col("last_year").startswith("<") | (F.col("last_year").try_cast("int") <= 1999)
@@ -232,16 +231,15 @@ def size_completeness(discovered: DataFrame, model: DataFrame, *, mode: str = "c
     centre. Discovered H are counted per bin before anything is compared.
     """
     bins = model_bins(model).where(F.col("h1").isNotNull())
-    edges = model.agg(F.array_sort(F.collect_set("h2")).alias("_edges"))
-    d = discovered.where(F.col("h").isNotNull()).crossJoin(F.broadcast(edges))  # one row
-    low = F.array_max(F.filter("_edges", lambda x: x <= F.col("h")))
-    counts = d.groupBy(low.alias("h1")).agg(F.count("*").alias("_n"))
-    below = counts.where(F.col("h1").isNull()).agg(F.coalesce(F.sum("_n"), F.lit(0)).alias("_below"))
-    t = bins.join(counts, "h1", "left").crossJoin(F.broadcast(below)).withColumn(
-        "_n", F.coalesce("_n", F.lit(0)))
+    h = discovered.select("h").where(F.col("h").isNotNull())
+    below = h.where(F.col("h") < model.agg(F.min("h2")).scalar()).agg(F.count("*")).scalar()
+    edges = F.broadcast(bins.select("h1", "h2"))  # the published model: a few dozen rows
+    counts = h.join(edges, (F.col("h") >= F.col("h1")) & (F.col("h") < F.col("h2"))).groupBy("h1").agg(
+        F.count("*").alias("_n"))
+    t = bins.join(counts, "h1", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     if mode == "cumulative":
         w = Window.partitionBy(F.lit(0)).orderBy("h1").rowsBetween(Window.unboundedPreceding, 0)
-        found, expected, at = F.sum("_n").over(w) + F.col("_below"), F.col("n_cum"), F.col("h2")
+        found, expected, at = F.sum("_n").over(w) + below, F.col("n_cum"), F.col("h2")
     elif mode == "differential":
         found, expected = F.col("_n"), F.col("n_cum") - F.col("n_before")
         at = (F.col("h1") + F.col("h2")) / 2

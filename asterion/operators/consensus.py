@@ -10,6 +10,7 @@ from asterion.functions import designation as D
 from asterion.functions.common import count_if
 
 from .identity import PACKED, UNPACKED, or_key_join
+from .quantiles import exact_percentiles
 
 
 def membership_wide(members: DataFrame, *, sources: list[str],
@@ -80,22 +81,17 @@ def only_in(wide: DataFrame, *, sources: list[str], source: str) -> DataFrame:
 
 
 def missing_profile(wide: DataFrame, orbits: DataFrame, *, sources: list[str], source: str) -> DataFrame:
-    """Elements of the objects only one source lacks: extremes, medians, tails.
-
-    Medians are taken over q and h counted at seven decimals.
-    """
+    """Elements of the objects only one source lacks: extremes, medians, tails."""
     d = missing_from(wide, sources=sources, source=source).select("primary_desig").join(
         orbits.select(F.col(UNPACKED).alias("primary_desig"), "q", "h"), "primary_desig")
-    pair = d.groupBy(F.round("q", 7).alias("_q"), F.round("h", 7).alias("_h")).agg(
-        F.count("*").alias("_n"), F.min("q").alias("_qmin"), F.max("q").alias("_qmax"),
-        count_if(F.col("q") > 1.29).alias("_far"), count_if(F.col("h") >= 27).alias("_faint"))
-    return pair.agg(
-        F.coalesce(F.sum("_n"), F.lit(0)).alias("n"), F.round(F.min("_qmin"), 3).alias("q_min"),
-        F.round(F.max("_qmax"), 3).alias("q_max"),
-        F.round(F.percentile("_q", F.lit(0.5), F.col("_n")), 3).alias("q_median"),
-        F.coalesce(F.sum("_far"), F.lit(0)).alias("n_q_gt_129"),
-        F.round(F.percentile("_h", F.lit(0.5), F.col("_n")), 1).alias("h_median"),
-        F.coalesce(F.sum("_faint"), F.lit(0)).alias("n_h_ge_27"))
+    def median(c):
+        return exact_percentiles(d, keys=[], value=c, fractions=[0.5], names=["_m"]).scalar()
+
+    return d.agg(F.count("*").alias("n"), F.round(F.min("q"), 3).alias("q_min"),
+                 F.round(F.max("q"), 3).alias("q_max"), count_if(F.col("q") > 1.29).alias("n_q_gt_129"),
+                 count_if(F.col("h") >= 27).alias("n_h_ge_27")).select(
+        "n", "q_min", "q_max", F.round(median("q"), 3).alias("q_median"), "n_q_gt_129",
+        F.round(median("h"), 1).alias("h_median"), "n_h_ge_27")
 
 
 def only_profile(wide: DataFrame, orbits: DataFrame, *, sources: list[str], source: str,
@@ -140,19 +136,16 @@ def disagreement_categories(wide: DataFrame, *, sources: list[str]) -> DataFrame
 
 def category_characteristics(cats: DataFrame, summary: DataFrame) -> DataFrame:
     """Per category: counts, means and medians of observations and arc, short arcs."""
-    d = cats.join(summary, "primary_desig")
-    part = d.withColumn("_arc", F.round("arc_days", 3)).groupBy("cat", "nobs", "_arc").agg(
-        F.count("*").alias("_n"), F.sum("arc_days").alias("_sum"),
-        count_if(F.col("arc_days") < 1).alias("_one"), count_if(F.col("arc_days") < 30).alias("_short"),
-        F.min("first_obs").alias("_first"), F.max("last_obs").alias("_last"))
-    n = F.sum("_n")
-    return part.groupBy("cat").agg(
-        n.alias("n"), F.round(F.sum(F.col("nobs") * F.col("_n")) / n, 0).alias("nobs_avg"),
-        F.round(F.percentile("nobs", F.lit(0.5), F.col("_n")), 0).cast("int").alias("nobs_p50"),
-        F.round(F.sum("_sum") / n, 0).alias("arc_avg"),
-        F.round(F.percentile("_arc", F.lit(0.5), F.col("_n")), 0).cast("int").alias("arc_p50"),
-        F.sum("_one").alias("one_night"), F.sum("_short").alias("arc_lt_30d"),
-        F.min("_first").alias("earliest_disc"), F.max("_last").alias("most_recent_obs"))
+    d = cats.join(summary.select("primary_desig", "nobs", "arc_days", "first_obs", "last_obs"), "primary_desig")
+    main = d.groupBy("cat").agg(
+        F.count("*").alias("n"), F.round(F.avg("nobs"), 0).alias("nobs_avg"),
+        F.round(F.avg("arc_days"), 0).alias("arc_avg"),
+        count_if(F.col("arc_days") < 1).alias("one_night"), count_if(F.col("arc_days") < 30).alias("arc_lt_30d"),
+        F.min("first_obs").alias("earliest_disc"), F.max("last_obs").alias("most_recent_obs"))
+    for c, name in (("nobs", "nobs_p50"), ("arc_days", "arc_p50")):
+        mid = exact_percentiles(d, keys=["cat"], value=c, fractions=[0.5], names=["_m"])
+        main = main.join(mid.select("cat", F.round("_m", 0).cast("int").alias(name)), "cat", "left")
+    return main
 
 
 def top_category_stations(cats: DataFrame, summary: DataFrame, obscodes: DataFrame, *,

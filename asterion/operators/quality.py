@@ -39,9 +39,8 @@ def histogram(df: DataFrame, *, col, n: int, lo: float | None = None, hi: float
     if lo is not None and hi is not None:
         d = d.withColumns({"_lo": F.lit(float(lo)), "_hi": F.lit(float(hi)), "_edge": F.lit(float(hi))})
     else:
-        b = d.agg(F.min("_x").alias("_lo"), F.max("_x").alias("_hi")).withColumn(
-            "_edge", F.col("_hi") + F.lit(1e-10))
-        d = d.crossJoin(F.broadcast(b))  # one row
+        b = d.agg(F.struct(F.min("_x").alias("lo"), F.max("_x").alias("hi"))).scalar()
+        d = d.withColumns({"_lo": b["lo"], "_hi": b["hi"], "_edge": b["hi"] + F.lit(1e-10)})
     bucket = F.width_bucket("_x", "_lo", "_edge", F.lit(n))
     d = d.groupBy(bucket.alias("bucket"), "_lo", "_hi").agg(F.count("*").alias("count")).where(
         F.col("bucket").between(1, n))
@@ -69,10 +68,10 @@ def classification_agreement(orbits: DataFrame) -> DataFrame:
     d = stored_and_computed(orbits.where(F.col("orbit_type_int").isNotNull()))
     cells = d.groupBy("orbit_type_int", "computed_type").agg(F.count("*").alias("n"))
     same = F.sum(F.when(F.col("orbit_type_int") == F.col("computed_type"), F.col("n")).otherwise(F.lit(0)))
-    rate = cells.agg(F.round(F.lit(100.0) * same / F.sum("n"), 4).alias("agreement_pct"))
-    return cells.crossJoin(F.broadcast(rate)).select(  # one row
+    rate = cells.agg(F.round(F.lit(100.0) * same / F.sum("n"), 4)).scalar()
+    return cells.select(
         orbit.orbit_long_name("orbit_type_int").alias("db_class"),
-        orbit.orbit_long_name("computed_type").alias("computed_class"), "n", "agreement_pct")
+        orbit.orbit_long_name("computed_type").alias("computed_class"), "n", rate.alias("agreement_pct"))
 
 
 def class_recovery(orbits: DataFrame) -> DataFrame:
@@ -89,9 +88,10 @@ def residual_stats(orbits: DataFrame, *, levels: int = 2) -> DataFrame:
         F.col("r").isNotNull())
     main = d.agg(F.count("*").alias("n"), F.avg("r").alias("mean"), F.stddev("r").alias("std"),
                  F.min("r").alias("min"), F.max("r").alias("max"))
-    q = exact_percentiles(d, keys=[], value="r", fractions=[0.25, 0.5, 0.75],
-                          names=["p25", "p50", "p75"], levels=levels)
-    return main.crossJoin(F.broadcast(q))  # one row each
+    names = ["p25", "p50", "p75"]
+    q = exact_percentiles(d, keys=[], value="r", fractions=[0.25, 0.5, 0.75], names=names, levels=levels)
+    q = q.select(F.struct(*names)).scalar()
+    return main.select("*", *[q[n].alias(n) for n in names])
 
 
 def json_mismatch(orbits: DataFrame, *, tolerance: float = 0.01) -> DataFrame:
@@ -137,18 +137,14 @@ def epoch_years(df: DataFrame, *, column: str = "epoch_mjd") -> DataFrame:
 
 
 def difference_summary(df: DataFrame, *, a: str, b: str, close: float = 0.1) -> DataFrame:
-    """Exact, close and differing counts of two columns; median at 1e-6 and largest."""
+    """Exact, close and differing counts of two columns at 1e-6; median and largest."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
         F.round(F.abs(F.col(a) - F.col(b)), 6).alias("_d"))
-    n = d.groupBy("_d").agg(F.count("*").alias("_n"))
-
-    def of(cond):
-        return F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0))
-
-    return n.agg(of(F.lit(True)).alias("n"), of(F.col("_d") == 0).alias("exact"),
-                 of(F.col("_d") < close).alias("close"), of(F.col("_d") >= close).alias("differ"),
-                 F.round(F.percentile("_d", F.lit(0.5), F.col("_n")), 4).alias("median_diff"),
-                 F.max("_d").alias("max_diff"))
+    mid = exact_percentiles(d, keys=[], value="_d", fractions=[0.5], names=["_m"]).scalar()
+    return d.agg(F.count("*").alias("n"), count_if(F.col("_d") == 0).alias("exact"),
+                 count_if(F.col("_d") < close).alias("close"),
+                 count_if(F.col("_d") >= close).alias("differ"), F.max("_d").alias("max_diff")).select(
+        "n", "exact", "close", "differ", F.round(mid, 4).alias("median_diff"), "max_diff")
 
 
 def largest_differences(df: DataFrame, *, key: str, a: str, b: str, at_least: float = 1.0,

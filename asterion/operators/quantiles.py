@@ -32,6 +32,9 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
     Interpolated between neighbouring ranks, or for ``discrete`` the first value
     whose rank reaches the fraction.
     """
+    single, keys = not keys, keys or ["_all"]
+    if single:
+        df = df.withColumn("_all", F.lit(0))
     base = df.select(*keys, F.col(value).cast("double").alias("_v")) \
         .where(F.col("_v").isNotNull() & ~F.isnan("_v"))
     spans = base.groupBy(*keys).agg(
@@ -49,11 +52,11 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
         for k, s, r in ranks]))).select(*keys, "_n", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), "_t.*")
 
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
-        """Join on the group keys, NULL matching NULL."""
+        """Join on the group keys, NULL matching NULL. The right side is the small one."""
         right = right.select(*[F.col(k).alias("_r_" + k) for k in keys],
                              *[c for c in right.columns if c not in keys])
-        if not keys:  # a single group: the right side is a handful of rows
-            return left.crossJoin(F.broadcast(right))
+        if single:  # at most two ranks per fraction, so the right side is a handful of rows
+            right = F.broadcast(right)
         on = F.lit(True)
         for k in keys:
             on = on & F.col(k).eqNullSafe(F.col("_r_" + k))
@@ -69,7 +72,7 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
             Window.unboundedPreceding, 0)
         hist = hist.withColumn("_upto", F.col("_below") + F.sum("_c").over(w)).select(
             *keys, "_from", "_lo2", "_hi2", "_upto", (F.col("_upto") - F.col("_c")).alias("_below2"))
-        found = beside(targets, hist).where(
+        found = beside(hist, targets).where(
             (F.col("_lo") == F.col("_from")) & (F.col("_below2") <= F.col("r"))
             & (F.col("r") < F.col("_upto")))
         return found.select(*keys, "_n", F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"),
@@ -91,4 +94,5 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
             n = F.max("_n")
             pos = F.lit(p) * (n - 1)
             out.append((at(0) + (pos - F.floor(pos)) * (at(1) - at(0))).alias(name))
-    return picked.groupBy(*keys).agg(*out)
+    result = picked.groupBy(*keys).agg(*out)
+    return result.drop("_all") if single else result

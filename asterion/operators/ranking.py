@@ -30,10 +30,8 @@ def period_change(df: DataFrame, *, time: str, value: str) -> DataFrame:
 
 
 def share_of_total(df: DataFrame, *, value: str, name: str = "pct", digits: int = 2) -> DataFrame:
-    """Percentage of the column's total, from a one-row aggregate."""
-    total = df.agg(F.sum(value).alias("_all"))
-    return df.crossJoin(F.broadcast(total)).withColumn(
-        name, share(value, "_all", digits)).drop("_all")
+    """Percentage of the column's total, which a scalar subquery supplies."""
+    return df.withColumn(name, share(value, df.agg(F.sum(value)).scalar(), digits))
 
 
 def sample_rows(df: DataFrame, *, n: int, key: str, seed: int = 0) -> DataFrame:

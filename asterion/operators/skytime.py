@@ -80,9 +80,8 @@ def solar_elongation_histogram(obs: DataFrame, *, station: str, start: str, end:
     d = daily_sun_join(obs.where(F.col("stn") == station), start=start, end=end)
     binned = F.floor(sky.signed_elongation("ra", "dec", "sun_ra", "sun_dec") / F.lit(width))
     counts = d.groupBy(binned.cast("int").alias("bin_num")).agg(F.count("*").alias("n_obs"))
-    total = counts.agg(F.sum("n_obs").alias("_all"))
-    shares = counts.crossJoin(F.broadcast(total)).select(  # one row
-        "bin_num", "n_obs", share("n_obs", "_all", 2).alias("bin_pct"))
+    total = counts.agg(F.sum("n_obs")).scalar()
+    shares = counts.select("bin_num", "n_obs", share("n_obs", total, 2).alias("bin_pct"))
     return cumulative(shares, order="bin_num", value="bin_pct", name="_cum").select(
         elongation_bin_label("bin_num", width).alias("bin_label"), "n_obs", "bin_pct",
         F.round("_cum", 2).alias("cum_pct"))
@@ -99,20 +98,18 @@ def solar_elongation_stats(obs: DataFrame, *, station: str, start: str, end: str
         F.round(F.avg("elong"), 2).alias("mean_signed_elong"),
         count_if(F.col("elong") > 0).alias("east_count"),
         count_if(F.col("elong") < 0).alias("west_count"))
-    mid = exact_percentiles(d, keys=[], value="elong", fractions=[0.5], names=["_m"])
-    return main.crossJoin(F.broadcast(mid)).select(  # one row each
+    mid = exact_percentiles(d, keys=[], value="elong", fractions=[0.5], names=["_m"]).scalar()
+    return main.select(
         F.lit(station).alias("station_code"), F.lit(start).cast("date").alias("start_date"),
         F.lit(end).cast("date").alias("end_date"), "total_observations", "min_signed_elong",
-        "max_signed_elong", "mean_signed_elong", F.round("_m", 2).alias("median_signed_elong"),
+        "max_signed_elong", "mean_signed_elong", F.round(mid, 2).alias("median_signed_elong"),
         "east_count", "west_count")
 
 
 def circumstance_summary(circ: DataFrame) -> DataFrame:
     """Count and percentage of discoveries per twilight class."""
     n = circ.groupBy("twilight_class").agg(F.count("*").alias("n"))
-    total = n.agg(F.sum("n").alias("_all"))
-    return n.crossJoin(F.broadcast(total)).select(  # one row
-        "twilight_class", "n", share("n", "_all", 2).alias("pct"))
+    return n.select("twilight_class", "n", share("n", n.agg(F.sum("n")).scalar(), 2).alias("pct"))
 
 
 def eclipse_discoveries(circ: DataFrame) -> DataFrame:

@@ -116,7 +116,7 @@ SELECT concat('PU', {_txt('oid')}) AS packed_primary_provisional_designation,
   concat(CASE WHEN oid % 37 = 5 THEN 'C/' ELSE '' END, 'U', {_txt('oid')}) AS unpacked_primary_provisional_designation,
   concat(CASE WHEN k = 0 THEN 'U' ELSE 'S' END, {_txt('oid')}) AS unpacked_secondary_provisional_designation,
   CAST(oid % 4 AS INT) AS object_type, oid % 3 = 0 AS numbered
-FROM (SELECT DISTINCT user_id AS oid FROM {{events}}) AS u CROSS JOIN (SELECT 0 AS k UNION ALL SELECT 1 AS k) AS two"""
+FROM (SELECT user_id AS oid, event_id % 2 AS k FROM {{events}} GROUP BY user_id, event_id % 2) AS u"""
 
 OBSCODES = """
 SELECT obscode, concat('  Site ', obscode, ' \\'s ', '  ') AS name,
@@ -249,7 +249,7 @@ class Inputs:
     """The given tables and the views over them, as DataFrames of one session."""
 
     def __init__(self, spark: SparkSession, dir: str):
-        self.spark, self.dir = spark, dir.rstrip("/")
+        self.spark, self.dir, self._views = spark, dir.rstrip("/"), {}
 
     def table(self, name: str) -> DataFrame:
         return self.spark.read.parquet(f"{self.dir}/{name}.parquet")
@@ -260,7 +260,9 @@ class Inputs:
         return self.spark.sql(text, **used)
 
     def view(self, name: str) -> DataFrame:
-        return self.sql(VIEWS[name])
+        if name not in self._views:
+            self._views[name] = self.sql(VIEWS[name])
+        return self._views[name]
 
     def __getattr__(self, name: str) -> DataFrame:
         if name in VIEWS:

@@ -68,8 +68,8 @@ def _(t):
     return C.pair_divergence(wide(t), a="s1", b="s5")
 
 
-@query("missing_profile", f"""WITH {WIDE_SQL} SELECT count(*) AS n, round(min(o.q), 3) AS q_min, round(max(o.q), 3) AS q_max, round(quantile_cont(round(o.q, 7), 0.5), 3) AS q_median,
-  count(*) FILTER (WHERE o.q > 1.29) AS n_q_gt_129, round(quantile_cont(round(o.h, 7), 0.5), 1) AS h_median, count(*) FILTER (WHERE o.h >= 27) AS n_h_ge_27
+@query("missing_profile", f"""WITH {WIDE_SQL} SELECT count(*) AS n, round(min(o.q), 3) AS q_min, round(max(o.q), 3) AS q_max, round(quantile_cont(o.q, 0.5), 3) AS q_median,
+  count(*) FILTER (WHERE o.q > 1.29) AS n_q_gt_129, round(quantile_cont(o.h, 0.5), 1) AS h_median, count(*) FILTER (WHERE o.h >= 27) AS n_h_ge_27
 FROM wide w JOIN orbits o ON o.{U} = w.primary_desig WHERE {lacking('s4')}""")
 def _(t):
     return C.missing_profile(wide(t), t.orbits, sources=SOURCES, source="s4")
@@ -107,7 +107,7 @@ def _(t):
 
 @query("category_characteristics", f"""WITH {CATS_SQL}, {OBSALL_SQL}
 SELECT cat, count(*) AS n, round(avg(nobs), 0) AS nobs_avg, CAST(round(quantile_cont(nobs, 0.5), 0) AS INTEGER) AS nobs_p50, round(avg(arc_days), 0) AS arc_avg,
-  CAST(round(quantile_cont(round(arc_days, 3), 0.5), 0) AS INTEGER) AS arc_p50, count(*) FILTER (WHERE arc_days < 1) AS one_night, count(*) FILTER (WHERE arc_days < 30) AS arc_lt_30d,
+  CAST(round(quantile_cont(arc_days, 0.5), 0) AS INTEGER) AS arc_p50, count(*) FILTER (WHERE arc_days < 1) AS one_night, count(*) FILTER (WHERE arc_days < 30) AS arc_lt_30d,
   min(first_obs) AS earliest_disc, max(last_obs) AS most_recent_obs FROM cats JOIN osa USING (primary_desig) WHERE cat IS NOT NULL GROUP BY cat""")
 def _(t):
     return C.category_characteristics(*_cats_summary(t))
