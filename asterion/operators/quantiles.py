@@ -48,19 +48,19 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
             ranks.append((k, 0, F.floor(F.lit(p) * (F.col("_n") - 1))))
             ranks.append((k, 1, F.ceil(F.lit(p) * (F.col("_n") - 1))))
     targets = spans.withColumn("_t", F.explode(F.array(*[
-        F.struct(F.lit(k).alias("k"), F.lit(s).alias("s"), r.cast("bigint").alias("r"))
+        F.struct(F.lit(k).alias("_k"), F.lit(s).alias("_s"), r.cast("bigint").alias("_r"))
         for k, s, r in ranks]))).select(*keys, "_n", "_lo", "_hi", F.lit(0).cast("bigint").alias("_below"), "_t.*")
 
     def beside(left: DataFrame, right: DataFrame) -> DataFrame:
         """Join on the group keys, NULL matching NULL. The right side is the small one."""
-        right = right.select(*[F.col(k).alias("_r_" + k) for k in keys],
+        right = right.select(*[F.col(k).alias("_key_" + k) for k in keys],
                              *[c for c in right.columns if c not in keys])
         if single:  # at most two ranks per fraction, so the right side is a handful of rows
             right = F.broadcast(right)
         on = F.lit(True)
         for k in keys:
-            on = on & F.col(k).eqNullSafe(F.col("_r_" + k))
-        return left.join(right, on).drop(*["_r_" + k for k in keys])
+            on = on & F.col(k).eqNullSafe(F.col("_key_" + k))
+        return left.join(right, on).drop(*["_key_" + k for k in keys])
 
     def narrow(by: Column, targets: DataFrame) -> DataFrame:
         """Replace each target's interval by the part that holds its rank."""
@@ -73,10 +73,10 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
         hist = hist.withColumn("_upto", F.col("_below") + F.sum("_c").over(w)).select(
             *keys, "_from", "_lo2", "_hi2", "_upto", (F.col("_upto") - F.col("_c")).alias("_below2"))
         found = beside(hist, targets).where(
-            (F.col("_lo") == F.col("_from")) & (F.col("_below2") <= F.col("r"))
-            & (F.col("r") < F.col("_upto")))
+            (F.col("_lo") == F.col("_from")) & (F.col("_below2") <= F.col("_r"))
+            & (F.col("_r") < F.col("_upto")))
         return found.select(*keys, "_n", F.col("_lo2").alias("_lo"), F.col("_hi2").alias("_hi"),
-                            F.col("_below2").alias("_below"), "k", "s", "r")
+                            F.col("_below2").alias("_below"), "_k", "_s", "_r")
 
     width = (F.col("_hi") - F.col("_lo")) / F.lit(bins)
     cell = F.when(width > 0, F.least(F.floor((F.col("_v") - F.col("_lo")) / width),
@@ -87,7 +87,7 @@ def exact_percentiles(df: DataFrame, *, keys: list[str], value: str, fractions:
     out = []
     for k, (p, name) in enumerate(zip(fractions, names)):
         def at(s):
-            return F.max(F.when((F.col("k") == k) & (F.col("s") == s), F.col("_lo")))
+            return F.max(F.when((F.col("_k") == k) & (F.col("_s") == s), F.col("_lo")))
         if discrete:
             out.append(at(0).alias(name))
         else:

@@ -80,7 +80,8 @@ def known_set_increment(known: DataFrame | None, batch: DataFrame, orbits: DataF
     fresh = discovery_tracklets(touched_objects(batch, orbits, ni), ni, obs, obscodes)
     if known is None:
         return fresh
-    return known.join(fresh.select(PACKED), PACKED, "left_anti").unionByName(fresh)
+    kept = known.join(fresh.select(PACKED), PACKED, "left_anti")
+    return kept.unionByName(fresh).select(*known.columns)
 
 
 def new_only(known: DataFrame, fresh: DataFrame, *, key: str = PACKED) -> DataFrame:
