@@ -53,9 +53,12 @@ def boxscore_cells(fact: DataFrame, catalog: DataFrame, *, metric: str = "object
     a total of distinct objects counts an object once, not once per bin.
     """
     d = fact if site is None else fact.where(F.col("stn") == site)
+    # One row per object and bin before the join and before the cube multiplies rows.
+    d = d.groupBy(time_bin("obs_date", time).alias("time_bin"), "provid").agg(
+        F.sum("n_obs").alias("n_obs"), F.sum("n_tracklets").alias("n_tracklets"),
+        F.bool_or("disc_flag").alias("disc_flag"))
     d = d.join(catalog.select("provid", class_label(grouping).alias("class")), "provid", "left")
-    d = d.withColumns({"time_bin": time_bin("obs_date", time),
-                       "class": F.coalesce("class", F.lit(T.UNCLASSIFIED[1]))})
+    d = d.withColumn("class", F.coalesce("class", F.lit(T.UNCLASSIFIED[1])))
     value = {
         "observations": F.sum("n_obs"), "tracklets": F.sum("n_tracklets"),
         "objects": F.countDistinct("provid"),

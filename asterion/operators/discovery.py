@@ -32,28 +32,26 @@ HEAD = ["unpacked_desig", "packed_desig"]
 
 def tracklet_members(disc: DataFrame, obs: DataFrame, *, hours: float = 12.0,
                      carry: list[str] = ()) -> DataFrame:
-    """Observations of each discovery's tracklet.
+    """Observations of each discovery's tracklet: the same trkid within +-hours.
 
-    The same trkid within +-hours; a discovery without a trkid stands alone, so
-    ``disc`` brings its own position and magnitude. The join key is (trkid, time
-    slot of that width) with the discovery offered to three slots, so a trkid
-    reused over years neither meets itself nor piles up in one partition.
+    An observation without a trkid is a tracklet of its own, keyed by its obsid, so
+    a discovery without one stands alone and no second branch is needed. The join
+    key is (trkid, time slot of that width) with the discovery offered to three
+    slots: a trkid reused over years neither meets itself nor piles up in one
+    partition.
     """
     width = int(hours * 3600)
 
     def slot(t):
         return F.floor(epoch_seconds(t) / F.lit(width)).cast("bigint")
 
-    cols = [*HEAD, *carry, "obsid", "obstime", *PAYLOAD]
-    grouped = disc.where(F.col("trkid").isNotNull()).select(
-        *HEAD, *carry, "trkid", F.col("obstime").alias("_t0"),
-        F.explode(F.sequence(slot("obstime") - 1, slot("obstime") + 1)).alias("_slot"))
-    o = obs.select("obsid", blank_to_null("trkid").alias("trkid"), "obstime", *PAYLOAD).where(
-        F.col("trkid").isNotNull()).withColumn("_slot", slot("obstime"))
-    grouped = grouped.join(o, ["trkid", "_slot"]).where(
-        F.abs(seconds_between("_t0", "obstime")) <= F.lit(width))
-    alone = disc.where(F.col("trkid").isNull())
-    return grouped.select(*cols).unionByName(alone.select(*cols))
+    own = F.coalesce(blank_to_null("trkid"), F.concat(F.lit("obsid:"), F.col("obsid")))
+    d = disc.select(*HEAD, *carry, own.alias("_trk"), F.col("obstime").alias("_t0"),
+                    F.explode(F.sequence(slot("obstime") - 1, slot("obstime") + 1)).alias("_slot"))
+    o = obs.select("obsid", "obstime", *PAYLOAD, own.alias("_trk"), slot("obstime").alias("_slot"))
+    return d.join(o, ["_trk", "_slot"]).where(
+        F.abs(seconds_between("_t0", "obstime")) <= F.lit(width)).select(
+        *HEAD, *carry, "obsid", "obstime", *PAYLOAD)
 
 
 def discovery_tracklet_stats(members: DataFrame, *, carry: list[str] = ()) -> DataFrame:
@@ -113,9 +111,13 @@ def discoveries_with_stats(orbits: DataFrame, ni: DataFrame, obs: DataFrame, *,
     """One row per discovered object: stn, disc_obstime, carried columns of the
     object, tracklet numbers. One straight line of steps: nothing is joined back."""
     neos = with_numbering(select_neos(orbits, rule=rule), ni)
-    disc = earliest_discovery(neos, obs, payload=PAYLOAD, carry=carry).withColumn(
-        "disc_obstime", F.col("obstime"))
+    return stats_of(earliest_discovery(neos, obs, carry=carry), obs, hours=hours, carry=carry)
+
+
+def stats_of(disc: DataFrame, obs: DataFrame, *, hours: float, carry: list[str]) -> DataFrame:
+    """Tracklet numbers of given discoveries, with their station and instant."""
     keep = ["stn", "disc_obstime", *carry]
+    disc = disc.withColumn("disc_obstime", F.col("obstime"))
     return discovery_tracklet_stats(
         tracklet_members(disc, obs, hours=hours, carry=keep), carry=keep)
 
@@ -125,6 +127,11 @@ def discovery_tracklets(orbits: DataFrame, ni: DataFrame, obs: DataFrame, obscod
     """The 12-column discovery product, one row per near-Earth object; ``with_time``
     adds the instant of discovery."""
     d = discoveries_with_stats(orbits, ni, obs, rule=rule, hours=hours, carry=["permid"])
+    return product_columns(d, obscodes, with_time=with_time)
+
+
+def product_columns(d: DataFrame, obscodes: DataFrame, *, with_time: bool = False) -> DataFrame:
+    """The product's columns from discoveries with their tracklet numbers."""
     name = obscodes.select(F.col("obscode").alias("stn"),
                            clean_site_name("name").alias("discovery_site_name"))
     motion = motion_columns()

@@ -62,16 +62,15 @@ def match_by_designation(neos: DataFrame, obs: DataFrame, *, disc_only: bool = T
         "unpacked_desig", "packed_desig", "stn", "obsid", "trkid", "obstime")
 
 
-def earliest_discovery(neos: DataFrame, obs: DataFrame, *, payload: list[str] = (),
-                       carry: list[str] = ()) -> DataFrame:
+def earliest_discovery(neos: DataFrame, obs: DataFrame, *, carry: list[str] = ()) -> DataFrame:
     """Earliest discovery observation of each object; ties go to the lower obsid.
 
     The observations are first reduced to the earliest one per identifier, so that
     neither the join nor the final step sees more than one row per key, however
-    many observations an identifier holds. ``payload`` adds columns of the
-    observation and ``carry`` columns of the object, which saves joining back.
+    many observations an identifier holds. ``carry`` adds columns of the object,
+    which saves joining back.
     """
-    fields = ["obsid", "stn", "trkid", *payload]
+    fields = ["obsid", "stn", "trkid"]
     disc = obs.where(F.col("disc") == "*").withColumn("trkid", blank_to_null("trkid"))
     first = observation_keys(disc, "obstime", *fields).groupBy("kind", "key").agg(
         F.min_by(F.struct("obstime", *fields), F.struct("obstime", "obsid")).alias("_r"))
@@ -126,10 +125,14 @@ def alias_semi_join(obs: DataFrame, orbits: DataFrame, ci: DataFrame, ni: DataFr
                     q_max: float = 1.3) -> DataFrame:
     """Observations of near-Earth objects under any of their identifiers.
 
-    Two left semi joins mark the rows, so no row is ever duplicated and no
+    Two joins with unique keys mark the rows, so no row is ever duplicated and no
     distinct over the observations is needed.
     """
-    keys = alias_keys(orbits, ci, ni, q_max=q_max)
+    return semi_join_keys(obs, alias_keys(orbits, ci, ni, q_max=q_max))
+
+
+def semi_join_keys(obs: DataFrame, keys: DataFrame) -> DataFrame:
+    """Observations that carry any of the (kind, key) identifiers, each once."""
     prov = keys.where(F.col("kind") == "provid").select(F.col("key").alias("provid"),
                                                         F.lit(True).alias("_p"))
     perm = keys.where(F.col("kind") == "permid").select(F.col("key").alias("permid"),

@@ -118,6 +118,13 @@ def _(t):
     return A.response_summary(responses(t), by=["disc_project", "project"])
 
 
+@query("response_by_year", RESP_SQL + """, r AS (SELECT *, round(days, 4) AS d FROM resp)
+SELECT CAST(year(disc_obstime) AS INTEGER) AS disc_year, project, count(*) AS n, round(quantile_cont(d, 0.5), 3) AS p50, round(quantile_cont(d, 0.9), 3) AS p90, min(d) AS min_days, max(d) AS max_days FROM r GROUP BY 1, 2""")
+def _(t):
+    d = responses(t).withColumn("disc_year", F.year("disc_obstime"))
+    return A.response_summary(d, by=["disc_year", "project"])
+
+
 @query("response_curve", RESP_SQL + """, n AS (SELECT project, CAST(floor(days) AS INTEGER) AS day, count(*) AS k FROM resp WHERE days <= 200 GROUP BY 1, 2)
 SELECT project, day, CAST(sum(k) OVER (PARTITION BY project ORDER BY day) AS BIGINT) AS n_so_far,
   round(100.0 * sum(k) OVER (PARTITION BY project ORDER BY day) / sum(k) OVER (PARTITION BY project), 2) AS pct FROM n""")

@@ -65,6 +65,17 @@ def write_version(df: DataFrame, path: str, version: int | None = None,
     return target
 
 
+def settle(df: DataFrame, name: str, fallback: str | None = None) -> DataFrame:
+    """Write an intermediate table to the shared folder and read it back.
+
+    This cuts the lineage so that a lost executor costs no recomputation, and gives
+    the optimiser the table's true size: a small one is broadcast by Spark's own
+    check, and the large table it meets is then filtered where it lies.
+    """
+    path = f"{shared_dir(df.sparkSession, fallback)}/{name}"
+    return df.sparkSession.read.parquet(write_version(df, path))
+
+
 def write_snapshot(df: DataFrame, path: str, *, max_age_seconds: float | None = None,
                    partition_by: list[str] | None = None) -> DataFrame:
     """Materialise a derived table, reusing a committed version young enough."""

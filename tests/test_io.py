@@ -152,6 +152,19 @@ def test_windowed_stream(spark, tmp_path):
     assert got["2024 AE", "C51", "2024-01-10"] == 2
 
 
+def test_product_job(spark, tmp_path):
+    from asterion.operators.discovery import discovery_tracklets
+    from asterion.plans import discovery as job
+    cat = [getattr(mini, n)(spark) for n in ("orbits", "ni", "obs", "obscodes")]
+    got = job.run_discovery_product(*cat, str(tmp_path / "p"), min_rows=4)
+    want = discovery_tracklets(*cat)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
+    with pytest.raises(ValueError):
+        job.run_discovery_product(*cat, str(tmp_path / "q"), min_rows=5)
+    near = job.near_earth_subset(cat[2], cat[0], cat[1], mini.ci(spark), str(tmp_path / "n"))
+    assert near.count() == 10 and set(near.columns) - set(cat[2].columns) == {"obs_year"}
+
+
 def test_refresh_from_a_list(spark):
     members = spark.createDataFrame([], SCHEMAS["source_membership"])
     raw = spark.createDataFrame([("1001",), ("2024 AB",), ("nonsense",)], "raw string")
