@@ -116,7 +116,7 @@ def _(t):
 
 
 @query("parse_circulars", f"""SELECT k, {_readable('k')} AS designation, CASE WHEN {_CT} = 'discovery' AND k % 5 = 0 THEN 'recovery' ELSE {_CT} END AS type, (2019 + k % 6) || ' Feb ' || (1 + k % 28) || ', 12:34 UT' AS "date",
-  CAST(CASE WHEN k % 5 = 0 THEN 2 + k % 50 ELSE 2 END AS INTEGER) AS n_obs, round(CASE WHEN k % 5 = 0 THEN 2 * 30.44 + (1 + k % 28) - 1 ELSE 30.44 + (10 + k % 9 + 0.5) - (1 + k % 4 + 0.25) END, 1) AS arc_days,
+  CAST(CASE WHEN k % 5 = 0 THEN 2 + k % 50 ELSE 2 END AS INTEGER) AS n_obs, round(CASE WHEN k % 5 = 0 THEN 2 * 30.44 + (1 + k % 28) - 1 ELSE 30.44 + (10 + k % 9 + 0.5) - (1 + k % 4 + 0.25) END::DOUBLE, 1) AS arc_days,
   k % 360 + 0.5 AS m, 1.25 + k % 3 AS a, (k * 37 % 1000) / 1000.0 AS e, 15.5 + k % 10 AS h, round((1.25 + k % 3) * (1 - (k * 37 % 1000) / 1000.0), 6) AS q, (k % 10)::DOUBLE AS u FROM circulars""".replace(
     "k % 360 + 0.5 AS m", "(k % 360 + 0.5)::DOUBLE AS m").replace("1.25 + k % 3 AS a", "(1.25 + k % 3)::DOUBLE AS a").replace("15.5 + k % 10 AS h", "(15.5 + k % 10)::DOUBLE AS h"))
 def _(t):
