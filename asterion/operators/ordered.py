@@ -47,21 +47,16 @@ def with_carried(df: DataFrame, *, keys: list[str], order: list[str], bucket: Co
                  value: str, name: str, forward: bool = True) -> DataFrame:
     """Add the last non-NULL ``value`` at or before this row (or first at or after)."""
     d = df.withColumn(_B, bucket)
-    asc = Window.partitionBy(*keys, _B).orderBy(*order)
-    across = Window.partitionBy(*keys).orderBy(_B)
-    has = F.col(value).isNotNull()
-    rank = F.when(has, F.struct(*order))
-    if forward:
-        inside = F.last(value, ignorenulls=True).over(asc.rowsBetween(Window.unboundedPreceding, 0))
-        edge = F.max_by(F.col(value), rank)
-        carried = F.last("_e", ignorenulls=True).over(
-            across.rowsBetween(Window.unboundedPreceding, -1))
-    else:
-        inside = F.first(value, ignorenulls=True).over(
-            asc.rowsBetween(0, Window.unboundedFollowing))
-        edge = F.min_by(F.col(value), rank)
-        carried = F.first("_e", ignorenulls=True).over(
-            across.rowsBetween(1, Window.unboundedFollowing))
+    # Looking ahead is looking back in descending order: a frame that ends unbounded
+    # would be evaluated anew for every row.
+    sort = [F.col(c).asc() if forward else F.col(c).desc() for c in order]
+    buckets = F.col(_B).asc() if forward else F.col(_B).desc()
+    upto = Window.partitionBy(*keys, _B).orderBy(*sort).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy(*keys).orderBy(buckets).rowsBetween(Window.unboundedPreceding, -1)
+    inside = F.last(value, ignorenulls=True).over(upto)
+    rank = F.when(F.col(value).isNotNull(), F.struct(*order))
+    edge = (F.max_by if forward else F.min_by)(F.col(value), rank)
+    carried = F.last("_e", ignorenulls=True).over(before)
     d = d.withColumn("_in", inside)
     edges = d.groupBy(*keys, _B).agg(edge.alias("_e"))
     edges = edges.select(*keys, _B, carried.alias("_edge"))

@@ -90,7 +90,8 @@ def observability_segments(obs: DataFrame, *, key: str, step_days: int = 3, limi
     # An observation exactly on the instant is the last of its slot and wins as 'next'.
     exact = F.col("_last._us") == F.col("_g")
     before = F.last(F.col("_last"), ignorenulls=True).over(w.rowsBetween(Window.unboundedPreceding, 0))
-    after = F.first(F.col("_first"), ignorenulls=True).over(w.rowsBetween(1, Window.unboundedFollowing))
+    back = Window.partitionBy(key).orderBy(F.desc("_slot")).rowsBetween(Window.unboundedPreceding, -1)
+    after = F.last(F.col("_first"), ignorenulls=True).over(back)
     d = d.withColumns({"_b": before, "_n": F.when(exact, F.col("_last")).otherwise(after)})
     d = d.where(F.col("_g") <= F.col("_z"))
     pick = F.when(F.col("_b").isNull(), F.col("_n")).when(F.col("_n").isNull(), F.col("_b")).when(
