@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chain, fold, runs, sha, texts, word_hashes
+from .common import chain, fold, runs, texts, word_hashes
 
 WORDS = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
 SHINGLE = 5
@@ -147,4 +147,4 @@ def report(found: DataFrame) -> DataFrame:
                         F.sha2(F.array_join(F.transform("items", lambda x: x.cast("string")), ","), 256).alias("items_sha256"), "contaminated")
 
 
-__all__ = ["contamination", "report", "words_of", "sha"]
+__all__ = ["contamination", "report", "words_of"]

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, exact, langid, quality
+from . import bpe, decontaminate, exact, langid, pii, quality, secrets
 from .common import documents
 
 
@@ -30,5 +30,13 @@ def op7_langid(spark, sf_dir):
     return langid.predictions(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_exact_dedup, op3_decontaminate, op4_quality, op7_langid)}
+def op6_secrets(spark, sf_dir):
+    return secrets.report(secrets.find(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+
+
+def op10_pii(spark, sf_dir):
+    return pii.report(pii.find(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_exact_dedup, op3_decontaminate, op4_quality, op6_secrets, op7_langid, op10_pii)}
 ORACLES = {"op2_exact_dedup": exact.ORACLE}
