@@ -142,9 +142,15 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, perc
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * percent))
 
 
+def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+    """The rows that are not contaminated, with all their columns; rows without an id stay."""
+    bad = contamination(docs, benchmark).where("contaminated").select("doc_id").distinct()
+    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+
+
 def report(found: DataFrame) -> DataFrame:
     return found.select("doc_id", "n_words", "n_hit", F.size("items").cast("bigint").alias("n_items"),
                         F.sha2(F.array_join(F.transform("items", lambda x: x.cast("string")), ","), 256).alias("items_sha256"), "contaminated")
 
 
-__all__ = ["contamination", "report", "words_of"]
+__all__ = ["contamination", "keep_clean", "report", "words_of"]

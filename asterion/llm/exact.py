@@ -107,13 +107,13 @@ def exact_groups(docs: DataFrame, history_below: int | None = None, *, id_col: s
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; of rows that repeat an id, one."""
-    kept = exact_groups(docs).where("kept").groupBy("doc_id").count()
-    twins = settle(kept.where("count > 1").select("doc_id"), "exact_twins")
-    out = docs.join(kept.select("doc_id"), "doc_id", "left_semi")
+    """The rows that stay, with all their columns; of rows that repeat an id, one; rows without an id stay."""
+    groups = exact_groups(docs)
+    out = docs.join(groups.where("NOT kept AND doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
+    twins = settle(groups.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "exact_twins")
     if twins.isEmpty():
         return out
-    return out.join(twins, "doc_id", "left_anti").unionByName(out.join(twins, "doc_id", "left_semi").dropDuplicates(["doc_id"]))
+    return out.join(twins, "doc_id", "left_anti").unionByName(out.join(twins, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
 
 
 ORACLE = """

@@ -70,6 +70,23 @@ def scored(docs: DataFrame, net: Net) -> DataFrame:
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(run, "doc_id bigint, score double")
 
 
+def keep_good(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> DataFrame:
+    """The rows scored ``least`` or more, with all their columns."""
+    net = fit(docs, labels)
+    shared = docs.sparkSession.sparkContext.broadcast((net.shape, net.p))
+
+    def run(batches):
+        import pyarrow as pa
+        model = Net(shared.value[0])
+        model.p = shared.value[1]
+        for b in batches:
+            t = [x or "" for x in b.column("text").to_pylist()]
+            p = [model.probabilities([model.cut(x.encode("utf-8")) for x in t[i:j]])[:, 0] for i, j in runs([len(x) for x in t], 1_000_000)]
+            if p:
+                yield b.filter(pa.array(np.concatenate(p) >= least))
+    return docs.mapInArrow(run, docs.schema)
+
+
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:
     s = scored(docs, fit(docs, labels))
     return s.select("doc_id", F.coalesce(held_out(F.col("doc_id"), 3, 1), F.lit(False)).alias("held_out"), "score",
