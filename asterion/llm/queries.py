@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, exact, jaccard, langid, lm, pii, quality, secrets
+from . import bpe, decontaminate, exact, jaccard, langid, lm, pii, quality, repeats, secrets
 from .common import documents
 
 
@@ -46,5 +46,9 @@ def op9_lm_scores(spark, sf_dir):
     return lm.predictions(documents(spark, sf_dir))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_exact_dedup, op3_decontaminate, op4_quality, op5_jaccard_join, op6_secrets, op7_langid, op9_lm_scores, op10_pii)}
+def op8_suffix_dedup(spark, sf_dir):
+    return repeats.report(repeats.repeated(documents(spark, sf_dir)))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_exact_dedup, op3_decontaminate, op4_quality, op5_jaccard_join, op6_secrets, op7_langid, op8_suffix_dedup, op9_lm_scores, op10_pii)}
 ORACLES = {"op2_exact_dedup": exact.ORACLE}
