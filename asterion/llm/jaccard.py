@@ -150,11 +150,12 @@ def near_classes(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame
 
     def emit(batches):
         for b in batches:
-            for doc, x in zip(b["doc_id"], b["tokens"]):
-                k = np.unique(prefix_keys(np.asarray(x).view(np.uint64), shared.value, percent))
-                if len(k):
-                    yield pd.DataFrame({"key": k.view(np.int64), "doc_id": doc, "n": len(x)})
-    raw = reps.select("doc_id", "tokens").mapInPandas(emit, "key bigint, doc_id bigint, n bigint")
+            for i, j in runs([len(x) for x in b["tokens"]], 500_000):
+                part = b.iloc[i:j]
+                k = [np.unique(prefix_keys(np.asarray(x).view(np.uint64), shared.value, percent)) for x in part["tokens"]]
+                size = [len(x) for x in k]
+                yield pd.DataFrame({"key": np.concatenate(k).view(np.int64), "doc_id": np.repeat(part["doc_id"].to_numpy(), size), "n": np.repeat([len(x) for x in part["tokens"]], size)})
+    raw = settle(reps.select("doc_id", "tokens").mapInPandas(emit, "key bigint, doc_id bigint, n bigint"), "jaccard_prefixes")
     multi = raw.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
     keys = settle(raw.join(multi, "key"), "jaccard_keys")
     nodes = reps.select("doc_id", "n")
