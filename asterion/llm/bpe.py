@@ -1,6 +1,6 @@
 """Byte-level BPE on padded numpy matrices.
 
-The distinct pieces of a batch are sorted into buckets by byte length and every
+The pieces of a batch that are not remembered are sorted into buckets by byte length and every
 bucket is one padded matrix of token ids. In each round every row merges its
 leftmost pair of minimum rank; pairs are found in a hashed table, merged rows are
 compacted, and finished rows leave. Pieces beyond ``MATRIX_BYTES`` would need as
@@ -19,10 +19,12 @@ import heapq
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
-from .common import runs, sha, texts
+from .common import runs, texts
 
 MATRIX_BYTES = 128
+KNOWN_CHARS = 2_000_000
 NONE = np.int32(2**31 - 1)
 
 
@@ -35,6 +37,8 @@ class Vocabulary:
         for token, rank in ranks.items():
             self.tokens[rank] = token
         self.bytes = np.array([ranks[bytes([b])] for b in range(256)], np.int32)
+        self.known: dict[str, bytes] = {}
+        self.known_chars = 0
         left, right, out = [], [], []
         for token, rank in ranks.items():
             for cut in range(1, len(token)):
@@ -146,6 +150,16 @@ class Vocabulary:
                 out[i] = ids
         return out
 
+    def learn(self, pieces: list[str]) -> None:
+        for p, ids in zip(pieces, self.encode_pieces([p.encode("utf-8") for p in pieces])):
+            self.known[p] = ids.astype("<i4").tobytes()
+            self.known_chars += len(p)
+
+    def forget(self) -> None:
+        """Keep what a worker remembers bounded; results do not depend on it."""
+        if self.known_chars > KNOWN_CHARS:
+            self.known, self.known_chars = {}, 0
+
 
 @functools.lru_cache(maxsize=2)
 def vocabulary(path: str) -> Vocabulary:
@@ -154,20 +168,11 @@ def vocabulary(path: str) -> Vocabulary:
 
 
 def encode(texts_: list[str], vocab: Vocabulary, pattern) -> list[np.ndarray]:
-    """Ids of every text; equal pieces of the batch are merged once."""
+    """Ids of every text; a piece is merged when it is first met, and its ids are remembered."""
     split = [pattern.findall(t) for t in texts_]
-    codes, names = pd.factorize(np.array([p for s in split for p in s], dtype=object))
-    ids = vocab.encode_pieces([p.encode("utf-8") for p in names])
-    size = np.array([len(x) for x in ids], np.int64)
-    flat = np.concatenate(ids) if ids else np.zeros(0, np.int32)
-    first = np.cumsum(size) - size
-    out, at = [], 0
-    for s in split:
-        c = codes[at:at + len(s)]
-        at += len(s)
-        n = size[c]
-        start = np.repeat(first[c] - (np.cumsum(n) - n), n)
-        out.append(flat[start + np.arange(len(start))] if len(start) else np.zeros(0, np.int32))
+    vocab.learn(list(set().union(*split) - vocab.known.keys()))
+    out = [np.frombuffer(b"".join(map(vocab.known.__getitem__, s)), "<i4") for s in split]
+    vocab.forget()
     return out
 
 
@@ -176,8 +181,11 @@ def decode(ids: np.ndarray, vocab: Vocabulary) -> bytes:
 
 
 def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, id_col: str = "doc_id", text_col: str = "text",
-                     batch_chars: int = 2_000_000) -> DataFrame:
-    """Encode and decode every text: id, ``ids`` (array of int) and ``decoded`` (binary) per row."""
+                     batch_chars: int = 2_000_000, packed: bool = False) -> DataFrame:
+    """Encode and decode every text: id, ``ids`` and ``decoded`` (binary) per row.
+
+    ``ids`` is an array of int, or if ``packed`` a binary of little-endian unsigned 32-bit integers.
+    """
     def run(batches):
         import regex
         vocab, split = vocabulary(ranks_path), regex.compile(pattern)
@@ -185,17 +193,13 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, id_col:
             t = texts(b["text"])
             for i, j in runs([len(x) for x in t], batch_chars):
                 ids = encode(t[i:j], vocab, split)
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j], "ids": ids, "decoded": [decode(x, vocab) for x in ids]})
+                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j], "ids": [x.tobytes() for x in ids] if packed else ids,
+                                    "decoded": [decode(x, vocab) for x in ids]})
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInPandas(
-        run, "doc_id bigint, ids array<int>, decoded binary")
+        run, f"doc_id bigint, ids {'binary' if packed else 'array<int>'}, decoded binary")
 
 
 def digests(encoded: DataFrame) -> DataFrame:
-    """Digest columns of ``encode_documents``."""
-    def run(batches):
-        for b in batches:
-            yield pd.DataFrame({
-                "doc_id": b["doc_id"], "n_tokens": [len(x) for x in b["ids"]],
-                "ids_sha256": [sha(np.asarray(x, "<u4").tobytes()) for x in b["ids"]],
-                "decoded_sha256": [sha(bytes(x)) for x in b["decoded"]]})
-    return encoded.mapInPandas(run, "doc_id bigint, n_tokens bigint, ids_sha256 string, decoded_sha256 string")
+    """Digest columns of packed ``encode_documents``."""
+    return encoded.select("doc_id", (F.length("ids") / 4).cast("bigint").alias("n_tokens"),
+                          F.sha2("ids", 256).alias("ids_sha256"), F.sha2("decoded", 256).alias("decoded_sha256"))

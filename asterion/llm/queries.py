@@ -9,7 +9,7 @@ from .common import documents
 
 
 def op1_bpe(spark, sf_dir):
-    return bpe.digests(bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    return bpe.digests(bpe.encode_documents(documents(spark, sf_dir), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packed=True))
 
 
 def op2_exact_dedup(spark, sf_dir):

@@ -39,7 +39,7 @@ def benchmark_decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str)
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of ids and decoded texts."""
     small_batches(spark)
-    return bpe.digests(bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN))
+    return bpe.digests(bpe.encode_documents(docs, public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, packed=True))
 
 
 STAGES = [("quality", quality_classifier), ("exact_dedup", exact_dedup), ("jaccard_join", jaccard_join),
