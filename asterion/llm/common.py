@@ -70,12 +70,17 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x
 
 
-def word_hashes(words: list[str]) -> np.ndarray:
+def space_words(text: str) -> list[bytes]:
+    """Words between white space (0x20, 0x09-0x0D), A-Z lower-cased; byte methods touch ASCII only."""
+    return text.encode("utf-8").lower().split()
+
+
+def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hash of every word, alike on every machine."""
     import xxhash
     codes, names = pd.factorize(np.array(words, dtype=object))
     one = xxhash.xxh3_64_intdigest
-    table = np.fromiter((one(w.encode("utf-8")) for w in names), np.uint64, len(names))
+    table = np.fromiter((one(w) for w in names), np.uint64, len(names))
     return table[codes] if len(words) else np.zeros(0, np.uint64)
 
 

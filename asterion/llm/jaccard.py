@@ -1,9 +1,9 @@
 """N-gram Jaccard join with token-combination prefixes.
 
 A document is its set of 4-word shingles (64-bit hashes, the tokens). Equal sets
-are one representative from the start. Tokens are ordered by class, rare before
-frequent, then by hash; classes come from a fixed-size count sketch over all
-representatives. Two sets that link share at least ``need = ceil(0.85 n)`` tokens,
+are one set from the start, named by a 64-bit hash. Tokens are ordered by class, rare before
+frequent, then by hash; classes come from a fixed-size count sketch over the
+sets of all partitions. Two sets that link share at least ``need = ceil(0.85 n)`` tokens,
 so they share one token in their first n-need+1 and two in their first n-need+2.
 Take their first two common tokens: if the first is rare, its single key finds
 the pair; else both are frequent, and the key of the combination does. Long sets,
@@ -12,8 +12,12 @@ near the border do both, so that each pair has one rule in common.
 
 Keys are not expanded into pairs. Two rounds link each set with a hub of its
 key (verified exactly), which joins groups of near copies; then only sets of one
-key that still lie in different components meet. No candidate is dropped but by
-the length bound. A hot key is spread over tasks by the skew handling of the join.
+key that still lie in different components meet. A candidate goes only by a bound
+that no link can break: the lengths, or the difference of two parity bitmaps (a bit
+per token, flipped by each token that falls on it), which is never larger than the
+difference of the sets. A hot key is spread over tasks by the skew handling of the
+join. Sets are not kept: those of the candidates are made again from their texts,
+which a bitmap of fixed size picks out; a full bitmap would only let more through.
 
 Null and empty texts have empty sets and are their own component; repeated rows
 fall together; a null id keeps its row with a null component; extra columns are
@@ -22,26 +26,26 @@ ignored; ties in the order of tokens do not occur, as hashes in a set differ.
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pandas as pd
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import chain, fold, runs, texts, word_hashes
+from .common import chain, runs, space_words, texts, word_hashes
 
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 SKETCH = 1 << 20
+CELLS = 1 << 14
+MARKS = 1 << 27
 PAIRS_UP_TO = 400
 ROUNDS = 2
 
 
 def shingle_sets(texts_: list[str], n: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
-    words = [WORDS.findall(fold(t)) for t in texts_]
+    words = [space_words(t) for t in texts_]
     h = word_hashes([x for w in words for x in w])
     out, at = [], 0
     for w in words:
@@ -53,45 +57,70 @@ def shingle_sets(texts_: list[str], n: int) -> list[np.ndarray]:
     return out
 
 
-def sets(docs: DataFrame, n: int, whole: bool) -> DataFrame:
-    """doc_id, size and signature, with the set itself if ``whole``."""
+def parity(tokens: np.ndarray) -> bytes:
+    """Parity bitmap of a power of two bytes, about a bit per token."""
+    size = max(8, 1 << (max(1, len(tokens)) // 8).bit_length())
+    bits = np.bincount((tokens % np.uint64(8 * size)).astype(np.int64), minlength=8 * size) & 1
+    return np.packbits(bits.astype(np.uint8), bitorder="little").tobytes()
+
+
+def least_difference(a: bytes, b: bytes) -> int:
+    """A number that the difference of two sets is never below."""
+    while len(a) > len(b):
+        a, b = b, a
+    x, y = int.from_bytes(a, "little"), int.from_bytes(b, "little")
+    size = len(b)
+    while size > len(a):  # halves of the wider one laid on each other
+        size //= 2
+        y = (y >> (8 * size)) ^ (y & ((1 << (8 * size)) - 1))
+    return (x ^ y).bit_count()
+
+
+def named_sets(texts_: list[str], n: int) -> list[tuple[int, np.ndarray]]:
+    import xxhash
+    s = shingle_sets(texts_, n)
+    return list(zip(np.array([xxhash.xxh3_64_intdigest(x.tobytes()) for x in s], np.uint64).view(np.int64).tolist(), s))
+
+
+def scan(docs: DataFrame, n: int) -> DataFrame:
+    """A row per document (doc_id, n, set, bits where the task meets the set first), and each task's part of the count sketch."""
     def run(batches):
-        import xxhash
+        seen, counts = set(), np.zeros(SKETCH, np.int32)
         for b in batches:
             t = texts(b["text"])
             for i, j in runs([len(x) for x in t], 2_000_000):
-                s = shingle_sets(t[i:j], n)
-                part = pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j], "n": [len(x) for x in s]})
-                if whole:
-                    part["tokens"] = [x.view(np.int64) for x in s]
-                else:
-                    part["sig"] = [xxhash.xxh3_128_digest(x.tobytes()) for x in s]
-                yield part
+                named, bits, fresh = named_sets(t[i:j], n), [], []
+                for name, x in named:
+                    first = len(x) > 0 and name not in seen
+                    bits.append(parity(x) if first else None)
+                    if first:
+                        seen.add(name)
+                        fresh.append(x)
+                if fresh:
+                    counts += np.bincount((np.concatenate(fresh) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.int32)
+                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j].astype("Int64"), "n": [len(x) for _, x in named], "set": [k for k, _ in named],
+                                    "bits": bits, "task": None, "part": None, "counts": None})
+        if seen:
+            task = TaskContext.get().partitionId()
+            for k in range(0, SKETCH, CELLS):
+                yield pd.DataFrame({"doc_id": [None], "n": [None], "set": [None], "bits": [None], "task": [task], "part": [k], "counts": [counts[k:k + CELLS].tobytes()]})
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id bigint, n bigint, " + ("tokens array<bigint>" if whole else "sig binary"))
+        run, "doc_id bigint, n bigint, set bigint, bits binary, task bigint, part bigint, counts binary")
 
 
-def frequent_classes(reps: DataFrame) -> np.ndarray:
-    """Which cells of the sketch hold frequent tokens."""
-    cells = 1 << 14
-
-    def count(batches):
-        c = np.zeros(SKETCH, np.int64)
-        for b in batches:
-            for x in b["tokens"]:
-                c += np.bincount(np.asarray(x).view(np.uint64) % np.uint64(SKETCH), minlength=SKETCH) if len(x) > 50_000 else 0
-            small = [np.asarray(x) for x in b["tokens"] if len(x) <= 50_000]
-            if small:
-                c += np.bincount((np.concatenate(small).view(np.uint64) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH)
-        for k in range(0, SKETCH, cells):
-            if c[k:k + cells].any():
-                yield pd.DataFrame({"part": [k], "counts": [c[k:k + cells]]})
-
+def frequent_classes(parts: DataFrame) -> np.ndarray:
+    """Which cells of the sketch hold frequent tokens; tasks are added up in groups of 256, then the groups."""
     def add(rows):
-        return pd.DataFrame({"part": rows["part"].iloc[:1].to_numpy(), "counts": [np.sum(np.stack(rows["counts"]), axis=0)]})
+        total = np.sum([np.frombuffer(x, np.int64) for x in rows["counts"]], axis=0)
+        return pd.DataFrame({"task": rows["task"].iloc[:1].to_numpy() // 256, "part": rows["part"].iloc[:1].to_numpy(), "counts": [total.tobytes()]})
+
+    def add_tasks(rows):
+        return add(rows.assign(counts=[np.frombuffer(x, np.int32).astype(np.int64).tobytes() for x in rows["counts"]]))
+    schema = "task bigint, part bigint, counts binary"
+    some = parts.groupBy("part", F.floor(F.col("task") / 256)).applyInPandas(add_tasks, schema)
     total = np.zeros(SKETCH, np.int64)
-    for r in reps.select("tokens").mapInPandas(count, "part bigint, counts array<bigint>").groupBy("part").applyInPandas(add, "part bigint, counts array<bigint>").toLocalIterator():
-        total[r.part:r.part + cells] = r.counts
+    for r in some.groupBy("part").applyInPandas(add, schema).toLocalIterator():
+        total[r.part:r.part + CELLS] = np.frombuffer(bytes(r.counts), np.int64)
     return total > 32 + 4 * total.mean()
 
 
@@ -117,76 +146,119 @@ def near(a: Column, b: Column, percent: int) -> Column:
     return (F.least(a, b) * 100 >= F.greatest(a, b) * percent)
 
 
-def verified(pairs: DataFrame, reps: DataFrame, percent: int) -> DataFrame:
+def plausible(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
+    """The pairs whose bitmaps leave room for a link: the difference of linked sets is at most (100 - percent) / (100 + percent) of both lengths."""
+    def run(batches):
+        for p in batches:
+            room = (100 - percent) * (p["na"] + p["nb"])
+            low = np.array([least_difference(bytes(x), bytes(y)) for x, y in zip(p["ba"], p["bb"])], np.int64)
+            yield p.loc[low * (100 + percent) <= room.to_numpy(), ["a", "b"]]
+    side = lambda x: table.select(F.col("set").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}"))
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ba", "bb").mapInPandas(run, "a bigint, b bigint")
+
+
+def mark(doc_id: Column) -> Column:
+    return F.pmod(F.xxhash64(doc_id), F.lit(MARKS))
+
+
+def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
+    """Sets (set, n, tokens) of the wanted (set, rep), made from the texts of the documents ``rep``."""
+    at = mark(F.col("rep"))
+    maps = wanted.groupBy(F.floor(at / 32768).alias("page")).agg(F.bitmap_construct_agg(at % 32768).alias("bits"))
+    shared = docs.sparkSession.sparkContext.broadcast({r.page: bytes(r.bits) for r in maps.toLocalIterator()})
+
+    def run(batches):
+        marked = np.zeros((MARKS // 32768, 4096), np.uint8)
+        for page, bits in shared.value.items():
+            marked[page] = np.frombuffer(bits, np.uint8)
+        marked = marked.ravel()
+        for b in batches:
+            m = b["mark"].to_numpy()
+            b = b[(marked[m >> 3] >> (m & 7).astype(np.uint8)) & 1 == 1]
+            t = texts(b["text"])
+            for i, j in runs([len(x) for x in t], 2_000_000):
+                named = named_sets(t[i:j], n)
+                yield pd.DataFrame({"rep": b["doc_id"].iloc[i:j], "set": [k for k, _ in named], "n": [len(x) for _, x in named], "tokens": [x.view(np.int64) for _, x in named]})
+    made = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("mark", mark(F.col("doc_id"))).mapInPandas(
+        run, "rep bigint, set bigint, n bigint, tokens array<bigint>")
+    return made.join(wanted, ["set", "rep"]).select("set", "n", "tokens")
+
+
+def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets link, by exact intersection."""
-    side = lambda x: reps.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
+    side = lambda x: sets.select(F.col("set").alias(x), F.col("n").alias(f"n{x}"), F.col("tokens").alias(f"t{x}"))
     both = F.size(F.array_intersect("ta", "tb"))
     return (pairs.join(side("a"), "a").join(side("b"), "b").where(both * 100 >= percent * (F.col("na") + F.col("nb") - both)).select("a", "b"))
 
 
 def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
-    """Smallest id reachable (doc_id, comp): labels spread over links, then jump along labels."""
+    """Smallest set reachable (set, comp): labels spread over links, then jump along labels."""
     both = settle(edges.union(edges.select("b", "a")).distinct(), "jaccard_edges")
-    label = settle(both.groupBy(F.col("a").alias("doc_id")).agg(F.min(F.least("a", "b")).alias("comp")), "jaccard_labels")
+    label = settle(both.groupBy(F.col("a").alias("set")).agg(F.min(F.least("a", "b")).alias("comp")), "jaccard_labels")
     while True:
-        best = (both.join(label.select(F.col("doc_id").alias("b"), "comp"), "b").groupBy(F.col("a").alias("doc_id")).agg(F.min("comp").alias("other")))
-        step = label.join(best, "doc_id").select("doc_id", F.least("comp", "other").alias("next"), "comp")
-        jump = label.select(F.col("doc_id").alias("next"), F.col("comp").alias("far"))
-        new = settle(step.join(jump, "next", "left").select("doc_id", F.least("next", F.coalesce("far", "next")).alias("comp"), F.col("comp").alias("was")), "jaccard_labels")
+        best = (both.join(label.select(F.col("set").alias("b"), "comp"), "b").groupBy(F.col("a").alias("set")).agg(F.min("comp").alias("other")))
+        step = label.join(best, "set").select("set", F.least("comp", "other").alias("next"), "comp")
+        jump = label.select(F.col("set").alias("next"), F.col("comp").alias("far"))
+        new = settle(step.join(jump, "next", "left").select("set", F.least("next", F.coalesce("far", "next")).alias("comp"), F.col("comp").alias("was")), "jaccard_labels")
         done = new.where("comp <> was").isEmpty()
-        label = new.select("doc_id", "comp")
+        label = new.select("set", "comp")
         if done:
-            return nodes.join(label, "doc_id", "left").select("doc_id", "n", F.coalesce("comp", "doc_id").alias("comp"))
+            return nodes.join(label, "set", "left").select("set", F.coalesce("comp", "set").alias("comp"))
 
 
 def near_classes(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
-    sc = docs.sparkSession.sparkContext
-    all_ = settle(sets(docs, n, False), "jaccard_sizes")
-    owner = settle(all_.where("n > 0 AND doc_id IS NOT NULL").groupBy("sig").agg(F.min("doc_id").alias("rep")), "jaccard_owners")
-    chosen = docs.join(owner.select(F.col("rep").alias("doc_id")), "doc_id", "left_semi")
-    reps = settle(sets(chosen, n, True).dropDuplicates(["doc_id"]), "jaccard_sets") if _repeats(all_) else settle(sets(chosen, n, True), "jaccard_sets")
-    shared = sc.broadcast(frequent_classes(reps))
+    scanned = settle(scan(docs, n), "jaccard_scan")
+    rows = scanned.where("part IS NULL").select("doc_id", "n", "set")
+    table = settle(scanned.where("part IS NULL AND n > 0 AND doc_id IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")).join(
+        scanned.where("bits IS NOT NULL").groupBy("set").agg(F.max("bits").alias("bits")), "set"), "jaccard_table")
+    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent_classes(scanned.where("part IS NOT NULL").select("task", "part", "counts"))))
 
     def emit(batches):
+        frequent, seen = np.unpackbits(shared.value).astype(bool), set()
         for b in batches:
-            for i, j in runs([len(x) for x in b["tokens"]], 500_000):
-                part = b.iloc[i:j]
-                k = [np.unique(prefix_keys(np.asarray(x).view(np.uint64), shared.value, percent)) for x in part["tokens"]]
-                size = [len(x) for x in k]
-                yield pd.DataFrame({"key": np.concatenate(k).view(np.int64), "doc_id": np.repeat(part["doc_id"].to_numpy(), size), "n": np.repeat([len(x) for x in part["tokens"]], size)})
-    raw = settle(reps.select("doc_id", "tokens").mapInPandas(emit, "key bigint, doc_id bigint, n bigint"), "jaccard_prefixes")
-    multi = raw.groupBy("key").agg(F.count(F.lit(1)).alias("m")).where("m > 1").select("key")
+            t = texts(b["text"])
+            for i, j in runs([len(x) for x in t], 2_000_000):
+                keys, names, size = [np.zeros(0, np.uint64)], [], []
+                for name, x in named_sets(t[i:j], n):
+                    if len(x) and name not in seen:
+                        seen.add(name)
+                        keys.append(np.unique(prefix_keys(x, frequent, percent)))
+                        names.append((name, len(x)))
+                        size.append(len(keys[-1]))
+                yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "set": np.repeat(np.array([k for k, _ in names], np.int64), size),
+                                    "n": np.repeat(np.array([k for _, k in names], np.int64), size)})
+    raw = settle(docs.where("doc_id IS NOT NULL").select("text").mapInPandas(emit, "key bigint, set bigint, n bigint"), "jaccard_prefixes")
+    multi = raw.groupBy("key").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo < hi").select("key")
     keys = settle(raw.join(multi, "key"), "jaccard_keys")
-    nodes = reps.select("doc_id", "n")
-    comp, links, tried = nodes.withColumn("comp", F.col("doc_id")), None, None
+    nodes, comp, links, tried = table.select("set"), None, None, None
     for k in range(ROUNDS + 1):
-        at = keys.join(comp.select("doc_id", "comp"), "doc_id") if k else keys.withColumn("comp", F.col("doc_id"))
-        split = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("doc_id", F.lit(k)), "doc_id", "n", "comp")).alias("hub"),
+        at = keys.withColumn("comp", F.col("set")) if comp is None else keys.join(comp, "set")
+        split = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("set", F.lit(k)), "set", "n", "comp")).alias("hub"),
                                       F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
         if k < ROUNDS:
-            pairs = at.join(split, "key").select("doc_id", "n", "comp", F.col("hub.doc_id").alias("o"), F.col("hub.n").alias("on"), F.col("hub.comp").alias("oc"))
+            pairs = at.join(split, "key").select("set", "n", "comp", F.col("hub.set").alias("o"), F.col("hub.n").alias("on"), F.col("hub.comp").alias("oc"))
         else:
-            at = settle(at.join(split.select("key"), "key"), "jaccard_open")
-            pairs = at.join(at.select("key", F.col("doc_id").alias("o"), F.col("n").alias("on"), F.col("comp").alias("oc")), "key").where("doc_id < o").drop("key")
+            at = settle(at.join(split.select("key"), "key").distinct(), "jaccard_open")
+            pairs = at.join(at.select("key", F.col("set").alias("o"), F.col("n").alias("on"), F.col("comp").alias("oc")), "key").where("set < o").drop("key")
         pairs = pairs.where((F.col("comp") != F.col("oc")) & near(F.col("n"), F.col("on"), percent)).select(
-            F.least("doc_id", "o").alias("a"), F.greatest("doc_id", "o").alias("b")).distinct()
+            F.least("set", "o").alias("a"), F.greatest("set", "o").alias("b")).distinct()
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
-        pairs = settle(pairs, "jaccard_pairs")
+        pairs = settle(plausible(pairs, table, percent), "jaccard_pairs")
         if pairs.isEmpty():
             continue
         tried = pairs if tried is None else tried.union(pairs)
-        good = settle(verified(pairs, reps, percent), "jaccard_links")
+        wanted = settle(pairs.select(F.col("a").alias("set")).union(pairs.select("b")).distinct().join(table.select("set", "rep"), "set"), "jaccard_wanted")
+        good = settle(verified(pairs, settle(sets_of(docs, wanted, n), "jaccard_sets"), percent), "jaccard_links")
         links = good if links is None else links.union(good)
         comp = settle(components(nodes, links), "jaccard_comp")
-    named = owner.join(comp.select(F.col("doc_id").alias("rep"), "comp"), "rep").select("sig", "comp")
-    return all_.join(named, "sig", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("comp")).otherwise(F.col("doc_id")).alias("component_id"))
-
-
-def _repeats(rows: DataFrame) -> bool:
-    return not rows.groupBy("doc_id").count().where("count > 1").isEmpty()
+    named = table.select("set", F.col("rep").alias("component"))
+    if comp is not None:
+        named = table.join(comp, "set")
+        named = named.join(named.groupBy("comp").agg(F.min("rep").alias("component")), "comp").select("set", "component")
+    return rows.join(named, "set", "left").select(
+        "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
 
 
 def keep_one(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:

@@ -17,7 +17,6 @@ by one; with no training row every count is 0; extra columns are ignored.
 from __future__ import annotations
 
 import math
-import re
 
 import numpy as np
 import pandas as pd
@@ -26,9 +25,8 @@ from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import chain, fold, held_out, mix, runs, texts, word_hashes
+from .common import chain, held_out, mix, runs, space_words, texts, word_hashes
 
-WORDS = re.compile(r"[^\x20\x09-\x0D]+")
 LAMBDA = 0.6
 BITS_PER_KEY = 12
 PROBES = 3
@@ -40,12 +38,12 @@ START = np.uint64(0x5354415254)
 
 def token_hashes(texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
     """Hashes of all tokens of some texts, each text closed by an end token (an empty word), and their numbers."""
-    words: list[str] = []
+    words: list[bytes] = []
     size = []
     for t in texts_:
-        w = WORDS.findall(fold(t))
+        w = space_words(t)
         words += w
-        words.append("")
+        words.append(b"")
         size.append(len(w) + 1)
     return word_hashes(words), np.array(size, np.int64)
 
