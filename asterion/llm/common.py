@@ -75,13 +75,35 @@ def space_words(text: str) -> list[bytes]:
     return text.encode("utf-8").lower().split()
 
 
+class _Hashes(dict):
+    """Hash of each word met; long words are not kept."""
+
+    def __missing__(self, word: bytes) -> int:
+        import xxhash
+        h = xxhash.xxh3_64_intdigest(word)
+        if len(word) <= 64:
+            self[word] = h
+        return h
+
+
+_known = _Hashes()
+
+
 def word_hashes(words: list[bytes]) -> np.ndarray:
     """64-bit hash of every word, alike on every machine."""
-    import xxhash
-    codes, names = pd.factorize(np.array(words, dtype=object))
-    one = xxhash.xxh3_64_intdigest
-    table = np.fromiter((one(w) for w in names), np.uint64, len(names))
-    return table[codes] if len(words) else np.zeros(0, np.uint64)
+    if len(_known) > 300_000:  # bounds the memory only
+        _known.clear()
+    return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
+
+
+def grams(h: np.ndarray, n: int) -> np.ndarray:
+    """A hash for the n hashes from each position on, order included."""
+    m = max(0, len(h) - n + 1)
+    out = np.full(m, n, np.uint64)
+    for k in range(n if m else 0):
+        out *= np.uint64(0x9E3779B97F4A7C15)
+        out += h[k:k + m]
+    return mix(out)
 
 
 def chain(parts: list[np.ndarray]) -> np.ndarray:

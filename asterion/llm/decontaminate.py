@@ -25,7 +25,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import chain, runs, texts, word_hashes
+from .common import grams, runs, texts, word_hashes
 
 #: Bytes of words stay, A-Z are lower-cased, every other byte separates.
 WORD_BYTES = bytes(b if b > 0x7F or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
@@ -37,12 +37,6 @@ def words_of(text: str) -> list[bytes]:
     return text.encode("utf-8").translate(WORD_BYTES).split()
 
 
-def shingles(h: np.ndarray, n: int) -> np.ndarray:
-    """Hash of the n words from each position on."""
-    m = len(h) - n + 1
-    return chain([h[k:k + m] for k in range(n)]) if m > 0 else np.zeros(0, np.uint64)
-
-
 class Windows:
     """Prefix index over the windows of some items, one table per shingle length."""
 
@@ -56,15 +50,15 @@ class Windows:
                 if item not in known:
                     known.append(item)
         self.windows = list(owners.items())
-        grams = []
+        cut = []
         df: Counter[int] = Counter()
         for w, _ in self.windows:
             n = min(SHINGLE, len(w))
-            g = shingles(word_hashes(list(w)), n).tolist()
-            grams.append((n, g))
+            g = grams(word_hashes(list(w)), n).tolist()
+            cut.append((n, g))
             df.update(set(g))
         tables: dict[int, list[tuple[int, int, int]]] = {}
-        for i, (n, g) in enumerate(grams):
+        for i, (n, g) in enumerate(cut):
             at = min(range(len(g)), key=lambda k: (df[g[k]], g[k], k))
             tables.setdefault(n, []).append((g[at], i, at))
         self.tables = {}
@@ -79,7 +73,7 @@ class Windows:
         h = word_hashes([x for w in words for x in w])
         out: list[tuple[np.ndarray, set[int]]] = [(np.zeros(n, bool), set()) for n in size]
         for n, (keys, rows) in self.tables.items():
-            g = shingles(h, n)
+            g = grams(h, n)
             lo = np.searchsorted(keys, g)
             found = np.flatnonzero((lo < len(keys)) & (keys[np.minimum(lo, len(keys) - 1)] == g))
             for p in found.tolist():

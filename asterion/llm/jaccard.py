@@ -34,7 +34,7 @@ from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import chain, runs, space_words, texts, word_hashes
+from .common import chain, grams, runs, space_words, texts, word_hashes
 
 SKETCH = 1 << 20
 CELLS = 1 << 14
@@ -47,13 +47,15 @@ def shingle_sets(texts_: list[str], n: int) -> list[np.ndarray]:
     """Sorted distinct shingle hashes of each text."""
     words = [space_words(t) for t in texts_]
     h = word_hashes([x for w in words for x in w])
+    whole = grams(h, n)
     out, at = [], 0
     for w in words:
-        x = h[at:at + len(w)]
+        if len(w) >= n:
+            g = np.sort(whole[at:at + len(w) - n + 1])
+            out.append(g[np.concatenate(([True], g[1:] != g[:-1]))])
+        else:
+            out.append(grams(h[at:at + len(w)], len(w)) if w else np.zeros(0, np.uint64))
         at += len(w)
-        k = min(n, len(w))
-        m = len(w) - k + 1
-        out.append(np.unique(chain([x[i:i + m] for i in range(k)] + [np.full(m, k, np.uint64)])) if k else np.zeros(0, np.uint64))
     return out
 
 
