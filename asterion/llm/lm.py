@@ -1,12 +1,13 @@
 """Language model scores from a log-frequency Bloom filter.
 
-Counts of words and word pairs come from all training documents, in one
-distributed aggregation. A count n is quantised to level 1 + floor(log2 n); the
-filter holds one key per gram and level up to its own, so a count is read back by
-probing level after level until one is missing. The filter is built in blocks,
-each in its own task; its size follows the number of keys up to ``MOST_BITS``,
-which bounds what is broadcast. Words get all their counts; pairs seen once are
-left to smoothing. P(w|v) = LAMBDA c(vw)/c(v) + (1 - LAMBDA) (c(w)+1)/(N+V+1).
+Counts of all words and all word pairs, also of those that occur once, come from
+all training documents, in one shuffle by block of grams; the number of blocks
+grows with the text, so a block does not. A count n is quantised to level
+1 + floor(log2 n); the filter of a block holds one key per gram and level up to its
+own, at ``BITS_PER_KEY`` bits a key, so a count is read back by probing level after
+level until one is missing. P(w|v) = LAMBDA c(vw)/c(v) + (1 - LAMBDA) (c(w)+1)/(N+V+1).
+The end token of a text also stands before its first word, so that pairs at the
+start have the number of texts as their context's count.
 
 The exact base score joins counts by word hash: words with more than N/2^18
 occurrences, at most 2^18 of them, are broadcast; the rest are joined, and none of
@@ -30,10 +31,8 @@ from .common import chain, held_out, mix, runs, space_words, texts, word_hashes
 LAMBDA = 0.6
 BITS_PER_KEY = 12
 PROBES = 3
-BLOCK_KEYS = 400_000
-MOST_BITS = 1 << 31
+BLOCK_CHARS = 2_000_000
 HOT_SHARE = 1 << 18
-START = np.uint64(0x5354415254)
 
 
 def token_hashes(texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -50,12 +49,13 @@ def token_hashes(texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
 
 def pair_hashes(h: np.ndarray, size: np.ndarray) -> np.ndarray:
     """Hash of each token with the one before it in its text."""
-    before = np.concatenate(([START], h[:-1])) if len(h) else h
-    before[np.cumsum(size) - size] = START
+    before = np.concatenate((h[-1:], h[:-1]))
+    before[np.cumsum(size) - size] = word_hashes([b""])[0]
     return chain([before, h]), before
 
 
-def counts(train: DataFrame) -> DataFrame:
+def counts(train: DataFrame, blocks: int) -> DataFrame:
+    """One row per block of grams: its filter, the counts of its words, and their sum."""
     def run(batches):
         for b in batches:
             t = texts(b["text"])
@@ -63,16 +63,46 @@ def counts(train: DataFrame) -> DataFrame:
                 h, size = token_hashes(t[i:j])
                 for order, g in ((1, h), (2, pair_hashes(h, size)[0])):
                     key, n = np.unique(g, return_counts=True)
-                    yield pd.DataFrame({"ord": np.int32(order), "gram": key.view(np.int64), "n": n})
-    parts = train.select("text").mapInPandas(run, "ord int, gram bigint, n bigint")
-    return parts.groupBy("ord", "gram").agg(F.sum("n").alias("n")).where("ord = 1 OR n > 1")
+                    block, parts = split(key, blocks)
+                    yield pd.DataFrame({"block": block, "ord": np.int32(order), "gram": [key[p].tobytes() for p in parts], "n": [n[p].tobytes() for p in parts]})
+
+    def fill(rows: pd.DataFrame) -> pd.DataFrame:
+        (words, word_n), pairs = (added(rows[rows["ord"] == order]) for order in (1, 2))
+        gram, level = np.concatenate([words, pairs[0]]), np.frexp(np.concatenate([word_n, pairs[1]]))[1]
+        bits = (BITS_PER_KEY * int(level.sum()) + 63) // 64 * 64
+        data = np.zeros(bits, bool)
+        for k in range(1, int(level.max()) + 1):
+            for p in places(gram[level >= k], k, bits):
+                data[p] = True
+        return pd.DataFrame({"block": rows["block"].iloc[:1].to_numpy(), "data": [np.packbits(data, bitorder="little").tobytes()],
+                             "word": [words.view(np.int64)], "word_n": [word_n], "tokens": [int(word_n.sum())]})
+    parts = train.select("text").mapInPandas(run, "block bigint, ord int, gram binary, n binary")
+    return parts.groupBy("block").applyInPandas(fill, "block bigint, data binary, word array<bigint>, word_n array<bigint>, tokens bigint")
+
+
+def split(gram: np.ndarray, blocks: int) -> tuple[np.ndarray, list[np.ndarray]]:
+    """Blocks that some grams fall into, and the positions of each one's grams."""
+    block = block_of(gram, blocks)
+    by = np.argsort(block, kind="stable")
+    names, start = np.unique(block[by], return_index=True)
+    return names, np.split(by, start[1:]) if len(names) else []
+
+
+def added(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct grams of packed rows, in order, and the sums of their counts."""
+    gram = np.frombuffer(b"".join(rows["gram"]), np.uint64)
+    by = np.argsort(gram, kind="stable")
+    gram = gram[by]
+    first = np.flatnonzero(np.concatenate((np.ones(min(1, len(gram)), bool), gram[1:] != gram[:-1])))
+    n = np.frombuffer(b"".join(rows["n"]), np.int64)[by]
+    return gram[first], np.add.reduceat(n, first) if len(n) else n
 
 
-def places(gram: np.ndarray, level: np.ndarray | int, bits: int) -> list[np.ndarray]:
+def places(gram: np.ndarray, level: np.ndarray | int, bits: np.ndarray | int) -> list[np.ndarray]:
     """Bit numbers of (gram, level) in a block."""
     x = mix(gram + np.uint64(0x9E3779B97F4A7C15) * np.asarray(level, np.uint64))
     step = mix(x) | np.uint64(1)
-    return [((x + np.uint64(k) * step) % np.uint64(bits)).astype(np.int64) for k in range(PROBES)]
+    return [((x + np.uint64(k) * step) % np.asarray(bits, np.uint64)).astype(np.int64) for k in range(PROBES)]
 
 
 def block_of(gram: np.ndarray, blocks: int) -> np.ndarray:
@@ -80,13 +110,17 @@ def block_of(gram: np.ndarray, blocks: int) -> np.ndarray:
 
 
 class Counts:
-    """The broadcast filter, read by repeated probes."""
+    """Filters of blocks, read by repeated probes. A block without grams is one empty word."""
 
-    def __init__(self, blocks: int, bits: int, filled: dict[int, bytes]):
-        self.blocks, self.bits = blocks, bits
-        self.data = np.zeros((blocks, bits // 8), np.uint8)
+    def __init__(self, blocks: int, filled: dict[int, bytes]):
+        self.blocks = blocks
+        length = np.full(blocks, 8, np.int64)
         for k, v in filled.items():
-            self.data[k] = np.frombuffer(v, np.uint8)
+            length[k] = len(v)
+        self.bits, self.start = length * 8, np.cumsum(length) - length
+        self.data = np.zeros(int(length.sum()), np.uint8)
+        for k, v in filled.items():
+            self.data[self.start[k]:self.start[k] + len(v)] = np.frombuffer(v, np.uint8)
 
     def read(self, gram: np.ndarray) -> np.ndarray:
         """Middle of the quantised range of each gram's count; 0 for a gram that is not there."""
@@ -94,8 +128,8 @@ class Counts:
         todo, block = np.arange(len(gram)), block_of(gram, self.blocks)
         for k in range(1, 64):
             hit = np.ones(len(todo), bool)
-            for p in places(gram[todo], k, self.bits):
-                hit &= (self.data[block[todo], p >> 3] >> (p & 7).astype(np.uint8)) & 1 == 1
+            for p in places(gram[todo], k, self.bits[block[todo]]):
+                hit &= (self.data[self.start[block[todo]] + (p >> 3)] >> (p & 7).astype(np.uint8)) & 1 == 1
             todo = todo[hit]
             if not len(todo):
                 break
@@ -103,33 +137,18 @@ class Counts:
         return np.where(level == 0, 0.0, np.where(level == 1, 1.0, 1.5 * 2.0 ** (level - 1)))
 
 
-def build_filter(table: DataFrame) -> Counts:
-    level = (F.floor(F.log2("n") + 1e-9) + 1).cast("bigint")
-    total = table.agg(F.sum(level)).first()[0] or 0
-    blocks = max(1, math.ceil(total / BLOCK_KEYS))
-    bits = max(1024, min(BITS_PER_KEY * math.ceil(total / blocks), MOST_BITS // blocks)) // 8 * 8
-
-    def fill(rows: pd.DataFrame) -> pd.DataFrame:
-        gram, top = rows["gram"].to_numpy().view(np.uint64), rows["level"].to_numpy()
-        data = np.zeros(bits, bool)
-        for k in range(1, int(top.max()) + 1):
-            for p in places(gram[top >= k], k, bits):
-                data[p] = True
-        return pd.DataFrame({"block": rows["block"].iloc[:1].to_numpy(), "data": [np.packbits(data, bitorder="little").tobytes()]})
-    block = F.pmod(F.shiftrightunsigned("gram", 17), F.lit(blocks)).cast("bigint")
-    filled = table.select(block.alias("block"), "gram", level.alias("level")).groupBy("block").applyInPandas(fill, "block bigint, data binary")
-    return Counts(blocks, bits, {r.block: bytes(r.data) for r in filled.toLocalIterator()})
-
-
 def scores(docs: DataFrame, train: DataFrame) -> DataFrame:
     """Per row: doc_id, n_tokens, n_known, train_tokens, base_score, score."""
     spark = docs.sparkSession
-    table = settle(counts(train), "lm_counts")
-    words = table.where("ord = 1")
-    r = words.agg(F.sum("n"), F.count(F.lit(1))).first()
-    total, kinds = int(r[0] or 0), int(r[1])
+    chars = docs.select("text").union(train.select("text")).agg(F.sum(F.length("text"))).first()[0] or 0
+    blocks = math.ceil((chars + 1) / BLOCK_CHARS)
+    table = settle(counts(train, blocks), "lm_counts")
+    r = table.agg(F.sum("tokens"), F.sum(F.size("word"))).first()
+    total, kinds = int(r[0] or 0), int(r[1] or 0)
+    words = table.select(F.explode(F.arrays_zip("word", "word_n")).alias("x")).select(F.col("x.word").alias("gram"), F.col("x.word_n").alias("n"))
     hot = words.where(F.col("n") > total // HOT_SHARE).select("gram", "n").toPandas().sort_values("gram", ignore_index=True)
-    shared = spark.sparkContext.broadcast((build_filter(table), hot["gram"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)))
+    model = Counts(blocks, {r.block: bytes(r.data) for r in table.select("block", "data").toLocalIterator()})
+    shared = spark.sparkContext.broadcast((model, hot["gram"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)))
     floor = math.log10(total + kinds + 1)
 
     def run(batches):
@@ -143,8 +162,7 @@ def scores(docs: DataFrame, train: DataFrame) -> DataFrame:
                 c1 = model.read(names)
                 c, cb = c1[code[:len(h)]], c1[code[len(h):]]
                 key, at = np.unique(pairs, return_inverse=True)
-                ratio = np.minimum(1.0, model.read(key)[at] / np.maximum(np.where(before == START, j - i, cb), 1.0))
-                ratio[before == START] = 0
+                ratio = np.minimum(1.0, model.read(key)[at] / np.maximum(cb, 1.0))
                 p = LAMBDA * ratio + (1 - LAMBDA) * (c + 1) / (total + kinds + 1)
                 edge = np.cumsum(size) - size
                 score = np.minimum(np.add.reduceat(np.log10(np.minimum(p, 1.0)), edge), 0.0)

@@ -91,6 +91,19 @@ def base_scores(docs):
     return {k: (len(x), sum(c[w] > 0 for w in x), total, sum(math.log10((c[w] + 1) / (total + kinds + 1)) for w in x)) for k, x in words.items()}
 
 
+def scores(docs, share=0.6):
+    """Scores with exact word and pair counts, quantised as the filter quantises them."""
+    words = {k: SPACE_WORDS.findall(low(t)) + [""] for k, t in docs.items()}
+    train = [x for k, x in words.items() if zlib.crc32(str(k).encode()) % 7 != 2]
+    one, two = collections.Counter(w for x in train for w in x), collections.Counter(p for x in train for p in zip([""] + x, x))
+    top = sum(one.values()) + len(one) + 1
+
+    def q(n):
+        return n if n < 2 else 1.5 * 2 ** (n.bit_length() - 1)
+    return {k: sum(math.log10(min(1, share * min(1, q(two[p]) / max(1, q(one[p[0]]))) + (1 - share) * (q(one[p[1]]) + 1) / top))
+                   for p in zip([""] + x, x)) for k, x in words.items()}
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else sum(divmod(int(c) * 2, 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 

@@ -94,6 +94,13 @@ def test_lm(docs):
         assert r.held_out == (zlib.crc32(str(r.doc_id).encode()) % 7 == 2)
 
 
+def test_lm_scores_every_pair(docs, monkeypatch):
+    monkeypatch.setattr(lm, "BITS_PER_KEY", 1200)  # no false hits
+    want = brute.scores(rows())
+    for k, (score,) in got(lm.predictions(docs), "score").items():
+        assert score == pytest.approx(want[k]), k
+
+
 def test_pii(docs):
     out = pii.report(pii.find(docs))
     assert got(out, "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == brute.personal(rows())
