@@ -6,6 +6,9 @@ grows with the text, so a block does not. A count n is quantised to level
 1 + floor(log2 n); the filter of a block holds one key per gram and level up to its
 own, at ``BITS_PER_KEY`` bits a key, so a count is read back by probing level after
 level until one is missing. P(w|v) = LAMBDA c(vw)/c(v) + (1 - LAMBDA) (c(w)+1)/(N+V+1).
+A filter of at most ``SHARED_BYTES`` is broadcast. A larger one stays in the shared
+folder as it is: grams of documents go to their blocks, are read there, and their
+levels come back, with the same result.
 The end token of a text also stands before its first word, so that pairs at the
 start have the number of texts as their context's count.
 
@@ -18,6 +21,7 @@ by one; with no training row every count is 0; extra columns are ignored.
 from __future__ import annotations
 
 import math
+import uuid
 
 import numpy as np
 import pandas as pd
@@ -33,6 +37,7 @@ BITS_PER_KEY = 12
 PROBES = 3
 BLOCK_CHARS = 2_000_000
 HOT_SHARE = 1 << 18
+SHARED_BYTES = 1 << 27
 
 
 def token_hashes(texts_: list[str]) -> tuple[np.ndarray, np.ndarray]:
@@ -123,8 +128,8 @@ class Counts:
             self.data[self.start[k]:self.start[k] + len(v)] = np.frombuffer(v, np.uint8)
 
     def read(self, gram: np.ndarray) -> np.ndarray:
-        """Middle of the quantised range of each gram's count; 0 for a gram that is not there."""
-        level = np.zeros(len(gram), np.int64)
+        """Level of each gram's count; 0 for a gram that is not there."""
+        level = np.zeros(len(gram), np.uint8)
         todo, block = np.arange(len(gram)), block_of(gram, self.blocks)
         for k in range(1, 64):
             hit = np.ones(len(todo), bool)
@@ -134,47 +139,113 @@ class Counts:
             if not len(todo):
                 break
             level[todo] = k
-        return np.where(level == 0, 0.0, np.where(level == 1, 1.0, 1.5 * 2.0 ** (level - 1)))
+        return level
+
+
+class Answers:
+    """Levels of the grams of one run of documents."""
+
+    def __init__(self, gram: np.ndarray, level: np.ndarray):
+        by = np.argsort(gram, kind="stable")
+        self.gram, self.level = gram[by], level[by]
+
+    def read(self, gram: np.ndarray) -> np.ndarray:
+        return self.level[np.searchsorted(self.gram, gram)]
+
+
+def middle(level: np.ndarray) -> np.ndarray:
+    """Middle of the range of counts of each level."""
+    return np.where(level == 0, 0.0, np.where(level == 1, 1.0, 1.5 * 2.0 ** (level.astype(np.int64) - 1)))
+
+
+def score_run(b: pd.DataFrame, h: np.ndarray, size: np.ndarray, model: Counts | Answers, hot_key: np.ndarray, hot_n: np.ndarray, total: int, kinds: int) -> pd.DataFrame:
+    """Scores of the texts whose token hashes are ``h``; exact counts of words that are not hot are left to ``rest``."""
+    pairs, before = pair_hashes(h, size)
+    names, code = np.unique(np.concatenate([h, before]), return_inverse=True)
+    c1 = middle(model.read(names))
+    c, cb = c1[code[:len(h)]], c1[code[len(h):]]
+    key, at = np.unique(pairs, return_inverse=True)
+    ratio = np.minimum(1.0, middle(model.read(key))[at] / np.maximum(cb, 1.0))
+    p = LAMBDA * ratio + (1 - LAMBDA) * (c + 1) / (total + kinds + 1)
+    edge = np.cumsum(size) - size
+    score = np.minimum(np.add.reduceat(np.log10(np.minimum(p, 1.0)), edge), 0.0)
+    s = h.view(np.int64)
+    found = np.searchsorted(hot_key, s)
+    is_hot = (found < len(hot_key)) & (hot_key[np.minimum(found, max(0, len(hot_key) - 1))] == s) if len(hot_key) else np.zeros(len(s), bool)
+    exact = np.where(is_hot, np.log10((hot_n[np.where(is_hot, found, 0)] if len(hot_key) else 0) + 1.0) - math.log10(total + kinds + 1), 0.0)
+    rest = [x[~y] for x, y in zip(np.split(s, edge[1:]), np.split(is_hot, edge[1:]))]
+    return pd.DataFrame({"uid": b["uid"], "doc_id": b["doc_id"], "n_tokens": size, "hot_known": np.add.reduceat(is_hot.astype(np.int64), edge),
+                         "hot_score": np.add.reduceat(exact, edge), "score": score, "rest": rest})
+
+
+SCORED = "uid bigint, doc_id bigint, n_tokens bigint, hot_known bigint, hot_score double, score double, rest array<bigint>"
+
+
+def shared_filter_rows(docs: DataFrame, table: DataFrame, blocks: int, hot: tuple, total: int, kinds: int) -> DataFrame:
+    """Scored rows by a broadcast filter."""
+    model = Counts(blocks, {r.block: bytes(r.data) for r in table.select("block", "data").toLocalIterator()})
+    shared = docs.sparkSession.sparkContext.broadcast((model, *hot))
+
+    def run(batches):
+        model, hot_key, hot_n = shared.value
+        for b in batches:
+            t = texts(b["text"])
+            for i, j in runs([len(x) for x in t], 2_000_000):
+                yield score_run(b.iloc[i:j], *token_hashes(t[i:j]), model, hot_key, hot_n, total, kinds)
+    return docs.mapInPandas(run, SCORED)
+
+
+def dealt_filter_rows(docs: DataFrame, table: DataFrame, blocks: int, hot: tuple, total: int, kinds: int) -> DataFrame:
+    """Scored rows by grams that are dealt to the blocks of the filter: a task holds one block or one run of documents."""
+    shared = docs.sparkSession.sparkContext.broadcast(hot)
+
+    def hashed(batches):
+        for b in batches:
+            t = texts(b["text"])
+            for i, j in runs([len(x) for x in t], 2_000_000):
+                h, size = token_hashes(t[i:j])
+                yield pd.DataFrame({"run": uuid.uuid4().hex, "uid": b["uid"].iloc[i:j], "doc_id": b["doc_id"].iloc[i:j],
+                                    "h": [x.tobytes() for x in np.split(h, np.cumsum(size)[:-1])]})
+
+    def tokens(rows: pd.DataFrame) -> tuple[np.ndarray, np.ndarray]:
+        return np.frombuffer(b"".join(rows["h"]), np.uint64), rows["h"].map(len).to_numpy(np.int64) // 8
+
+    def asked(batches):
+        for b in batches:
+            for name, rows in b.groupby("run"):
+                h, size = tokens(rows)
+                gram = np.unique(np.concatenate([h, *pair_hashes(h, size)]))
+                block, parts = split(gram, blocks)
+                yield pd.DataFrame({"run": name, "block": block, "gram": [gram[p].tobytes() for p in parts]})
+
+    def answer(rows: pd.DataFrame, filled: pd.DataFrame) -> pd.DataFrame:
+        if not len(rows):
+            return pd.DataFrame({"run": [], "gram": [], "level": []})
+        model = Counts(1, dict(enumerate(filled["data"])))
+        return pd.DataFrame({"run": rows["run"], "gram": rows["gram"], "level": [model.read(np.frombuffer(g, np.uint64)).tobytes() for g in rows["gram"]]})
+
+    def scored(rows: pd.DataFrame, levels: pd.DataFrame) -> pd.DataFrame:
+        model = Answers(np.frombuffer(b"".join(levels["gram"]), np.uint64), np.frombuffer(b"".join(levels["level"]), np.uint8))
+        return score_run(rows.reset_index(), *tokens(rows), model, *shared.value, total, kinds)
+    kept = settle(docs.mapInPandas(hashed, "run string, uid bigint, doc_id bigint, h binary"), "lm_tokens")
+    levels = kept.select("run", "h").mapInPandas(asked, "run string, block bigint, gram binary").groupBy("block").cogroup(
+        table.select("block", "data").groupBy("block")).applyInPandas(answer, "run string, gram binary, level binary")
+    return kept.groupBy("run").cogroup(levels.groupBy("run")).applyInPandas(scored, SCORED)
 
 
 def scores(docs: DataFrame, train: DataFrame) -> DataFrame:
     """Per row: doc_id, n_tokens, n_known, train_tokens, base_score, score."""
-    spark = docs.sparkSession
     chars = docs.select("text").union(train.select("text")).agg(F.sum(F.length("text"))).first()[0] or 0
     blocks = math.ceil((chars + 1) / BLOCK_CHARS)
     table = settle(counts(train, blocks), "lm_counts")
-    r = table.agg(F.sum("tokens"), F.sum(F.size("word"))).first()
+    r = table.agg(F.sum("tokens"), F.sum(F.size("word")), F.sum(F.length("data"))).first()
     total, kinds = int(r[0] or 0), int(r[1] or 0)
     words = table.select(F.explode(F.arrays_zip("word", "word_n")).alias("x")).select(F.col("x.word").alias("gram"), F.col("x.word_n").alias("n"))
     hot = words.where(F.col("n") > total // HOT_SHARE).select("gram", "n").toPandas().sort_values("gram", ignore_index=True)
-    model = Counts(blocks, {r.block: bytes(r.data) for r in table.select("block", "data").toLocalIterator()})
-    shared = spark.sparkContext.broadcast((model, hot["gram"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)))
+    rows = docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text")
+    scored = shared_filter_rows if int(r[2] or 0) <= SHARED_BYTES else dealt_filter_rows
+    rows = settle(scored(rows, table, blocks, (hot["gram"].to_numpy(np.int64), hot["n"].to_numpy(np.int64)), total, kinds), "lm_rows")
     floor = math.log10(total + kinds + 1)
-
-    def run(batches):
-        model, hot_key, hot_n = shared.value
-        for b in batches:
-            t = texts(b["text"])
-            for i, j in runs([len(x) for x in t], 2_000_000):
-                h, size = token_hashes(t[i:j])
-                pairs, before = pair_hashes(h, size)
-                names, code = np.unique(np.concatenate([h, before]), return_inverse=True)
-                c1 = model.read(names)
-                c, cb = c1[code[:len(h)]], c1[code[len(h):]]
-                key, at = np.unique(pairs, return_inverse=True)
-                ratio = np.minimum(1.0, model.read(key)[at] / np.maximum(cb, 1.0))
-                p = LAMBDA * ratio + (1 - LAMBDA) * (c + 1) / (total + kinds + 1)
-                edge = np.cumsum(size) - size
-                score = np.minimum(np.add.reduceat(np.log10(np.minimum(p, 1.0)), edge), 0.0)
-                s = h.view(np.int64)
-                found = np.searchsorted(hot_key, s)
-                is_hot = (found < len(hot_key)) & (hot_key[np.minimum(found, max(0, len(hot_key) - 1))] == s) if len(hot_key) else np.zeros(len(s), bool)
-                exact = np.where(is_hot, np.log10((hot_n[np.where(is_hot, found, 0)] if len(hot_key) else 0) + 1.0) - floor, 0.0)
-                rest = [x[~y] for x, y in zip(np.split(s, edge[1:]), np.split(is_hot, edge[1:]))]
-                yield pd.DataFrame({"uid": b["uid"].iloc[i:j], "doc_id": b["doc_id"].iloc[i:j], "n_tokens": size,
-                                    "hot_known": np.add.reduceat(is_hot.astype(np.int64), edge), "hot_score": np.add.reduceat(exact, edge), "score": score, "rest": rest})
-    rows = settle(docs.select(F.monotonically_increasing_id().alias("uid"), F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(
-        run, "uid bigint, doc_id bigint, n_tokens bigint, hot_known bigint, hot_score double, score double, rest array<bigint>"), "lm_rows")
     rare = (rows.select("uid", F.explode("rest").alias("gram")).groupBy("uid", "gram").agg(F.count(F.lit(1)).alias("k"))
             .join(words.where(F.col("n") <= total // HOT_SHARE).select("gram", "n"), "gram", "left")
             .groupBy("uid").agg(F.sum(F.when(F.col("n") > 0, F.col("k")).otherwise(0)).alias("known"),

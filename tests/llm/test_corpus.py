@@ -101,6 +101,16 @@ def test_lm_scores_every_pair(docs, monkeypatch):
         assert score == pytest.approx(want[k]), k
 
 
+def test_lm_filter_grows_with_the_text(docs, monkeypatch):
+    """A filter too large to be shared is dealt by blocks, at the same bits a key and with the same scores."""
+    monkeypatch.setattr(lm, "BLOCK_CHARS", 5000)
+    want = got(lm.predictions(docs), "score", "base_score", "n_known")
+    monkeypatch.setattr(lm, "SHARED_BYTES", 0)
+    assert {k: pytest.approx(v) for k, v in got(lm.predictions(docs), "score", "base_score", "n_known").items()} == want
+    one, many = (lm.counts(docs, n).selectExpr("sum(length(data))", "count(*)").first() for n in (1, 40))
+    assert one[1] == 1 and many[1] == 40 and one[0] <= many[0] < one[0] + 40 * 8
+
+
 def test_pii(docs):
     out = pii.report(pii.find(docs))
     assert got(out, "n_email", "n_ip", "n_card", "n_phone", "base_sha256") == brute.personal(rows())
