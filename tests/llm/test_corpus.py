@@ -124,6 +124,24 @@ def test_secrets(docs):
     assert r[92][3].value == "qZ7xK2vJ9mW4pT8sL1cR6dY3fH5gB0nQ" and r[1] == [] and r[2] == []
 
 
+@pytest.mark.parametrize("letters", ["abcdefghijklmnopqrstuvwxyz", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "0123456789ABCDEF"])
+def test_random_strings_of_one_case(letters):
+    enc, r = secrets.encoding(RANKS, P.PATTERN), random.Random(3)
+    for n in (20, 24, 32, 40, 64) * 4:
+        x = "".join(r.choice(letters) for _ in range(n))
+        for s in (x, f"{x[:10]}-{x[10:20]}_{x}", f"/usr/share/documentation/examples/{x}", f"application_configuration_setting={x}", f"configuration-{x}"):
+            spans = secrets.random_spans(f"see {s} there", enc, 2.2)
+            assert any(a <= 4 + s.index(x) and b == 4 + len(s) for a, _, b in spans), s
+
+
+def test_names_are_no_random_strings():
+    enc = secrets.encoding(RANKS, P.PATTERN)
+    for s in ("some_long_identifier_name/of_words", "applicationConfigurationSettings", "123e4567-e89b-12d3-a456-426614174000", "/usr/share/documentation/examples/read",
+              "7c72db563d7f6e50cec00950f7bab1f2", "internationalization", "item_1_of_2_on_3_at_4_in_5_by_6", "a" * 200):
+        assert secrets.random_spans(s, enc, 2.2) == [], s
+    assert secrets.random_spans("xqzjvkwpbnmtrlsdfghc" * 20 + "1b", enc, 2.2)
+
+
 def test_empty_tables(spark, docs):
     none, bench = docs.limit(0), spark.createDataFrame([], "item_id bigint, text string")
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
