@@ -117,6 +117,15 @@ def _(t):
     return discovery.designation_order(d).limit(25)
 
 
+@query("designation_order_all", S.chain("iau", stats=False) + """
+SELECT CASE WHEN l.is_numbered THEN l.asteroid_number ELSE d.unpacked_desig END AS primary_designation, d.stn
+FROM disc_info d JOIN neo_list l USING (unpacked_desig)""")
+def _(t):
+    neos = identity.with_numbering(filters.select_neos(t.orbits, rule="iau"), t.ni)
+    d = identity.earliest_discovery(neos, t.obs, carry=["permid"])
+    return discovery.designation_order(d.select(F.coalesce("permid", "unpacked_desig").alias("primary_designation"), "stn"))
+
+
 @query("sky_distribution", f"""WITH p AS ({PRODUCT_SQL.replace("WITH ", "WITH ", 1)})
 SELECT axis, bin_lo, bin_lo_dec, count(*) AS n FROM (
   SELECT 'v_mag' AS axis, floor(median_v_magnitude / 0.5) * CAST(0.5 AS DOUBLE) AS bin_lo, CAST(NULL AS DOUBLE) AS bin_lo_dec FROM p

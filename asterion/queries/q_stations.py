@@ -36,6 +36,12 @@ def _(t):
                                      "disc_neo_q", "disc_all").limit(3)
 
 
+@query("station_profile_ordered_all", PROFILE_SQL)
+def _(t):
+    return stations.nulls_last_order(stations.station_discovery_profile(t.orbits, t.ni, t.obs),
+                                     "disc_neo_q", "disc_all")
+
+
 @query("full_outer_counts", """
 SELECT coalesce(a.stn, b.stn) AS stn, n_mag, n_disc FROM
  (SELECT stn, count(*) AS n_mag FROM detections WHERE mag > 49 AND obstime < '1995-03-01' GROUP BY stn) a FULL JOIN
@@ -348,6 +354,11 @@ def _(t):
     return _yearly(t).select("code", "year_label", "nea_all").orderBy(year_label_key("year_label"), "code").limit(40)
 
 
+@query("year_label_order_all", f"WITH {YEARLY_SQL} SELECT code, year_label, nea_all FROM yb")
+def _(t):
+    return _yearly(t).select("code", "year_label", "nea_all").orderBy(year_label_key("year_label"), "code")
+
+
 @query("projects_by_first_year", f"""WITH {PROJECT_SQL}
 SELECT project, arg_min(first_year, {_YKEY.format('first_year')}) AS first_year, CAST(sum(nea_all) AS BIGINT) AS nea_all FROM lab GROUP BY project
 ORDER BY {_YKEY.format(f"arg_min(first_year, {_YKEY.format('first_year')})")}, nea_all DESC LIMIT 2""")
@@ -356,6 +367,12 @@ def _(t):
         "project", "first_year", "nea_all").limit(2)
 
 
+@query("projects_by_first_year_all", f"""WITH {PROJECT_SQL}
+SELECT project, arg_min(first_year, {_YKEY.format('first_year')}) AS first_year, CAST(sum(nea_all) AS BIGINT) AS nea_all FROM lab GROUP BY project""")
+def _(t):
+    return boxscore.sort_projects(boxscore.project_rollup(_yearly(t)), "first").select("project", "first_year", "nea_all")
+
+
 @query("year_change", f"""WITH {YEARLY_SQL}, c AS (SELECT code, coalesce(CAST(sum(nea_all) FILTER (WHERE year_label = '2018') AS BIGINT), 0) AS n_cur,
   coalesce(CAST(sum(nea_all) FILTER (WHERE year_label = '2017') AS BIGINT), 0) AS n_prev FROM yb GROUP BY code)
 SELECT code, n_cur, n_prev, CASE WHEN n_cur + n_prev < 5 THEN '' WHEN n_prev = 0 THEN CASE WHEN n_cur > 0 THEN '+' ELSE '' END

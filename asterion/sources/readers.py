@@ -260,7 +260,7 @@ def parse_year_blocks(pages: DataFrame, *, col: str = "html", since: int | None
     label = F.when(F.col("_y") == "Before 1971", F.lit("<1971")).otherwise(F.col("_y"))
     # A line that matches is its code followed by the thirteen numbers.
     code = F.substring_index(line, " ", 1)
-    numbers = F.regexp_extract_all(F.substring(line, F.length(code) + 1, 10_000), F.lit(r"\d+"), F.lit(0))
+    numbers = F.regexp_extract_all(line.substr(F.length(code) + 1, F.length(line)), F.lit(r"\d+"), F.lit(0))
     d = d.select(*keep, label.alias("year_label"), code.alias("code"), numbers.alias("_n"))
     return d.select(*keep, "year_label", "code",
                     *[F.col("_n")[k].cast("bigint").alias(c) for k, c in enumerate(COUNTS)])
