@@ -13,7 +13,8 @@ broadcast, so what is broadcast is bounded, and every document meets every block
 Documents are never shuffled.
 
 Null and empty texts have no words; items without words have no windows; items
-that repeat an id count once for that id; repeated documents get a row each.
+that repeat an id count once for that id; items without an id hit words but are
+not among the items found; repeated documents get a row each.
 """
 
 from __future__ import annotations
@@ -40,14 +41,14 @@ def words_of(text: str) -> list[bytes]:
 class Windows:
     """Prefix index over the windows of some items, one table per shingle length."""
 
-    def __init__(self, items: list[tuple[int, list[bytes]]], size: int = 13):
+    def __init__(self, items: list[tuple[int | None, list[bytes]]], size: int = 13):
         self.size = size
         self.windows: list[tuple[tuple[bytes, ...], list[int]]] = []
         owners: dict[tuple[bytes, ...], list[int]] = {}
         for item, words in items:
             for p in range(max(1, len(words) - size + 1) if words else 0):
                 known = owners.setdefault(tuple(words[p:p + size]), [])
-                if item not in known:
+                if item is not None and item not in known:
                     known.append(item)
         self.windows = list(owners.items())
         cut = []
@@ -93,9 +94,9 @@ class Windows:
 
 def blocks(benchmark: DataFrame, most: int):
     """Items in blocks of at most ``most`` words (or one item), read row by row."""
-    items: list[tuple[int, list[bytes]]] = []
+    items: list[tuple[int | None, list[bytes]]] = []
     total = 0
-    for row in benchmark.where("text IS NOT NULL AND item_id IS NOT NULL").select("item_id", "text").toLocalIterator():
+    for row in benchmark.where("text IS NOT NULL").select("item_id", "text").toLocalIterator():
         w = words_of(row.text)
         if items and total + len(w) > most:
             yield items

@@ -76,6 +76,17 @@ def test_decontamination(spark, docs, block_words):
     assert got(out, "n_words", "n_hit", "n_items", "items_sha256", "contaminated") == brute.contamination(text, items)
 
 
+@pytest.mark.parametrize("block_words", [500_000, 20])
+def test_benchmark_rows_without_an_id_hit_words(spark, docs, block_words):
+    text = rows()
+    items = [(None, text[20]), (7, " ".join(text[20].split()[:20])), (None, "")]
+    out = decontaminate.contamination(docs, spark.createDataFrame(items, "item_id bigint, text string"), block_words=block_words)
+    r = {x.doc_id: x for x in out.collect()}
+    want = brute.contamination(text, [(i or 0, t) for i, t in items])
+    assert {k: (x.n_words, x.n_hit, x.contaminated) for k, x in r.items()} == {k: (w[0], w[1], w[4]) for k, w in want.items()}
+    assert r[20].n_hit == r[20].n_words > 20 and r[20]["items"] == [7]
+
+
 @pytest.mark.parametrize("limit", [400, 20])
 def test_jaccard(docs, monkeypatch, limit):
     monkeypatch.setattr(jaccard.prefix_keys, "__defaults__", (limit,))
