@@ -45,7 +45,7 @@ def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 STAGES = [("quality", quality_classifier), ("exact_dedup", exact_dedup), ("jaccard_join", jaccard_join),
           ("decontaminate", benchmark_decontamination), ("bpe", encode)]
 
-#: No SQL can express the classifier; tests compare each stage with a plain version.
+#: No SQL can express the classifier; tests compare every other stage with a plain version on rows.
 ORACLE_SQL = None
 
 

@@ -104,6 +104,15 @@ def scores(docs, share=0.6):
                    for p in zip([""] + x, x)) for k, x in words.items()}
 
 
+def base_secrets(docs):
+    kinds = [("assign", r"""(?:password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([a-z0-9+/_.=-]+)""", 8), ("access", r"(AKIA[A-Z0-9]+)", 16), ("hex", r"([0-9a-f]+)", 32)]
+    out = {}
+    for key, t in docs.items():
+        sp = sorted((m.start(), k, m.end()) for k, (name, p, least) in enumerate(kinds) for m in re.finditer(p, low(t) if name == "assign" else t or "") if len(m[1]) >= least)
+        out[key] = (*[sum(x[1] == k for x in sp) for k in range(3)], sha(",".join(f"{kinds[k][0]}:{a}:{b}" for a, k, b in sp).encode()))
+    return out
+
+
 def luhn(d):
     return sum(int(c) if i % 2 == 0 else sum(divmod(int(c) * 2, 10)) for i, c in enumerate(reversed(d))) % 10 == 0
 

@@ -174,3 +174,51 @@ def test_pipeline_stages(spark):
     d = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
     for _, stage in cp.STAGES[:-1]:
         assert stage(spark, d, SF).columns == d.columns
+
+
+def test_pipeline_on_rows(spark, tmp_path):
+    """Every stage on rows, against plain versions; the classifier has none."""
+    import corpus_pipeline as cp
+    small = SF.replace("0.01", "0.001")
+    bench = spark.read.parquet(f"{small}/benchmark.parquet")
+    d = spark.read.parquet(f"{small}/documents.parquet")
+    first = d.orderBy("doc_id").limit(60).collect()
+    item = next(r.text for r in bench.orderBy("item_id").collect() if r.text)
+    more = [{**r.asDict(), "doc_id": 10_000_000 + 10 * k + j, "text": t} for k, r in enumerate(first)
+            for j, t in enumerate((r.text.upper(), r.text + " and one more word", r.text[: len(r.text) // 3] + " " + item))]
+    d.unionByName(spark.createDataFrame(more, d.schema)).write.parquet(f"{tmp_path}/documents.parquet")
+    bench.write.parquet(f"{tmp_path}/benchmark.parquet")
+    spark.read.parquet(f"{small}/labels.parquet").write.parquet(f"{tmp_path}/labels.parquet")
+    folder, before, left = str(tmp_path), spark.read.parquet(f"{tmp_path}/documents.parquet"), []
+    plain = {}
+
+    def keep(f):
+        return {k for k, ok in f.items() if ok}
+    for name, stage in cp.STAGES:
+        text = {r.doc_id: r.text for r in before.collect()}
+        out = stage(spark, before, folder)
+        out.write.parquet(f"{folder}/{name}")
+        out = spark.read.parquet(f"{folder}/{name}")
+        if name == "exact_dedup":
+            last = {}
+            for k in sorted(text):
+                last[brute.low(text[k])] = k
+            plain[name] = set(last.values())
+        elif name == "jaccard_join":
+            plain[name] = keep({k: c == k for k, (_, c) in brute.classes(text, 5, 80).items()})
+        elif name == "decontaminate":
+            plain[name] = keep({k: not w[4] for k, w in brute.contamination(text, [(r.item_id, r.text) for r in bench.collect()]).items()})
+        elif name == "bpe":
+            with open(RANKS, "rb") as lines:
+                ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, lines)}
+            assert got(out, "n_tokens", "ids_sha256", "decoded_sha256") == brute.bpe(text, ranks, P.PATTERN)
+        if name in plain:
+            assert {r.doc_id for r in out.collect()} == plain[name] and out.count() == len(plain[name]), name
+        left.append((name, before.count(), out.count()))
+        before = out
+    assert all(a > b for name, a, b in left if name in plain), left
+    assert sorted(map(tuple, cp.run(spark, folder).collect()), key=str) == sorted(map(tuple, before.collect()), key=str)
+
+
+def test_secret_base_spans(docs):
+    assert got(secrets.report(secrets.find(docs, RANKS, P.PATTERN)), "n_assign", "n_access", "n_hex", "base_sha256") == brute.base_secrets(rows())
