@@ -4,8 +4,8 @@ from __future__ import annotations
 
 import public_tokenizers
 
-from . import bpe, decontaminate, exact, jaccard, langid, lm, pii, quality, repeats, secrets
-from .common import documents
+from . import audit, bpe, decontaminate, exact, jaccard, langid, lm, pii, quality, repeats, secrets, simhash, turns
+from .common import documents, small_batches
 
 
 def op1_bpe(spark, sf_dir):
@@ -50,5 +50,19 @@ def op8_suffix_dedup(spark, sf_dir):
     return repeats.report(repeats.repeated(documents(spark, sf_dir)))
 
 
-QUERIES = {f.__name__: f for f in (op1_bpe, op2_exact_dedup, op3_decontaminate, op4_quality, op5_jaccard_join, op6_secrets, op7_langid, op8_suffix_dedup, op9_lm_scores, op10_pii)}
-ORACLES = {"op2_exact_dedup": exact.ORACLE}
+def op11_filter_audit(spark, sf_dir):
+    return audit.audit(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/labels.parquet"))
+
+
+def op12_simhash_dedup(spark, sf_dir):
+    return simhash.report(simhash.near_classes(documents(spark, sf_dir)))
+
+
+def op13_conversation_repair(spark, sf_dir):
+    small_batches(spark)
+    return turns.repair(spark.read.parquet(f"{sf_dir}/conversations.parquet"))
+
+
+QUERIES = {f.__name__: f for f in (op1_bpe, op2_exact_dedup, op3_decontaminate, op4_quality, op5_jaccard_join, op6_secrets, op7_langid, op8_suffix_dedup, op9_lm_scores, op10_pii,
+                                op11_filter_audit, op12_simhash_dedup, op13_conversation_repair)}
+ORACLES = {"op2_exact_dedup": exact.ORACLE, "op11_filter_audit": audit.ORACLE}

@@ -129,3 +129,111 @@ def personal(docs):
         sp = sorted((m.start(), k, m.end()) for k, (_, p, ok) in enumerate(kinds) for m in re.finditer(p, t or "") if ok(m[0]))
         out[key] = (*[sum(x[1] == k for x in sp) for k in range(4)], sha(",".join(f"{kinds[k][0]}:{a}:{b}" for a, k, b in sp).encode()))
     return out
+
+
+def audit(docs, labels):
+    """``docs``: (id, text, lang) rows; every order applied filter by filter."""
+    import itertools
+    said = {}
+    for i, q, x in (r for r in labels if r[0] is not None):
+        g = said.setdefault(i, [False, False])
+        g[0] |= q == 1
+        g[1] |= x == 1
+    first = {}
+    for i, t, _ in docs:
+        if i is not None:
+            first[t or ""] = min(i, first.get(t or "", i))
+    parts = {}
+    for i, t, lang in docs:
+        t = t or ""
+        w = SPACE_WORDS.findall(t)
+        fails = {"A": len(w) < 200, "B": 100 * len(set(w)) < 50 * len(w), "C": 100 * len(re.findall("[A-Z]", t)) > 3 * len(t),
+                 "D": re.search("[#$%&*|]", t) is not None, "E": i is not None and first[t] < i}
+        parts.setdefault(lang or "", []).append((fails, *said.get(i, (False, False))))
+    out = {}
+    for part, rows in parts.items():
+        total = dict.fromkeys("ABCDE", 0)
+        for order in itertools.permutations("ABCDE"):
+            left = rows
+            for k, f in enumerate(order, 1):
+                gone, left = [r for r in left if r[0][f]], [r for r in left if not r[0][f]]
+                total[f] += len(gone)
+                out[part, "".join(order), k] = [len(left), len(gone), sum(r[0][f] for r in rows) - len(gone), sum(r[0][f] and sum(r[0].values()) == 1 for r in rows),
+                                                sum(r[1] for r in gone), sum(r[2] for r in gone), f]
+        for key, row in out.items():
+            if key[0] == part:
+                row[6] = total[row[6]]
+    return {k: tuple(v) for k, v in out.items()}
+
+
+def simhash(text):
+    import xxhash
+    w = low(text).encode().split()
+    s = [b" ".join(w[i:i + 3]) for i in range(max(1, len(w) - 2))] if w else []
+    h = [xxhash.xxh64_intdigest(x, seed=42) for x in s]
+    return sum(1 << b for b in range(64) if 2 * sum(x >> b & 1 for x in h) > len(h))
+
+
+def hamming_classes(fps):
+    """Smallest key reachable over links of at most three bits."""
+    parent = {k: k for k in fps}
+
+    def find(x):
+        while parent[x] != x:
+            x = parent[x]
+        return x
+    keys = sorted(fps)
+    for i, a in enumerate(keys):
+        for b in keys[:i]:
+            if (fps[a] ^ fps[b]).bit_count() <= 3:
+                x, y = sorted((find(a), find(b)))
+                parent[y] = x
+    return {k: find(k) for k in fps}
+
+
+def repaired(conversations):
+    """``conversations``: (conv, turn, role, text) rows; the cheapest edits by plain recursion from the end."""
+    import functools
+    convs = {}
+    for conv, turn, role, text in conversations:
+        rows = convs.setdefault(conv, [])
+        role, text = " " if role is None else role, " " if text is None else text
+        h = zlib.crc32(f"{' ' if conv is None else conv}:{' ' if turn is None else turn}".encode()) % 20
+        text = "" if h == 1 else re.sub("[.!?]", "", text) if h == 2 else text
+        rows.extend([(turn, "user" if h == 4 else role, text)] * (0 if h == 0 else 2 if h == 3 else 1))
+    out = {}
+    for conv, rows in convs.items():
+        rows.sort(key=lambda r: (r[0] is not None, r[0] or 0, r[1].encode(), r[2].encode()))
+        turns = {t for t, _, _ in rows if t is not None}
+        fault, seen = [], set()
+        for _, role, text in rows:
+            body = text.strip(" \t\n\x0b\x0c\r")
+            fault.append("blank" if not body else "duplicate" if (role, text) in seen else "truncated" if body[-1] not in ".!?" else "")
+            seen.add((role, text))
+
+        @functools.cache
+        def best(i, state, inserted=0):
+            """(cost, edits, lines) from row i on; state is what the roles so far end with."""
+            ways = [(0, "", ())] if i == len(rows) and state in ("", "a") else []
+            after = {"": "su", "s": "u", "u": "a", "a": "u"}[state]
+            name = "assistant" if after == "a" else "user"
+
+            def way(cost, edit, line, *to):
+                rest = best(*to)
+                if rest is not None:
+                    ways.append((cost + rest[0], edit + rest[1], (*line, *rest[2])))
+            if inserted < 3:
+                way(5, "I", [f"{name}:"], i, name[0], inserted + 1)
+            if i < len(rows):
+                _, role, text = rows[i]
+                way(2, "D", [], i + 1, state)
+                if fault[i] not in ("blank", "duplicate"):
+                    more = 5 if fault[i] else 0
+                    if role[:1] and role[:1] in after:
+                        way(more, "K", [f"{role}:{text}"], i + 1, role[0])
+                    way(more + 1, "R", [f"{name}:{text}"], i + 1, name[0])
+            return min(ways, default=None)
+        cost, edits, lines = best(0, "")
+        out[conv] = (max(turns) - min(turns) + 1 - len(turns) if turns else 0, *[fault.count(x) for x in ("blank", "duplicate", "truncated")],
+                     sum(a[1][:1] + b[1][:1] not in ("su", "ua", "au") for a, b in zip(rows, rows[1:])), cost, edits, sha("\n".join(lines).encode()))
+    return out
