@@ -9,6 +9,7 @@ from asterion.functions.timeconv import day_of, days_between, seconds_between
 
 from .filters import select_neos
 from .identity import earliest_discovery, observation_keys, with_numbering
+from .quantiles import with_percentiles
 from .stations import project_of
 
 
@@ -71,7 +72,7 @@ def tracklet_summaries(obs: DataFrame) -> DataFrame:
     """Tracklets of exchange rows: span, count, median magnitude, references."""
     key = F.coalesce(F.nullif("trkID", F.lit("")), F.col("obsTime"))
     d = obs.withColumn("_k", key)
-    part = d.groupBy("_k", F.round("mag", 4).alias("_mag")).agg(
+    part = d.groupBy("_k", F.col("mag").alias("_mag")).agg(
         F.count("*").alias("_n"), F.count("mag").alias("_nm"),
         F.min(F.struct("obsTime", "stn", "band")).alias("_first"), F.max("obsTime").alias("_last"),
         F.collect_set(F.nullif("ref", F.lit(""))).alias("_refs"),
@@ -157,12 +158,10 @@ def response_times(reach: DataFrame, *, survey=project_of) -> DataFrame:
 
 
 def response_summary(responses: DataFrame, *, by: list[str]) -> DataFrame:
-    """Distribution of response days; medians over days counted at 1e-4."""
-    d = responses.withColumn("_d", F.round("days", 4)).groupBy(*by, "_d").agg(F.count("*").alias("_n"))
-    return d.groupBy(*by).agg(
-        F.sum("_n").alias("n"), F.round(F.percentile("_d", F.lit(0.5), F.col("_n")), 3).alias("p50"),
-        F.round(F.percentile("_d", F.lit(0.9), F.col("_n")), 3).alias("p90"),
-        F.min("_d").alias("min_days"), F.max("_d").alias("max_days"))
+    """Distribution of response days, reported at 1e-6 of a day."""
+    main = responses.groupBy(*by).agg(F.count("*").alias("n"), F.min("days").alias("min_days"), F.max("days").alias("max_days"))
+    out = with_percentiles(main, responses, keys=by, wanted={"p50": ("days", 0.5), "p90": ("days", 0.9)})
+    return out.select(*by, "n", *[F.round(c, 6).alias(c) for c in ("p50", "p90", "min_days", "max_days")])
 
 
 def response_curve(responses: DataFrame, *, horizon: int = 200) -> DataFrame:

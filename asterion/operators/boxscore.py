@@ -8,6 +8,7 @@ from asterion.functions import orbit, tables as T
 from asterion.functions.common import count_if
 from asterion.functions.timeconv import day_of, lunation, month_of
 
+from .quantiles import with_percentiles
 from .ranking import year_label_key
 from .stations import project_of
 
@@ -88,16 +89,13 @@ def boxscore_advanced(fact: DataFrame, catalog: DataFrame, *, time: str = "year"
         F.bool_or("disc_flag").alias("_disc"), F.sum("n_obs").alias("_nobs"))
     d = per.join(catalog.select("provid", "h", class_label(grouping).alias("class")), "provid", "left")
     d = d.withColumn("class", F.coalesce("class", F.lit(T.UNCLASSIFIED[1])))
-    part = d.groupBy("time_bin", "class", F.round("h", 4).alias("_h")).agg(
-        F.count("*").alias("_n"), F.count("h").alias("_nh"), F.sum("_nobs").alias("_nobs"),
-        count_if(F.col("h") < 22).alias("_h22"), count_if(F.col("h") < 17.75).alias("_h1km"),
-        count_if("_disc").alias("_disc"))
-    n = F.sum("_n")
-    return part.groupBy("time_bin", "class").agg(
-        n.alias("n_objects"), F.round(F.percentile("_h", F.lit(0.5), F.col("_nh")), 2).alias("median_h"),
-        F.sum("_h22").alias("n_h22"), F.sum("_h1km").alias("n_1km"),
+    n = F.count("*")
+    main = d.groupBy("time_bin", "class").agg(
+        n.alias("n_objects"), count_if(F.col("h") < 22).alias("n_h22"), count_if(F.col("h") < 17.75).alias("n_1km"),
         F.round(F.sum("_nobs") / n, 4).alias("obs_per_object"),
-        F.round(F.lit(1.0) - F.sum("_disc") / n, 4).alias("others_share"))
+        F.round(F.lit(1.0) - count_if("_disc") / n, 4).alias("others_share"))
+    out = with_percentiles(main, d, keys=["time_bin", "class"], wanted={"median_h": ("h", 0.5)})
+    return out.withColumn("median_h", F.round("median_h", 4))
 
 
 def discovery_stats_by_site(discoveries: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from asterion.functions import designation as D
 from asterion.functions.common import count_if
 
 from .identity import PACKED, UNPACKED, or_key_join
-from .quantiles import exact_percentiles
+from .quantiles import with_percentiles
 
 
 def membership_wide(members: DataFrame, *, sources: list[str],
@@ -84,14 +84,12 @@ def missing_profile(wide: DataFrame, orbits: DataFrame, *, sources: list[str], s
     """Elements of the objects only one source lacks: extremes, medians, tails."""
     d = missing_from(wide, sources=sources, source=source).select("primary_desig").join(
         orbits.select(F.col(UNPACKED).alias("primary_desig"), "q", "h"), "primary_desig")
-    def median(c):
-        return exact_percentiles(d, keys=[], value=c, fractions=[0.5], names=["_m"]).scalar()
-
-    return d.agg(F.count("*").alias("n"), F.round(F.min("q"), 3).alias("q_min"),
+    main = d.agg(F.count("*").alias("n"), F.round(F.min("q"), 3).alias("q_min"),
                  F.round(F.max("q"), 3).alias("q_max"), count_if(F.col("q") > 1.29).alias("n_q_gt_129"),
-                 count_if(F.col("h") >= 27).alias("n_h_ge_27")).select(
-        "n", "q_min", "q_max", F.round(median("q"), 3).alias("q_median"), "n_q_gt_129",
-        F.round(median("h"), 1).alias("h_median"), "n_h_ge_27")
+                 count_if(F.col("h") >= 27).alias("n_h_ge_27"))
+    return with_percentiles(main, d, wanted={"q_median": ("q", 0.5), "h_median": ("h", 0.5)}).select(
+        "n", "q_min", "q_max", F.round("q_median", 3).alias("q_median"), "n_q_gt_129",
+        F.round("h_median", 1).alias("h_median"), "n_h_ge_27")
 
 
 def only_profile(wide: DataFrame, orbits: DataFrame, *, sources: list[str], source: str,
@@ -122,16 +120,26 @@ def collapse_simulation(members: DataFrame, ci: DataFrame, *, n_sources: int) ->
     return tally(base, "before", 0).unionByName(tally(after, "after collapse", 1))
 
 
-def disagreement_categories(wide: DataFrame, *, sources: list[str]) -> DataFrame:
-    """(primary_desig, cat): objects only one source lacks, or only one has."""
-    cats = F.when(F.lit(False), F.lit(""))
-    for s in sources:
-        lacks = reduce(lambda p, x: p & (~F.col(f"in_{x}") if x == s else F.col(f"in_{x}")),
-                       sources, F.lit(True))
-        alone = reduce(lambda p, x: p & (F.col(f"in_{x}") if x == s else ~F.col(f"in_{x}")),
-                       sources, F.lit(True))
-        cats = cats.when(lacks, F.lit(f"missing only {s}")).when(alone, F.lit(f"only {s}"))
-    return wide.select("primary_desig", cats.alias("cat")).where(F.col("cat").isNotNull())
+def disagreement_categories(wide: DataFrame, *, sources: list[str], together: list[tuple[str, ...]] = (),
+                            apart: list[tuple[str, ...]] = ()) -> DataFrame:
+    """(primary_desig, cat): objects only one source lacks, or only one has.
+
+    ``together`` names groups of sources that share a category of what just they lack
+    (``missing a+b``), ``apart`` groups of what just they have (``only a+b``). A category fixes the
+    membership in every source, so an object has one at most.
+    """
+    def exactly(holders):
+        return reduce(lambda p, x: p & (F.col(f"in_{x}") if x in holders else ~F.col(f"in_{x}")), sources, F.lit(True))
+
+    named = {f"missing only {s}": [x for x in sources if x != s] for s in sources}
+    named |= {f"only {s}": [s] for s in sources}
+    named |= {f"missing {'+'.join(g)}": [x for x in sources if x not in g] for g in together}
+    named |= {f"only {'+'.join(g)}": list(g) for g in apart}
+    unknown = {x for g in [*together, *apart] for x in g} - set(sources)
+    if unknown:
+        raise ValueError(f"not a source: {sorted(unknown)}")
+    cat = reduce(lambda c, kv: c.when(exactly(kv[1]), F.lit(kv[0])), named.items(), F.when(F.lit(False), F.lit("")))
+    return wide.select("primary_desig", cat.alias("cat")).where(F.col("cat").isNotNull())
 
 
 def category_characteristics(cats: DataFrame, summary: DataFrame) -> DataFrame:
@@ -142,10 +150,8 @@ def category_characteristics(cats: DataFrame, summary: DataFrame) -> DataFrame:
         F.round(F.avg("arc_days"), 0).alias("arc_avg"),
         count_if(F.col("arc_days") < 1).alias("one_night"), count_if(F.col("arc_days") < 30).alias("arc_lt_30d"),
         F.min("first_obs").alias("earliest_disc"), F.max("last_obs").alias("most_recent_obs"))
-    for c, name in (("nobs", "nobs_p50"), ("arc_days", "arc_p50")):
-        mid = exact_percentiles(d, keys=["cat"], value=c, fractions=[0.5], names=["_m"])
-        main = main.join(mid.select("cat", F.round("_m", 0).cast("int").alias(name)), "cat", "left")
-    return main
+    out = with_percentiles(main, d, keys=["cat"], wanted={"nobs_p50": ("nobs", 0.5), "arc_p50": ("arc_days", 0.5)})
+    return out.withColumns({c: F.round(c, 0).cast("int") for c in ("nobs_p50", "arc_p50")})
 
 
 def top_category_stations(cats: DataFrame, summary: DataFrame, obscodes: DataFrame, *,

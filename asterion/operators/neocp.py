@@ -9,7 +9,7 @@ from asterion.functions.common import blank_to_null, with_isolated
 from asterion.functions.timeconv import seconds_between
 
 from .identity import UNPACKED
-from .quantiles import exact_percentiles
+from .quantiles import with_percentiles
 
 
 def ades_export_rows(neocp: DataFrame) -> DataFrame:
@@ -93,11 +93,8 @@ def ingest_latency(archive: DataFrame) -> DataFrame:
     d = d.select((seconds_between("t", "created_at").cast("double") / 60.0).alias("m")).where(
         F.col("m").isNotNull())
     main = d.agg(F.count("*").alias("n"), F.min("m").alias("min_m"), F.max("m").alias("max_m"))
-    names = ["p50", "p90", "p95"]
-    p = exact_percentiles(d, keys=[], value="m", fractions=[0.5, 0.9, 0.95], names=names).select(
-        F.struct(*names)).scalar()
-    return main.select("n", F.round("min_m", 4).alias("min_m"),
-                       *[F.round(p[c], 4).alias(c) for c in names], F.round("max_m", 4).alias("max_m"))
+    out = with_percentiles(main, d, wanted={"p50": ("m", 0.5), "p90": ("m", 0.9), "p95": ("m", 0.95)})
+    return out.select("n", *[F.round(c, 4).alias(c) for c in ("min_m", "p50", "p90", "p95", "max_m")])
 
 
 def event_distribution(events: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from asterion.functions.common import count_if, share
 from asterion.functions.timeconv import mjd_to_date, month_of
 
 from .filters import json_fields
-from .quantiles import exact_percentiles
+from .quantiles import percentiles, with_percentiles
 
 JSON_KEYS = ["CAR", "COM", "epoch_data", "system_data", "software_data", "categorization",
              "magnitude_data", "designation_data", "moid_data", "non_grav_booleans",
@@ -82,16 +82,13 @@ def class_recovery(orbits: DataFrame) -> DataFrame:
     return d.groupBy(name.alias("recovered_class")).agg(F.count("*").alias("n"))
 
 
-def residual_stats(orbits: DataFrame, *, levels: int = 2) -> DataFrame:
+def residual_stats(orbits: DataFrame) -> DataFrame:
     """Count, mean, spread and quartiles of q - a(1-e)."""
     d = orbits.select((F.col("q") - F.col("a") * (F.lit(1.0) - F.col("e"))).alias("r")).where(
         F.col("r").isNotNull())
     main = d.agg(F.count("*").alias("n"), F.avg("r").alias("mean"), F.stddev("r").alias("std"),
                  F.min("r").alias("min"), F.max("r").alias("max"))
-    names = ["p25", "p50", "p75"]
-    q = exact_percentiles(d, keys=[], value="r", fractions=[0.25, 0.5, 0.75], names=names, levels=levels)
-    q = q.select(F.struct(*names)).scalar()
-    return main.select("*", *[q[n].alias(n) for n in names])
+    return with_percentiles(main, d, wanted={"p25": ("r", 0.25), "p50": ("r", 0.5), "p75": ("r", 0.75)})
 
 
 def json_mismatch(orbits: DataFrame, *, tolerance: float = 0.01) -> DataFrame:
@@ -140,11 +137,11 @@ def difference_summary(df: DataFrame, *, a: str, b: str, close: float = 0.1) ->
     """Exact, close and differing counts of two columns at 1e-6; median and largest."""
     d = df.where(F.col(a).isNotNull() & F.col(b).isNotNull()).select(
         F.round(F.abs(F.col(a) - F.col(b)), 6).alias("_d"))
-    mid = exact_percentiles(d, keys=[], value="_d", fractions=[0.5], names=["_m"]).scalar()
-    return d.agg(F.count("*").alias("n"), count_if(F.col("_d") == 0).alias("exact"),
+    main = d.agg(F.count("*").alias("n"), count_if(F.col("_d") == 0).alias("exact"),
                  count_if(F.col("_d") < close).alias("close"),
-                 count_if(F.col("_d") >= close).alias("differ"), F.max("_d").alias("max_diff")).select(
-        "n", "exact", "close", "differ", F.round(mid, 4).alias("median_diff"), "max_diff")
+                 count_if(F.col("_d") >= close).alias("differ"), F.max("_d").alias("max_diff"))
+    return with_percentiles(main, d, wanted={"median_diff": ("_d", 0.5)}).select(
+        "n", "exact", "close", "differ", F.round("median_diff", 4).alias("median_diff"), "max_diff")
 
 
 def largest_differences(df: DataFrame, *, key: str, a: str, b: str, at_least: float = 1.0,
@@ -171,8 +168,7 @@ def monthly_stats(df: DataFrame, *, time: str, value: str) -> DataFrame:
 
 def percentiles_disc(df: DataFrame, *, value: str, fractions=(0.25, 0.5, 0.75, 0.95, 0.99)) -> DataFrame:
     """Discrete percentiles of a whole column."""
-    return exact_percentiles(df, keys=[], value=value, fractions=list(fractions),
-                             names=[f"p{round(100 * p):02d}" for p in fractions], discrete=True)
+    return percentiles(df, keys=[], wanted={f"p{round(100 * p):02d}": (value, p) for p in fractions}, discrete=True)
 
 
 def json_table(df: DataFrame, *, keys: list[str]) -> DataFrame:

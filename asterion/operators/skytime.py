@@ -10,7 +10,7 @@ from asterion.functions.eclipse_table import LUNAR_ECLIPSES
 from asterion.functions.formats import elongation_bin_label
 
 from .filters import date_window
-from .quantiles import exact_percentiles
+from .quantiles import with_percentiles
 
 CONTACTS = ["P1", "U1", "U2", "greatest", "U3", "U4", "P4"]
 ECLIPSE_NAMES = {1: "Penumbral eclipse", 2: "Partial eclipse", 3: "Total eclipse"}
@@ -98,11 +98,10 @@ def solar_elongation_stats(obs: DataFrame, *, station: str, start: str, end: str
         F.round(F.avg("elong"), 2).alias("mean_signed_elong"),
         count_if(F.col("elong") > 0).alias("east_count"),
         count_if(F.col("elong") < 0).alias("west_count"))
-    mid = exact_percentiles(d, keys=[], value="elong", fractions=[0.5], names=["_m"]).scalar()
-    return main.select(
+    return with_percentiles(main, d, wanted={"median_signed_elong": ("elong", 0.5)}).select(
         F.lit(station).alias("station_code"), F.lit(start).cast("date").alias("start_date"),
         F.lit(end).cast("date").alias("end_date"), "total_observations", "min_signed_elong",
-        "max_signed_elong", "mean_signed_elong", F.round(mid, 2).alias("median_signed_elong"),
+        "max_signed_elong", "mean_signed_elong", F.round("median_signed_elong", 2).alias("median_signed_elong"),
         "east_count", "west_count")
 
 

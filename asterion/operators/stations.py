@@ -10,7 +10,7 @@ from asterion.functions.timeconv import year_of
 
 from .filters import date_window, object_key, ref_class, select_neos
 from .identity import UNPACKED, earliest_discovery, with_numbering
-from .quantiles import value_counts
+from .quantiles import with_percentiles
 
 
 def _rule_counts(orbits, ni, obs, rule):
@@ -93,11 +93,20 @@ def summarize_report(report: DataFrame, *, by_neo: bool = False) -> DataFrame:
 
 
 def site_mag_stats(obs: DataFrame) -> DataFrame:
-    """Depth per station in V: count, median, 90th percentile, faintest."""
-    d = obs.withColumn("_v", F.round(photometry.to_v("mag", "band"), 4))
-    return value_counts(d, ["stn"], "_v").groupBy("stn").agg(
-        F.sum("_n").alias("n_mag"), F.percentile("_v", F.lit(0.5), F.col("_n")).alias("median_v"),
-        F.percentile("_v", F.lit(0.9), F.col("_n")).alias("p90_v"), F.max("_v").alias("faintest_v"))
+    """Depth per station in V: count, mean, spread, median, upper percentiles, faintest, and
+    two depths: one standard deviation above the mean and a robust one above the median,
+    1.4826 times the median absolute deviation.
+    """
+    d = obs.select("stn", photometry.to_v("mag", "band").alias("_v")).where(F.col("_v").isNotNull())
+    main = d.groupBy("stn").agg(F.count("*").alias("n_mag"), F.avg("_v").alias("mean_v"),
+                                F.stddev("_v").alias("sigma_v"), F.max("_v").alias("faintest_v"))
+    out = with_percentiles(main, d, keys=["stn"], wanted={
+        "median_v": ("_v", 0.5), "p90_v": ("_v", 0.9), "p95_v": ("_v", 0.95)})
+    off = d.join(out.select(F.col("stn").alias("_stn"), "median_v"), F.col("stn").eqNullSafe(F.col("_stn"))).select(
+        "stn", F.abs(F.col("_v") - F.col("median_v")).alias("_off"))
+    out = with_percentiles(out, off, keys=["stn"], wanted={"mad_v": ("_off", 0.5)})
+    return out.withColumns({"depth_sigma_v": F.col("mean_v") + F.col("sigma_v"),
+                            "depth_mad_v": F.col("median_v") + F.lit(1.4826) * F.col("mad_v")})
 
 
 def top_stations(disc: DataFrame, *, n: int = 20) -> DataFrame:
@@ -150,25 +159,14 @@ def keying_summary(obs: DataFrame) -> DataFrame:
 
 
 def astrometric_quality(obs: DataFrame) -> DataFrame:
-    """Per station and year: median residuals, and how they go with seeing and exposure.
-
-    Residuals are counted at a milliarcsecond before the median.
-    """
+    """Per station and year: median residuals, and how they go with seeing and exposure."""
     keys = ["stn", "obs_year"]
     d = obs.withColumn("obs_year", year_of("obstime"))
-    measures = ["rmsra", "rmsdec", "rmsfit"]
-    long = d.select(*keys, F.explode(F.array(*[
-        F.struct(F.lit(m).alias("_m"), F.round(m, 3).alias("_v")) for m in measures])).alias("_p")
-    ).select(*keys, "_p._m", "_p._v")
-    med = value_counts(long, [*keys, "_m"], "_v").groupBy(*keys, "_m").agg(
-        F.percentile("_v", F.lit(0.5), F.col("_n")).alias("_p50"))
-    med = med.groupBy(*keys).agg(*[
-        F.max(F.when(F.col("_m") == m, F.col("_p50"))).alias(f"median_{m}") for m in measures])
     rest = d.groupBy(*keys).agg(
         F.count("*").alias("n_obs"),
         F.round(F.corr("rmsfit", "seeing"), 4).alias("corr_seeing"),
         F.round(F.corr("rmsfit", "exp"), 4).alias("corr_exp"))
-    return rest.join(med, keys, "left")
+    return with_percentiles(rest, d, keys=keys, wanted={f"median_{m}": (m, 0.5) for m in ("rmsra", "rmsdec", "rmsfit")})
 
 
 def circular_stats(circulars: DataFrame, *, year: int) -> DataFrame:

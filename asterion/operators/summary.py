@@ -20,9 +20,13 @@ def _disc_by():
     return F.min(F.when(F.col("disc") == "*", F.col("stn"))).alias("disc_by")
 
 
-def obs_summary_all(obs: DataFrame) -> DataFrame:
-    """Per object key: first and last date, arc, count, discovery station."""
-    return with_object_key(obs).groupBy("primary_desig").agg(*_span_aggs(), _disc_by())
+def obs_summary_all(obs: DataFrame, *, key: str | None = None) -> DataFrame:
+    """Per object: first and last date, arc, count, discovery station.
+
+    An object's key is its number or else its designation, or the given column.
+    """
+    rows = with_object_key(obs) if key is None else obs.withColumn("primary_desig", F.col(key))
+    return rows.groupBy("primary_desig").agg(*_span_aggs(), _disc_by())
 
 
 def obs_summary(wide: DataFrame, obs: DataFrame) -> DataFrame:

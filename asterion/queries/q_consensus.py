@@ -89,20 +89,33 @@ def _(t):
     return C.collapse_simulation(t.members, t.ci, n_sources=5)
 
 
+TOGETHER, APART = [("s2", "s4"), ("s1", "s3"), ("s1", "s2", "s5")], [("s3", "s5")]
+
+
+def exactly(holders):
+    return " AND ".join(f"{'' if x in holders else 'NOT '}in_{x}" for x in SOURCES)
+
+
+def categories(t):
+    return C.disagreement_categories(wide(t), sources=SOURCES, together=TOGETHER, apart=APART)
+
+
 CATS_SQL = WIDE_SQL + ", cats AS (SELECT primary_desig, CASE " + " ".join(
-    f"WHEN {lacking(s)} THEN 'missing only {s}' WHEN {alone(s)} THEN 'only {s}'" for s in SOURCES) + " END AS cat FROM wide)"
+    f"WHEN {lacking(s)} THEN 'missing only {s}' WHEN {alone(s)} THEN 'only {s}'" for s in SOURCES) + " " + " ".join(
+    f"WHEN {exactly(set(SOURCES) - set(g))} THEN 'missing {'+'.join(g)}'" for g in TOGETHER) + " " + " ".join(
+    f"WHEN {exactly(g)} THEN 'only {'+'.join(g)}'" for g in APART) + " END AS cat FROM wide)"
 OBSALL_SQL = f"""osa AS (SELECT provid AS primary_desig, min(obstime)::DATE AS first_obs, max(obstime)::DATE AS last_obs,
   (epoch_us(max(obstime)) - epoch_us(min(obstime))) / {S.DAY_US} AS arc_days, count(*) AS nobs, min(stn) FILTER (WHERE disc = '*') AS disc_by FROM detections GROUP BY 1)"""
 
 
 def _cats_summary(t):
-    d = t.detections.withColumn("permid", F.lit(None).cast("string"))
-    return C.disagreement_categories(wide(t), sources=SOURCES), summary.obs_summary_all(d)
+    # Lists name objects by designation, numbered ones too.
+    return categories(t), summary.obs_summary_all(t.detections, key="provid")
 
 
 @query("disagreement_categories", f"WITH {CATS_SQL} SELECT primary_desig, cat FROM cats WHERE cat IS NOT NULL")
 def _(t):
-    return C.disagreement_categories(wide(t), sources=SOURCES)
+    return categories(t)
 
 
 @query("category_characteristics", f"""WITH {CATS_SQL}, {OBSALL_SQL}
@@ -122,7 +135,7 @@ def _(t):
 @query("single_site_counts", f"""WITH {CATS_SQL}, per AS (SELECT cat, c.primary_desig, count(DISTINCT d.stn) AS k FROM cats c LEFT JOIN detections d ON d.provid = c.primary_desig WHERE cat IS NOT NULL GROUP BY 1, 2)
 SELECT cat, count(*) AS n, count(*) FILTER (WHERE k = 1) AS single_site, count(*) FILTER (WHERE k <= 2) AS stns_le_2, round(avg(k), 1) AS n_stns_avg FROM per GROUP BY cat""")
 def _(t):
-    return C.single_site_counts(C.disagreement_categories(wide(t), sources=SOURCES), t.detections)
+    return C.single_site_counts(categories(t), t.detections)
 
 
 RESOLVED_SQL = f"""rm AS (SELECT m.source, m.primary_desig AS reported_primary, m.packed_desig AS reported_packed, c.{U} AS true_primary, c.{P} AS true_primary_packed, c.object_type

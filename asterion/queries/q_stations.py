@@ -114,10 +114,13 @@ def _(t):
     return discovery.with_site(t.obs, t.obscodes).select("id", "site_name", "longitude", F.round("latitude", 6).alias("latitude"))
 
 
-@query("site_mag_stats", f"""SELECT stn, count(*) AS n_mag, round(quantile_cont(v, 0.5), 4) AS median_v, round(quantile_cont(v, 0.9), 4) AS p90_v, max(v) AS faintest_v
-FROM (SELECT stn, round({S.V_MAG}, 4) AS v FROM obs WHERE mag IS NOT NULL) GROUP BY stn""")
+@query("site_mag_stats", f"""WITH v AS (SELECT stn, {S.V_MAG} AS v FROM obs WHERE mag IS NOT NULL),
+m AS (SELECT stn, count(*) AS n_mag, avg(v) AS mean_v, stddev(v) AS sigma_v, max(v) AS faintest_v, quantile_cont(v, 0.5) AS median_v, quantile_cont(v, 0.9) AS p90_v, quantile_cont(v, 0.95) AS p95_v FROM v GROUP BY stn),
+d AS (SELECT v.stn, quantile_cont(abs(v - median_v), 0.5) AS mad_v FROM v JOIN m ON m.stn IS NOT DISTINCT FROM v.stn GROUP BY v.stn)
+SELECT m.stn, n_mag, round(mean_v, 8) AS mean_v, round(sigma_v, 8) AS sigma_v, round(faintest_v, 8) AS faintest_v, round(median_v, 8) AS median_v, round(p90_v, 8) AS p90_v, round(p95_v, 8) AS p95_v,
+  round(mad_v, 8) AS mad_v, round(mean_v + sigma_v, 8) AS depth_sigma_v, round(median_v + 1.4826 * mad_v, 8) AS depth_mad_v FROM m JOIN d ON d.stn IS NOT DISTINCT FROM m.stn""")
 def _(t):
-    return rounded(stations.site_mag_stats(t.obs), median_v=4, p90_v=4)
+    return rounded(stations.site_mag_stats(t.obs), **dict.fromkeys(("mean_v", "sigma_v", "faintest_v", "median_v", "p90_v", "p95_v", "mad_v", "depth_sigma_v", "depth_mad_v"), 8))
 
 
 @query("top_stations", S.chain("iau", stats=False) + """
@@ -167,10 +170,11 @@ def _(t):
 
 @query("astrometric_quality", """
 SELECT stn, CAST(year(obstime) AS INTEGER) AS obs_year, count(*) AS n_obs, round(corr(rmsfit, seeing), 4) AS corr_seeing, round(corr(rmsfit, exp), 4) AS corr_exp,
-  round(quantile_cont(rmsra, 0.5), 6) AS median_rmsra, round(quantile_cont(rmsdec, 0.5), 6) AS median_rmsdec, round(quantile_cont(rmsfit, 0.5), 6) AS median_rmsfit
+  round(quantile_cont(rmsra / 7, 0.5), 9) AS median_rmsra, round(quantile_cont(rmsdec / 7, 0.5), 9) AS median_rmsdec, round(quantile_cont(rmsfit, 0.5), 9) AS median_rmsfit
 FROM obs GROUP BY 1, 2""")
 def _(t):
-    return rounded(stations.astrometric_quality(t.obs), median_rmsra=6, median_rmsdec=6, median_rmsfit=6)
+    finer = t.obs.withColumns({c: F.col(c) / 7 for c in ("rmsra", "rmsdec")})
+    return rounded(stations.astrometric_quality(finer), median_rmsra=9, median_rmsdec=9, median_rmsfit=9)
 
 
 # -- summaries ---------------------------------------------------------------------------
@@ -270,7 +274,7 @@ def _(t):
 
 @query("boxscore_advanced", f"""WITH {FACT_SQL},
 per AS (SELECT yr, cls, provid, any_value(h) AS h, bool_or(disc_flag) AS dsc, sum(n_obs) AS nobs FROM j GROUP BY 1, 2, 3)
-SELECT yr AS time_bin, cls AS "class", count(*) AS n_objects, round(quantile_cont(round(h, 4), 0.5), 2) AS median_h, count(*) FILTER (WHERE h < 22) AS n_h22,
+SELECT yr AS time_bin, cls AS "class", count(*) AS n_objects, round(quantile_cont(h, 0.5), 4) AS median_h, count(*) FILTER (WHERE h < 22) AS n_h22,
   count(*) FILTER (WHERE h < 17.75) AS n_1km, round(sum(nobs) / count(*), 4) AS obs_per_object,
   round(1.0 - count(*) FILTER (WHERE dsc) / count(*), 4) AS others_share FROM per GROUP BY 1, 2""")
 def _(t):

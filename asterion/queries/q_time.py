@@ -112,14 +112,14 @@ def _(t):
     return rounded(responses(t), days=6)
 
 
-@query("response_summary", RESP_SQL + """, r AS (SELECT *, round(days, 4) AS d FROM resp)
-SELECT disc_project, project, count(*) AS n, round(quantile_cont(d, 0.5), 3) AS p50, round(quantile_cont(d, 0.9), 3) AS p90, min(d) AS min_days, max(d) AS max_days FROM r GROUP BY 1, 2""")
+@query("response_summary", RESP_SQL + """
+SELECT disc_project, project, count(*) AS n, round(quantile_cont(days, 0.5), 6) AS p50, round(quantile_cont(days, 0.9), 6) AS p90, round(min(days), 6) AS min_days, round(max(days), 6) AS max_days FROM resp GROUP BY 1, 2""")
 def _(t):
     return A.response_summary(responses(t), by=["disc_project", "project"])
 
 
-@query("response_by_year", RESP_SQL + """, r AS (SELECT *, round(days, 4) AS d FROM resp)
-SELECT CAST(year(disc_obstime) AS INTEGER) AS disc_year, project, count(*) AS n, round(quantile_cont(d, 0.5), 3) AS p50, round(quantile_cont(d, 0.9), 3) AS p90, min(d) AS min_days, max(d) AS max_days FROM r GROUP BY 1, 2""")
+@query("response_by_year", RESP_SQL + """
+SELECT CAST(year(disc_obstime) AS INTEGER) AS disc_year, project, count(*) AS n, round(quantile_cont(days, 0.5), 6) AS p50, round(quantile_cont(days, 0.9), 6) AS p90, round(min(days), 6) AS min_days, round(max(days), 6) AS max_days FROM resp GROUP BY 1, 2""")
 def _(t):
     d = responses(t).withColumn("disc_year", F.year("disc_obstime"))
     return A.response_summary(d, by=["disc_year", "project"])
@@ -144,7 +144,7 @@ def _(t):
 
 
 @query("exchange_tracklets", """
-WITH x AS (SELECT id, CAST(obstime AS VARCHAR) AS t, trkid, stn, round(mag, 4) AS mag, band, nullif(ref, '') AS ref, disc FROM obs)
+WITH x AS (SELECT id, CAST(obstime AS VARCHAR) AS t, trkid, stn, mag, band, nullif(ref, '') AS ref, disc FROM obs)
 SELECT coalesce(nullif(trkid, ''), t) AS "trkID", arg_min(stn, (t, stn)) AS stn, 'Others' AS project, min(t) AS first_obs, max(t) AS last_obs, count(*) AS n_obs,
   round(quantile_cont(mag, 0.5), 1) AS mag_median, coalesce(string_agg(DISTINCT ref, ',' ORDER BY ref), '') AS refs, bool_or(coalesce(disc = '*', FALSE)) AS is_discovery FROM x GROUP BY 1""")
 def _(t):

@@ -145,8 +145,7 @@ def test_bucketed_windows_equal_plain_windows(skewed):
 def test_exact_percentiles_equal_sorted_values(skewed, discrete):
     import math
     ps = [0.0, 0.1, 0.25, 0.5, 0.9, 1.0]
-    got = quantiles.exact_percentiles(skewed, keys=["k"], value="v", fractions=ps, names=[f"p{i}" for i in range(6)],
-                                      discrete=discrete, bins=8, levels=2).collect()
+    got = quantiles.percentiles(skewed, keys=["k"], wanted={f"p{i}": ("v", p) for i, p in enumerate(ps)}, discrete=discrete).collect()
     rows = {}
     for r in skewed.where("v IS NOT NULL").select("k", "v").collect():
         rows.setdefault(r.k, []).append(r.v)
@@ -166,9 +165,44 @@ def test_exact_percentiles_equal_sorted_values(skewed, discrete):
 def test_exact_percentiles_of_odd_groups(spark):
     d = spark.createDataFrame([(None, 1.0), (None, 3.0), ("one", 5.0), ("same", 2.0), ("same", 2.0), ("none", None), ("wild", -1e300), ("wild", 1.0), ("wild", 1e300)],
                               "k string, v double")
-    got = keyed(quantiles.exact_percentiles(d, keys=["k"], value="v", fractions=[0.5], names=["m"]), "k", "m")
+    got = keyed(quantiles.percentiles(d, keys=["k"], wanted={"m": ("v", 0.5)}), "k", "m")
     assert got == {None: 2.0, "one": 5.0, "same": 2.0, "wild": 1.0}
-    assert quantiles.exact_percentiles(d.where("k = 'none'"), keys=[], value="v", fractions=[0.5], names=["m"]).count() == 0
+    assert quantiles.percentiles(d.where("k = 'none'"), keys=[], wanted={"m": ("v", 0.5)}).count() == 0
+
+
+def test_order_keys_are_the_bits_of_the_doubles(spark):
+    import math
+    import random
+    import struct
+    r = random.Random(4)
+    values = [0.0, -0.0, 1.0, -1.0, float("inf"), -float("inf"), 5e-324, -5e-324, 2.2250738585072014e-308, 2.225073858507201e-308, 1.7976931348623157e308, 1 / 3]
+    values += [f(2.0 ** k) for k in range(-1022, 1024, 9) for f in (lambda x: x, lambda x: math.nextafter(x, 0), lambda x: -math.nextafter(x, math.inf))]
+    values += [v for v in (struct.unpack("d", struct.pack("Q", r.getrandbits(64)))[0] for _ in range(3000)) if v == v]
+    bits = lambda x: struct.unpack("q", struct.pack("d", abs(x)))[0]
+    got = quantiles.with_order_key(spark.createDataFrame([(v,) for v in values], "v double"), "v", "k").collect()
+    assert all(r.k == (-bits(r.v) if r.v < 0 else bits(r.v)) for r in got)
+
+
+def test_percentiles_read_the_source_three_times_without_nested_loops(spark, tmp_path):
+    """Many columns and fractions share the rounds; two keys, NULL among them; values that differ in the last bit."""
+    import math
+    base = [(k % 3 if k % 7 else None, "x", 1.0 + k * 2.0 ** -52, -float(k) if k % 5 else None) for k in range(500)]
+    spark.createDataFrame(base, "k long, s string, a double, b double").write.parquet(str(tmp_path / "t"))
+    d = spark.read.parquet(str(tmp_path / "t"))
+    wanted = {f"{c}{p}": (c, p) for c in ("a", "b") for p in (0.0, 0.3, 0.5, 0.99)}
+    for keys in ([], ["k", "s"]):
+        got = quantiles.percentiles(d, keys=keys, wanted=wanted, discrete=True)
+        plan = got._jdf.queryExecution().sparkPlan().toString()
+        assert plan.count("FileScan") == 3 and "NestedLoop" not in plan and "Cartesian" not in plan
+        rows = {}
+        for k, s, a, b in base:
+            rows.setdefault((k, s) if keys else (), []).append((a, b))
+        have = {tuple(r[:len(keys)]): r for r in got.collect()}
+        assert set(have) == set(rows)
+        for key, values in rows.items():
+            for name, (c, p) in wanted.items():
+                v = sorted(x["ab".index(c)] for x in values if x["ab".index(c)] is not None)
+                assert have[key][name] == v[max(math.ceil(p * len(v)) - 1, 0)]
 
 
 def brute_segments(rows, step, limit, sun):
