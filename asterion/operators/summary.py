@@ -8,7 +8,7 @@ from asterion.functions import orbit
 from asterion.functions.timeconv import day_of, days_between
 
 from .filters import derived_elements, with_object_key
-from .identity import PACKED, UNPACKED, or_key_join
+from .identity import PACKED, UNPACKED, earliest_discovery, or_key_join, with_numbering
 
 
 def _span_aggs(time="obstime"):
@@ -56,25 +56,25 @@ def detection_daily(obs: DataFrame) -> DataFrame:
 
 
 def object_catalog(orbits: DataFrame, ni: DataFrame, obs: DataFrame) -> DataFrame:
-    """One row per orbit: classes, derived elements, flags, discovery place and date."""
-    n = ni.select(PACKED, "permid")
+    """One row per orbit: classes, derived elements, flags, discovery place and date.
+
+    A discovery observation may carry the object's number, its designation or both.
+    """
     code = F.coalesce("orbit_type_int", orbit.classify_orbit("q", "e", "i"))
-    d = derived_elements(orbits.withColumn("_code", code)).join(n, PACKED, "left")
+    numbered = with_numbering(orbits, ni)
+    d = derived_elements(numbered.withColumn("_code", code))
     ext = orbit.classify_extended("_code", "q", "e", F.col("a"))
+    first = earliest_discovery(numbered, obs).select(
+        F.col("packed_desig").alias(PACKED), F.col("stn").alias("discovery_stn"), F.col("obstime").cast("date").alias("discovery_date"))
     d = d.select(
-        F.col(UNPACKED).alias("provid"), F.col("permid"), F.col("_code").alias("orbit_class_int"),
+        PACKED, F.col(UNPACKED).alias("provid"), F.col("permid"), F.col("_code").alias("orbit_class_int"),
         ext.alias("boxscore_class"), orbit.extended_name(ext).alias("ext_name"),
         orbit.coarse_group(ext).alias("coarse_class"), "h", "a", "e", "i", "q",
         F.col("aphelion_q").alias("big_q"), "tisserand_j", "earth_moid",
         F.coalesce(F.col("_code").isin(0, 1, 2, 3), F.lit(False)).alias("neo"),
         orbit.is_pha_by_moid("earth_moid", "h").alias("pha"),
         (F.coalesce(F.col("i"), F.lit(0.0)) >= 90).alias("retrograde"))
-    first = with_object_key(obs.where(F.col("disc") == "*"), "_key").groupBy("_key").agg(
-        F.min(F.struct("obstime", "obsid", "stn")).alias("_d"))
-    key = F.coalesce("permid", "provid")
-    return d.withColumn("_key", key).join(first, "_key", "left").select(
-        *d.columns, F.col("_d.stn").alias("discovery_stn"),
-        F.col("_d.obstime").cast("date").alias("discovery_date"))
+    return d.join(first, PACKED, "left").drop(PACKED)
 
 
 def boxscore_objects(orbits: DataFrame, ni: DataFrame) -> DataFrame:

@@ -71,12 +71,19 @@ def _(t):
     return append_stream(d, t).select("obsid", "stn", "provid")
 
 
-@query("stream_enrich", f"""SELECT b.obsid, {S.label('coalesce(o.orbit_type_int, ' + S.CLASSIFY + ')', "'Unclassified'", 'Other (Unusual)')} AS orbit_class, coalesce(o.earth_moid, 999) <= 0.05 AND coalesce(o.h, 99) <= 22 AS pha,
-  replace(trim(c.name), chr(92) || '''', '''') AS site_name FROM obs b JOIN (SELECT o.*, coalesce(n.permid, o.{U}) AS k FROM orbits o LEFT JOIN ni n ON n.{P} = o.{P}) o ON o.k = coalesce(nullif(b.permid, ''), b.provid)
-LEFT JOIN obscodes c ON c.obscode = b.stn WHERE b.disc = '*'""")
+#: Some events of numbered objects carry the designation alone, some nothing.
+HALF_KEYED = "CASE WHEN provid IS NULL AND cast(obsid AS bigint) % 10 <> 3 OR cast(obsid AS bigint) % 3 = 0 THEN permid END"
+
+
+@query("stream_enrich", f"""WITH b AS (SELECT * REPLACE ({HALF_KEYED} AS permid) FROM obs WHERE disc = '*'),
+hit AS (SELECT obsid, arg_min(p, rank) AS p FROM (SELECT obsid, n.{P} AS p, 1 AS rank FROM b JOIN ni n ON n.permid = b.permid UNION ALL
+  SELECT obsid, o.{P}, 2 FROM b JOIN orbits o ON o.{U} = b.provid) GROUP BY obsid)
+SELECT b.obsid, CASE WHEN hit.p IS NOT NULL THEN {S.label('coalesce(o.orbit_type_int, ' + S.CLASSIFY + ')', "'Unclassified'", 'Other (Unusual)')} END AS orbit_class, CASE WHEN hit.p IS NOT NULL THEN coalesce(o.earth_moid, 999) <= 0.05 AND coalesce(o.h, 99) <= 22 END AS pha,
+  replace(trim(c.name), chr(92) || '''', '''') AS site_name FROM b LEFT JOIN hit USING (obsid) LEFT JOIN orbits o ON o.{P} = hit.p LEFT JOIN obscodes c ON c.obscode = b.stn""")
 def _(t):
-    d = streams.enrich(stream_events(t, OBS_STREAM).where("disc = '*'"), t.orbits, t.ni, t.obscodes)
-    return append_stream(d, t).where(F.col("orbit_class").isNotNull()).select("obsid", "orbit_class", "pha", "site_name")
+    events = stream_events(t, OBS_STREAM).where("disc = '*'").withColumn("permid", F.expr(HALF_KEYED))
+    d = streams.enrich(events, t.orbits, t.ni, t.obscodes)
+    return append_stream(d, t).select("obsid", "orbit_class", "pha", "site_name")
 
 
 @query("stream_detection_daily", """SELECT provid, stn, CAST(obstime AS DATE) AS obs_date, count(*) AS n_obs, count(DISTINCT trkid) AS n_tracklets, bool_or(coalesce(disc = '*', FALSE)) AS disc_flag

@@ -228,16 +228,23 @@ CATALOG_SQL = f"""code AS (SELECT *, coalesce(orbit_type_int, {S.CLASSIFY}) AS c
 cat AS (SELECT *, {COARSE_SQL} AS coarse_class FROM (SELECT *, {EXT_SQL} AS ext FROM code))"""
 
 
+#: Some observations of numbered objects carry the designation alone.
+UNNUMBERED = "CASE WHEN provid IS NULL OR id % 3 = 0 THEN permid END"
+
+
 @query("object_catalog", f"""WITH {CATALOG_SQL},
-dsc AS (SELECT k, stn, obstime FROM (SELECT {S.KEY} AS k, stn, obstime, row_number() OVER (PARTITION BY {S.KEY} ORDER BY obstime, obsid) AS rn
-  FROM obs WHERE disc = '*' AND {S.KEY} IS NOT NULL) WHERE rn = 1)
+ob AS (SELECT * REPLACE ({UNNUMBERED} AS permid) FROM obs WHERE disc = '*'),
+ids AS (SELECT o.{P} AS p, n.permid AS id, 'number' AS kind FROM orbits o JOIN ni n USING ({P}) UNION ALL SELECT {P}, {U}, 'name' FROM orbits),
+hits AS (SELECT p, stn, obstime, obsid FROM ids JOIN (SELECT permid AS id, 'number' AS kind, stn, obstime, obsid FROM ob UNION ALL SELECT provid, 'name', stn, obstime, obsid FROM ob) USING (id, kind)),
+dsc AS (SELECT p, arg_min(stn, (obstime, obsid)) AS stn, min(obstime) AS obstime FROM hits GROUP BY p)
 SELECT c.{U} AS provid, n.permid, code AS orbit_class_int, ext AS boxscore_class, coarse_class,
   round(coalesce(a, CASE WHEN e < 1 THEN q / (1 - e) END), 6) AS a, coalesce(code IN (0, 1, 2, 3), FALSE) AS neo,
   coalesce(earth_moid, 999) <= 0.05 AND coalesce(h, 99) <= 22 AS pha, coalesce(i, 0) >= 90 AS retrograde,
   d.stn AS discovery_stn, CAST(d.obstime AS DATE) AS discovery_date
-FROM cat c LEFT JOIN ni n ON n.{P} = c.{P} LEFT JOIN dsc d ON d.k = coalesce(n.permid, c.{U})""")
+FROM cat c LEFT JOIN ni n ON n.{P} = c.{P} LEFT JOIN dsc d ON d.p = c.{P}""")
 def _(t):
-    return summary.object_catalog(t.orbits, t.ni, t.obs).select(
+    obs = t.obs.withColumn("permid", F.expr(UNNUMBERED))
+    return summary.object_catalog(t.orbits, t.ni, obs).select(
         "provid", "permid", "orbit_class_int", "boxscore_class", "coarse_class", F.round("a", 6).alias("a"),
         "neo", "pha", "retrograde", "discovery_stn", "discovery_date")
 

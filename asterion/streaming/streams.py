@@ -15,10 +15,11 @@ from pyspark.sql.streaming import DataStreamWriter
 
 from asterion import storage
 from asterion.functions import orbit
+from asterion.functions.common import blank_to_null
 from asterion.functions.timeconv import day_of
 from asterion.operators.consensus import membership_upsert
 from asterion.operators.discovery import discovery_tracklets
-from asterion.operators.filters import clean_site_name, object_key
+from asterion.operators.filters import clean_site_name
 from asterion.operators.identity import PACKED, UNPACKED, observation_keys
 
 
@@ -48,17 +49,28 @@ def new_discoveries(stream: DataFrame, *, late: str = "2 days", since=None) -> D
 
 
 def enrich(stream: DataFrame, orbits: DataFrame, ni: DataFrame, obscodes: DataFrame) -> DataFrame:
-    """Add class, size, hazard, MOID and site to each event from static tables."""
-    n = ni.select(PACKED, F.col("permid").alias("_permid"))
-    cat = orbits.join(n, PACKED, "left").select(
-        F.col("_permid"), F.col(UNPACKED).alias("_provid"),
-        orbit.orbit_long_name(F.coalesce("orbit_type_int", orbit.classify_orbit("q", "e", "i")))
-        .alias("orbit_class"), "h", "earth_moid", orbit.is_pha_by_moid("earth_moid", "h").alias("pha"))
-    cat = cat.select(F.coalesce("_permid", "_provid").alias("_key"), "orbit_class", "h", "earth_moid", "pha")
+    """Add class, size, hazard, MOID and site to each event from static tables.
+
+    An event is found by its number, else by its designation; one that is found by neither
+    stays, without values. Events that lack an identifier get a key of their own
+    for that lookup, one that nothing matches, so they do not pile up in one task.
+    """
+    facts = F.struct(
+        orbit.orbit_long_name(F.coalesce("orbit_type_int", orbit.classify_orbit("q", "e", "i"))).alias("orbit_class"),
+        "h", "earth_moid", orbit.is_pha_by_moid("earth_moid", "h").alias("pha"))
+    named = orbits.select(PACKED, F.col(UNPACKED).alias("_name"), facts.alias("_by_name"))
+    numbered = named.join(ni.select(PACKED, F.col("permid").alias("_number")), PACKED).select(
+        "_number", F.col("_by_name").alias("_by_number"))
+
+    def keyed(c):
+        return F.coalesce(blank_to_null(c), F.concat(F.lit("no identifier "), F.coalesce("obsid", F.lit(""))))
+
+    d = stream.withColumns({"_number": keyed("permid"), "_name": keyed("provid")})
+    d = d.join(numbered, "_number", "left").join(named.drop(PACKED), "_name", "left")
+    d = d.withColumn("_facts", F.coalesce("_by_number", "_by_name"))
     site = obscodes.select(F.col("obscode").alias("stn"), clean_site_name("name").alias("site_name"),
                            "longitude", "observations_type")
-    return (stream.withColumn("_key", object_key()).join(cat, "_key", "left").drop("_key")
-            .join(site, "stn", "left"))
+    return d.select(*stream.columns, "_facts.*").join(site, "stn", "left")
 
 
 def touched_objects(batch: DataFrame, orbits: DataFrame, ni: DataFrame) -> DataFrame:
