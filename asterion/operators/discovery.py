@@ -30,6 +30,11 @@ PAYLOAD = ["ra", "dec", "mag", "band"]
 HEAD = ["unpacked_desig", "packed_desig"]
 
 
+def tracklet_name() -> Column:
+    """The tracklet's label; an observation without one is a tracklet of its own."""
+    return F.coalesce(blank_to_null("trkid"), F.concat(F.lit("obsid:"), F.col("obsid")))
+
+
 def tracklet_members(disc: DataFrame, obs: DataFrame, *, hours: float = 12.0,
                      carry: list[str] = ()) -> DataFrame:
     """Observations of each discovery's tracklet: the same trkid within +-hours.
@@ -45,7 +50,7 @@ def tracklet_members(disc: DataFrame, obs: DataFrame, *, hours: float = 12.0,
     def slot(t):
         return F.floor(epoch_seconds(t) / F.lit(width)).cast("bigint")
 
-    own = F.coalesce(blank_to_null("trkid"), F.concat(F.lit("obsid:"), F.col("obsid")))
+    own = tracklet_name()
     d = disc.select(*HEAD, *carry, own.alias("_trk"), F.col("obstime").alias("_t0"),
                     F.explode(F.sequence(slot("obstime") - 1, slot("obstime") + 1)).alias("_slot"))
     o = obs.select("obsid", "obstime", *PAYLOAD, own.alias("_trk"), slot("obstime").alias("_slot"))

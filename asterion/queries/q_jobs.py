@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
+from functools import partial
 
 from pyspark.sql import functions as F
 
 from asterion import storage
+from asterion.bucketed import BucketTable
 from asterion.operators import consensus
 from asterion.operators.identity import PACKED as P, UNPACKED as U
 from asterion.plans import refresh
@@ -21,17 +22,32 @@ from .q_text import SPLICE
 from .registry import query
 
 
+BATCHES = 3
+
+
 def work_dir(t) -> str:
-    """A fresh folder below the cluster's shared one; a temporary one only without it."""
-    conf = t.spark.conf.get("spark.checkpoint.dir", None)
-    base = conf or tempfile.mkdtemp(prefix="asterion-")
+    """A fresh folder below the cluster's shared one; where none is named, below the warehouse, which is shared too."""
+    base = t.spark.conf.get("spark.checkpoint.dir", None) or f"{t.spark.conf.get('spark.sql.warehouse.dir')}/shared"
     return f"{base.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stream_events(t, text: str):
-    """The event table as a stream, with a view's columns."""
-    schema = t.events.schema
-    d = t.spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(t.dir)
+def stream_events(t, text: list[str], *, in_order: bool = False):
+    """The event table as a stream of several micro-batches, with a view's columns.
+
+    Each batch holds rows of every time and object, or with ``in_order`` the next stretch of time.
+    """
+    folder = f"{work_dir(t)}/events"
+    rows = t.events
+    if in_order:
+        cuts = rows.agg(F.min("ts").alias("a"), F.max("ts").alias("b"))
+        span = F.timestamp_diff("MICROSECOND", "a", "b") + 1
+        rows = rows.join(F.broadcast(cuts)).withColumn("_part", F.floor(
+            F.timestamp_diff("MICROSECOND", F.col("a"), F.col("ts")) * BATCHES / span)).drop("a", "b")
+    else:
+        rows = rows.withColumn("_part", F.col("event_id") % BATCHES)
+    for k in range(BATCHES):
+        rows.where(F.col("_part") == k).drop("_part").coalesce(1).write.mode("append").parquet(folder)
+    d = t.spark.readStream.schema(t.events.schema).option("maxFilesPerTrigger", 1).parquet(folder)
     return d.selectExpr(*text)
 
 
@@ -41,7 +57,9 @@ OBS_STREAM = [
     "WHEN user_id % 3 <> 0 OR event_id % 5 = 0 THEN concat('U', cast(user_id as string)) END AS provid",
     "CASE WHEN event_id % 13 = 0 THEN NULL WHEN event_id % 11 = 0 THEN '' "
     "ELSE concat(cast(user_id as string), '-', cast(cast(ts as date) as string)) END AS trkid",
-    "event_type AS stn", "ts AS obstime", "CASE WHEN event_id % 7 = 0 THEN '*' END AS disc",
+    "event_type AS stn", "ts AS obstime", "cast(event_id * 7919 % 358900 AS double) / 997D AS ra", "cast(event_id * 104729 % 179000 AS double) / 1009D - 88D AS dec",
+    "CASE WHEN event_id % 19 <> 0 THEN 14D + value / 39D END AS mag",
+    "CASE event_id % 8 WHEN 0 THEN 'V' WHEN 1 THEN 'G' WHEN 2 THEN 'o' WHEN 3 THEN 'r' WHEN 4 THEN '' WHEN 6 THEN 'X' WHEN 7 THEN 'w' END AS band", "CASE WHEN event_id % 7 = 0 THEN '*' END AS disc",
     "ts + INTERVAL 45 MINUTE AS created_at", "user_id"]
 
 
@@ -58,16 +76,18 @@ def append_stream(d, t):
     return finished(writer, t, f"{w}/out")
 
 
-def maintained(stream, step, t):
+def maintained(stream, key, combine, t, updates=lambda batch: batch):
+    """A bucketed table that the stream keeps, after its last batch."""
     w = work_dir(t)
-    q = streams.maintain(stream, f"{w}/table", step, checkpoint=f"{w}/cp").trigger(availableNow=True).start()
+    table = BucketTable(t.spark, f"{w}/table", key, buckets=16)
+    q = streams.maintain_buckets(stream, table, combine, checkpoint=f"{w}/cp", updates=updates).trigger(availableNow=True).start()
     q.awaitTermination()
-    return storage.latest(t.spark, f"{w}/table")
+    return table.read()
 
 
 @query("stream_new_discoveries", "SELECT obsid, stn, provid FROM obs WHERE disc = '*'")
 def _(t):
-    d = streams.new_discoveries(stream_events(t, OBS_STREAM))
+    d = streams.new_discoveries(stream_events(t, OBS_STREAM, in_order=True))
     return append_stream(d, t).select("obsid", "stn", "provid")
 
 
@@ -89,35 +109,49 @@ def _(t):
 @query("stream_detection_daily", """SELECT provid, stn, CAST(obstime AS DATE) AS obs_date, count(*) AS n_obs, count(DISTINCT trkid) AS n_tracklets, bool_or(coalesce(disc = '*', FALSE)) AS disc_flag
 FROM obs WHERE provid IS NOT NULL GROUP BY 1, 2, 3""")
 def _(t):
-    d = maintained(stream_events(t, OBS_STREAM), streams.detection_daily_step, t)
+    d = maintained(stream_events(t, OBS_STREAM), ["provid", "stn", "obs_date"], streams.add_daily_tracklets, t, streams.daily_tracklets)
     return d.groupBy("provid", "stn", "obs_date").agg(F.sum("n_obs").alias("n_obs"), F.count("trkid").alias("n_tracklets"),
                                                       F.bool_or("disc_flag").alias("disc_flag"))
 
 
 @query("stream_known_set", f"WITH p AS ({PRODUCT_SQL}) SELECT primary_designation, {P}, nobs, median_v_magnitude FROM p")
 def _(t):
-    orbits, ni, obs, codes = t.orbits, t.ni, t.obs, t.obscodes
-    step = lambda known, batch: streams.known_set_increment(known, batch, orbits, ni, obs, codes)
-    return maintained(stream_events(t, OBS_STREAM), step, t).select("primary_designation", P, "nobs", "median_v_magnitude")
+    w = work_dir(t)
+    known = streams.KnownSet(t.spark, f"{w}/known", t.orbits, t.ni, t.obscodes, buckets=4)
+    known.start(stream_events(t, OBS_STREAM), f"{w}/cp").trigger(availableNow=True).start().awaitTermination()
+    return known.product.read().select("primary_designation", P, "nobs", "median_v_magnitude")
 
 
 @query("stream_element_updates", "SELECT provid, arg_max(stn, (obstime, obsid)) AS stn, max(obstime) AS obstime FROM obs WHERE provid IS NOT NULL GROUP BY 1")
 def _(t):
-    d = stream_events(t, OBS_STREAM).where("provid IS NOT NULL").select("provid", "obstime", "stn")
-    return maintained(d, lambda known, batch: streams.latest_by_key(known, batch, key=["provid"], order="obstime"), t)
+    d = stream_events(t, OBS_STREAM).where("provid IS NOT NULL").select("provid", "obstime", "obsid", "stn")
+    newest = partial(streams.latest_by_key, key=["provid"], order=["obstime", "obsid"])
+    return maintained(d, ["provid"], newest, t).select("provid", "stn", "obstime")
 
 
 @query("stream_members", "SELECT 's1' AS source, 'U' || user_id AS primary_desig, TIMESTAMP '2024-02-01' AS first_seen FROM (SELECT DISTINCT user_id FROM events)")
 def _(t):
     d = stream_events(t, ["concat('U', cast(user_id as string)) AS primary_desig", "concat('PU', cast(user_id as string)) AS packed_desig",
                           "cast(user_id as string) AS raw_string", "false AS is_comet"])
-    return maintained(d, streams.members_step("s1", "2024-02-01 00:00:00"), t).select("source", "primary_desig", "first_seen")
+    d = maintained(d, ["primary_desig"], streams.members_step("s1", "2024-02-01 00:00:00"), t)
+    return d.select("source", "primary_desig", "first_seen")
+
+
+@query("stream_arc_sessions", """WITH l AS (SELECT provid, obstime, lag(obstime) OVER (PARTITION BY provid ORDER BY obstime) AS p FROM obs WHERE provid IS NOT NULL),
+a AS (SELECT provid, obstime, sum(CASE WHEN p IS NULL OR epoch_us(obstime) - epoch_us(p) > 172800000000 THEN 1 ELSE 0 END) OVER (PARTITION BY provid ORDER BY obstime) AS k FROM l),
+s AS (SELECT provid AS "key", min(obstime) AS start, max(obstime) AS "end", count(*) AS n FROM a GROUP BY provid, k)
+SELECT "key", start, "end", n, epoch_us((SELECT max("end") FROM s)) - epoch_us("end") <= 172800000000 AS is_open FROM s""")
+def _(t):
+    arcs = maintained(stream_events(t, OBS_STREAM), ["key"], streams.join_arcs(days=2), t, partial(streams.arc_pieces, days=2))
+    return streams.with_open_flag(arcs, days=2)
 
 
-@query("stream_arc_sessions")
+# A day's window comes out once the watermark has passed its end.
+@query("stream_daily_windows", """WITH d AS (SELECT provid, stn, CAST(obstime AS DATE) AS obs_date, count(*) AS n_obs, bool_or(coalesce(disc = '*', FALSE)) AS disc_flag FROM obs WHERE provid IS NOT NULL GROUP BY 1, 2, 3)
+SELECT * FROM d WHERE obs_date + INTERVAL 1 DAY <= (SELECT max(obstime) FROM obs WHERE provid IS NOT NULL) - INTERVAL 2 DAY""")
 def _(t):
-    d = streams.arc_sessions(stream_events(t, OBS_STREAM), gap="2 days")
-    return append_stream(d, t)
+    d = streams.detection_daily(stream_events(t, OBS_STREAM, in_order=True), late="2 days")
+    return append_stream(d, t).select("provid", "stn", "obs_date", "n_obs", "disc_flag")
 
 
 @query("new_discovery_notices", f"WITH p AS ({PRODUCT_SQL}) SELECT primary_designation FROM p WHERE nobs < 2")

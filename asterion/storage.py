@@ -13,9 +13,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
-def shared_dir(spark: SparkSession, fallback: str | None = None) -> str:
+def shared_dir(spark: SparkSession) -> str:
     """The cluster's shared folder for intermediate tables and stream checkpoints."""
-    dir = spark.conf.get("spark.checkpoint.dir", None) or fallback
+    dir = spark.conf.get("spark.checkpoint.dir", None)
     if not dir:
         raise ValueError("spark.checkpoint.dir is not set; name a folder all executors can reach")
     return dir.rstrip("/")
@@ -65,14 +65,26 @@ def write_version(df: DataFrame, path: str, version: int | None = None,
     return target
 
 
-def settle(df: DataFrame, name: str, fallback: str | None = None) -> DataFrame:
+def remove(spark: SparkSession, path: str) -> None:
+    """Delete a folder; none is fine."""
+    p, fs = _fs(spark, path)
+    fs.delete(p, True)
+
+
+def retain(spark: SparkSession, path: str, newest: int) -> None:
+    """Remove all but the newest committed versions of a snapshot."""
+    for _, p in versions(spark, path)[:-newest]:
+        remove(spark, p)
+
+
+def settle(df: DataFrame, name: str) -> DataFrame:
     """Write an intermediate table to the shared folder and read it back.
 
     This cuts the lineage so that a lost executor costs no recomputation, and gives
     the optimiser the table's true size: a small one is broadcast by Spark's own
     check, and the large table it meets is then filtered where it lies.
     """
-    path = f"{shared_dir(df.sparkSession, fallback)}/{name}"
+    path = f"{shared_dir(df.sparkSession)}/{name}"
     return df.sparkSession.read.parquet(write_version(df, path))
 
 

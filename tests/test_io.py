@@ -1,6 +1,7 @@
 """Readers, writers, streams, jobs and SQL functions."""
 
-from datetime import datetime
+from datetime import datetime, timedelta
+from pathlib import Path
 
 import mini
 import pytest
@@ -213,3 +214,86 @@ def test_sql_table_function(spark):
     hist = spark.sql("SELECT * FROM solar_elongation_histogram('G96', DATE'2024-01-01', DATE'2024-01-31', 5) ORDER BY bin_num")
     frame = skytime.solar_elongation_histogram(mini.obs(spark), station="G96", start="2024-01-01", end="2024-01-31")
     assert {tuple(r) for r in hist.drop("bin_num").collect()} == {tuple(r) for r in frame.collect()}
+
+
+def folders(table):
+    return {b: tuple(d) for b, d in table.manifest().items()}
+
+
+def test_bucket_table_writes_what_a_batch_touches(spark, tmp_path):
+    from asterion.bucketed import BucketTable, replace_by_key
+    t = BucketTable(spark, str(tmp_path / "t"), ["k"], buckets=8)
+    assert t.read() is None and t.lookup(spark.range(1).withColumnRenamed("id", "k")) is None
+    d = lambda lo, hi, v: spark.range(lo, hi).select(F.col("id").alias("k"), F.lit(v).alias("v"))
+    t.merge(d(0, 200, "a"), replace_by_key(["k"]), 0)
+    before = folders(t)
+    t.merge(d(5, 6, "b"), replace_by_key(["k"]), 1)
+    after = folders(t)
+    assert len(before) == 8 and sum(before[b] != after[b] for b in before) == 1  # the others go on by reference
+    size = lambda dirs: sum(f.stat().st_size for x in dirs for f in Path(x).glob("*.parquet"))
+    changed = [b for b in before if before[b] != after[b]]
+    assert size(after[changed[0]]) < sum(size(x) for x in after.values()) / 4
+    for _ in range(2):  # a batch that is tried again replaces itself
+        t.merge(d(7, 8, "c").union(d(300, 301, "new")), replace_by_key(["k"]), 2)
+    want = {k: "a" for k in range(200)} | {5: "b", 7: "c", 300: "new"}
+    assert {r.k: r.v for r in t.read().collect()} == want and t.read().count() == 201
+    assert {r.k: r.v for r in t.lookup(spark.range(5, 8).withColumnRenamed("id", "k")).collect()} == {5: "b", 6: "a", 7: "c"}
+    t.merge(d(0, 0, "x"), replace_by_key(["k"]), 3)  # an empty batch
+    with pytest.raises(ValueError):
+        t.merge(d(9, 10, "x"), lambda previous, rows: d(0, 200, "y"), 4)
+    t.retain(1)
+    assert len(storage.versions(spark, t.path)) == 1 and {r.k: r.v for r in t.read().collect()} == want
+    left = {f"{p.parent}" for p in (tmp_path / "t" / "data").rglob("part-*.parquet")}
+    assert left == {x for dirs in folders(t).values() for x in dirs}
+
+
+def test_bucket_table_appends_and_compacts(spark, tmp_path, monkeypatch):
+    from asterion import bucketed
+    monkeypatch.setattr(bucketed, "COMPACT", 3)
+    t = bucketed.BucketTable(spark, str(tmp_path / "t"), ["k"], buckets=2)
+    for v in range(5):
+        t.append(spark.range(v * 10, v * 10 + 10).select((F.col("id") % 4).alias("k"), "id"), v)
+        assert max(len(x) for x in t.manifest().values()) < 3
+    assert sorted(r.id for r in t.read().collect()) == list(range(50))
+
+
+def test_known_set_equals_full_rebuild(spark, tmp_path):
+    """Observations in any order, a tracklet completed by a row of another batch and without the object's name."""
+    from asterion.operators.discovery import discovery_tracklets
+    cat = {n: getattr(mini, n)(spark) for n in ("orbits", "ni", "obs", "obscodes")}
+    last = cat["obs"].where("id = 1").selectExpr("100 AS id", *[c if c not in ("obsid", "permid", "provid", "disc") else f"'L900' AS {c}" if c == "obsid" else f"cast(NULL AS string) AS {c}" for c in cat["obs"].columns if c != "id"])
+    every = cat["obs"].unionByName(last.select(*cat["obs"].columns))
+    known = streams.KnownSet(spark, str(tmp_path / "known"), cat["orbits"], cat["ni"], cat["obscodes"], buckets=4)
+    for version, ids in enumerate(["id % 3 = 2", "id % 3 = 0", "id % 3 = 1 AND id < 100", "id = 100", "id = 100"]):
+        known.apply(every.where(ids), min(version, 3))  # the last batch is tried again
+        so_far = every.where(" OR ".join(f"({x})" for x in ["id % 3 = 2", "id % 3 = 0", "id % 3 = 1 AND id < 100", "id = 100"][:version + 1]))
+        want = discovery_tracklets(cat["orbits"], cat["ni"], so_far, cat["obscodes"])
+        got = known.product.read()
+        assert (got.exceptAll(want).count(), want.exceptAll(got).count()) == (0, 0)
+
+
+def test_sessions_are_whole_in_any_order(spark):
+    import random
+    r = random.Random(8)
+    base = datetime(2024, 1, 1)
+    rows = [(r.choice(["a", "b", "hot"]), base + timedelta(hours=r.choice([r.randint(0, 5000), r.randint(0, 300)]))) for _ in range(600)]
+    rows += [("edge", base), ("edge", base + timedelta(days=2)), ("edge", base + timedelta(days=4, microseconds=1)), ("hot", None), (None, base)]
+    r.shuffle(rows)
+    arcs = None
+    for k in range(0, len(rows), 150):
+        batch = spark.createDataFrame(rows[k:k + 150], "provid string, obstime timestamp_ntz")
+        arcs = spark.createDataFrame(
+            streams.join_arcs(days=2)(arcs, streams.arc_pieces(batch, days=2)).collect(), "key string, start timestamp_ntz, end timestamp_ntz, n bigint")
+    want = set()
+    for key in ("a", "b", "hot", "edge"):
+        times = sorted(t for k, t in rows if k == key and t is not None)
+        arc = [times[0]]
+        for t in [*times[1:], None]:
+            if t is None or t - arc[-1] > timedelta(days=2):
+                want.add((key, arc[0], arc[-1], len(arc)))
+                arc = []
+            arc.append(t)
+    assert {tuple(x) for x in arcs.collect()} == want
+    flags = {(x.key, x.end): x.is_open for x in streams.with_open_flag(arcs, days=2).collect()}
+    newest = max(t for _, t in rows if t is not None)
+    assert all(v == (newest - end <= timedelta(days=2)) for (_, end), v in flags.items())
