@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from asterion.functions import photometry, sky
 from asterion.functions.timeconv import days_between, epoch_micros, from_epoch_micros
@@ -15,45 +15,76 @@ DAY_US = 86_400_000_000
 def segment_arcs(obs: DataFrame, *, key: str, time: str = "obstime", id: str = "obsid",
                  gap_days: float = 60.0, ra: str | None = None, center: float = 180.0) -> DataFrame:
     """Arcs of each object: a new one after a gap, and with ``ra`` also where the
-    centred longitude jumps across the map's edge."""
-    cols = [time] + ([ra] if ra else [])
-    d = obs.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(key, id, *cols)
-    d = with_previous(d, keys=[key], order=[time, id], bucket=month_bucket(time), columns=cols)
-    new = days_between(f"prev_{time}", time) > gap_days
-    if ra:
-        def centred(c):
-            return F.pmod(F.col(c) - F.lit(center) + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)
-        new = new | (F.abs(centred(ra) - centred(f"prev_{ra}")) > 180)
-    d = with_running_sum(d, keys=[key], order=[time, id], bucket=month_bucket(time),
-                         value=F.coalesce(new, F.lit(False)).cast("int"), name="arc_id")
-    return d.groupBy(key, "arc_id").agg(F.min(time).alias("start"), F.max(time).alias("end"),
-                                        F.count("*").alias("n"))
+    centred longitude jumps across the map's edge.
+
+    One pass: inside a month the rows of an object become arcs with their first and last row, and
+    of those few the neighbours across a border are joined where nothing breaks between them.
+    """
+    row = [time, id] + ([ra] if ra else [])
+    d = obs.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
+        key, month_bucket(time).alias("_month"), F.struct(*row).alias("_r"))
+
+    def breaks(before: Column, after: Column) -> Column:
+        new = days_between(before[time], after[time]) > gap_days
+        if ra:
+            def centred(c):
+                return F.pmod(c - F.lit(center) + F.lit(180.0), F.lit(360.0)) - F.lit(180.0)
+            new = new | (F.abs(centred(after[ra]) - centred(before[ra])) > 180)
+        return F.coalesce(new, F.lit(False)).cast("int")
+
+    inside = Window.partitionBy(key, "_month").orderBy(F.col(f"_r.{time}"), F.col(f"_r.{id}"))
+    d = d.withColumn("_new", breaks(F.lag("_r").over(inside), F.col("_r")))
+    d = d.withColumn("_part", F.sum("_new").over(inside.rowsBetween(Window.unboundedPreceding, 0)))
+    at = F.struct(f"_r.{time}", f"_r.{id}")
+    parts = d.groupBy(key, "_month", "_part").agg(
+        F.min_by("_r", at).alias("_first"), F.max_by("_r", at).alias("_last"), F.count("*").alias("n"))
+    along = Window.partitionBy(key).orderBy("_month", "_part")
+    border = F.when(F.col("_part") > 0, 1).otherwise(breaks(F.lag("_last").over(along), F.col("_first")))
+    parts = parts.withColumn("_new", border)
+    parts = parts.withColumn("arc_id", F.sum("_new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
+    return parts.groupBy(key, "arc_id").agg(
+        F.min(f"_first.{time}").alias("start"), F.max(f"_last.{time}").alias("end"), F.sum("n").alias("n"))
 
 
 def nearest_in_time(grid: DataFrame, obs: DataFrame, *, key: str, time: str,
-                    columns: list[str], id: str = "obsid") -> DataFrame:
+                    columns: list[str], id: str = "obsid", cell_days: float = 1.0) -> DataFrame:
     """For each grid instant the nearest observation of its key; a tie takes the later.
 
-    Both sides are merged and the last observation before and the first at or after
-    each instant carried along, month by month, so no key has to fit in one task.
+    The instants of a calendar cell cut it into slots, and of each slot only the first and the last
+    observation can be anyone's nearest. Observations are reduced to these two where they
+    lie; what is ordered along a key are its slots and instants, whose number the calendar and
+    the grid bound, not its observations. A key or cell that holds most of all rows is
+    split like any other before it is added up.
     """
-    row = F.struct(F.col(time), F.col(id).cast("string").alias("_id"), *columns)
+    def cell(c: str) -> Column:
+        return F.floor(epoch_micros(c) / F.lit(float(round(cell_days * DAY_US))))
+
+    g = grid.withColumn("_cell", cell(time))
+    cuts = g.where(F.col(time).isNotNull()).groupBy(key, "_cell").agg(F.array_sort(F.collect_set(time)).alias("_at"))
+    ident = F.col(id).cast("string").alias("_id")
     o = obs.where(F.col(key).isNotNull() & F.col(time).isNotNull()).select(
-        key, time, F.lit(1).alias("_side"), F.col(id).cast("string").alias("_id"), row.alias("_o"))
-    g = grid.select(key, time, F.lit(0).alias("_side"), F.lit("").alias("_id"),
-                    F.lit(None).cast(o.schema["_o"].dataType).alias("_o"),
-                    F.struct(*[c for c in grid.columns]).alias("_g"))
-    both = o.withColumn("_g", F.lit(None).cast(g.schema["_g"].dataType)).unionByName(g)
-    args = {"keys": [key], "order": [time, "_side", "_id"], "bucket": month_bucket(time)}
-    both = with_carried(both, value="_o", name="_before", **args)
-    both = with_carried(both, value="_o", name="_after", forward=False, **args)
-    left = F.abs(days_between(F.col(f"_before.{time}"), F.col(time)))
-    right = F.abs(days_between(F.col(time), F.col(f"_after.{time}")))
-    pick = F.when(F.col("_before").isNull(), F.col("_after")).when(
+        key, cell(time).alias("_cell"), F.struct(F.col(time), ident, *columns).alias("_o")).join(cuts, [key, "_cell"], "left")
+    slot = F.coalesce(F.size(F.filter("_at", lambda x: x <= F.col(f"_o.{time}"))), F.lit(0))
+    rank = F.struct(f"_o.{time}", "_o._id")
+    ends = o.groupBy(key, "_cell", slot.alias("_slot")).agg(F.min_by("_o", rank).alias("_first"), F.max_by("_o", rank).alias("_last"))
+    none = F.lit(None).cast(ends.schema["_first"].dataType)
+    whole = F.struct(*[F.col(c) for c in grid.columns])
+    asked = g.join(cuts, [key, "_cell"], "left").select(
+        key, "_cell", (F.array_position("_at", F.col(time)) - 1).cast("int").alias("_slot"), none.alias("_first"), none.alias("_last"),
+        whole.alias("_g"))
+    both = ends.withColumn("_g", F.lit(None).cast(asked.schema["_g"].dataType)).unionByName(asked)
+    side = F.col("_g").isNotNull()  # an instant comes after its slot and before the next
+    up = Window.partitionBy(key).orderBy("_cell", "_slot", side).rowsBetween(Window.unboundedPreceding, 0)
+    down = Window.partitionBy(key).orderBy(F.desc("_cell"), F.desc("_slot"), side.desc()).rowsBetween(Window.unboundedPreceding, 0)
+    both = both.withColumns({"_before": F.last("_last", ignorenulls=True).over(up),
+                             "_after": F.last("_first", ignorenulls=True).over(down)})
+    left = F.abs(days_between(F.col(f"_before.{time}"), F.col(f"_g.{time}")))
+    right = F.abs(days_between(F.col(f"_g.{time}"), F.col(f"_after.{time}")))
+    pick = F.when(F.col(f"_g.{time}").isNull(), None).when(F.col("_before").isNull(), F.col("_after")).when(
         F.col("_after").isNull(), F.col("_before")).when(left < right, F.col("_before")).otherwise(
         F.col("_after"))
-    return both.where(F.col("_side") == 0).select("_g.*", pick.alias("_p")).select(
-        *grid.columns, F.col(f"_p.{time}").alias(f"nearest_{time}"),
+    return both.where(side).select("_g", pick.alias("_p")).select(
+        *[F.col(f"_g.{c}").alias(c) for c in grid.columns], F.col(f"_p.{time}").alias(f"nearest_{time}"),
         *[F.col(f"_p.{c}").alias(c) for c in columns])
 
 

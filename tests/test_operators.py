@@ -262,6 +262,49 @@ def test_arcs(spark):
     assert timeline.segment_arcs(d, key="k", ra="ra", center=180.0).count() == 3
 
 
+def test_arcs_in_one_pass_equal_a_walk(spark, skewed, tmp_path):
+    skewed.select("k", "obsid", "obstime", (F.col("obsid") * 37 % 360).cast("double").alias("ra")).write.parquet(str(tmp_path / "t"))
+    d = spark.read.parquet(str(tmp_path / "t"))
+    for ra in (None, "ra"):
+        got = timeline.segment_arcs(d, key="k", gap_days=2.0, ra=ra)
+        plan = got._jdf.queryExecution().executedPlan().toString()
+        assert plan.count("FileScan") == 1 and plan.count("Exchange") == 2
+        want, rows = {}, {}
+        for r in d.orderBy("obstime", "obsid").collect():
+            rows.setdefault(r.k, []).append(r)
+        centred = lambda x: (x - 180 + 180) % 360 - 180
+        for k, v in rows.items():
+            arc, before = 0, None
+            for r in v:
+                if before is not None and (r.obstime - before.obstime > timedelta(days=2) or ra and abs(centred(r.ra) - centred(before.ra)) > 180):
+                    arc += 1
+                first, _, n = want.get((k, arc), (r.obstime, None, 0))
+                want[k, arc], before = (first, r.obstime, n + 1), r
+        assert {(r.k, r.arc_id): (r.start, r.end, r.n) for r in got.collect()} == want and len(want) > len(rows)
+
+
+def test_nearest_in_time_with_a_hot_station(spark):
+    """Nine tenths of the rows on one station and month; repeated, missing and far instants."""
+    import random
+    r = random.Random(6)
+    base = datetime(2024, 1, 1)
+    rows = [(k, "hot" if k % 10 else f"s{k % 30}", base + timedelta(seconds=r.randint(0, 28 * 86400) if k % 10 else r.randint(0, 400 * 86400)), float(k)) for k in range(4000)]
+    rows += [(4000, None, base, 0.0), (4001, "hot", None, 0.0), (4002, "tie", base, 1.0), (4003, "tie", base + timedelta(hours=2), 2.0), (4004, "tie", base + timedelta(hours=2), 3.0)]
+    obs = spark.createDataFrame(rows, "obsid int, stn string, obstime timestamp_ntz, v double")
+    asked = [(s, base + timedelta(seconds=r.randint(-10 * 86400, 420 * 86400))) for s in ("hot", "s0", "s10", "nobody") for _ in range(60)]
+    asked += [("hot", t) for _, s, t, _ in rows[1:40] if s == "hot"] + [("tie", base + timedelta(hours=1)), ("tie", base + timedelta(hours=2)), ("hot", None), (None, base), ("hot", asked[0][1])]
+    grid = spark.createDataFrame(asked, "stn string, obstime timestamp_ntz")
+    got = sorted(map(str, timeline.nearest_in_time(grid, obs, key="stn", time="obstime", columns=["v"]).collect()))
+    want = []
+    for s, t in asked:
+        mine = [(x[2], str(x[0]), x[3]) for x in rows if s is not None and t is not None and x[1] == s and x[2] is not None]
+        before, after = max([x for x in mine if x[0] < t], default=None), min([x for x in mine if x[0] >= t], default=None)
+        pick = after if before is None else before if after is None or t - before[0] < after[0] - t else after
+        want.append((s, t, pick and pick[0], pick and pick[2]))
+    names = ["stn", "obstime", "nearest_obstime", "v"]
+    assert got == sorted(map(str, spark.createDataFrame(want, "stn string, obstime timestamp_ntz, nearest_obstime timestamp_ntz, v double").toDF(*names).collect()))
+
+
 def test_eclipse_phases(spark):
     ecl = skytime.lunar_eclipses(spark)
     assert ecl.count() == 87
