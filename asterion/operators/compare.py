@@ -69,18 +69,6 @@ def group_mean_lookup(df: DataFrame, *, key: str, value: str, probe) -> DataFram
         F.sum(F.col("_mean") * F.col("_probe")) / F.sum("_probe"), 6).alias("mean_of_means"))
 
 
-def snapshot_fingerprint(df: DataFrame, *, key: str, time: str) -> DataFrame:
-    """Rows, extremes and an order-free content hash of the keys.
-
-    The hash sums a 48-bit prefix of each key's md5, so it needs no ordering and no
-    single task holding all keys.
-    """
-    prefix = F.conv(F.substring(F.md5(F.col(key).cast("string")), 1, 12), 16, 10).cast("bigint")
-    return df.agg(F.count("*").alias("nrows"),
-                  F.sum(prefix.cast("decimal(20,0)")).cast("string").alias("content_hash"),
-                  F.min(time).alias("min_time"), F.max(time).alias("max_time"))
-
-
 def table_schema(df: DataFrame, name: str) -> DataFrame:
     """(table_name, position, column_name, data_type) of a table."""
     rows = [(name, i + 1, f.name, f.dataType.simpleString(), f.nullable)
@@ -107,12 +95,6 @@ def boundary_values(df: DataFrame, *, name: str, columns: list[str]) -> DataFram
     return one.select(F.explode(rows).alias("r")).select("r.*")
 
 
-def replica_diff(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Rows on one side only, duplicates counted, with the side they are on."""
-    return a.exceptAll(b).withColumn("side", F.lit("a")).unionByName(
-        b.exceptAll(a).withColumn("side", F.lit("b")))
-
-
 def element_delta(a: DataFrame, b: DataFrame, *, key: str, thresholds: dict[str, tuple[float, float]]) -> DataFrame:
     """Element by element difference of two orbit sets, graded near, moderate, far.
 

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from asterion.functions import orbit
-from asterion.operators import compare, neocp, quality
+from asterion.operators import compare, neocp, quality, replicas
 from asterion.operators.identity import PACKED as P, UNPACKED as U
 
 from . import oracle_parts as S
@@ -158,9 +158,9 @@ def _(t):
     return compare.group_mean_lookup(t.lineitem, key="l_partkey", value="l_extendedprice", probe=F.col("l_orderkey") < 1000)
 
 
-@query("snapshot_fingerprint", f"""SELECT count(*) AS nrows, CAST(sum(CAST('0x' || substr(md5({U}), 1, 12) AS BIGINT)) AS VARCHAR) AS content_hash, min(created_at) AS min_time, max(created_at) AS max_time FROM orbits""")
+@query("snapshot_fingerprint", f"""SELECT count(*) AS nrows, sum(CAST('0x' || substr(md5({U}), 1, 16) AS UBIGINT)::HUGEINT)::VARCHAR || ':' || sum(CAST('0x' || substr(md5({U}), 17, 16) AS UBIGINT)::HUGEINT)::VARCHAR AS content_hash, min(created_at) AS min_time, max(created_at) AS max_time FROM orbits""")
 def _(t):
-    return compare.snapshot_fingerprint(t.orbits, key=U, time="created_at")
+    return replicas.snapshot_fingerprint(t.orbits, key=U, time="created_at")
 
 
 @query("table_counts", " UNION ALL ".join(f"SELECT '{n}' AS table_name, count(*) AS n FROM {n}" for n in ("orders", "lineitem", "events")))
@@ -181,7 +181,22 @@ def _(t):
 @query("replica_diff", "SELECT event_id, event_type, 'a' AS side FROM events WHERE event_id % 10 = 3 UNION ALL SELECT event_id, event_type, 'b' FROM events WHERE event_id % 10 = 7")
 def _(t):
     e = t.events.select("event_id", "event_type")
-    return compare.replica_diff(e.where(F.col("event_id") % 10 != 7), e.where(F.col("event_id") % 10 != 3))
+    return replicas.replica_diff(e.where(F.col("event_id") % 10 != 7), e.where(F.col("event_id") % 10 != 3), key="event_id")
+
+
+# One copy lacks a stretch of rows, holds others twice, has one row changed and rows without a key.
+@query("replica_diff_ranges", """WITH e AS (SELECT event_id, event_type, value, ts FROM events), m AS (SELECT max(event_id) AS m FROM e),
+b AS (SELECT * FROM e, m WHERE event_id NOT BETWEEN m // 4 AND m // 4 + 9 UNION ALL SELECT * FROM e, m WHERE event_id BETWEEN m // 2 AND m // 2 + 4
+  UNION ALL SELECT NULL, event_type, value, ts, m FROM e, m WHERE event_id = 3),
+c AS (SELECT event_id, event_type, CASE WHEN event_id = m - 1 THEN -1.5 ELSE value END AS value, ts FROM b)
+SELECT event_id, event_type, value, ts, 'a' AS side FROM (SELECT * FROM e EXCEPT ALL SELECT * FROM c) UNION ALL SELECT event_id, event_type, value, ts, 'b' FROM (SELECT * FROM c EXCEPT ALL SELECT * FROM e)""")
+def _(t):
+    a = t.events.select("event_id", "event_type", "value", "ts")
+    m = a.agg(F.max("event_id")).first()[0]
+    b = a.where(~F.col("event_id").between(m // 4, m // 4 + 9)).unionAll(a.where(F.col("event_id").between(m // 2, m // 2 + 4)))
+    b = b.unionAll(a.where(F.col("event_id") == 3).withColumn("event_id", F.lit(None).cast("bigint")))
+    b = b.withColumn("value", F.when(F.col("event_id") == m - 1, F.lit(-1.5)).otherwise(F.col("value")))
+    return replicas.replica_diff(a, b, key="event_id")
 
 
 @query("element_delta", f"""WITH b AS (SELECT {U} AS key, q + CASE id % 3 WHEN 0 THEN 0.000004 WHEN 1 THEN 0.004 ELSE 0.4 END AS q, CASE WHEN id % 4 <> 0 THEN e END AS e FROM orbits)

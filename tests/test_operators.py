@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from asterion.operators import (apparition, boxscore, compare, consensus, discovery, filters, identity,
-                                ordered, quality, quantiles, skytime, stations, summary, timeline)
+                                ordered, quality, quantiles, replicas, skytime, stations, summary, timeline)
 
 
 def keyed(df, key, *cols):
@@ -331,9 +331,9 @@ def test_indicators(spark):
 
 
 def test_fingerprint_is_free_of_order_and_partitioning(skewed):
-    a = compare.snapshot_fingerprint(skewed, key="obsid", time="obstime").first()
-    b = compare.snapshot_fingerprint(skewed.repartition(17).orderBy(F.desc("ra")), key="obsid", time="obstime").first()
-    c = compare.snapshot_fingerprint(skewed.where("obsid <> 5"), key="obsid", time="obstime").first()
+    a = replicas.snapshot_fingerprint(skewed, key="obsid", time="obstime").first()
+    b = replicas.snapshot_fingerprint(skewed.repartition(17).orderBy(F.desc("ra")), key="obsid", time="obstime").first()
+    c = replicas.snapshot_fingerprint(skewed.where("obsid <> 5"), key="obsid", time="obstime").first()
     assert a == b and a.content_hash != c.content_hash
 
 
@@ -370,3 +370,34 @@ def test_discovery_survives_a_hot_key(spark, cat):
         F.lit(None).cast("string").alias("ref"), F.lit(None).cast("string").alias("prev_ref"))
     got = product({**cat, "obs": cat["obs"].unionByName(many)}).where("primary_designation = '1001'").first()
     assert got == product(cat).where("primary_designation = '1001'").first()
+
+
+@pytest.mark.parametrize("key", ["obsid", "obstime", "k"])
+def test_replica_diff_equals_except_all(spark, skewed, tmp_path, key):
+    """Inserts, deletes, twins, changed values, NULL keys; by number, by time and by hash."""
+    a = skewed.select("obsid", "obstime", "k", "ra").withColumn("ra", F.when(F.col("obsid") % 50 != 0, F.col("ra")))
+    b = a.where("obsid <> 17").unionAll(a.where("obsid IN (30, 31)")).withColumn("ra", F.when(F.col("obsid") == 40, -1.0).otherwise(F.col("ra")))
+    b = b.unionAll(a.where("obsid = 3").withColumn(key, F.lit(None).cast(a.schema[key].dataType)))
+    for d, name in ((a, "a"), (b, "b")):
+        d.repartitionByRange(16, "obsid").sortWithinPartitions("obsid").write.parquet(str(tmp_path / name))
+    a, b = (spark.read.parquet(str(tmp_path / x)) for x in "ab")
+    want = a.exceptAll(b).withColumn("side", F.lit("a")).unionAll(b.exceptAll(a).withColumn("side", F.lit("b")))
+    got = replicas.replica_diff(a, b, key=key)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0 and want.count() == 6
+    cut = replicas.Ranges(a, b, key)
+    differing = replicas.differing_ranges(cut.tree(a), cut.tree(b), cut.fine)
+    assert len(differing) <= 5
+    if key != "k":
+        assert 0 < cut.rows(a, differing).count() < a.count() / 100
+    everywhere = replicas.replica_diff(a, b.where("obsid % 3 <> 1"), key=key)
+    assert everywhere.where("side = 'a'").count() == a.exceptAll(b.where("obsid % 3 <> 1")).count() and everywhere.count() > 100
+    assert replicas.replica_diff(a, a, key=key).count() == 0 and replicas.replica_diff(a.limit(0), a.limit(0), key=key).count() == 0
+
+
+def test_ranges_that_differ_are_filtered_in_the_scan(spark, tmp_path):
+    spark.range(100_000).withColumn("v", F.col("id") * 2).repartitionByRange(8, "id").sortWithinPartitions("id").write.parquet(str(tmp_path / "a"))
+    a = spark.read.parquet(str(tmp_path / "a"))
+    b = a.withColumn("v", F.when(F.col("id") == 777, -1).otherwise(F.col("v")))
+    cut = replicas.Ranges(a, b, "id")
+    rows = cut.rows(a, replicas.differing_ranges(cut.tree(a), cut.tree(b), cut.fine))
+    assert rows.count() <= 25 and "PushedFilters: [GreaterThanOrEqual(id," in rows._jdf.queryExecution().executedPlan().toString().replace("IsNotNull(id), ", "")
