@@ -14,13 +14,13 @@ P = identity.PACKED
 U = identity.UNPACKED
 
 PRODUCT_SQL = S.chain("wide") + f"""
-SELECT CASE WHEN l.is_numbered THEN l.asteroid_number ELSE s.unpacked_desig END AS primary_designation,
+SELECT coalesce(l.number, s.unpacked_desig) AS primary_designation,
   s.packed_desig AS {P}, round(avg_mjd, 6) AS avg_mjd_discovery_tracklet,
   round(avg_ra_deg, 5) AS avg_ra_deg, round(avg_dec_deg, 5) AS avg_dec_deg,
   round(median_v_mag, 2) AS median_v_magnitude, nobs, round(span_hours, 4) AS span_hours,
   {S.RATE} AS rate_deg_per_day, {S.PA} AS position_angle_deg, d.stn AS discovery_site_code,
   replace(trim(c.name), chr(92) || '''', '''') AS discovery_site_name
-FROM disc_info d JOIN stats s USING (unpacked_desig) JOIN neo_list l USING (unpacked_desig)
+FROM firsts d JOIN stats s USING (unpacked_desig) JOIN objs l USING (unpacked_desig)
 LEFT JOIN obscodes c ON c.obscode = d.stn"""
 
 
@@ -35,7 +35,7 @@ SELECT d.unpacked_desig AS designation, CAST(year(d.obstime) AS INTEGER) AS disc
   d.stn AS station_code, round(l.h, 6) AS h, l.orbit_type_int, round(l.q, 6) AS q, round(l.e, 6) AS e, round(l.i, 6) AS i,
   round(avg_ra_deg, 5) AS avg_ra_deg, round(avg_dec_deg, 5) AS avg_dec_deg, round(median_v_mag, 4) AS median_v_mag,
   nobs AS tracklet_nobs
-FROM disc_info d JOIN neo_list l USING (unpacked_desig) LEFT JOIN stats s USING (unpacked_desig)""")
+FROM firsts d JOIN objs l USING (unpacked_desig) LEFT JOIN stats s USING (unpacked_desig)""")
 def _(t):
     d = discovery.load_discoveries(t.orbits, t.ni, t.obs, t.obscodes)
     return rounded(d.drop("stn_longitude", "stn_rhocosphi", "stn_rhosinphi", "stn_type"),
@@ -86,7 +86,7 @@ def _(t):
 @query("yearly_breakdown", S.chain("iau", stats=False) + """,
 w AS (SELECT d.stn, d.obstime, l.h, l.q, l.e, CASE WHEN l.e < 1 THEN l.q / (1.0 - l.e) END AS a,
     CASE WHEN l.e < 1 THEN l.q * (1.0 + l.e) / (1.0 - l.e) END AS cap_q
-  FROM disc_info d JOIN neo_list l USING (unpacked_desig))
+  FROM firsts d JOIN objs l USING (unpacked_desig))
 SELECT stn, CAST(year(obstime) AS INTEGER) AS disc_year, count(*) AS neos,
   count(*) FILTER (WHERE h < 17.75) AS neos_1km, count(*) FILTER (WHERE h <= 22.0) AS neos_h22,
   count(*) FILTER (WHERE a < 1 AND cap_q < 0.983) AS n_atira, count(*) FILTER (WHERE a < 1 AND cap_q >= 0.983) AS n_aten,
@@ -107,9 +107,9 @@ def _(t):
 
 
 @query("designation_order", S.chain("iau", stats=False) + """
-SELECT CASE WHEN l.is_numbered THEN l.asteroid_number ELSE d.unpacked_desig END AS primary_designation, d.stn
-FROM disc_info d JOIN neo_list l USING (unpacked_desig)
-ORDER BY l.is_numbered DESC, CASE WHEN l.is_numbered THEN lpad(l.asteroid_number, 10, '0') ELSE d.unpacked_desig END LIMIT 25""")
+SELECT coalesce(l.number, d.unpacked_desig) AS primary_designation, d.stn
+FROM firsts d JOIN objs l USING (unpacked_desig)
+ORDER BY l.number IS NULL, coalesce(lpad(l.number, 10, '0'), d.unpacked_desig) LIMIT 25""")
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="iau"), t.ni)
     d = identity.earliest_discovery(neos, t.obs, carry=["permid"])
@@ -118,8 +118,8 @@ def _(t):
 
 
 @query("designation_order_all", S.chain("iau", stats=False) + """
-SELECT CASE WHEN l.is_numbered THEN l.asteroid_number ELSE d.unpacked_desig END AS primary_designation, d.stn
-FROM disc_info d JOIN neo_list l USING (unpacked_desig)""")
+SELECT coalesce(l.number, d.unpacked_desig) AS primary_designation, d.stn
+FROM firsts d JOIN objs l USING (unpacked_desig)""")
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="iau"), t.ni)
     d = identity.earliest_discovery(neos, t.obs, carry=["permid"])
@@ -161,7 +161,7 @@ def _(t):
         F.col(U).alias("designation"), "is_numbered", "permid", "provisional_desig", "num_provid")
 
 
-@query("match_by_designation", S.chain("wide", stats=False) + " SELECT * FROM disc_all")
+@query("match_by_designation", S.chain("wide", stats=False) + " SELECT * FROM sightings")
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="wide"), t.ni)
     return identity.match_by_designation(neos, t.obs)
@@ -440,9 +440,9 @@ TWILIGHT_SQL = """CASE WHEN observations_type = 'satellite' THEN 'Space-based' W
    WHEN alt >= 0 THEN 'Daytime' ELSE 'Unknown site' END"""
 
 CIRC_SQL = S.chain("wide", stats=False) + f""",
-base AS (SELECT CASE WHEN l.is_numbered THEN l.asteroid_number ELSE d.unpacked_desig END AS primary_designation, d.obstime,
+base AS (SELECT coalesce(l.number, d.unpacked_desig) AS primary_designation, d.obstime,
    c.longitude, atan2(c.rhosinphi, c.rhocosphi) AS lat, c.observations_type
-  FROM disc_info d JOIN neo_list l USING (unpacked_desig) LEFT JOIN obscodes c ON c.obscode = d.stn),
+  FROM firsts d JOIN objs l USING (unpacked_desig) LEFT JOIN obscodes c ON c.obscode = d.stn),
 {SUN_SQL}, alts AS (SELECT *, {ALT_SQL} AS alt FROM sun)"""
 
 

@@ -16,8 +16,8 @@ from .registry import query
 P, U = identity.PACKED, identity.UNPACKED
 
 PROFILE_SQL = "WITH " + ",\n".join([
-    S.neo_list("iau", "nq"), S.disc_all("nq", "dq"), S.disc_info("dq", "iq"),
-    S.neo_list("class", "nc"), S.disc_all("nc", "dc"), S.disc_info("dc", "ic")]) + f""",
+    S.objects("iau", "nq"), S.sightings("nq", "dq"), S.firsts("dq", "iq"),
+    S.objects("class", "nc"), S.sightings("nc", "dc"), S.firsts("dc", "ic")]) + f""",
 a AS (SELECT stn, count(DISTINCT {S.KEY}) AS disc_all FROM obs WHERE disc = '*' GROUP BY stn),
 q AS (SELECT stn, count(*) AS disc_neo_q, CAST(min(year(obstime)) AS INTEGER) AS first_neo_year, CAST(max(year(obstime)) AS INTEGER) AS last_neo_year FROM iq GROUP BY stn),
 c AS (SELECT stn, count(*) AS disc_neo_class FROM ic GROUP BY stn)
@@ -126,7 +126,7 @@ def _(t):
 @query("top_stations", S.chain("iau", stats=False) + """
 SELECT d.stn AS station_code, count(*) AS neos, count(*) FILTER (WHERE h < 17.75) AS n_1km,
   count(*) FILTER (WHERE h >= 17.75 AND h <= 22) AS n_140m, count(*) FILTER (WHERE h > 22) AS n_small
-FROM disc_info d JOIN neo_list l USING (unpacked_desig) GROUP BY d.stn ORDER BY neos DESC, station_code LIMIT 3""")
+FROM firsts d JOIN objs l USING (unpacked_desig) GROUP BY d.stn ORDER BY neos DESC, station_code LIMIT 3""")
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits), t.ni)
     d = identity.earliest_discovery(neos, t.obs, carry=["h"]).withColumnRenamed("stn", "station_code")

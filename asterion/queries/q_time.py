@@ -12,8 +12,8 @@ from . import oracle_parts as S
 from .q_discovery import ALT_SQL, SUN_SQL, rounded
 from .registry import query
 
-KEYS_SQL = """keys AS (SELECT d.unpacked_desig, d.obstime AS disc_obstime, d.stn AS disc_stn, l.asteroid_number AS permid, coalesce(l.provisional_desig, l.num_provid) AS provid
-  FROM disc_info d JOIN neo_list l USING (unpacked_desig)),
+KEYS_SQL = """keys AS (SELECT d.unpacked_desig, d.obstime AS disc_obstime, d.stn AS disc_stn, l.number AS permid, l.listed_as AS provid
+  FROM firsts d JOIN objs l USING (unpacked_desig)),
 rows_in AS (SELECT k.unpacked_desig AS designation, k.disc_obstime, k.disc_stn, o.stn, o.obstime, o.trkid FROM keys k JOIN obs o ON o.permid = k.permid OR o.provid = k.provid
   WHERE o.obstime BETWEEN k.disc_obstime - INTERVAL {days} DAY AND k.disc_obstime + INTERVAL {days} DAY)"""
 
