@@ -45,13 +45,20 @@ def match_catalog(neo_list: DataFrame, orbits: DataFrame, ni: DataFrame):
     Numbered entries go through the numbered list, others by packed designation.
     List columns: packed_desig, is_numbered, number, h_list.
     """
-    names = ni.select(F.col("permid").alias("number"), F.col(PACKED).alias("_ni"))
-    keyed = neo_list.join(names, "number", "left").withColumn(
-        "match_key", F.when(F.col("is_numbered"), F.col("_ni")).otherwise(F.col("packed_desig"))).drop("_ni")
+    names = ni.select(F.col("permid").alias("number"), F.col(PACKED).alias("match_key"))
+    numbered = F.coalesce(F.col("is_numbered"), F.lit(False))
+    unnamed = neo_list.where(numbered & F.col("number").isNull()).withColumn("match_key", F.lit(None).cast("string"))
+    columns = [*neo_list.columns, "match_key"]
+    keyed = (neo_list.where(numbered & F.col("number").isNotNull()).join(names, "number", "left").select(*columns)
+             .unionByName(neo_list.where(~numbered).withColumn("match_key", F.col("packed_desig")))
+             .unionByName(unnamed))
     cat = orbits.withColumnRenamed(PACKED, "match_key")
-    matched = keyed.join(cat, "match_key")
-    list_only = keyed.join(cat.select("match_key"), "match_key", "left_anti")
-    catalog_only = cat.join(keyed.select("match_key"), "match_key", "left_anti")
+    has, own = F.col("match_key").isNotNull(), cat.where(F.col("match_key").isNotNull())
+    # Entries and orbits without a key match nothing; they do not go through the joins.
+    matched = keyed.where(has).join(own, "match_key")
+    list_only = keyed.where(has).join(own.select("match_key"), "match_key", "left_anti").select(*columns).unionByName(keyed.where(~has))
+    catalog_only = own.join(keyed.where(has).select("match_key"), "match_key", "left_anti").select(*cat.columns).unionByName(
+        cat.where(F.col("match_key").isNull()))
     return matched, list_only, catalog_only
 
 

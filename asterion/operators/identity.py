@@ -132,13 +132,24 @@ def alias_semi_join(obs: DataFrame, orbits: DataFrame, ci: DataFrame, ni: DataFr
 
 
 def semi_join_keys(obs: DataFrame, keys: DataFrame) -> DataFrame:
-    """Observations that carry any of the (kind, key) identifiers, each once."""
-    prov = keys.where(F.col("kind") == "provid").select(F.col("key").alias("provid"),
-                                                        F.lit(True).alias("_p"))
-    perm = keys.where(F.col("kind") == "permid").select(F.col("key").alias("permid"),
-                                                        F.lit(True).alias("_n"))
-    return (obs.join(prov, "provid", "left").join(perm, "permid", "left")
-            .where(F.col("_p").isNotNull() | F.col("_n").isNotNull()).select(*obs.columns))
+    """Observations that carry any of the (kind, key) identifiers, each once.
+
+    A row is taken by its number, or else by its designation. Rows without an identifier do not
+    take part in the lookup by it, so they are not shuffled for it; what the designations find is
+    few rows, and of these only those that the numbers did not take are added.
+    """
+    of = lambda kind: keys.where((F.col("kind") == kind) & F.col("key").isNotNull()).select(F.col("key").alias(kind)).distinct()
+    numbers = of("permid")
+    numbered = obs.where(F.col("permid").isNotNull()).join(numbers, "permid", "left_semi")
+    named = obs.where(F.col("provid").isNotNull()).join(of("provid"), "provid", "left_semi")
+    left_over = named.withColumn("_number", spread("permid", "provid")).join(
+        numbers.withColumnRenamed("permid", "_number"), "_number", "left_anti")
+    return numbered.select(*obs.columns).unionByName(left_over.select(*obs.columns))
+
+
+def spread(key: str, *others: str) -> Column:
+    """The key, or for NULL a value that nothing matches and that differs from row to row as the other columns do."""
+    return F.coalesce(F.col(key), F.concat(F.lit("no key "), F.xxhash64(*others).cast("string")))
 
 
 def neo_list_keys(neo_list: DataFrame) -> DataFrame:
@@ -191,33 +202,36 @@ def resolve_alias(df: DataFrame, ci: DataFrame, ni: DataFrame, orbits: DataFrame
     """Follow a designation through aliases and numbers to its primary and class.
 
     Numbers resolve by the numbered list, anything else by its packed form among
-    the aliases. What resolves nowhere keeps NULLs.
+    the aliases. What resolves nowhere keeps NULLs. The catalogues are put together
+    first, by their primary; the list then meets them in one join on (kind, key),
+    which rows without a designation pass by.
     """
+    numbers = ni.where(F.col(PACKED).isNotNull()).select(
+        F.col(PACKED).alias("_prim"), F.col(UNPACKED).alias("_name"), "permid", "iau_name")
+    elements = orbits.where(F.col(PACKED).isNotNull()).select(
+        F.col(PACKED).alias("_prim"), best_orbit_class().alias("orbit_class"))
+    by_number = numbers.where(F.col("permid").isNotNull()).join(elements, "_prim", "left").select(
+        F.lit("number").alias("_kind"), F.col("permid").alias("_key"), F.struct(
+            F.col("_name").alias("primary_desig"), "permid", "iau_name", F.lit(False).alias("is_secondary"),
+            F.lit(True).alias("is_numbered"), "orbit_class").alias("_r"))
+    alias, known = F.col("packed_secondary_provisional_designation"), F.coalesce("numbered", F.lit(False))
+    by_alias = ci.where(alias.isNotNull() & F.col(PACKED).isNotNull()).select(
+        alias.alias("_key"), F.col(PACKED).alias("_prim"), F.col(UNPACKED).alias("_ci_name"), known.alias("_known"))
+    by_alias = by_alias.join(numbers.drop("_name"), "_prim", "left").join(elements, "_prim", "left").select(
+        F.lit("packed").alias("_kind"), "_key", F.struct(
+            F.col("_ci_name").alias("primary_desig"), F.when(F.col("_known"), F.col("permid")).alias("permid"),
+            F.when(F.col("_known"), F.col("iau_name")).alias("iau_name"), (F.col("_prim") != F.col("_key")).alias("is_secondary"),
+            F.col("_known").alias("is_numbered"), "orbit_class").alias("_r"))
     d = df.select(F.col(col).alias("mpec_desig"))
     is_number = F.col("mpec_desig").rlike("^[0-9]+$")
-    d = d.withColumn("_packed", F.when(~is_number, D.pack_designation("mpec_desig")))
-    d = d.withColumn("_number", F.when(is_number, F.col("mpec_desig")))
-    aliases = ci.select(
-        F.col("packed_secondary_provisional_designation").alias("_packed"),
-        F.col(PACKED).alias("_ci_packed"), F.col(UNPACKED).alias("_ci_name"),
-        F.coalesce("numbered", F.lit(False)).alias("_ci_numbered"))
-    by_number = ni.select(F.col("permid").alias("_number"), F.col(PACKED).alias("_ni_packed"),
-                          F.col(UNPACKED).alias("_ni_name"), F.col("iau_name").alias("_ni_iau"))
-    names = ni.select(F.col(PACKED).alias("_prim"), F.col("permid").alias("_permid"),
-                      F.col("iau_name").alias("_iau"))
-    elements = orbits.select(F.col(PACKED).alias("_prim"), "orbit_type_int", "q", "e", "i")
-    d = d.join(aliases, "_packed", "left").join(by_number, "_number", "left")
-    d = d.withColumn("_prim", F.coalesce("_ci_packed", "_ni_packed"))
-    d = d.join(names, "_prim", "left").join(elements, "_prim", "left")
-    alias_numbered = F.coalesce("_ci_numbered", F.lit(False))
-    found = F.col("_ni_packed").isNotNull()
-    return d.select(
-        "mpec_desig", F.coalesce("_ci_name", "_ni_name").alias("primary_desig"),
-        F.when(found, F.col("_number")).when(alias_numbered, F.col("_permid")).alias("permid"),
-        F.when(found, F.col("_ni_iau")).when(alias_numbered, F.col("_iau")).alias("iau_name"),
-        F.coalesce(F.col("_ci_packed") != F.col("_packed"), F.lit(False)).alias("is_secondary"),
-        (found | alias_numbered).alias("is_numbered"),
-        best_orbit_class().alias("orbit_class"))
+    d = d.withColumns({"_kind": F.when(is_number, F.lit("number")).otherwise(F.lit("packed")),
+                       "_key": F.when(is_number, F.col("mpec_desig")).otherwise(D.pack_designation("mpec_desig"))})
+    found = d.where(F.col("_key").isNotNull()).join(by_number.unionByName(by_alias), ["_kind", "_key"], "left")
+    none = F.lit(None).cast(by_number.schema["_r"].dataType).alias("_r")
+    both = found.select("mpec_desig", "_r").unionByName(d.where(F.col("_key").isNull()).select("mpec_desig", none))
+    flags = {c: F.coalesce(f"_r.{c}", F.lit(False)) for c in ("is_secondary", "is_numbered")}
+    return both.select("mpec_desig", *[flags.get(c, F.col(f"_r.{c}")).alias(c) for c in (
+        "primary_desig", "permid", "iau_name", "is_secondary", "is_numbered", "orbit_class")])
 
 
 def canonicalize(df: DataFrame, ni: DataFrame, orbits: DataFrame, *, raw: str) -> DataFrame:
@@ -238,15 +252,20 @@ def canonicalize(df: DataFrame, ni: DataFrame, orbits: DataFrame, *, raw: str) -
                                        F.when(packed_form, s).otherwise(D.pack_designation(s))))
     d = d.withColumn("_name", F.when(F.col("_number").isNull(),
                                      F.when(packed_form, D.unpack_designation(s)).otherwise(s)))
-    numbers = ni.select(F.col("permid").alias("_number"), F.col(PACKED).alias("_ni_packed"),
-                        F.col(UNPACKED).alias("_ni_name"))
-    d = d.join(numbers, "_number", "left").where(
-        F.col("_number").isNull() | F.col("_ni_packed").isNotNull())
-    d = d.withColumn("packed_desig", F.coalesce("_ni_packed", "_packed"))
-    held = orbits.select(F.col(PACKED).alias("packed_desig"), F.lit(True).alias("_held")).distinct()
-    return d.join(held, "packed_desig", "left").select(
+    # One lookup for numbers and packed names, in a table made of the catalogues alone.
+    held = orbits.where(F.col(PACKED).isNotNull()).select(F.col(PACKED).alias("packed_desig"), F.lit(True).alias("_held")).distinct()
+    numbers = ni.where(F.col("permid").isNotNull()).select(
+        F.lit("number").alias("_by"), F.col("permid").alias("_key"), F.col(PACKED).alias("packed_desig"), F.col(UNPACKED).alias("_ni_name"))
+    numbers = numbers.where(F.col("packed_desig").isNotNull()).join(held, "packed_desig", "left")
+    names = held.select(F.lit("packed").alias("_by"), F.col("packed_desig").alias("_key"), "packed_desig",
+                        F.lit(None).cast("string").alias("_ni_name"), "_held")
+    d = d.withColumns({"_by": F.when(F.col("_number").isNull(), F.lit("packed")).otherwise(F.lit("number")),
+                       "_key": F.coalesce("_number", "_packed")})
+    d = d.join(numbers.unionByName(names), ["_by", "_key"], "left").where(
+        F.col("_number").isNull() | F.col("packed_desig").isNotNull())
+    return d.select(
         *[c for c in df.columns if c != raw],
-        F.coalesce("_ni_name", "_name").alias("primary_desig"), "packed_desig",
+        F.coalesce("_ni_name", "_name").alias("primary_desig"), F.coalesce("packed_desig", "_packed").alias("packed_desig"),
         F.col("_number").alias("permid"), "raw_string", F.lit(True).alias("desig_parsed"),
         F.coalesce("_held", F.lit(False)).alias("orbit_in_mpc"),
         D.is_comet("raw_string").alias("is_comet"))

@@ -65,10 +65,8 @@ def export_obs80(obs: DataFrame, keys: DataFrame) -> DataFrame:
     ``keys`` holds (key, kind); each observation is taken once however many keys hit.
     """
     from asterion.operators.filters import published_active, quality_gate
-    perm = keys.where(F.col("kind") == "permid").select(F.col("key").alias("permid"), F.lit(True).alias("_n")).distinct()
-    prov = keys.where(F.col("kind") == "provid").select(F.col("key").alias("provid"), F.lit(True).alias("_p")).distinct()
-    d = published_active(obs).join(perm, "permid", "left").join(prov, "provid", "left")
-    return quality_gate(d.where(F.col("_n").isNotNull() | F.col("_p").isNotNull()))
+    from asterion.operators.identity import semi_join_keys
+    return quality_gate(semi_join_keys(published_active(obs), keys))
 
 
 def write_alias_links(lists: DataFrame, path: str, *, kind: str) -> None:

@@ -401,3 +401,25 @@ def test_ranges_that_differ_are_filtered_in_the_scan(spark, tmp_path):
     cut = replicas.Ranges(a, b, "id")
     rows = cut.rows(a, replicas.differing_ranges(cut.tree(a), cut.tree(b), cut.fine))
     assert rows.count() <= 25 and "PushedFilters: [GreaterThanOrEqual(id," in rows._jdf.queryExecution().executedPlan().toString().replace("IsNotNull(id), ", "")
+
+
+def test_rows_without_a_key_are_not_shuffled(spark):
+    """Nine rows in ten lack a key; each is given once, and the lookups see none of them."""
+    rows = [(k, str(k) if k % 10 == 0 else None, f"D{k}" if k % 10 == 5 or k % 20 == 0 else None) for k in range(400)]
+    obs = spark.createDataFrame(rows, "obsid int, permid string, provid string")
+    keys = spark.createDataFrame([("permid", str(k)) for k in range(0, 200, 10)] + [("provid", f"D{k}") for k in range(100, 300)] + [("permid", None), ("permid", "0")], "kind string, key string")
+    got = identity.semi_join_keys(obs, keys)
+    want = {k for k, perm, prov in rows if perm is not None and k < 200 or prov is not None and 100 <= k < 300}
+    assert sorted(r.obsid for r in got.collect()) == sorted(want)
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "LeftOuter" not in plan and plan.count("isnotnull(permid") >= 1 and plan.count("isnotnull(provid") >= 1
+    cat = {n: getattr(mini, n)(spark) for n in ("ci", "ni", "orbits")}
+    named = spark.createDataFrame([(x,) for x in ["1001", "2020 XX", "2024 AB", "2099 ZZ", None, None]], "d string")
+    out = identity.resolve_alias(named, **cat, col="d")
+    assert sorted(map(tuple, out.select("mpec_desig", "primary_desig", "permid", "is_secondary", "is_numbered").collect()), key=str) == sorted([
+        ("1001", "2024 AA", "1001", False, True), ("2020 XX", "2024 AA", "1001", True, True), ("2024 AB", "2024 AB", None, False, False),
+        ("2099 ZZ", None, None, False, False), (None, None, None, False, False), (None, None, None, False, False)], key=str)
+    entries = spark.createDataFrame([("K24A00A", True, "1001", 1.0), ("K24A00B", False, None, 2.0), ("x", True, None, 3.0), (None, False, None, 4.0), ("y", True, "77", 5.0)],
+                                    "packed_desig string, is_numbered boolean, number string, h_list double")
+    matched, only_list, only_catalog = compare.match_catalog(entries, cat["orbits"], cat["ni"])
+    assert {r.h_list for r in matched.collect()} == {1.0, 2.0} and {r.h_list for r in only_list.collect()} == {3.0, 4.0, 5.0} and only_catalog.count() == 4
