@@ -106,22 +106,52 @@ def venn_regions(sets: DataFrame, *, surveys: list[str]) -> DataFrame:
     return per.groupBy(*names).agg(F.count("*").alias("n"))
 
 
-def pairwise_codetection(sets: DataFrame) -> DataFrame:
+def object_bitmaps(sets: DataFrame, *, surveys: list[str] | None = None) -> DataFrame:
+    """(block, survey, words): which of a block's ``BLOCK`` objects each survey saw, a bit per object.
+
+    Objects are numbered inside parts of their names' hashes, so that numbering needs no task with all of them.
+    """
+    d = sets if surveys is None else sets.where(F.col("survey").isin(surveys))
+    d = d.where(F.col("designation").isNotNull() & F.col("survey").isNotNull())
+    named = d.select("designation").distinct().withColumn("_part", F.pmod(F.xxhash64("designation"), F.lit(PARTS)))
+    nth = F.row_number().over(Window.partitionBy("_part").orderBy("designation")) - 1
+    named = named.withColumn("_n", nth).select(
+        "designation", F.struct("_part", F.floor(F.col("_n") / BLOCK).alias("run")).alias("block"), (F.col("_n") % BLOCK).alias("_at"))
+    bit = F.expr("shiftleft(1L, CAST(_at % 64 AS INT))")
+    words = d.join(named, "designation").groupBy("block", "survey", F.floor(F.col("_at") / 64).cast("int").alias("_w")).agg(F.bit_or(bit).alias("_b"))
+    held = words.groupBy("block", "survey").agg(F.map_from_entries(F.collect_list(F.struct("_w", "_b"))).alias("_m"))
+    dense = F.transform(F.sequence(F.lit(0), F.lit(BLOCK // 64 - 1)), lambda w: F.coalesce(F.try_element_at("_m", w), F.lit(0).cast("bigint")))
+    return held.select("block", "survey", dense.alias("words"))
+
+
+PARTS, BLOCK = 64, 4096
+
+
+def pairwise_codetection(sets: DataFrame, *, surveys: list[str] | None = None) -> DataFrame:
     """For each ordered pair of surveys, the share of the first's objects the second
     also saw; the diagonal carries totals.
 
-    Objects are first reduced to their set of surveys and equal sets counted, so
-    pairs are formed per distinct combination of surveys, not per object.
+    A block of objects is one row with a bitmap per survey; pairs of surveys are counted by intersecting bitmaps,
+    4,096 objects at a time, so pairs are formed per block, never per object or per
+    combination of surveys. Surveys may be given; otherwise all are taken.
     """
-    combos = sets.groupBy("designation").agg(F.array_sort(F.collect_set("survey")).alias("_s")) \
-        .groupBy("_s").agg(F.count("*").alias("_n"))
-    pairs = combos.select("_n", "_s", F.explode("_s").alias("survey_i")).select(
-        "_n", "survey_i", F.explode("_s").alias("survey_j"))
-    both = pairs.groupBy("survey_i", "survey_j").agg(F.sum("_n").alias("n_both"))
-    total = both.where(F.col("survey_i") == F.col("survey_j")).select(
-        "survey_i", F.col("n_both").alias("n_i"))
-    return both.join(total, "survey_i").select("survey_i", "survey_j", "n_both", "n_i",
-                                               share("n_both", "n_i", 2).alias("pct"))
+    blocks = object_bitmaps(sets, surveys=surveys).groupBy("block").agg(F.array_sort(F.collect_list(F.struct("survey", "words"))).alias("_s"))
+
+    def common(a, b):
+        both = F.zip_with(a["words"], b["words"], lambda x, y: F.bit_count(x.bitwiseAND(y)).cast("bigint"))
+        return F.aggregate(both, F.lit(0).cast("bigint"), lambda n, x: n + x)
+
+    def with_later(a):
+        later = F.filter("_s", lambda b: b["survey"] >= a["survey"])
+        return F.transform(later, lambda b: F.struct(a["survey"].alias("a"), b["survey"].alias("b"), common(a, b).alias("n")))
+
+    pairs = blocks.select(F.explode(F.flatten(F.transform("_s", with_later))).alias("_p")).select("_p.*")
+    n = pairs.groupBy("a", "b").agg(F.sum("n").alias("n_both")).where(F.col("n_both") > 0)
+    one = n.select(F.col("a").alias("survey_i"), F.col("b").alias("survey_j"), "n_both")
+    other = n.where(F.col("a") != F.col("b")).select(F.col("b").alias("survey_i"), F.col("a").alias("survey_j"), "n_both")
+    total = n.where(F.col("a") == F.col("b")).select(F.col("a").alias("survey_i"), F.col("n_both").alias("n_i"))
+    return one.unionByName(other).join(total, "survey_i").select(
+        "survey_i", "survey_j", "n_both", "n_i", share("n_both", "n_i", 2).alias("pct"))
 
 
 def survey_reach(sets: DataFrame) -> DataFrame:
@@ -174,14 +204,30 @@ def response_curve(responses: DataFrame, *, horizon: int = 200) -> DataFrame:
                     share(so_far, F.sum("_n").over(w), 2).alias("pct"))
 
 
-def site_followup_volume(tracklets: DataFrame, *, n: int = 20, years=None) -> DataFrame:
-    """Stations with most tracklets of objects discovered elsewhere."""
-    d = tracklets.where(F.col("station_code") != F.col("disc_stn"))
+def site_followup_volume(tracklets: DataFrame, *, n: int | None = 20, years=None, metric: str = "tracklets",
+                         within_days: float | None = None, precoveries: bool = True, scope: str = "others") -> DataFrame:
+    """Stations by follow-up of objects: tracklets, observations and objects, ordered by one of them.
+
+    ``within_days`` keeps what lies that near to the discovery, ``precoveries`` tells whether
+    what was seen before it counts, ``scope`` whether objects discovered by ``others`` than the station,
+    by itself (``own``), or ``all`` are looked at.
+    """
+    measures = {"tracklets": "n_tracklets", "observations": "n_observations", "objects": "n_objects"}
+    own = F.col("station_code") == F.col("disc_stn")
+    scopes = {"others": ~own, "own": own, "all": F.lit(True)}
+    if metric not in measures or scope not in scopes:
+        raise ValueError(f"metric {metric!r}, scope {scope!r}")
+    d = tracklets.where(scopes[scope])
     if years is not None:
         d = d.where(F.year("first_obs").between(*years))
-    return d.groupBy("station_code").agg(
-        F.count("*").alias("n_tracklets"), F.countDistinct("designation").alias("n_objects")
-    ).orderBy(F.desc("n_tracklets"), "station_code").limit(n)
+    if within_days is not None:
+        d = d.where(F.abs("days_from_disc") <= within_days)
+    if not precoveries:
+        d = d.where(F.col("days_from_disc") >= 0)
+    out = d.groupBy("station_code").agg(
+        F.count("*").alias("n_tracklets"), F.sum("nobs").alias("n_observations"), F.countDistinct("designation").alias("n_objects")
+    ).orderBy(F.desc(measures[metric]), "station_code")
+    return out if n is None else out.limit(n)
 
 
 def precovery_counts(tracklets: DataFrame) -> DataFrame:

@@ -164,14 +164,24 @@ SORTS = {"total": ("nea_all", False), "pha": ("pha", False), "1km": ("nea_1km",
          "140m": ("nea_h22", False), "first": ("first_year", True), "last": ("last_year", True)}
 
 
-def sort_projects(df: DataFrame, by: str = "total") -> DataFrame:
+def project_order(by: str) -> list[Column]:
     column, is_year = SORTS[by]
     if is_year:
         missing = F.lit("9999" if by == "first" else "0000")
         key = F.coalesce(year_label_key(column), missing)
     else:
         key = F.desc(column)
-    return df.orderBy(key, F.desc("nea_all"))
+    return [key, F.desc("nea_all"), F.col("project")]
+
+
+def sort_projects(df: DataFrame, by: str = "total") -> DataFrame:
+    """Projects by one of the keys of ``SORTS``, ties by total and then by name."""
+    return df.orderBy(*project_order(by))
+
+
+def with_project_position(df: DataFrame, by: str = "total") -> DataFrame:
+    """The place of each project, of which there are a few dozens."""
+    return df.withColumn("position", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*project_order(by))))
 
 
 def year_change(yearly: DataFrame, *, label: str, year: int, day_of_year: int) -> DataFrame:

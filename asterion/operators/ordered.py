@@ -64,6 +64,16 @@ def with_carried(df: DataFrame, *, keys: list[str], order: list[str], bucket: Co
         *df.columns, F.coalesce("_in", "_edge").alias(name))
 
 
+def with_position(df: DataFrame, *, order: list[str], bucket: Column, name: str = "position") -> DataFrame:
+    """Add the place of each row in an order of the whole table, from 1.
+
+    Rows are numbered inside buckets that are monotone in the order, and one row per bucket carries
+    the numbers on.
+    """
+    d = with_running_sum(df.withColumn("_one", F.lit(0)), keys=["_one"], order=order, bucket=bucket, value=F.lit(1), name=name)
+    return d.drop("_one")
+
+
 def month_bucket(t) -> Column:
     """Months since year zero; monotone in time."""
     c = F.col(t) if isinstance(t, str) else t

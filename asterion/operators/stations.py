@@ -57,6 +57,35 @@ def station_obs_profile(obs: DataFrame, *, distinct: str | None = None) -> DataF
     return obs.groupBy("stn").agg(*aggs)
 
 
+#: log2 of a sketch's registers; its relative standard error is 0.8326 / sqrt(4096) or less, and exact while few.
+REGISTERS = 12
+SKETCH_ERROR = 3 * 0.8326 / 2 ** (REGISTERS / 2)
+
+
+def daily_sketches(obs: DataFrame) -> DataFrame:
+    """Per (station, day): observations, first and last, and mergeable sketches of tracklets and objects.
+
+    A few kilobytes a row at most, so a table of them answers for any window without the observations.
+    """
+    d = obs.withColumn("_object", object_key())
+    return d.groupBy("stn", F.col("obstime").cast("date").alias("obs_date")).agg(
+        F.count("*").alias("n_obs"), F.min("obstime").alias("first_obs"), F.max("obstime").alias("last_obs"),
+        F.hll_sketch_agg("trkid", REGISTERS).alias("tracklets"), F.hll_sketch_agg("_object", REGISTERS).alias("objects"))
+
+
+def profile_from_sketches(sketches: DataFrame, *, start=None, end=None) -> DataFrame:
+    """The station profile of a window of days, merged from stored sketches; distinct numbers within ``SKETCH_ERROR``."""
+    d = sketches
+    if start is not None:
+        d = d.where(F.col("obs_date") >= F.lit(start).cast("date"))
+    if end is not None:
+        d = d.where(F.col("obs_date") < F.lit(end).cast("date"))
+    return d.groupBy("stn").agg(
+        F.sum("n_obs").alias("n_obs"), F.min("first_obs").alias("first_obs"), F.max("last_obs").alias("last_obs"),
+        F.hll_sketch_estimate(F.hll_union_agg("tracklets")).alias("n_tracklets"),
+        F.hll_sketch_estimate(F.hll_union_agg("objects")).alias("n_objects"))
+
+
 def neo_flag_join(obs: DataFrame, neo_obs: DataFrame, *, id: str = "id") -> DataFrame:
     """Add ``is_neo``: the row is in the near-Earth subset."""
     flag = neo_obs.select(id).withColumn("_neo", F.lit(True))

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from asterion.operators import discovery, filters, identity, skytime, summary
+from asterion.operators.ordered import with_position
 from asterion.operators.ranking import top_k
 
 from . import oracle_parts as S
@@ -118,12 +119,19 @@ def _(t):
 
 
 @query("designation_order_all", S.chain("iau", stats=False) + """
-SELECT coalesce(l.number, d.unpacked_desig) AS primary_designation, d.stn
+SELECT coalesce(l.number, d.unpacked_desig) AS primary_designation, d.stn,
+  row_number() OVER (ORDER BY l.number IS NULL, coalesce(lpad(l.number, 10, '0'), d.unpacked_desig)) AS position
 FROM firsts d JOIN objs l USING (unpacked_desig)""")
 def _(t):
     neos = identity.with_numbering(filters.select_neos(t.orbits, rule="iau"), t.ni)
     d = identity.earliest_discovery(neos, t.obs, carry=["permid"])
-    return discovery.designation_order(d.select(F.coalesce("permid", "unpacked_desig").alias("primary_designation"), "stn"))
+    name = F.coalesce("permid", "unpacked_desig")
+    d = d.select(name.alias("primary_designation"), "stn", F.col("permid").isNull().cast("int").alias("_named"),
+                 F.when(F.col("permid").isNull(), name).otherwise(F.lpad(name, 10, F.lit("0"))).alias("_key"))
+    # Numbers by thousands, then names.
+    bucket = F.when(F.col("_named") == 1, F.lit(1 << 40)).otherwise(F.floor(F.col("_key").try_cast("bigint") / 1000))
+    d = with_position(d, order=["_named", "_key"], bucket=bucket)
+    return discovery.designation_order(d.select("primary_designation", "stn", "position"))
 
 
 @query("sky_distribution", f"""WITH p AS ({PRODUCT_SQL.replace("WITH ", "WITH ", 1)})

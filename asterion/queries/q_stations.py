@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, functions as F
 
 from asterion.functions import orbit
 from asterion.operators import boxscore, discovery, filters, identity, stations, summary
+from asterion.operators.ordered import with_position
 from asterion.operators.ranking import (cumulative_counts, enum_order, period_change, sample_rows,
                                         share_of_total, top_n_per_group, year_label_key)
 
@@ -36,10 +39,13 @@ def _(t):
                                      "disc_neo_q", "disc_all").limit(3)
 
 
-@query("station_profile_ordered_all", PROFILE_SQL)
+@query("station_profile_ordered_all", f"SELECT *, row_number() OVER (ORDER BY disc_neo_q DESC NULLS LAST, disc_all DESC NULLS LAST, stn) AS position FROM ({PROFILE_SQL})")
 def _(t):
-    return stations.nulls_last_order(stations.station_discovery_profile(t.orbits, t.ni, t.obs),
-                                     "disc_neo_q", "disc_all")
+    d = stations.station_discovery_profile(t.orbits, t.ni, t.obs)
+    # A station is a row; NULLs come last as the least of all values.
+    d = d.withColumns({"_q": -F.coalesce("disc_neo_q", F.lit(-1)), "_a": -F.coalesce("disc_all", F.lit(-1))})
+    d = with_position(d, order=["_q", "_a", "stn"], bucket=F.col("_q")).drop("_q", "_a")
+    return stations.nulls_last_order(d, "disc_neo_q", "disc_all")
 
 
 @query("full_outer_counts", """
@@ -66,9 +72,27 @@ def _(t):
     return stations.station_obs_profile(t.detections, distinct="exact")
 
 
-@query("station_obs_profile_approx")
+# Estimates themselves are not SQL's; that each lies within its stated error of the exact number is.
+@query("station_obs_profile_approx", f"""
+SELECT stn, count(*) AS n_obs, count(DISTINCT trkid) AS n_tracklets, count(DISTINCT {S.KEY}) AS n_objects, TRUE AS tracklets_within, TRUE AS objects_within FROM detections GROUP BY stn""")
+def _(t):
+    return _within(stations.station_obs_profile(t.detections, distinct="exact"), stations.station_obs_profile(t.detections, distinct="approx"), 0.15)
+
+
+@query("station_sketch_profile", f"""
+SELECT stn, count(*) AS n_obs, count(DISTINCT trkid) AS n_tracklets, count(DISTINCT {S.KEY}) AS n_objects, TRUE AS tracklets_within, TRUE AS objects_within
+FROM detections WHERE obstime >= '1995-01-01' AND obstime < '1997-07-01' GROUP BY stn""")
 def _(t):
-    return stations.station_obs_profile(t.detections, distinct="approx")
+    d = t.detections.where("obstime >= '1995-01-01' AND obstime < '1997-07-01'")
+    merged = stations.profile_from_sketches(stations.daily_sketches(t.detections), start="1995-01-01", end="1997-07-01")
+    return _within(stations.station_obs_profile(d, distinct="exact"), merged, stations.SKETCH_ERROR)
+
+
+def _within(exact, estimate, error):
+    e = estimate.select("stn", F.col("n_obs").alias("e_obs"), F.col("n_tracklets").alias("e_trk"), F.col("n_objects").alias("e_obj"))
+    close = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.col(b) * error
+    return exact.join(e, "stn").select("stn", F.col("e_obs").alias("n_obs"), "n_tracklets", "n_objects", close("e_trk", "n_tracklets").alias("tracklets_within"),
+                                       close("e_obj", "n_objects").alias("objects_within"))
 
 
 REPORT_SQL = f"""WITH neo AS (SELECT b.id FROM obs b WHERE EXISTS (SELECT 1 FROM orbits o WHERE o.q <= 1.30 AND o.{U} = b.provid)),
@@ -365,9 +389,10 @@ def _(t):
     return _yearly(t).select("code", "year_label", "nea_all").orderBy(year_label_key("year_label"), "code").limit(40)
 
 
-@query("year_label_order_all", f"WITH {YEARLY_SQL} SELECT code, year_label, nea_all FROM yb")
+@query("year_label_order_all", f"WITH {YEARLY_SQL} SELECT code, year_label, nea_all, row_number() OVER (ORDER BY {_YKEY.format('year_label')}, code) AS position FROM yb")
 def _(t):
-    return _yearly(t).select("code", "year_label", "nea_all").orderBy(year_label_key("year_label"), "code")
+    d = _yearly(t).select("code", "year_label", "nea_all", year_label_key("year_label").alias("_y"))
+    return with_position(d, order=["_y", "code"], bucket=F.col("_y").cast("int")).select("code", "year_label", "nea_all", "position").orderBy("position")
 
 
 @query("projects_by_first_year", f"""WITH {PROJECT_SQL}
@@ -384,6 +409,20 @@ def _(t):
     return boxscore.sort_projects(boxscore.project_rollup(_yearly(t)), "first").select("project", "first_year", "nea_all")
 
 
+_PROJECT_KEYS = {"total": "nea_all DESC", "pha": "pha DESC", "1km": "nea_1km DESC", "140m": "nea_h22 DESC",
+                 "first": f"coalesce({_YKEY.format('first_year')}, '9999')", "last": f"coalesce({_YKEY.format('last_year')}, '0000')"}
+
+
+@query("projects_by_every_key", f"""WITH {PROJECT_SQL},
+p AS (SELECT project, CAST(sum(nea_all) AS BIGINT) AS nea_all, CAST(sum(pha) AS BIGINT) AS pha, CAST(sum(nea_1km) AS BIGINT) AS nea_1km, CAST(sum(nea_h22) AS BIGINT) AS nea_h22,
+  arg_min(first_year, {_YKEY.format('first_year')}) AS first_year, arg_max(last_year, {_YKEY.format('last_year')}) AS last_year FROM lab GROUP BY project)
+""" + " UNION ALL ".join(f"SELECT '{k}' AS sorted_by, project, CAST(row_number() OVER (ORDER BY {e}, nea_all DESC, project) AS INTEGER) AS position FROM p" for k, e in _PROJECT_KEYS.items()))
+def _(t):
+    projects = boxscore.project_rollup(_yearly(t))
+    parts = [boxscore.with_project_position(projects, k).select(F.lit(k).alias("sorted_by"), "project", "position") for k in boxscore.SORTS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("year_change", f"""WITH {YEARLY_SQL}, c AS (SELECT code, coalesce(CAST(sum(nea_all) FILTER (WHERE year_label = '2018') AS BIGINT), 0) AS n_cur,
   coalesce(CAST(sum(nea_all) FILTER (WHERE year_label = '2017') AS BIGINT), 0) AS n_prev FROM yb GROUP BY code)
 SELECT code, n_cur, n_prev, CASE WHEN n_cur + n_prev < 5 THEN '' WHEN n_prev = 0 THEN CASE WHEN n_cur > 0 THEN '+' ELSE '' END
@@ -461,9 +500,15 @@ def _(t):
     return cumulative_counts(d, by=["stn"], order="y", value="n")
 
 
-@query("sample_rows")
+# Which rows a seed picks is Spark's hash; that they are rows of the table, as many as asked and no other ones next time, is SQL's.
+@query("sample_rows", "SELECT least(100, count(*)) AS n, least(100, count(*)) AS n_distinct, least(100, count(*)) AS n_in_table, least(100, count(*)) AS n_again FROM obs")
 def _(t):
-    return sample_rows(t.obs.select("id", "stn"), n=100, key="id", seed=7)
+    obs = t.obs.select("id", "stn")
+    one, again = sample_rows(obs, n=100, key="id", seed=7), sample_rows(obs.repartition(7), n=100, key="id", seed=7)
+    both = one.select("id", "stn", F.lit(0).alias("k")).unionByName(obs.select("id", "stn", F.lit(1).alias("k"))).unionByName(again.select("id", "stn", F.lit(2).alias("k")))
+    seen = both.groupBy("id", "stn").agg(*[F.sum(F.when(F.col("k") == k, 1).otherwise(0)).alias(f"k{k}") for k in range(3)])
+    return seen.where("k0 > 0").agg(F.sum("k0").alias("n"), F.count("*").alias("n_distinct"), F.sum(F.when(F.col("k1") > 0, 1).otherwise(0)).alias("n_in_table"),
+                                    F.sum(F.when(F.col("k2") > 0, 1).otherwise(0)).alias("n_again"))
 
 
 @query("enum_order", """SELECT id, orbit_type_int FROM orbits WHERE orbit_type_int IS NOT NULL ORDER BY CASE orbit_type_int WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2
@@ -473,6 +518,8 @@ def _(t):
     return d.orderBy(orbit.orbit_rank("orbit_type_int"), "orbit_type_int", "id").limit(30)
 
 
-@query("enum_order_all", "SELECT id, orbit_type_int FROM orbits")
+@query("enum_order_all", """SELECT id, orbit_type_int, row_number() OVER (ORDER BY CASE orbit_type_int WHEN 0 THEN 0 WHEN 1 THEN 1 WHEN 2 THEN 2
+ WHEN 3 THEN 3 WHEN 10 THEN 5 WHEN 11 THEN 6 WHEN 20 THEN 9 ELSE 20 END, orbit_type_int NULLS FIRST, id) AS position FROM orbits""")
 def _(t):
-    return enum_order(t.orbits.select("id", "orbit_type_int"), code="orbit_type_int")
+    d = t.orbits.select("id", "orbit_type_int", orbit.orbit_rank("orbit_type_int").alias("_r"), F.coalesce("orbit_type_int", F.lit(-1)).alias("_c"))
+    return enum_order(with_position(d, order=["_r", "_c", "id"], bucket=F.col("_r") * 1000 + F.col("_c")), code="orbit_type_int").select("id", "orbit_type_int", "position")

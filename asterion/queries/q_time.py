@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from functools import reduce
+
+from pyspark.sql import DataFrame, Window, functions as F
 
 from asterion.functions import sky
 from asterion.functions.timeconv import days_between
@@ -87,6 +89,14 @@ def _(t):
     return A.pairwise_codetection(sets(t))
 
 
+@query("station_codetection", """WITH sets AS (SELECT DISTINCT provid AS designation, stn AS survey FROM detections WHERE CAST(stn AS INTEGER) <= 100), tot AS (SELECT survey, count(*) AS n FROM sets GROUP BY 1)
+SELECT a.survey AS survey_i, b.survey AS survey_j, count(*) AS n_both, t.n AS n_i, round(100.0 * count(*) / t.n, 2) AS pct
+FROM sets a JOIN sets b USING (designation) JOIN tot t ON t.survey = a.survey GROUP BY a.survey, b.survey, t.n""")
+def _(t):
+    seen = t.detections.select(F.col("provid").alias("designation"), F.col("stn").alias("survey")).distinct()
+    return A.pairwise_codetection(seen, surveys=[str(k) for k in range(101)])
+
+
 @query("survey_reach", SETS_SQL + " SELECT survey, count(*) AS n_objects FROM sets GROUP BY 1")
 def _(t):
     return A.survey_reach(sets(t))
@@ -132,12 +142,28 @@ def _(t):
     return A.response_curve(responses(t))
 
 
-@query("site_followup_volume", TRK_SQL + """ SELECT station_code, count(*) AS n_tracklets, count(DISTINCT designation) AS n_objects FROM trk
+@query("site_followup_volume", TRK_SQL + """ SELECT station_code, count(*) AS n_tracklets, CAST(sum(nobs) AS BIGINT) AS n_observations, count(DISTINCT designation) AS n_objects FROM trk
 WHERE station_code <> disc_stn AND year(first_obs) BETWEEN 2020 AND 2024 GROUP BY 1 ORDER BY 2 DESC, 1 LIMIT 20""")
 def _(t):
     return A.site_followup_volume(tracklets(t), years=(2020, 2024))
 
 
+_VOLUME = {"tracklets": "n_tracklets", "observations": "n_observations", "objects": "n_objects"}
+
+
+@query("followup_volume_controls", TRK_SQL + " " + " UNION ALL ".join(
+    f"""SELECT '{scope}' AS scope, '{metric}' AS metric, station_code, count(*) AS n_tracklets, CAST(sum(nobs) AS BIGINT) AS n_observations, count(DISTINCT designation) AS n_objects,
+  row_number() OVER (ORDER BY {dict(tracklets='count(*)', observations='sum(nobs)', objects='count(DISTINCT designation)')[metric]} DESC, station_code) AS position
+FROM trk WHERE {cond} AND abs(days_from_disc) <= 9.5 AND days_from_disc >= 0 GROUP BY station_code"""
+    for scope, cond in (("others", "station_code <> disc_stn"), ("own", "station_code = disc_stn"), ("all", "TRUE")) for metric in _VOLUME))
+def _(t):
+    d = tracklets(t)
+    parts = [A.site_followup_volume(d, n=None, metric=m, within_days=9.5, precoveries=False, scope=s).select(
+        F.lit(s).alias("scope"), F.lit(m).alias("metric"), "*", F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(F.desc(c), "station_code")).alias("position"))
+        for s in ("others", "own", "all") for m, c in _VOLUME.items()]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("precovery_counts", TRK_SQL + " SELECT project, count(*) FILTER (WHERE days_from_disc < 0) AS precovery, count(*) FILTER (WHERE days_from_disc >= 0) AS follow_up FROM trk GROUP BY 1")
 def _(t):
     return A.precovery_counts(tracklets(t))
