@@ -7,8 +7,9 @@ gap and match lengths in code points.
 
 Base kinds: email, ip, card (Luhn), phone. Added kinds: iban (mod 97) and ssn
 (scored by context). Base spans always stay; an added span stays from
-``least`` on. Null and empty texts have no spans; rows are judged one by one, so
-repeated rows repeat, and extra columns are ignored.
+``least`` on. Null and empty texts have no spans; an empty table gives no rows; rows are judged
+one by one, so repeated rows repeat and a null id keeps its row; spans of different kinds with one start
+are ordered as the kinds are listed; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -22,7 +23,8 @@ from pyspark.sql import functions as F
 # its first character: later starts in a run end at the same place and fail alike.
 EMAIL = r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++"
 IP = r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++"
-CARD = r"[0-9](?:[\x20-]?[0-9])++"
+# A card is a whole run of digits with single signs between them; runs of another length never match, so only those of 14 to 19 digits are proposed.
+CARD = r"(?<![0-9])(?<![0-9][\x20-])[0-9](?:[\x20-]?[0-9]){13,18}+(?![\x20-]?[0-9])"
 PHONE = r"\+[0-9][\x20().0-9-]+[0-9]"
 IBAN = r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}(?![A-Za-z0-9])"
 SSN = r"(?<![0-9-])[0-9]{3}-[0-9]{2}-[0-9]{4}(?![0-9-])"
@@ -30,6 +32,7 @@ KINDS = ["email", "ip", "card", "phone", "iban", "ssn"]
 CONTEXT = {"email": "mail|contact", "ip": "ip|host|server|address", "card": "card|visa|credit|payment", "phone": "phone|call|tel|mobile",
            "iban": "iban|account|bank", "ssn": "ssn|social|security"}
 BEFORE = 40
+PIECE = 256
 ONE_SPAN = "array<struct<kind:string,start:bigint,end:bigint,value:string,context:boolean>>"
 
 
@@ -77,10 +80,14 @@ def is_kind(kind: str, x: Column) -> Column:
 
 
 def proposals(text: Column, kind: str, pattern: str) -> Column:
-    """All matches of a kind in order, with positions and whether context words precede them."""
-    p = F.lit(pattern)
-    parts = F.arrays_zip(F.regexp_extract_all(text, p, F.lit(0)).alias("value"), F.slice(F.split(text, pattern, -1), 1, F.size(F.regexp_extract_all(text, p, F.lit(0)))).alias("gap"))
-    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(ONE_SPAN).alias("out"))
+    """All matches of a kind in order, with positions and whether context words precede them.
+
+    Positions are summed up inside pieces of ``PIECE`` matches, and then over the pieces: adding to an
+    array copies it, so one list of all matches would cost the square of their number.
+    """
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    parts = F.arrays_zip(matches.alias("value"), F.slice(F.split(text, pattern, -1), 1, F.size(matches)).alias("gap"))
+    empty = F.array().cast(ONE_SPAN)
     word = rf"(?i)\b({CONTEXT[kind]})"
 
     def step(a: Column, x: Column) -> Column:
@@ -89,8 +96,26 @@ def proposals(text: Column, kind: str, pattern: str) -> Column:
         one = F.struct(F.lit(kind).alias("kind"), start.cast("bigint").alias("start"), end.cast("bigint").alias("end"), x["value"].alias("value"),
                        F.right(x["gap"], F.lit(BEFORE)).rlike(word).alias("context"))
         return F.struct(end.cast("bigint").alias("at"), F.concat(a["out"], F.array(one)).cast(ONE_SPAN).alias("out"))
-    found = F.aggregate(parts, none, step, lambda a: a["out"])
-    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(ONE_SPAN))
+
+    def piece(p: Column) -> Column:
+        return F.aggregate(p, F.struct(F.lit(0).cast("bigint").alias("at"), empty.alias("out")), step)
+
+    def moved(x: Column, by: Column) -> Column:
+        return F.struct(x["kind"].alias("kind"), (x["start"] + by).alias("start"), (x["end"] + by).alias("end"), x["value"].alias("value"), x["context"].alias("context"))
+
+    def chain(a: Column, p: Column) -> Column:
+        here = F.transform(p["out"], lambda x: moved(x, a["at"]))
+        return F.struct((a["at"] + p["at"]).alias("at"), F.concat(a["out"], F.array(here)).cast(f"array<{ONE_SPAN}>").alias("out"))
+
+    none = F.struct(F.lit(0).cast("bigint").alias("at"), F.array().cast(f"array<{ONE_SPAN}>").alias("out"))
+
+    def spans(p: Column) -> Column:
+        starts = F.sequence(F.lit(1), F.greatest(F.size(p), F.lit(1)), F.lit(PIECE))
+        pieces = F.transform(F.transform(starts, lambda i: F.slice(p, i, F.lit(PIECE))), piece)
+        return F.aggregate(pieces, none, chain, lambda a: F.flatten(a["out"]))
+
+    # As a lambda's argument the matches are found once, not once per piece.
+    return F.when(text.rlike(pattern), F.get(F.transform(F.array(parts), spans), 0)).otherwise(empty)
 
 
 def score(x: Column) -> Column:
