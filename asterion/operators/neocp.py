@@ -9,6 +9,7 @@ from asterion.functions.common import blank_to_null, with_isolated
 from asterion.functions.timeconv import seconds_between
 
 from .identity import UNPACKED
+from .factorised import SIZE, blocks, shared
 from .quantiles import with_percentiles
 
 
@@ -35,6 +36,27 @@ def add_uncertainties(lines: DataFrame, neocp: DataFrame) -> DataFrame:
     return d.select(obs80.splice_uncertainty("obs80", "rmsra", "rmsdec").alias("obs80"))
 
 
+def lifecycle_sides(prev_des: DataFrame, archive: DataFrame, events: DataFrame, *, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
+    """Everything recorded for each candidate, without pairs: its observations and its events as ordered blocks.
+
+    ``factorised.expand`` of both gives what :func:`lifecycle` gives, without the candidate's own columns.
+    """
+    seen = blocks(archive, key="desig", time="created_at", order=["obs80", "rmsra", "rmsdec"], columns=["obs80", "rmsra", "rmsdec"], side="observations", size=size)
+    done = blocks(events, key="desig", time="created_at", order=["event_type", "event_text", "event_user"],
+                  columns=["event_type", "event_text", "event_user"], side="events", size=size)
+    known = prev_des.where(F.col("desig").isNotNull()).select("desig").distinct()
+    return shared(seen.join(known, "desig", "left_semi"), done, key="desig")
+
+
+def bridge_sides(archive: DataFrame, obs: DataFrame, *, size: int = SIZE) -> tuple[DataFrame, DataFrame]:
+    """Candidate and published observations of each tracklet as ordered blocks, the factors of :func:`tracklet_bridge`."""
+    a = blocks(archive.where(blank_to_null("trkid").isNotNull()).select("desig", "trkid", F.col("obs80").alias("neocp_obs80"), F.col("created_at").alias("neocp_time")),
+               key="trkid", time="neocp_time", order=["neocp_obs80", "desig"], columns=["desig", "neocp_obs80", "neocp_time"], side="candidates", size=size)
+    b = blocks(obs.where(blank_to_null("trkid").isNotNull()).select("trkid", "obsid", F.col("created_at").alias("sbn_time")),
+               key="trkid", time="sbn_time", order=["obsid"], columns=["obsid", "sbn_time"], side="published", size=size)
+    return shared(a, b, key="trkid")
+
+
 def lifecycle(prev_des: DataFrame, archive: DataFrame, events: DataFrame) -> DataFrame:
     """Everything recorded for a candidate: observation by event."""
     return (prev_des.select("desig", "iau_desig", "status")

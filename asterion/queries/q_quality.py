@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from asterion.functions import orbit
-from asterion.operators import compare, neocp, quality, replicas
+from asterion.operators import compare, factorised, neocp, quality, replicas
 from asterion.operators.identity import PACKED as P, UNPACKED as U
 
 from . import oracle_parts as S
@@ -314,6 +314,33 @@ def _(t):
 _OBSERVED = "(epoch_us(CAST(replace(substr(obs80, 16, 10), ' ', '-') AS TIMESTAMP)) + CAST(substr(obs80, 27, 6) AS BIGINT) * 86400)"
 
 
+def _block_rows(sides, key, first):
+    d = factorised.linear(*sides, key=key)
+    least = F.when(F.col("side") == first[0], F.col(f"left_items.{first[1]}")[0]).otherwise(F.col(f"right_items.{first[2]}")[0])
+    return d.select(key, "side", "block", "n", least.alias("first_item"))
+
+
+def _block_sql(key, side, table, order, item):
+    return f"""SELECT {key}, '{side}' AS side, CAST((rn - 1) // 7 AS BIGINT) AS block, count(*) AS n, arg_min({item}, rn) AS first_item FROM (
+  SELECT *, row_number() OVER (PARTITION BY {key} ORDER BY {order}) AS rn FROM {table}) GROUP BY 1, 2, 3"""
+
+
+# Rows in the order of their blocks, seven to a block; as many as both tables have, not their product.
+@query("neocp_lifecycle_blocks", f"""WITH k AS (SELECT desig FROM neocp_prev INTERSECT SELECT desig FROM neocp INTERSECT SELECT desig FROM neocp_events),
+a AS (SELECT * FROM neocp SEMI JOIN k USING (desig)), e AS (SELECT * FROM neocp_events SEMI JOIN k USING (desig))
+{_block_sql('desig', 'observations', 'a', 'created_at, obs80, rmsra NULLS FIRST, rmsdec NULLS FIRST', 'obs80')} UNION ALL
+{_block_sql('desig', 'events', 'e', 'created_at, event_type, event_text, event_user', 'event_type')}""")
+def _(t):
+    sides = neocp.lifecycle_sides(t.neocp_prev, t.neocp, t.neocp_events, size=7)
+    return _block_rows(sides, "desig", ("observations", "obs80", "event_type"))
+
+
+@query("tracklet_bridge_blocks", f"""WITH a AS (SELECT * FROM neocp WHERE nullif(trkid, '') IS NOT NULL AND trkid IN (SELECT trkid FROM obs)), b AS (SELECT * FROM obs WHERE nullif(trkid, '') IS NOT NULL AND trkid IN (SELECT trkid FROM neocp))
+{_block_sql('trkid', 'candidates', 'a', 'created_at, obs80, desig', 'obs80')} UNION ALL {_block_sql('trkid', 'published', 'b', 'created_at, obsid', 'obsid')}""")
+def _(t):
+    return _block_rows(neocp.bridge_sides(t.neocp, t.obs, size=7), "trkid", ("candidates", "neocp_obs80", "obsid"))
+
+
 @query("ingest_latency", f"""WITH m AS (SELECT (epoch_us(created_at) - {_OBSERVED}) / 60000000.0 AS m FROM neocp)
 SELECT count(*) AS n, round(min(m), 4) AS min_m, round(quantile_cont(m, 0.5), 4) AS p50, round(quantile_cont(m, 0.9), 4) AS p90, round(quantile_cont(m, 0.95), 4) AS p95, round(max(m), 4) AS max_m FROM m""")
 def _(t):

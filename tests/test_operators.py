@@ -423,3 +423,21 @@ def test_rows_without_a_key_are_not_shuffled(spark):
                                     "packed_desig string, is_numbered boolean, number string, h_list double")
     matched, only_list, only_catalog = compare.match_catalog(entries, cat["orbits"], cat["ni"])
     assert {r.h_list for r in matched.collect()} == {1.0, 2.0} and {r.h_list for r in only_list.collect()} == {3.0, 4.0, 5.0} and only_catalog.count() == 4
+
+
+def test_factorised_sides_are_linear_and_expand_to_the_pairs(spark):
+    """One candidate holds most rows of both tables."""
+    from asterion.operators import factorised, neocp
+    t = datetime(2024, 1, 1)
+    prev = spark.createDataFrame([("hot", None, "lost"), ("b", "x", None), ("quiet", None, None)], "desig string, iau_desig string, status string")
+    archive = spark.createDataFrame([("hot" if k % 10 else "b", f"line {k % 50}", None if k % 3 else 0.5, 1.0, t + timedelta(days=k)) for k in range(300)] + [("quiet", "l", 0.1, 0.1, t)],
+                                    "desig string, obs80 string, rmsra double, rmsdec double, created_at timestamp_ntz")
+    events = spark.createDataFrame([("hot" if k % 7 else "b", f"E{k % 4}", "text", None, t + timedelta(hours=5 * k)) for k in range(200)] + [("other", "E", "t", "u", t)],
+                                   "desig string, event_type string, event_text string, event_user string, created_at timestamp_ntz")
+    a, e = neocp.lifecycle_sides(prev, archive, events, size=16)
+    assert (a.agg(F.sum("n"), F.max("n")).first(), e.agg(F.sum("n"), F.max("n")).first()) == ((300, 16), (200, 16))
+    both = factorised.linear(a, e, key="desig")
+    assert both.count() == a.count() + e.count() <= 500 / 16 + 4
+    got = factorised.expand(a, e, key="desig")
+    want = neocp.lifecycle(prev, archive, events).select(got.columns)
+    assert got.exceptAll(want).count() == 0 and want.exceptAll(got).count() == 0
