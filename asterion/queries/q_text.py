@@ -83,6 +83,34 @@ def _(t):
     return readers.parse_sbdb_json(t.sql(_SBDB), fields=["pdes", "full_name", "H", "e", "moid"]).drop("full_name")
 
 
+def _one_document(t, opening, rows, closing):
+    """One JSON document in one file, a row of a table to a line."""
+    from .q_jobs import work_dir
+    path = work_dir(t)
+    last = t.part.agg(F.max("p_partkey")).first()[0]
+    lines = t.sql(rows).select("k", F.concat("value", F.when(F.col("k") < last, F.lit(",")).otherwise(F.lit(""))).alias("value"))
+    ends = t.spark.createDataFrame([(-1, opening), (1 << 60, closing)], "k bigint, value string")
+    lines.select(F.col("k").cast("bigint"), "value").unionByName(ends).coalesce(1).sortWithinPartitions("k").select("value").write.text(path)
+    return path
+
+
+@query("read_sbdb_document", f"""SELECT CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey AS VARCHAR) ELSE {_readable('p_partkey')} END AS pdes, 'odd, "quoted" [name] (A/' || p_partkey || ')' AS full_name, 10.5 + p_size::DOUBLE AS "H",
+  CASE WHEN p_partkey % 5 <> 0 THEN 0.125::DOUBLE END AS moid, 'A/' || p_partkey AS alt_desig, p_partkey % 4 = 0 AS is_numbered FROM part""")
+def _(t):
+    rows = f"""SELECT p_partkey AS k, concat('["', CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey AS VARCHAR(20)) ELSE {_readable('p_partkey')} END, '", "odd, ', chr(92), '"quoted', chr(92), '" [name] (A/', CAST(p_partkey AS VARCHAR(20)), ')", "',
+      CAST(10 + p_size AS VARCHAR(20)), '.5", ', CASE WHEN p_partkey % 5 = 0 THEN 'null' ELSE '"0.125"' END, ']') AS value FROM {{part}}"""
+    path = _one_document(t, '{"signature": {"source": "a, [b"}, "fields": ["pdes", "full_name", "H", "moid"], "data": [', rows, '], "count": "many"}')
+    return readers.read_sbdb_json(t.spark, path, fields=["pdes", "full_name", "H", "moid"])
+
+
+@query("read_target_document", """SELECT 'PU' || p_partkey || CASE WHEN p_partkey % 6 = 0 THEN ', {x' ELSE '' END AS packed_desig, CASE WHEN p_partkey % 9 <> 0 THEN 1.25::DOUBLE END AS q, (p_partkey % 101)::DOUBLE AS neo_prob, 5::DOUBLE AS u, p_partkey % 11 = 0 AS neocp FROM part""")
+def _(t):
+    rows = """SELECT p_partkey AS k, concat('"PU', CAST(p_partkey AS VARCHAR(20)), CASE WHEN p_partkey % 6 = 0 THEN ', {{x' ELSE '' END, '": {{"q": ', CASE WHEN p_partkey % 9 = 0 THEN 'null' ELSE '1.25' END,
+      ', "neo": ', CAST(p_partkey % 101 AS VARCHAR(20)), ', "u": 5', CASE WHEN p_partkey % 11 = 0 THEN ', "neocp": true' ELSE '' END, '}}') AS value FROM {part}"""
+    path = _one_document(t, '{"status": "ok, [really]", "result": {"objects": {', rows, '}, "n": 1}}')
+    return readers.read_target_map_json(t.spark, path)
+
+
 @query("recovered_designation", f"SELECT CASE WHEN p_partkey % 4 = 0 THEN CAST(p_partkey AS VARCHAR) WHEN p_partkey % 4 = 1 THEN 'A/' || {_readable('p_partkey')} ELSE {_readable('p_partkey')} END AS raw FROM part")
 def _(t):
     return readers.recovered_designation(readers.parse_sbdb_json(t.sql(_SBDB), fields=["pdes", "full_name"])).select("raw")

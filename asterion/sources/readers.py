@@ -13,6 +13,7 @@ from asterion.functions import circular, designation as D
 from asterion.functions.common import blank_to_null
 from asterion.functions.obs80 import with_obs80
 
+from .json_records import json_records
 from .schemas import SCHEMAS
 
 
@@ -142,8 +143,11 @@ def parse_sbdb_json(docs: DataFrame, *, col: str = "value", fields: list[str]) -
     ``alt_desig`` is the name in parentheses, which keeps an ``A/`` prefix.
     """
     doc = F.from_json(F.col(col), "fields array<string>, data array<array<string>>")
-    d = docs.select(doc.alias("_d")).select("_d.fields", F.explode("_d.data").alias("_row"))
+    return sbdb_columns(docs.select(doc.alias("_d")).select("_d.fields", F.explode("_d.data").alias("_row")), fields)
 
+
+def sbdb_columns(d: DataFrame, fields: list[str]) -> DataFrame:
+    """The wanted fields from rows of (fields, _row)."""
     def field(name):
         at = F.array_position("fields", name)
         v = F.get("_row", (at - 1).cast("int"))
@@ -160,7 +164,11 @@ def parse_sbdb_json(docs: DataFrame, *, col: str = "value", fields: list[str]) -
 
 
 def read_sbdb_json(spark: SparkSession, path: str, *, fields: list[str]) -> DataFrame:
-    return parse_sbdb_json(spark.read.text(path, wholetext=True), fields=fields)
+    """A document of any size, its rows read by byte ranges; the field list comes from around them."""
+    records, head = json_records(spark, path, depth=2)
+    listed = F.regexp_extract("text", r'"fields"\s*:\s*(\[[^\]]*\])', 1)
+    head = head.select("file", F.from_json(listed, "array<string>").alias("fields"))
+    return sbdb_columns(records.join(head, "file").select("fields", F.from_json("text", "array<string>").alias("_row")), fields)
 
 
 def recovered_designation(df: DataFrame) -> DataFrame:
@@ -173,14 +181,20 @@ def parse_target_map_json(docs: DataFrame, *, col: str = "value") -> DataFrame:
     """A target service's answer, a map keyed by packed designation, to rows."""
     schema = ("result struct<objects: map<string, "
               "struct<q: double, neo: double, u: double, neocp: boolean>>>")
-    d = docs.select(F.explode(F.from_json(F.col(col), schema)["result"]["objects"]))
+    return target_columns(docs.select(F.explode(F.from_json(F.col(col), schema)["result"]["objects"])))
+
+
+def target_columns(d: DataFrame) -> DataFrame:
     return d.select(F.col("key").alias("packed_desig"), F.col("value.q").alias("q"),
                     F.col("value.neo").alias("neo_prob"), F.col("value.u").alias("u"),
                     F.coalesce("value.neocp", F.lit(False)).alias("neocp"))
 
 
 def read_target_map_json(spark: SparkSession, path: str) -> DataFrame:
-    return parse_target_map_json(spark.read.text(path, wholetext=True))
+    """An answer of any size, its objects read by byte ranges."""
+    records, _ = json_records(spark, path, depth=3)
+    one = F.from_json(F.concat(F.lit("{"), F.col("text"), F.lit("}")), "map<string, struct<q: double, neo: double, u: double, neocp: boolean>>")
+    return target_columns(records.select(F.explode(one)))
 
 
 def solid_targets(targets: DataFrame, orbits: DataFrame, ni: DataFrame) -> DataFrame:

@@ -297,3 +297,35 @@ def test_sessions_are_whole_in_any_order(spark):
     flags = {(x.key, x.end): x.is_open for x in streams.with_open_flag(arcs, days=2).collect()}
     newest = max(t for _, t in rows if t is not None)
     assert all(v == (newest - end <= timedelta(days=2)) for (_, end), v in flags.items())
+
+
+def test_json_records_across_byte_ranges(spark, tmp_path):
+    """Strings with commas, brackets, quotes and escapes; ranges that end anywhere, inside strings too."""
+    import json
+    import random
+    from asterion.sources.json_records import json_records, pieces
+    r = random.Random(3)
+    text = lambda: "".join(r.choice(['a', ',', '[', ']', '{', '}', '"', chr(92), 'é', ' ', ':', '12']) for _ in range(r.randint(0, 12)))
+    rows = [[text(), r.random(), None, r.choice([True, text()])] for _ in range(700)] + [[], ["only"]]
+    targets = {f"{k}{text()}": {"q": r.random(), "u": None if k % 3 else 1.5, "neocp": k % 5 == 0, "more": text()} for k in range(500)}
+    plain = json.dumps({"signature": {"a": "x, [y"}, "fields": ["pdes", "v", "n", "t"], "data": rows, "count": len(rows)})
+    indented = json.dumps({"status": "}, {", "result": {"objects": targets, "n": 2}}, indent=1, ensure_ascii=False)
+    (tmp_path / "a.json").write_text(plain), (tmp_path / "b.json").write_text(indented)
+    saved = {k: spark.conf.get(k) for k in ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes")}
+    try:
+        for size in ("97", "1000", "1000000"):
+            spark.conf.set("spark.sql.files.maxPartitionBytes", size), spark.conf.set("spark.sql.files.openCostInBytes", "0")
+            records, head = json_records(spark, str(tmp_path / "a.json"), depth=2)
+            got = [json.loads(x.text) for x in records.orderBy("record").collect()]
+            assert got == rows
+            assert '"fields": ["pdes", "v", "n", "t"]' in head.first().text and len(head.first().text) < 300
+            got, _ = json_records(spark, str(tmp_path / "b.json"), depth=3)
+            assert {k: v for x in got.collect() for k, v in json.loads("{" + x.text + "}").items()} == targets
+            if size == "1000":
+                assert pieces(spark, str(tmp_path / "a.json")).rdd.getNumPartitions() > 10
+                want = {k: (v["q"], v["u"], v["neocp"]) for k, v in targets.items()}
+                out = readers.read_target_map_json(spark, str(tmp_path / "b.json"))
+                assert {x.packed_desig: (x.q, x.u, x.neocp) for x in out.collect()} == want
+    finally:
+        for k, v in saved.items():
+            spark.conf.set(k, v)
