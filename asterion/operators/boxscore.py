@@ -229,12 +229,19 @@ def population_model(spark: SparkSession) -> DataFrame:
 
 
 def model_bins(model: DataFrame) -> DataFrame:
-    """Bins between the model's steps: h1, h2, cumulative and differential counts."""
+    """Bins between the model's steps: their number, h1, h2, cumulative and differential counts."""
     w = Window.partitionBy(F.lit(0)).orderBy("h2")  # a few dozen rows
-    return model.select(F.lag("h2").over(w).alias("h1"), "h2", "n_cum",
+    return model.select((F.row_number().over(w) - 1).alias("_i"), F.lag("h2").over(w).alias("h1"), "h2", "n_cum",
                         F.lag("n_cum").over(w).alias("n_before"))
 
 
+def with_step(df: DataFrame, h: str, model: DataFrame) -> DataFrame:
+    """Add ``_i``, how many steps of the model lie at or below H: the number of its bin. The steps are one short array."""
+    d = df.withColumn("_steps", model.agg(F.array_sort(F.collect_list("h2"))).scalar())
+    below = F.size(F.filter("_steps", lambda x: x <= F.col(h)))
+    return d.withColumn("_i", F.when(F.col(h).isNotNull(), below)).drop("_steps")
+
+
 def size_completeness(discovered: DataFrame, model: DataFrame, *, mode: str = "cumulative") -> DataFrame:
     """Discovered objects against the model, per bin.
 
@@ -244,10 +251,8 @@ def size_completeness(discovered: DataFrame, model: DataFrame, *, mode: str = "c
     bins = model_bins(model).where(F.col("h1").isNotNull())
     h = discovered.select("h").where(F.col("h").isNotNull())
     below = h.where(F.col("h") < model.agg(F.min("h2")).scalar()).agg(F.count("*")).scalar()
-    edges = F.broadcast(bins.select("h1", "h2"))  # the published model: a few dozen rows
-    counts = h.join(edges, (F.col("h") >= F.col("h1")) & (F.col("h") < F.col("h2"))).groupBy("h1").agg(
-        F.count("*").alias("_n"))
-    t = bins.join(counts, "h1", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
+    counts = with_step(h, "h", model).groupBy("_i").agg(F.count("*").alias("_n"))
+    t = bins.join(counts, "_i", "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
     if mode == "cumulative":
         w = Window.partitionBy(F.lit(0)).orderBy("h1").rowsBetween(Window.unboundedPreceding, 0)
         found, expected, at = F.sum("_n").over(w) + below, F.col("n_cum"), F.col("h2")
@@ -265,6 +270,6 @@ def model_at(points: DataFrame, model: DataFrame, *, h: str = "h") -> DataFrame:
     """The model's cumulative count at any H, linear between its steps."""
     b = model_bins(model).where(F.col("h1").isNotNull())
     x = F.col(h)
-    return points.join(F.broadcast(b), (x >= b["h1"]) & (x < b["h2"]), "left").select(
+    return with_step(points, h, model).join(b, "_i", "left").select(
         *points.columns, F.round(F.col("n_before") + (x - F.col("h1")) / (F.col("h2") - F.col("h1"))
                                  * (F.col("n_cum") - F.col("n_before")), 4).alias("model_n"))

@@ -123,7 +123,7 @@ def with_percentiles(main: DataFrame, rows: DataFrame, *, wanted: dict[str, tupl
     """Aggregates of ``rows`` with their percentiles beside them; groups match by key, NULL with NULL."""
     if not keys:
         q = percentiles(rows, keys=[], wanted=wanted).select(F.struct(*wanted)).scalar()
-        return main.select("*", *[q[n].alias(n) for n in wanted])
+        return main.withColumn("_q", q).select(*main.columns, "_q.*")
     q = percentiles(rows, keys=keys, wanted=wanted)
     q = q.withColumnsRenamed({k: "_q_" + k for k in keys})
     on = F.lit(True)

@@ -8,18 +8,11 @@ from asterion.functions import circular, orbit, photometry
 from asterion.functions.common import count_if
 from asterion.functions.timeconv import year_of
 
-from .filters import date_window, object_key, ref_class, select_neos
+from .filters import date_window, neo_rule, object_key, ref_class
 from .identity import UNPACKED, earliest_discovery, with_numbering
 from .quantiles import with_percentiles
 
 
-def _rule_counts(orbits, ni, obs, rule):
-    disc = earliest_discovery(with_numbering(select_neos(orbits, rule=rule), ni), obs)
-    return disc.groupBy("stn").agg(F.count("*").alias("n"),
-                                   F.min(F.year("obstime")).alias("first"),
-                                   F.max(F.year("obstime")).alias("last"))
-
-
 def full_outer_counts(*tables: DataFrame, key: str) -> DataFrame:
     """Merge per-key tables on a key any of them may lack."""
     out = tables[0]
@@ -32,11 +25,15 @@ def station_discovery_profile(orbits: DataFrame, ni: DataFrame, obs: DataFrame)
     """Objects discovered per station: all, near-Earth by q, near-Earth by type."""
     every = obs.where(F.col("disc") == "*").groupBy("stn").agg(
         F.countDistinct(object_key()).alias("disc_all"))
-    by_q = _rule_counts(orbits, ni, obs, "iau").select(
-        "stn", F.col("n").alias("disc_neo_q"), F.col("first").alias("first_neo_year"),
-        F.col("last").alias("last_neo_year"))
-    by_class = _rule_counts(orbits, ni, obs, "class").select("stn", F.col("n").alias("disc_neo_class"))
-    return full_outer_counts(every, by_q, by_class, key="stn").select(
+    # One search for the objects of either rule; which rules an object meets goes along with it.
+    meets = {rule: F.coalesce(select, F.lit(False)) for rule, select in (("_q", neo_rule("iau")), ("_class", neo_rule("class")))}
+    either = orbits.withColumns(meets).where("_q OR _class")
+    first = earliest_discovery(with_numbering(either, ni), obs, carry=["_q", "_class"])
+    year = F.when(F.col("_q"), F.year("obstime"))
+    near = first.groupBy("stn").agg(
+        F.nullif(count_if("_q"), F.lit(0)).alias("disc_neo_q"), F.nullif(count_if("_class"), F.lit(0)).alias("disc_neo_class"),
+        F.min(year).alias("first_neo_year"), F.max(year).alias("last_neo_year"))
+    return full_outer_counts(every, near, key="stn").select(
         "stn", "disc_all", "disc_neo_q", "disc_neo_class", "first_neo_year", "last_neo_year")
 
 

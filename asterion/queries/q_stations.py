@@ -303,6 +303,25 @@ def _(t):
     return boxscore.boxscore_cells(*_fact_catalog(t), metric="observations", time="month", grouping="coarse", site="7")
 
 
+_BINS = {"year": "yr", "month": "substr(CAST(obs_date AS VARCHAR), 1, 7)", "date": "CAST(obs_date AS VARCHAR)",
+         "lunation": "CAST(CAST(floor((epoch_us(CAST(obs_date AS TIMESTAMP)) - epoch_us(TIMESTAMP '2000-01-21 04:40:00')) / 86400000000.0 / 29.5306) AS INTEGER) AS VARCHAR)"}
+_METRICS = {"observations": "CAST(sum(n_obs) AS BIGINT)", "tracklets": "CAST(sum(n_tracklets) AS BIGINT)", "objects": "count(DISTINCT provid)",
+            "discoveries": "count(DISTINCT provid) FILTER (WHERE disc_flag)"}
+
+
+# Every metric over every bin, and over the catalogue's own classes.
+@query("boxscore_combinations", f"WITH {FACT_SQL}, g AS (SELECT j.*, coalesce({S.label('c.code')}, 'Unclassified') AS std FROM j LEFT JOIN cat c ON c.{U} = j.provid)\n" + " UNION ALL ".join(
+    f"""SELECT '{m}' AS metric, '{b}' AS bins, '{g}' AS grouping_name, CASE WHEN grouping(t) = 1 THEN 'Total' ELSE t END AS time_bin,
+  CASE WHEN grouping(k) = 1 THEN 'total' ELSE k END AS "class", {e} AS value FROM (SELECT *, {x} AS t, {c} AS k FROM g) GROUP BY CUBE (t, k)"""
+    for b, x in _BINS.items() for g, c in (("coarse", "cls"), ("standard", "std")) if g == "coarse" or b == "year" for m, e in _METRICS.items()))
+def _(t):
+    fact, catalog = _fact_catalog(t)
+    parts = [boxscore.boxscore_cells(fact, catalog, metric=m, time=b, grouping=g).select(
+        F.lit(m).alias("metric"), F.lit(b).alias("bins"), F.lit(g).alias("grouping_name"), "time_bin", "class", "value")
+        for b in _BINS for g in ("coarse", "standard") if g == "coarse" or b == "year" for m in _METRICS]
+    return reduce(DataFrame.unionByName, parts)
+
+
 @query("boxscore_advanced", f"""WITH {FACT_SQL},
 per AS (SELECT yr, cls, provid, any_value(h) AS h, bool_or(disc_flag) AS dsc, sum(n_obs) AS nobs FROM j GROUP BY 1, 2, 3)
 SELECT yr AS time_bin, cls AS "class", count(*) AS n_objects, round(quantile_cont(h, 0.5), 4) AS median_h, count(*) FILTER (WHERE h < 22) AS n_h22,
