@@ -113,12 +113,12 @@ def object_bitmaps(sets: DataFrame, *, surveys: list[str] | None = None) -> Data
     """
     d = sets if surveys is None else sets.where(F.col("survey").isin(surveys))
     d = d.where(F.col("designation").isNotNull() & F.col("survey").isNotNull())
-    named = d.select("designation").distinct().withColumn("_part", F.pmod(F.xxhash64("designation"), F.lit(PARTS)))
-    nth = F.row_number().over(Window.partitionBy("_part").orderBy("designation")) - 1
-    named = named.withColumn("_n", nth).select(
-        "designation", F.struct("_part", F.floor(F.col("_n") / BLOCK).alias("run")).alias("block"), (F.col("_n") % BLOCK).alias("_at"))
+    d = d.withColumn("_part", F.pmod(F.xxhash64("designation"), F.lit(PARTS)))
+    nth = F.dense_rank().over(Window.partitionBy("_part").orderBy("designation")) - 1
+    d = d.withColumn("_n", nth).select(
+        "survey", F.struct("_part", F.floor(F.col("_n") / BLOCK).alias("run")).alias("block"), (F.col("_n") % BLOCK).alias("_at"))
     bit = F.expr("shiftleft(1L, CAST(_at % 64 AS INT))")
-    words = d.join(named, "designation").groupBy("block", "survey", F.floor(F.col("_at") / 64).cast("int").alias("_w")).agg(F.bit_or(bit).alias("_b"))
+    words = d.groupBy("block", "survey", F.floor(F.col("_at") / 64).cast("int").alias("_w")).agg(F.bit_or(bit).alias("_b"))
     held = words.groupBy("block", "survey").agg(F.map_from_entries(F.collect_list(F.struct("_w", "_b"))).alias("_m"))
     dense = F.transform(F.sequence(F.lit(0), F.lit(BLOCK // 64 - 1)), lambda w: F.coalesce(F.try_element_at("_m", w), F.lit(0).cast("bigint")))
     return held.select("block", "survey", dense.alias("words"))

@@ -65,7 +65,7 @@ def object_catalog(orbits: DataFrame, ni: DataFrame, obs: DataFrame) -> DataFram
     d = derived_elements(numbered.withColumn("_code", code))
     ext = orbit.classify_extended("_code", "q", "e", F.col("a"))
     first = earliest_discovery(numbered, obs).select(
-        F.col("packed_desig").alias(PACKED), F.col("stn").alias("discovery_stn"), F.col("obstime").cast("date").alias("discovery_date"))
+        F.col("packed_desig").alias(PACKED), F.col("unpacked_desig").alias("provid"), F.col("stn").alias("discovery_stn"), F.col("obstime").cast("date").alias("discovery_date"))
     d = d.select(
         PACKED, F.col(UNPACKED).alias("provid"), F.col("permid"), F.col("_code").alias("orbit_class_int"),
         ext.alias("boxscore_class"), orbit.extended_name(ext).alias("ext_name"),
@@ -74,7 +74,8 @@ def object_catalog(orbits: DataFrame, ni: DataFrame, obs: DataFrame) -> DataFram
         F.coalesce(F.col("_code").isin(0, 1, 2, 3), F.lit(False)).alias("neo"),
         orbit.is_pha_by_moid("earth_moid", "h").alias("pha"),
         (F.coalesce(F.col("i"), F.lit(0.0)) >= 90).alias("retrograde"))
-    return d.join(first, PACKED, "left").drop(PACKED)
+    # By both names, which the search keeps unique: without its columns the search itself is left out.
+    return d.join(first, [PACKED, "provid"], "left").drop(PACKED)
 
 
 def boxscore_objects(orbits: DataFrame, ni: DataFrame) -> DataFrame:
