@@ -3,17 +3,23 @@
 A document is its set of 4-word shingles (64-bit hashes, the tokens). Equal sets
 are one set from the start, named by a 64-bit hash. Tokens are ordered by class, rare before
 frequent, then by hash; classes come from a fixed-size count sketch over the
-sets of all partitions. Two sets that link share at least ``need = ceil(0.85 n)`` tokens,
-so they share one token in their first n-need+1 and two in their first n-need+2.
-Take their first two common tokens: if the first is rare, its single key finds
-the pair; else both are frequent, and the key of the combination does. Long sets,
-where combinations would be too many, index their frequent tokens singly; sets
-near the border do both, so that each pair has one rule in common.
-
-Keys are not expanded into pairs. Two rounds link each set with a hub of its
-key (verified exactly), which joins groups of near copies; then only sets of one
-key that still lie in different components meet. A candidate goes only by a bound
-that no link can break: the lengths, or the difference of two parity bitmaps (a bit
+sets of all partitions (they shape the order only, so a coarse sketch costs time, not links).
+Two sets that link share at least ``need = ceil(0.85 n)`` tokens, so their first
+common token is among the first n-need+1 of each, their first k common tokens among
+the first n-need+k.
+
+Every set is indexed by the single tokens of its prefix. Sets per key are counted
+exactly: where a frequent key has more pairs of sets than combinations with a further
+prefix token, each of its sets is indexed anew by those combinations of k+1 tokens,
+up to LONGEST tokens; a key with fewer pairs keeps them. A key carries its
+position: sets that first meet there share at most what follows it, and rows
+and pairs that cannot reach a link any more are left out inside the joins.
+
+Keys are not expanded into pairs at once. Two rounds link each set with a hub of its
+key (verified exactly), which joins groups of near copies: first with the set that can
+share most from the key on, which is the one with the fewest tokens of its own, then
+with any. Only sets of one key that still lie in different components meet. A candidate goes only by a bound
+that no link can break: the lengths, the positions, or the difference of two parity bitmaps (a bit
 per token, flipped by each token that falls on it), which is never larger than the
 difference of the sets. A hot key is spread over tasks by the skew handling of the
 join. Sets are not kept: those of the candidates are made again from their texts,
@@ -34,13 +40,14 @@ from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import chain, grams, runs, space_words, texts, word_hashes
+from .common import grams, runs, space_words, texts, word_hashes
 
 SKETCH = 1 << 20
 CELLS = 1 << 14
 MARKS = 1 << 27
-PAIRS_UP_TO = 400
 ROUNDS = 2
+LONGEST = 3
+FEW = 64
 
 
 def shingle_sets(texts_: list[str], n: int) -> list[np.ndarray]:
@@ -110,8 +117,8 @@ def scan(docs: DataFrame, n: int) -> DataFrame:
         run, "doc_id bigint, n bigint, set bigint, bits binary, task bigint, part bigint, counts binary")
 
 
-def frequent_classes(parts: DataFrame) -> np.ndarray:
-    """Which cells of the sketch hold frequent tokens; tasks are added up in groups of 256, then the groups."""
+def token_classes(parts: DataFrame) -> np.ndarray:
+    """Class of each cell of the sketch, the binary logarithm of its count; tasks are added up in groups of 256, then the groups."""
     def add(rows):
         total = np.sum([np.frombuffer(x, np.int64) for x in rows["counts"]], axis=0)
         return pd.DataFrame({"task": rows["task"].iloc[:1].to_numpy() // 256, "part": rows["part"].iloc[:1].to_numpy(), "counts": [total.tobytes()]})
@@ -123,25 +130,23 @@ def frequent_classes(parts: DataFrame) -> np.ndarray:
     total = np.zeros(SKETCH, np.int64)
     for r in some.groupBy("part").applyInPandas(add, schema).toLocalIterator():
         total[r.part:r.part + CELLS] = np.frombuffer(bytes(r.counts), np.int64)
-    return total > 32 + 4 * total.mean()
+    return np.ceil(np.log2(total + 1)).astype(np.uint8)
 
 
-def prefix_keys(tokens: np.ndarray, frequent: np.ndarray, percent: int, pairs_up_to: int = PAIRS_UP_TO) -> np.ndarray:
+def prefix(tokens: np.ndarray, classes: np.ndarray, percent: int) -> np.ndarray:
+    """The first tokens of a set in the common order, as many as combinations of LONGEST tokens need."""
     n = len(tokens)
-    need = -(-percent * n // 100)
-    if need < 2:
-        return np.zeros(0, np.uint64)  # such a set links with its equals only
-    heavy = frequent[(tokens % np.uint64(SKETCH)).astype(np.int64)]
-    order = np.concatenate([tokens[~heavy], tokens[heavy]])[:n - need + 2]
-    rare = min(int((~heavy).sum()), n - need + 1)
-    keys = [order[:rare]]
-    first, both = order[int((~heavy).sum()):n - need + 1], order[int((~heavy).sum()):]
-    if n > pairs_up_to:
-        keys.append(first)
-    if n * percent <= pairs_up_to * 100 and len(both) > 1:
-        i, j = np.triu_indices(len(both), 1)
-        keys.append(chain([both[i], both[j]]))
-    return np.concatenate(keys)
+    order = np.argsort(classes[(tokens % np.uint64(SKETCH)).astype(np.int64)], kind="stable")
+    return tokens[order[:n + percent * -n // 100 + LONGEST]]
+
+
+def need(n: Column, percent: int) -> Column:
+    return F.floor((n * percent + 99) / 100)
+
+
+def reach(n: Column, on: Column, most: Column, percent: int) -> Column:
+    """Whether sets of these sizes can link when they share at most so many tokens."""
+    return most * (100 + percent) >= percent * (n + on)
 
 
 def near(a: Column, b: Column, percent: int) -> Column:
@@ -208,43 +213,79 @@ def components(nodes: DataFrame, edges: DataFrame) -> DataFrame:
             return nodes.join(label, "set", "left").select("set", F.coalesce("comp", "set").alias("comp"))
 
 
+def can_meet(rows: DataFrame, percent: int) -> DataFrame:
+    """Rows of keys with several components that could link with the shortest set of the key that their own length admits; ``sets`` and ``longer`` are the key's sets and their combinations with one more token."""
+    stats = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.min("n").alias("least")).where("lo < hi")
+    rows = rows.join(stats.select("key", "least"), "key").where(reach(F.col("n"), F.greatest("least", need(F.col("n"), percent)), F.col("most"), percent)).drop("least")
+    later = need(F.col("n"), percent) * -1 + F.col("n") + F.col("k") - F.col("pos")
+    stats = rows.groupBy("key").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("sets"), F.sum(later).alias("longer")).where("lo < hi")
+    return rows.join(stats.drop("lo", "hi"), "key")
+
+
+def partners(rows: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets of one key (a, b) that lie in different components and could link."""
+    other = rows.select("key", F.col("set").alias("o"), F.col("n").alias("on"), F.col("most").alias("omost"), F.col("comp").alias("oc"))
+    return rows.join(other, "key").where((F.col("set") < F.col("o")) & (F.col("comp") != F.col("oc")) & near(F.col("n"), F.col("on"), percent)
+                                         & reach(F.col("n"), F.col("on"), F.least("most", "omost"), percent)).select(F.col("set").alias("a"), F.col("o").alias("b"))
+
+
+def open_pairs(rows: DataFrame, raw: DataFrame, percent: int) -> DataFrame:
+    """Pairs of sets that share a key: combinations grow by a token where they are fewer than the pairs of their key."""
+    out, k = None, 1
+    rows = rows.select("key", "set", "n", "pos", "most", "comp").distinct()
+    while True:
+        rows = settle(can_meet(rows.withColumn("k", F.lit(k)), percent), "jaccard_open")
+        hot = (F.col("sets") > FEW) & (F.col("sets") * (F.col("sets") - 1) > 2 * F.col("longer")) if k < LONGEST else F.lit(False)
+        met = partners(rows.where(~hot | (need(F.col("n"), percent) <= k)), percent)  # sets that may share no further token meet here in any case
+        out = met if out is None else out.union(met)
+        rows = rows.where(hot)
+        if k == LONGEST or rows.isEmpty():
+            return out.distinct()
+        token = raw.select("set", F.col("key").alias("token"), F.col("pos").alias("at"))
+        rows = rows.join(token, "set").where((F.col("at") > F.col("pos")) & (F.col("at") <= F.col("n") - need(F.col("n"), percent) + k)).select(
+            F.xxhash64("key", "token").alias("key"), "set", "n", F.col("at").alias("pos"), (F.col("n") - F.col("at") + k).alias("most"), "comp").distinct()
+        k += 1
+
+
 def near_classes(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id."""
     scanned = settle(scan(docs, n), "jaccard_scan")
     rows = scanned.where("part IS NULL").select("doc_id", "n", "set")
     table = settle(scanned.where("part IS NULL AND n > 0 AND doc_id IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")).join(
         scanned.where("bits IS NOT NULL").groupBy("set").agg(F.max("bits").alias("bits")), "set"), "jaccard_table")
-    shared = docs.sparkSession.sparkContext.broadcast(np.packbits(frequent_classes(scanned.where("part IS NOT NULL").select("task", "part", "counts"))))
+    shared = docs.sparkSession.sparkContext.broadcast(token_classes(scanned.where("part IS NOT NULL").select("task", "part", "counts")))
 
     def emit(batches):
-        frequent, seen = np.unpackbits(shared.value).astype(bool), set()
+        seen = set()
         for b in batches:
             t = texts(b["text"])
             for i, j in runs([len(x) for x in t], 2_000_000):
-                keys, names, size = [np.zeros(0, np.uint64)], [], []
+                keys, names = [np.zeros(0, np.uint64)], []
                 for name, x in named_sets(t[i:j], n):
                     if len(x) and name not in seen:
                         seen.add(name)
-                        keys.append(np.unique(prefix_keys(x, frequent, percent)))
+                        keys.append(prefix(x, shared.value, percent))
                         names.append((name, len(x)))
-                        size.append(len(keys[-1]))
+                size = [len(x) for x in keys[1:]]
                 yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "set": np.repeat(np.array([k for k, _ in names], np.int64), size),
-                                    "n": np.repeat(np.array([k for _, k in names], np.int64), size)})
-    raw = settle(docs.where("doc_id IS NOT NULL").select("text").mapInPandas(emit, "key bigint, set bigint, n bigint"), "jaccard_prefixes")
-    multi = raw.groupBy("key").agg(F.min("set").alias("lo"), F.max("set").alias("hi")).where("lo < hi").select("key")
-    keys = settle(raw.join(multi, "key"), "jaccard_keys")
+                                    "n": np.repeat(np.array([k for _, k in names], np.int32), size),
+                                    "pos": np.concatenate([np.arange(x, dtype=np.int32) for x in size] or [np.zeros(0, np.int32)])})
+    raw = settle(docs.where("doc_id IS NOT NULL").select("text").mapInPandas(emit, "key bigint, set bigint, n int, pos int"), "jaccard_prefixes")
+    first = raw.where(F.col("pos") <= F.col("n") - need(F.col("n"), percent)).withColumn("most", F.col("n") - F.col("pos"))
+    multi = first.groupBy("key").agg(F.min("set").alias("lo"), F.max("set").alias("hi"), F.min("n").alias("least")).where("lo < hi").select("key", "least")
+    keys = settle(first.join(multi, "key").where(reach(F.col("n"), F.greatest("least", need(F.col("n"), percent)), F.col("most"), percent)).drop("least"), "jaccard_keys")
     nodes, comp, links, tried = table.select("set"), None, None, None
     for k in range(ROUNDS + 1):
         at = keys.withColumn("comp", F.col("set")) if comp is None else keys.join(comp, "set")
-        split = at.groupBy("key").agg(F.min(F.struct(F.xxhash64("set", F.lit(k)), "set", "n", "comp")).alias("hub"),
-                                      F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
         if k < ROUNDS:
-            pairs = at.join(split, "key").select("set", "n", "comp", F.col("hub.set").alias("o"), F.col("hub.n").alias("on"), F.col("hub.comp").alias("oc"))
+            best = F.col("most") / F.col("n") if k == 0 else F.lit(0.0)
+            split = at.groupBy("key").agg(F.max(F.struct(best.alias("best"), F.xxhash64("set", F.lit(k)), "set", "n", "most", "comp")).alias("hub"),
+                                          F.min("comp").alias("lo"), F.max("comp").alias("hi")).where("lo < hi")
+            pairs = at.join(split, "key").select("set", "n", "most", "comp", *[F.col(f"hub.{x}").alias(y) for x, y in (("set", "o"), ("n", "on"), ("most", "omost"), ("comp", "oc"))])
+            pairs = pairs.where((F.col("comp") != F.col("oc")) & near(F.col("n"), F.col("on"), percent) & reach(F.col("n"), F.col("on"), F.least("most", "omost"), percent)).select(
+                F.least("set", "o").alias("a"), F.greatest("set", "o").alias("b")).distinct()
         else:
-            at = settle(at.join(split.select("key"), "key").distinct(), "jaccard_open")
-            pairs = at.join(at.select("key", F.col("set").alias("o"), F.col("n").alias("on"), F.col("comp").alias("oc")), "key").where("set < o").drop("key")
-        pairs = pairs.where((F.col("comp") != F.col("oc")) & near(F.col("n"), F.col("on"), percent)).select(
-            F.least("set", "o").alias("a"), F.greatest("set", "o").alias("b")).distinct()
+            pairs = open_pairs(at, raw, percent)
         if tried is not None:
             pairs = pairs.join(tried, ["a", "b"], "left_anti")
         pairs = settle(plausible(pairs, table, percent), "jaccard_pairs")

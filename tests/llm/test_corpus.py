@@ -87,12 +87,37 @@ def test_benchmark_rows_without_an_id_hit_words(spark, docs, block_words):
     assert r[20].n_hit == r[20].n_words > 20 and r[20]["items"] == [7]
 
 
-@pytest.mark.parametrize("limit", [400, 20])
-def test_jaccard(docs, monkeypatch, limit):
-    monkeypatch.setattr(jaccard.prefix_keys, "__defaults__", (limit,))
+@pytest.mark.parametrize("few", [jaccard.FEW, 0])
+def test_jaccard(docs, monkeypatch, few):
+    monkeypatch.setattr(jaccard, "FEW", few)
     assert got(jaccard.near_classes(docs), "n_shingles", "component_id") == brute.classes(rows())
 
 
+def hot_group():
+    """Copies of one text with a few words changed, others that share three quarters of it, and short ones."""
+    r = random.Random(5)
+    base = [f"w{i}" for i in range(60)]
+    out = {}
+    for i in range(160):
+        words = list(base)
+        for k in r.sample(range(60), r.choice([0, 1, 1, 2, 3, 4])):
+            words[k] = f"{r.choice('xyz')}{r.randrange(3) if i % 2 else i}"
+        out[i] = " ".join(words if i % 5 else words[:45] + [f"tail{i}-{j}" for j in range(15)])
+    for i in range(160, 200):
+        out[i] = " ".join(f"s{r.randrange(2)}" for _ in range(r.randrange(1, 12)))
+    return out
+
+
+@pytest.mark.parametrize("few,rounds", [(jaccard.FEW, jaccard.ROUNDS), (2, 0), (0, 1)])
+@pytest.mark.parametrize("n,percent", [(4, 85), (5, 80), (2, 50)])
+def test_jaccard_hot_group(spark, monkeypatch, few, rounds, n, percent):
+    monkeypatch.setattr(jaccard, "FEW", few)
+    monkeypatch.setattr(jaccard, "ROUNDS", rounds)
+    text = hot_group()
+    docs = spark.createDataFrame(list(text.items()), "doc_id bigint, text string")
+    assert got(jaccard.near_classes(docs, n=n, percent=percent), "n_shingles", "component_id") == brute.classes(text, n, percent)
+
+
 def test_repeats(docs):
     assert got(repeats.report(repeats.repeated(docs)), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(rows())
 
