@@ -11,6 +11,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from asterion.storage import settle
+
 ASCII_FOLD = {ord(a): a.lower() for a in string.ascii_uppercase}
 
 
@@ -55,6 +57,30 @@ def runs(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def text_key(docs: DataFrame) -> Column:
+    """With the id, tells rows of one id apart; only rows with one id and one text share both."""
+    return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
+
+
+def keyed(docs: DataFrame, key: Column) -> tuple[DataFrame, str]:
+    """The rows with ``key`` as one more column, and its name, which no column of theirs has."""
+    name = "key"
+    while name.lower() in [c.lower() for c in docs.columns]:
+        name += "_"
+    return docs.withColumn(name, key), name
+
+
+def matched(rows: DataFrame, name: str, chosen: DataFrame, how: str) -> DataFrame:
+    """Rows whose id and column ``name`` are (left_semi) or are not (left_anti) in ``chosen`` (doc_id, key), compared null-safe."""
+    return rows.join(chosen, rows["doc_id"].cast("bigint").eqNullSafe(chosen["doc_id"]) & rows[name].eqNullSafe(chosen["key"]), how)
+
+
+def without(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
+    """The rows of docs whose id and ``key`` are not in ``gone`` (doc_id, key)."""
+    rows, name = keyed(docs, key)
+    return matched(rows, name, settle(gone, "rows_gone"), "left_anti").drop(name)
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts == part
 

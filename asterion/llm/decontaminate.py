@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grams, runs, texts, word_hashes
+from .common import grams, runs, text_key, texts, without, word_hashes
 
 #: Bytes of words stay, A-Z are lower-cased, every other byte separates.
 WORD_BYTES = bytes(b if b > 0x7F or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
@@ -106,8 +106,8 @@ def blocks(benchmark: DataFrame, most: int):
     yield items
 
 
-def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, percent: int = 5, block_words: int = 500_000) -> DataFrame:
-    """Per row: doc_id, n_words, hit word ranges, item ids (sorted as strings) and ``contaminated``."""
+def judged(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, percent: int = 5, block_words: int = 500_000) -> DataFrame:
+    """Per row: doc_id, text, n_words, hit word ranges, item ids (sorted as strings) and ``contaminated``."""
     sc = docs.sparkSession.sparkContext
     schema = "doc_id bigint, text string, n_words bigint, spans array<bigint>, items array<bigint>"
     empty = F.array().cast("array<bigint>")
@@ -134,14 +134,19 @@ def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, perc
         out = out.mapInPandas(scan, schema)
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("sign")),
                         lambda a, x: F.struct((a.n + a.sign * x).alias("n"), (-a.sign).alias("sign")), lambda a: a.n)
-    return out.drop("text").withColumn("n_hit", n_hit).withColumn(
+    return out.withColumn("n_hit", n_hit).withColumn(
         "contaminated", (F.col("n_hit") > 0) & (F.col("n_hit") * 100 >= F.col("n_words") * percent))
 
 
+def contamination(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, percent: int = 5, block_words: int = 500_000) -> DataFrame:
+    """Per row: doc_id, n_words, hit word ranges, item ids (sorted as strings) and ``contaminated``."""
+    return judged(docs, benchmark, size=size, percent=percent, block_words=block_words).drop("text")
+
+
 def keep_clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
-    """The rows that are not contaminated, with all their columns; rows without an id stay."""
-    bad = contamination(docs, benchmark).where("contaminated").select("doc_id").distinct()
-    return docs.join(bad, "doc_id", "left_anti").select(docs.columns)
+    """The rows that are not contaminated, with all their columns, decided row by row, with or without an id."""
+    bad = judged(docs, benchmark).where("contaminated")
+    return without(docs, bad.select("doc_id", text_key(bad).alias("key")).distinct(), text_key(docs))
 
 
 def report(found: DataFrame) -> DataFrame:

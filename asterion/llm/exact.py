@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import fold_col, mix
+from .common import fold_col, keyed, matched, mix, without
 
 BUCKET_DIGESTS = 200_000
 
@@ -107,13 +107,21 @@ def exact_groups(docs: DataFrame, history_below: int | None = None, *, id_col: s
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows that stay, with all their columns; of rows that repeat an id, one; rows without an id stay."""
+    """The rows that stay, with all their columns, decided row by row: of each text the one with the largest id.
+
+    Rows without an id go when a row with an id has their text; of rows alike in id
+    and text, one stays.
+    """
+    digest = F.unhex(F.sha2(fold_col(F.coalesce(docs["text"], F.lit(""))), 256))
     groups = exact_groups(docs)
-    out = docs.join(groups.where("NOT kept AND doc_id IS NOT NULL").select("doc_id"), "doc_id", "left_anti").select(docs.columns)
-    twins = settle(groups.where("kept").groupBy("doc_id").count().where("count > 1").select("doc_id"), "exact_twins")
+    stays = F.col("doc_id").eqNullSafe(F.col("keep_id"))
+    out = without(docs, groups.where(~stays).select("doc_id", F.col("digest").alias("key")).distinct(), digest)
+    twins = settle(groups.where(stays).groupBy("doc_id", "digest").count().where("count > 1").select("doc_id", F.col("digest").alias("key")), "exact_twins")
     if twins.isEmpty():
         return out
-    return out.join(twins, "doc_id", "left_anti").unionByName(out.join(twins, "doc_id", "left_semi").dropDuplicates(["doc_id"])).select(docs.columns)
+    rows, name = keyed(out, digest)
+    alike = matched(rows, name, twins, "left_semi").dropDuplicates(["doc_id", name])
+    return matched(rows, name, twins, "left_anti").unionByName(alike).drop(name)
 
 
 ORACLE = """

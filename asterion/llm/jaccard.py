@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import grams, runs, space_words, texts, word_hashes
+from .common import grams, runs, space_words, text_key, texts, without, word_hashes
 
 SKETCH = 1 << 20
 CELLS = 1 << 14
@@ -92,7 +92,7 @@ def named_sets(texts_: list[str], n: int) -> list[tuple[int, np.ndarray]]:
 
 
 def scan(docs: DataFrame, n: int) -> DataFrame:
-    """A row per document (doc_id, n, set, bits where the task meets the set first), and each task's part of the count sketch."""
+    """A row per document (doc_id, key of its text, n, set, bits where the task meets the set first), and each task's part of the count sketch."""
     def run(batches):
         seen, counts = set(), np.zeros(SKETCH, np.int32)
         for b in batches:
@@ -107,14 +107,14 @@ def scan(docs: DataFrame, n: int) -> DataFrame:
                         fresh.append(x)
                 if fresh:
                     counts += np.bincount((np.concatenate(fresh) % np.uint64(SKETCH)).astype(np.int64), minlength=SKETCH).astype(np.int32)
-                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j].astype("Int64"), "n": [len(x) for _, x in named], "set": [k for k, _ in named],
+                yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j].astype("Int64"), "key": b["key"].iloc[i:j].astype("Int64"), "n": [len(x) for _, x in named], "set": [k for k, _ in named],
                                     "bits": bits, "task": None, "part": None, "counts": None})
         if seen:
             task = TaskContext.get().partitionId()
             for k in range(0, SKETCH, CELLS):
-                yield pd.DataFrame({"doc_id": [None], "n": [None], "set": [None], "bits": [None], "task": [task], "part": [k], "counts": [counts[k:k + CELLS].tobytes()]})
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(
-        run, "doc_id bigint, n bigint, set bigint, bits binary, task bigint, part bigint, counts binary")
+                yield pd.DataFrame({"doc_id": [None], "key": [None], "n": [None], "set": [None], "bits": [None], "task": [task], "part": [k], "counts": [counts[k:k + CELLS].tobytes()]})
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_key(docs).alias("key")).mapInPandas(
+        run, "doc_id bigint, key bigint, n bigint, set bigint, bits binary, task bigint, part bigint, counts binary")
 
 
 def token_classes(parts: DataFrame) -> np.ndarray:
@@ -247,10 +247,10 @@ def open_pairs(rows: DataFrame, raw: DataFrame, percent: int) -> DataFrame:
         k += 1
 
 
-def near_classes(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame:
-    """Per row: doc_id, n_shingles, component_id."""
+def near_rows(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id, key of the text, and the component itself (two can have one id, when an id has two texts)."""
     scanned = settle(scan(docs, n), "jaccard_scan")
-    rows = scanned.where("part IS NULL").select("doc_id", "n", "set")
+    rows = scanned.where("part IS NULL").select("doc_id", "key", "n", "set")
     table = settle(scanned.where("part IS NULL AND n > 0 AND doc_id IS NOT NULL").groupBy("set").agg(F.min("doc_id").alias("rep"), F.max("n").alias("n")).join(
         scanned.where("bits IS NOT NULL").groupBy("set").agg(F.max("bits").alias("bits")), "set"), "jaccard_table")
     shared = docs.sparkSession.sparkContext.broadcast(token_classes(scanned.where("part IS NOT NULL").select("task", "part", "counts")))
@@ -296,15 +296,26 @@ def near_classes(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame
         good = settle(verified(pairs, settle(sets_of(docs, wanted, n), "jaccard_sets"), percent), "jaccard_links")
         links = good if links is None else links.union(good)
         comp = settle(components(nodes, links), "jaccard_comp")
-    named = table.select("set", F.col("rep").alias("component"))
+    named = table.select("set", F.col("rep").alias("component"), F.col("set").alias("comp"))
     if comp is not None:
         named = table.join(comp, "set")
-        named = named.join(named.groupBy("comp").agg(F.min("rep").alias("component")), "comp").select("set", "component")
+        named = named.join(named.groupBy("comp").agg(F.min("rep").alias("component")), "comp").select("set", "component", "comp")
     return rows.join(named, "set", "left").select(
-        "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"))
+        "doc_id", F.col("n").alias("n_shingles"), F.when((F.col("n") > 0) & F.col("doc_id").isNotNull(), F.col("component")).otherwise(F.col("doc_id")).alias("component_id"), "key", "comp")
+
+
+def near_classes(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame:
+    """Per row: doc_id, n_shingles, component_id."""
+    return near_rows(docs, n=n, percent=percent).drop("key", "comp")
 
 
 def keep_one(docs: DataFrame, *, n: int = 5, percent: int = 80) -> DataFrame:
-    """Documents of which one of each group stays, that with the smallest id; rows without an id stay."""
-    c = near_classes(docs, n=n, percent=percent).where("doc_id <> component_id").select("doc_id")
-    return docs.join(c, "doc_id", "left_anti").select(docs.columns)
+    """Documents of which one of each group stays, that with the smallest id, decided row by row.
+
+    Of different texts with that id in one group, one stays; texts without words and rows without an id stay.
+    """
+    rows = settle(near_rows(docs, n=n, percent=percent).where("n_shingles > 0 AND doc_id IS NOT NULL").select("doc_id", "component_id", "key", "comp"), "jaccard_rows")
+    heads = rows.where("doc_id = component_id").groupBy("comp").agg(F.min("key").alias("least"), F.max("key").alias("most")).where("least < most")
+    twins = rows.where("doc_id = component_id").join(heads, "comp").where("key > least")
+    gone = rows.where("doc_id <> component_id").select("doc_id", "key").union(twins.select("doc_id", "key")).distinct()
+    return without(docs, gone, text_key(docs))

@@ -2,12 +2,14 @@
 
 import base64
 import random
+import string
 import sys
 import zlib
 from pathlib import Path
 
 import public_tokenizers as P
 import pytest
+from pyspark.sql import functions as F
 
 sys.path.insert(0, str(Path(__file__).resolve().parent))
 import brute  # noqa: E402
@@ -201,6 +203,26 @@ def test_pipeline_stages(spark):
         assert stage(spark, d, SF).columns == d.columns
 
 
+def test_stages_decide_by_row(spark):
+    """Ids that carry two texts, rows without an id, rows alike, and extra columns with the names used inside."""
+    a, b, c = (" ".join(f"{x}{i}é" for i in range(150)) for x in "abc")
+    upper = a.translate({ord(x): x.upper() for x in string.ascii_lowercase})
+    item = " ".join(f"b{i}" for i in range(30))
+    data = [(1, a), (1, b), (2, upper), (2, c), (None, c), (None, item), (None, item), (3, b + " tail"), (4, ""), (5, None), (6, item), (6, c), (7, "x " + item)]
+    names = "doc_id bigint, text string, key string, digest string, `set` string, n string, gone_id string, twin string"
+    docs = spark.createDataFrame([(k, t, *"abcdef") for k, t in data], names)
+    out = lambda d: sorted(((r.doc_id, r.text) for r in d.collect()), key=str)
+    assert out(exact.keep_one(docs)) == sorted([(1, b), (2, upper), (3, b + " tail"), (5, None), (6, item), (6, c), (7, "x " + item)], key=str)
+    nulls = spark.createDataFrame([(None, a, *"abcdef"), (None, a, *"abcdef"), (9, b, *"abcdef"), (9, b, *"abcdef")], names)
+    assert out(exact.keep_one(nulls)) == sorted([(None, a), (9, b)], key=str)
+    distinct = docs.where(~(F.col("doc_id").eqNullSafe(2) & (F.col("text") == upper)))
+    near = out(jaccard.keep_one(distinct))
+    assert set(near) == {(1, a), (1, b), (2, c), (6, item), (None, c), (None, item), (4, ""), (5, None)}
+    assert near.count((None, item)) == 2
+    clean = out(decontaminate.keep_clean(docs, spark.createDataFrame([(1, item)], "item_id bigint, text string")))
+    assert clean == sorted([r for r in data if not (r[1] or "").endswith(item)], key=str)
+
+
 def test_pipeline_on_rows(spark, tmp_path):
     """Every stage on rows, against plain versions; the classifier has none."""
     import corpus_pipeline as cp
