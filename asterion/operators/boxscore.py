@@ -46,30 +46,37 @@ def class_names(grouping: str) -> list[str]:
     return [v[1] for v in table.values()] + [T.UNCLASSIFIED[1]]
 
 
-def boxscore_cells(fact: DataFrame, catalog: DataFrame, *, metric: str = "objects",
+def boxscore_cells(fact: DataFrame, catalog: DataFrame, *, metric: str | list[str] = "objects",
                    time: str = "year", grouping: str = "coarse", site: str | None = None) -> DataFrame:
-    """(time_bin, class, value, has_time, has_class) with totals, from one cube.
+    """(time_bin, class, value) with totals; of several metrics a column each, under its name.
 
     ``fact`` is per (provid, stn, obs_date) as :func:`summary.detection_daily` gives;
     a total of distinct objects counts an object once, not once per bin.
     """
     d = fact if site is None else fact.where(F.col("stn") == site)
-    # One row per object and bin before the join and before the cube multiplies rows.
-    d = d.groupBy(time_bin("obs_date", time).alias("time_bin"), "provid").agg(
-        F.sum("n_obs").alias("n_obs"), F.sum("n_tracklets").alias("n_tracklets"),
-        F.bool_or("disc_flag").alias("disc_flag"))
-    d = d.join(catalog.select("provid", class_label(grouping).alias("class")), "provid", "left")
-    d = d.withColumn("class", F.coalesce("class", F.lit(T.UNCLASSIFIED[1])))
+    # One exchange by object, which calls on the same fact share; bins and totals are made of it in place.
+    d = d.select("provid", "obs_date", "n_obs", "n_tracklets", "disc_flag").repartition("provid")
+    label = F.coalesce(class_label(grouping), F.lit(T.UNCLASSIFIED[1]))
+    # An object's classes with their numbers of catalogue rows, and without a class all of these.
+    n = F.count("*").alias("n")
+    classes = catalog.where(F.col("provid").isNotNull()).groupBy("provid", label.alias("class")).agg(n).groupBy("provid").agg(
+        F.concat(F.collect_list(F.struct("class", "n")), F.array(F.struct(F.lit(None).cast("string").alias("class"), F.sum("n").alias("n")))).alias("classes"))
+    alone = F.array(*[F.struct(F.lit(c).cast("string").alias("class"), F.lit(1).cast("bigint").alias("n")) for c in (T.UNCLASSIFIED[1], None)])
     value = {
-        "observations": F.sum("n_obs"), "tracklets": F.sum("n_tracklets"),
-        "objects": F.countDistinct("provid"),
-        "discoveries": F.countDistinct(F.when(F.col("disc_flag"), F.col("provid"))),
-    }[metric]
-    return d.cube("time_bin", "class").agg(
-        value.alias("value"), F.grouping("time_bin").alias("_gt"),
-        F.grouping("class").alias("_gc")).select(
-        F.when(F.col("_gt") == 1, F.lit("Total")).otherwise(F.col("time_bin")).alias("time_bin"),
-        F.when(F.col("_gc") == 1, F.lit("total")).otherwise(F.col("class")).alias("class"), "value")
+        "observations": F.sum(F.col("n_obs") * F.col("c.n")), "tracklets": F.sum(F.col("n_tracklets") * F.col("c.n")),
+        "objects": F.count("provid"), "discoveries": F.count(F.when(F.col("disc_flag"), F.col("provid"))),
+    }
+    wanted = [value[metric].alias("value")] if isinstance(metric, str) else [value[m].alias(m) for m in metric]
+
+    def cells(bin: Column):
+        # One row per object and bin, so that its objects are counted and not gathered.
+        per = d.groupBy("provid", bin.alias("time_bin")).agg(
+            F.sum("n_obs").alias("n_obs"), F.sum("n_tracklets").alias("n_tracklets"), F.bool_or("disc_flag").alias("disc_flag"))
+        per = per.join(classes, "provid", "left").withColumn("c", F.explode(F.coalesce("classes", alone)))
+        return per.groupBy("time_bin", F.col("c.class").alias("class")).agg(*wanted)
+
+    both = cells(time_bin("obs_date", time)).unionByName(cells(F.lit("Total")))
+    return both.withColumn("class", F.coalesce("class", F.lit("total")))
 
 
 def boxscore(fact: DataFrame, catalog: DataFrame, *, metric: str = "objects", time: str = "year",

@@ -316,9 +316,10 @@ _METRICS = {"observations": "CAST(sum(n_obs) AS BIGINT)", "tracklets": "CAST(sum
     for b, x in _BINS.items() for g, c in (("coarse", "cls"), ("standard", "std")) if g == "coarse" or b == "year" for m, e in _METRICS.items()))
 def _(t):
     fact, catalog = _fact_catalog(t)
-    parts = [boxscore.boxscore_cells(fact, catalog, metric=m, time=b, grouping=g).select(
-        F.lit(m).alias("metric"), F.lit(b).alias("bins"), F.lit(g).alias("grouping_name"), "time_bin", "class", "value")
-        for b in _BINS for g in ("coarse", "standard") if g == "coarse" or b == "year" for m in _METRICS]
+    parts = [boxscore.boxscore_cells(fact, catalog, metric=list(_METRICS), time=b, grouping=g).select(
+        F.inline(F.array(*[F.struct(F.lit(m).alias("metric"), F.lit(b).alias("bins"), F.lit(g).alias("grouping_name"), "time_bin", "class", F.col(m).alias("value"))
+                           for m in _METRICS])))
+        for b in _BINS for g in ("coarse", "standard") if g == "coarse" or b == "year"]
     return reduce(DataFrame.unionByName, parts)
 
 
