@@ -48,3 +48,10 @@ def test_headings_are_found_in_two_passes(spark):
         assert s["header"] == (None if t is None else t[:min([a for a, _ in heads.values()], default=len(t))].strip())
     plan = d._jdf.queryExecution().optimizedPlan().toString()
     assert plan.count("regexp_extract_all(") == 2 and "split(" not in plan
+
+
+def test_circular_texts_are_made_by_many_tasks(spark, tmp_path):
+    spark.range(50).withColumnRenamed("id", "c_custkey").coalesce(1).write.parquet(f"{tmp_path}/customer.parquet")
+    circulars = Inputs(spark, str(tmp_path)).circulars
+    assert circulars.rdd.getNumPartitions() >= spark.sparkContext.defaultParallelism
+    assert circulars.count() == 50
