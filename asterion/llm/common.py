@@ -8,11 +8,13 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
+MARKS = 1 << 27
 ASCII_FOLD = {ord(a): a.lower() for a in string.ascii_uppercase}
 
 
@@ -81,6 +83,34 @@ def without(docs: DataFrame, gone: DataFrame, key: Column) -> DataFrame:
     return matched(rows, name, settle(gone, "rows_gone"), "left_anti").drop(name)
 
 
+def marks(at: Column, rows: DataFrame) -> Broadcast:
+    """The numbers ``at`` (0 to MARKS - 1) of the rows as pages of a bitmap, for ``marked``; at most MARKS bits at any number of rows."""
+    maps = rows.groupBy(F.floor(at / 32768).alias("page")).agg(F.bitmap_construct_agg(at % 32768).alias("bits"))
+    return rows.sparkSession.sparkContext.broadcast({r.page: bytes(r.bits) for r in maps.toLocalIterator()})
+
+
+def bitmap(pages: dict[int, bytes]) -> np.ndarray:
+    out = np.zeros((MARKS // 32768, 4096), np.uint8)
+    for page, bits in pages.items():
+        out[page] = np.frombuffer(bits, np.uint8)
+    return out.ravel()
+
+
+def marked(bits: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return (bits[at >> 3] >> (at & 7).astype(np.uint8)) & 1 == 1
+
+
+def possibly_in(rows: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
+    """The rows whose 64-bit hash ``name`` is in ``wanted`` (and a few more, by a bitmap of fixed size), without a shuffle of rows."""
+    shared = marks(F.col(name).bitwiseAND(F.lit(MARKS - 1)), wanted.select(name))
+
+    def run(batches):
+        bits = bitmap(shared.value)
+        for b in batches:
+            yield b[marked(bits, b[name].to_numpy() & (MARKS - 1))]
+    return rows.mapInPandas(run, rows.schema)
+
+
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
     return F.crc32(doc_id.cast("string").cast("binary")) % parts == part
 

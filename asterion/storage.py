@@ -88,6 +88,12 @@ def settle(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.parquet(write_version(df, path))
 
 
+def discard(df: DataFrame) -> None:
+    """Delete a table that ``settle`` returned; no plan that reads it may run afterwards."""
+    for folder in {f.rsplit("/", 1)[0] for f in df.inputFiles()}:
+        remove(df.sparkSession, folder)
+
+
 def write_snapshot(df: DataFrame, path: str, *, max_age_seconds: float | None = None,
                    partition_by: list[str] | None = None) -> DataFrame:
     """Materialise a derived table, reusing a committed version young enough."""

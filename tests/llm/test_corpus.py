@@ -120,6 +120,32 @@ def test_jaccard_hot_group(spark, monkeypatch, few, rounds, n, percent):
     assert got(jaccard.near_classes(docs, n=n, percent=percent), "n_shingles", "component_id") == brute.classes(text, n, percent)
 
 
+def settled(monkeypatch, module, name: str) -> list:
+    """The tables that an operator settles under a name, as row counts."""
+    seen, settle = [], module.settle
+
+    def watch(df, at, **k):
+        out = settle(df, at, **k)
+        seen.extend([out.count()] * (at == name))
+        return out
+    monkeypatch.setattr(module, "settle", watch)
+    return seen
+
+
+def test_single_anchors_stay_out_of_joins(spark, monkeypatch):
+    from asterion.storage import shared_dir
+    from pathlib import Path
+    words = [" ".join(f"w{d}x{i}" for i in range(200)) for d in range(30)]
+    text = [(d, t) for d, t in enumerate(words)] + [(100, "before " + words[3][:700] + " after " + "y" * 10)]
+    docs = spark.createDataFrame(text, "doc_id bigint, text string")
+    stretches, shared = settled(monkeypatch, repeats, "repeat_stretches"), settled(monkeypatch, repeats, "repeat_shared")
+    folder = Path(shared_dir(spark).removeprefix("file://").removeprefix("file:"))
+    before = set(folder.glob("repeat_*/v=*"))
+    assert got(repeats.report(repeats.repeated(docs)), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(dict(text))
+    assert 0 < shared[0] < stretches[0] / 5
+    assert {p.parent.name for p in set(folder.glob("repeat_*/v=*")) - before} <= {"repeat_anchors", "repeat_spans"}
+
+
 def test_repeats(docs):
     assert got(repeats.report(repeats.repeated(docs)), "n_bytes", "n_removed", "n_spans", "kept_sha256") == brute.repeats(rows())
 
