@@ -9,7 +9,7 @@ common token is among the first n-need+1 of each, their first k common tokens am
 the first n-need+k.
 
 Every set is indexed by the single tokens of its prefix. Sets per key are counted
-exactly: where a frequent key has more pairs of sets than combinations with a further
+exactly: rows of a key with one set go before any join, by a bitmap of the other keys, and where a frequent key has more pairs of sets than combinations with a further
 prefix token, each of its sets is indexed anew by those combinations of k+1 tokens,
 up to LONGEST tokens; a key with fewer pairs keeps them. A key carries its
 position: sets that first meet there share at most what follows it, and rows
@@ -40,11 +40,10 @@ from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import grams, runs, space_words, text_key, texts, without, word_hashes
+from .common import MARKS, bitmap, grams, marked, marks, possibly_in, runs, space_words, text_key, texts, without, word_hashes
 
 SKETCH = 1 << 20
 CELLS = 1 << 14
-MARKS = 1 << 27
 ROUNDS = 2
 LONGEST = 3
 FEW = 64
@@ -170,18 +169,12 @@ def mark(doc_id: Column) -> Column:
 
 def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
     """Sets (set, n, tokens) of the wanted (set, rep), made from the texts of the documents ``rep``."""
-    at = mark(F.col("rep"))
-    maps = wanted.groupBy(F.floor(at / 32768).alias("page")).agg(F.bitmap_construct_agg(at % 32768).alias("bits"))
-    shared = docs.sparkSession.sparkContext.broadcast({r.page: bytes(r.bits) for r in maps.toLocalIterator()})
+    shared = marks(mark(F.col("rep")), wanted)
 
     def run(batches):
-        marked = np.zeros((MARKS // 32768, 4096), np.uint8)
-        for page, bits in shared.value.items():
-            marked[page] = np.frombuffer(bits, np.uint8)
-        marked = marked.ravel()
+        bits = bitmap(shared.value)
         for b in batches:
-            m = b["mark"].to_numpy()
-            b = b[(marked[m >> 3] >> (m & 7).astype(np.uint8)) & 1 == 1]
+            b = b[marked(bits, b["mark"].to_numpy())]
             t = texts(b["text"])
             for i, j in runs([len(x) for x in t], 2_000_000):
                 named = named_sets(t[i:j], n)
@@ -273,7 +266,8 @@ def near_rows(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame:
     raw = settle(docs.where("doc_id IS NOT NULL").select("text").mapInPandas(emit, "key bigint, set bigint, n int, pos int"), "jaccard_prefixes")
     first = raw.where(F.col("pos") <= F.col("n") - need(F.col("n"), percent)).withColumn("most", F.col("n") - F.col("pos"))
     multi = first.groupBy("key").agg(F.min("set").alias("lo"), F.max("set").alias("hi"), F.min("n").alias("least")).where("lo < hi").select("key", "least")
-    keys = settle(first.join(multi, "key").where(reach(F.col("n"), F.greatest("least", need(F.col("n"), percent)), F.col("most"), percent)).drop("least"), "jaccard_keys")
+    multi = settle(multi, "jaccard_multi")
+    keys = settle(possibly_in(first, "key", multi).join(multi, "key").where(reach(F.col("n"), F.greatest("least", need(F.col("n"), percent)), F.col("most"), percent)).drop("least").distinct(), "jaccard_keys")
     nodes, comp, links, tried = table.select("set"), None, None, None
     for k in range(ROUNDS + 1):
         at = keys.withColumn("comp", F.col("set")) if comp is None else keys.join(comp, "set")

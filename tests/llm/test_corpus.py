@@ -132,6 +132,17 @@ def settled(monkeypatch, module, name: str) -> list:
     return seen
 
 
+def test_single_keys_stay_out_of_joins(spark, monkeypatch):
+    words = [" ".join(f"w{d}x{i}" for i in range(60)) for d in range(30)]
+    text = [(d, t) for d, t in enumerate(words)] + [(100, words[3] + " end")]
+    docs = spark.createDataFrame(text, "doc_id bigint, text string")
+    multi, past = settled(monkeypatch, jaccard, "jaccard_multi"), []
+    few = jaccard.possibly_in
+    monkeypatch.setattr(jaccard, "possibly_in", lambda *a: past.append(few(*a)) or past[-1])
+    assert got(jaccard.near_classes(docs), "n_shingles", "component_id") == brute.classes(dict(text))
+    assert multi and past[0].count() <= 2 * multi[0] < 40
+
+
 def test_single_anchors_stay_out_of_joins(spark, monkeypatch):
     from asterion.storage import shared_dir
     from pathlib import Path
