@@ -8,6 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -107,8 +108,8 @@ def possibly_in(rows: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
     def run(batches):
         bits = bitmap(shared.value)
         for b in batches:
-            yield b[marked(bits, b[name].to_numpy() & (MARKS - 1))]
-    return rows.mapInPandas(run, rows.schema)
+            yield b.filter(pa.array(marked(bits, b.column(name).to_numpy(zero_copy_only=False) & (MARKS - 1))))
+    return rows.mapInArrow(run, rows.schema)
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:
