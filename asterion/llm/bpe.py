@@ -21,7 +21,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import runs, texts
+from .common import runs, texts, tidy
 
 MATRIX_BYTES = 128
 KNOWN_CHARS = 2_000_000
@@ -155,9 +155,9 @@ class Vocabulary:
             self.known[p] = ids.astype("<i4").tobytes()
             self.known_chars += len(p)
 
-    def forget(self) -> None:
+    def forget(self, most: int = KNOWN_CHARS) -> None:
         """Keep what a worker remembers bounded; results do not depend on it."""
-        if self.known_chars > KNOWN_CHARS:
+        if self.known_chars > most:
             self.known, self.known_chars = {}, 0
 
 
@@ -195,8 +195,9 @@ def encode_documents(docs: DataFrame, ranks_path: str, pattern: str, *, id_col:
                 ids = encode(t[i:j], vocab, split)
                 yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j], "ids": [x.tobytes() for x in ids] if packed else ids,
                                     "decoded": [decode(x, vocab) for x in ids]})
+        vocab.forget(0)
     return docs.select(docs[id_col].alias("doc_id"), docs[text_col].alias("text")).mapInPandas(
-        run, f"doc_id bigint, ids {'binary' if packed else 'array<int>'}, decoded binary")
+        tidy(run), f"doc_id bigint, ids {'binary' if packed else 'array<int>'}, decoded binary")
 
 
 def digests(encoded: DataFrame) -> DataFrame:

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 import string
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
@@ -60,6 +61,28 @@ def runs(lengths: list[int], most: int) -> Iterator[tuple[int, int]]:
         yield start, len(lengths)
 
 
+def give_back() -> None:
+    """Frees what a Python worker remembers and returns the free pages of its allocators to the system."""
+    _known.clear()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim is not None:
+        trim(0)
+
+
+def tidy(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """``run`` for mapInPandas and mapInArrow, whose worker gives its memory back after each task.
+
+    Workers serve the tasks of all later stages, so what one stage leaves behind would add to the next one's need.
+    """
+    def task(batches):
+        try:
+            yield from run(batches)
+        finally:
+            give_back()
+    return task
+
+
 def text_key(docs: DataFrame) -> Column:
     """With the id, tells rows of one id apart; only rows with one id and one text share both."""
     return F.xxhash64(F.coalesce(docs["text"], F.lit("")))
@@ -109,7 +132,7 @@ def possibly_in(rows: DataFrame, name: str, wanted: DataFrame) -> DataFrame:
         bits = bitmap(shared.value)
         for b in batches:
             yield b.filter(pa.array(marked(bits, b.column(name).to_numpy(zero_copy_only=False) & (MARKS - 1))))
-    return rows.mapInArrow(run, rows.schema)
+    return rows.mapInArrow(tidy(run), rows.schema)
 
 
 def held_out(doc_id: Column, parts: int, part: int) -> Column:

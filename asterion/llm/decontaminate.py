@@ -26,7 +26,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import grams, runs, text_key, texts, without, word_hashes
+from .common import grams, runs, text_key, texts, tidy, without, word_hashes
 
 #: Bytes of words stay, A-Z are lower-cased, every other byte separates.
 WORD_BYTES = bytes(b if b > 0x7F or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else b + 32 if 0x41 <= b <= 0x5A else 32 for b in range(256))
@@ -131,7 +131,7 @@ def judged(docs: DataFrame, benchmark: DataFrame, *, size: int = 13, percent: in
                         found.append(sorted(items.union(int(x) for x in f), key=str))
                     part["n_words"], part["spans"], part["items"] = [len(w) for w in words], spans, found
                     yield part
-        out = out.mapInPandas(scan, schema)
+        out = out.mapInPandas(tidy(scan), schema)
     n_hit = F.aggregate("spans", F.struct(F.lit(0).cast("bigint").alias("n"), F.lit(-1).cast("bigint").alias("sign")),
                         lambda a, x: F.struct((a.n + a.sign * x).alias("n"), (-a.sign).alias("sign")), lambda a: a.n)
     return out.withColumn("n_hit", n_hit).withColumn(

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from asterion.storage import settle
 
-from .common import MARKS, bitmap, grams, marked, marks, possibly_in, runs, space_words, text_key, texts, without, word_hashes
+from .common import MARKS, bitmap, grams, marked, marks, possibly_in, runs, space_words, text_key, texts, tidy, without, word_hashes
 
 SKETCH = 1 << 20
 CELLS = 1 << 14
@@ -113,7 +113,7 @@ def scan(docs: DataFrame, n: int) -> DataFrame:
             for k in range(0, SKETCH, CELLS):
                 yield pd.DataFrame({"doc_id": [None], "key": [None], "n": [None], "set": [None], "bits": [None], "task": [task], "part": [k], "counts": [counts[k:k + CELLS].tobytes()]})
     return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text", text_key(docs).alias("key")).mapInPandas(
-        run, "doc_id bigint, key bigint, n bigint, set bigint, bits binary, task bigint, part bigint, counts binary")
+        tidy(run), "doc_id bigint, key bigint, n bigint, set bigint, bits binary, task bigint, part bigint, counts binary")
 
 
 def token_classes(parts: DataFrame) -> np.ndarray:
@@ -160,7 +160,7 @@ def plausible(pairs: DataFrame, table: DataFrame, percent: int) -> DataFrame:
             low = np.array([least_difference(bytes(x), bytes(y)) for x, y in zip(p["ba"], p["bb"])], np.int64)
             yield p.loc[low * (100 + percent) <= room.to_numpy(), ["a", "b"]]
     side = lambda x: table.select(F.col("set").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"b{x}"))
-    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ba", "bb").mapInPandas(run, "a bigint, b bigint")
+    return pairs.join(side("a"), "a").join(side("b"), "b").select("a", "b", "na", "nb", "ba", "bb").mapInPandas(tidy(run), "a bigint, b bigint")
 
 
 def mark(doc_id: Column) -> Column:
@@ -180,7 +180,7 @@ def sets_of(docs: DataFrame, wanted: DataFrame, n: int) -> DataFrame:
                 named = named_sets(t[i:j], n)
                 yield pd.DataFrame({"rep": b["doc_id"].iloc[i:j], "set": [k for k, _ in named], "n": [len(x) for _, x in named], "tokens": [x.view(np.int64) for _, x in named]})
     made = docs.where("doc_id IS NOT NULL").select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").withColumn("mark", mark(F.col("doc_id"))).mapInPandas(
-        run, "rep bigint, set bigint, n bigint, tokens array<bigint>")
+        tidy(run), "rep bigint, set bigint, n bigint, tokens array<bigint>")
     return made.join(wanted, ["set", "rep"]).select("set", "n", "tokens")
 
 
@@ -263,7 +263,7 @@ def near_rows(docs: DataFrame, *, n: int = 4, percent: int = 85) -> DataFrame:
                 yield pd.DataFrame({"key": np.concatenate(keys).view(np.int64), "set": np.repeat(np.array([k for k, _ in names], np.int64), size),
                                     "n": np.repeat(np.array([k for _, k in names], np.int32), size),
                                     "pos": np.concatenate([np.arange(x, dtype=np.int32) for x in size] or [np.zeros(0, np.int32)])})
-    raw = settle(docs.where("doc_id IS NOT NULL").select("text").mapInPandas(emit, "key bigint, set bigint, n int, pos int"), "jaccard_prefixes")
+    raw = settle(docs.where("doc_id IS NOT NULL").select("text").mapInPandas(tidy(emit), "key bigint, set bigint, n int, pos int"), "jaccard_prefixes")
     first = raw.where(F.col("pos") <= F.col("n") - need(F.col("n"), percent)).withColumn("most", F.col("n") - F.col("pos"))
     multi = first.groupBy("key").agg(F.min("set").alias("lo"), F.max("set").alias("hi"), F.min("n").alias("least")).where("lo < hi").select("key", "least")
     multi = settle(multi, "jaccard_multi")

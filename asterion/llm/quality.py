@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .bytecnn import Net, Shape
-from .common import held_out, runs, texts
+from .common import held_out, runs, texts, tidy
 
 FIT_ROWS = 4_000
 FIT_BYTES = 4_096
@@ -67,7 +67,7 @@ def scored(docs: DataFrame, net: Net) -> DataFrame:
             for i, j in runs([len(x) for x in t], 1_000_000):
                 p = model.probabilities([model.cut(x.encode("utf-8")) for x in t[i:j]])[:, 0]
                 yield pd.DataFrame({"doc_id": b["doc_id"].iloc[i:j], "score": p.astype(float)})
-    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(run, "doc_id bigint, score double")
+    return docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), "text").mapInPandas(tidy(run), "doc_id bigint, score double")
 
 
 def keep_good(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> DataFrame:
@@ -84,7 +84,7 @@ def keep_good(docs: DataFrame, labels: DataFrame, *, least: float = 0.5) -> Data
             p = [model.probabilities([model.cut(x.encode("utf-8")) for x in t[i:j]])[:, 0] for i, j in runs([len(x) for x in t], 1_000_000)]
             if p:
                 yield b.filter(pa.array(np.concatenate(p) >= least))
-    return docs.mapInArrow(run, docs.schema)
+    return docs.mapInArrow(tidy(run), docs.schema)
 
 
 def predictions(docs: DataFrame, labels: DataFrame) -> DataFrame:

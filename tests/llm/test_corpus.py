@@ -143,6 +143,23 @@ def test_single_keys_stay_out_of_joins(spark, monkeypatch):
     assert multi and past[0].count() <= 2 * multi[0] < 40
 
 
+def test_workers_give_their_memory_back(spark, docs):
+    def held(batches):
+        import pyarrow as pa
+        from asterion.llm import bpe, common
+        for _ in batches:
+            words = len(common._known)
+        yield pa.RecordBatch.from_pydict({"words": [words], "pieces": [len(bpe.vocabulary(RANKS).known)]})
+
+    def remembered() -> tuple:
+        rows = spark.range(0, 16, numPartitions=8).mapInArrow(held, "words bigint, pieces bigint")
+        return tuple(rows.agg(F.sum("words"), F.sum("pieces")).first())
+    benchmark = spark.createDataFrame([(1, " ".join(rows()[6].split()[:20]))], "item_id bigint, text string")
+    assert jaccard.near_classes(docs).count() == docs.count() and remembered() == (0, 0)
+    assert decontaminate.contamination(docs, benchmark).agg(F.sum("n_hit")).first()[0] >= 20 and remembered() == (0, 0)
+    assert bpe.encode_documents(docs, RANKS, P.PATTERN, packed=True).agg(F.sum(F.length("ids"))).first()[0] > 0 and remembered() == (0, 0)
+
+
 def test_single_anchors_stay_out_of_joins(spark, monkeypatch):
     from asterion.storage import shared_dir
     from pathlib import Path
