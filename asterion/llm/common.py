@@ -176,6 +176,44 @@ def word_hashes(words: list[bytes]) -> np.ndarray:
     return np.fromiter(map(_known.__getitem__, words), np.uint64, len(words))
 
 
+#: The part of XXH3's secret that hashes of 1 to 16 bytes use.
+_SECRET = np.frombuffer(bytes.fromhex("b8fe6c3923a44bbe7c01812cf721ad1cded46de9839097db7240a4a4b7b3671fcb79e64eccc0e578825ad07dccff7221b8084674f743248e"), np.uint64)
+
+
+def span_hashes(data: bytes, start: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """``word_hashes`` of the stretches of ``data``, none of them empty; those of up to 16 bytes without a Python object each."""
+    import xxhash
+    u, low = np.uint64, np.uint64(0xFFFFFFFF)
+    at = np.frombuffer(data + bytes(8), np.uint8)
+    four, eight = (np.ndarray(len(at) - n + 1, f"<u{n}", at, strides=(1,)) for n in (4, 8))
+    out = np.empty(len(start), u)
+    k = np.flatnonzero(size < 4)
+    s, n = start[k], size[k]
+    h = (at[s].astype(u) << u(16)) | (at[s + (n >> 1)].astype(u) << u(24)) | at[s + n - 1].astype(u) | (n.astype(u) << u(8))
+    h ^= (_SECRET[0] ^ (_SECRET[0] >> u(32))) & low
+    h = (h ^ (h >> u(33))) * u(0xC2B2AE3D27D4EB4F)
+    h = (h ^ (h >> u(29))) * u(0x165667B19E3779F9)
+    out[k] = h ^ (h >> u(32))
+    k = np.flatnonzero((size >= 4) & (size <= 8))
+    s, n = start[k], size[k]
+    h = ((four[s].astype(u) << u(32)) + four[s + n - 4]) ^ _SECRET[1] ^ _SECRET[2]
+    h ^= ((h << u(49)) | (h >> u(15))) ^ ((h << u(24)) | (h >> u(40)))
+    h *= u(0x9FB21C651E98DF25)
+    h = (h ^ ((h >> u(35)) + n.astype(u))) * u(0x9FB21C651E98DF25)
+    out[k] = h ^ (h >> u(28))
+    k = np.flatnonzero((size > 8) & (size <= 16))
+    s, n = start[k], size[k]
+    a, b = eight[s] ^ _SECRET[3] ^ _SECRET[4], eight[s + n - 8] ^ _SECRET[5] ^ _SECRET[6]
+    cross = (((a & low) * (b & low)) >> u(32)) + (((a >> u(32)) * (b & low)) & low) + (a & low) * (b >> u(32))
+    high = (((a >> u(32)) * (b & low)) >> u(32)) + (cross >> u(32)) + (a >> u(32)) * (b >> u(32))
+    h = n.astype(u) + a.byteswap() + b + ((a * b) ^ high)
+    h = (h ^ (h >> u(37))) * u(0x165667919E3779F9)
+    out[k] = h ^ (h >> u(32))
+    for k in np.flatnonzero(size > 16).tolist():
+        out[k] = xxhash.xxh3_64_intdigest(data[start[k]:start[k] + size[k]])
+    return out
+
+
 def grams(h: np.ndarray, n: int) -> np.ndarray:
     """A hash for the n hashes from each position on, order included."""
     m = max(0, len(h) - n + 1)
